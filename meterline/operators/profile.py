@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterline.functions.exprs import pct, round_half_away
+from meterline.functions.exprs import exact_avg, pct, round_half_away
 
 
 def conditional_counts(df: DataFrame, conditions: Mapping[str, Column]) -> DataFrame:
@@ -52,7 +52,7 @@ def numeric_summary(df: DataFrame, cols: Sequence[str], avg_digits: int = 2) ->
     (column_name, avg, min, max)."""
     aggs = []
     for c in cols:
-        aggs += [F.avg(F.col(c).cast("double")).alias(f"{c}__avg"),
+        aggs += [exact_avg(F.col(c).cast("double")).alias(f"{c}__avg"),
                  F.min(F.col(c).cast("double")).alias(f"{c}__min"),
                  F.max(F.col(c).cast("double")).alias(f"{c}__max")]
     wide = df.agg(*aggs)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from meterline.plans import fixtures as X
 from meterline.plans import models as M
+from meterline.plans import profile as P
 from meterline.plans import reports as R
 
 CFG = M.FIXTURE_CONFIG
@@ -80,6 +81,331 @@ def q_zone_month_performance(spark, d):
     return zone_perf(spark, d)
 
 
+
+# ------------------------------------------------------------------ expressions
+
+def files(spark, d):
+    return X.trip_files(spark, d)
+
+
+def event_pairs(spark, d):
+    """Consecutive events as (start, end) pairs: sub-second durations."""
+    e = X.table(spark, d, "events")
+    a = e.select(F.col("event_id"), F.col("ts").alias("start_ts"))
+    b = e.select((F.col("event_id") - 1).alias("event_id"), F.col("ts").alias("end_ts"))
+    return a.join(b, "event_id")
+
+
+def q_duration_boundary(spark, d):
+    from meterline.functions.exprs import minutes_between
+    return event_pairs(spark, d).select(
+        "event_id", "start_ts", "end_ts",
+        minutes_between("start_ts", "end_ts", "boundary").alias("minutes"))
+
+
+def q_duration_fractional(spark, d):
+    from meterline.functions.exprs import minutes_between
+    return event_pairs(spark, d).select(
+        "event_id", "start_ts", "end_ts",
+        minutes_between("start_ts", "end_ts", "fractional").alias("minutes"))
+
+
+def q_date_parts(spark, d):
+    from meterline.functions.exprs import day_name
+    e = event_fact(spark, d)
+    ts = F.col("pickup_datetime")
+    return e.select("trip_id", F.year(ts).alias("pickup_year"), F.month(ts).alias("pickup_month"),
+                    F.hour(ts).alias("pickup_hour"), ts.cast("date").alias("pickup_date"),
+                    day_name(ts).alias("day_name"))
+
+
+def q_json_extract(spark, d):
+    from meterline.functions.exprs import json_extract
+    e = X.table(spark, d, "events")
+    return e.select("event_id", json_extract(F.col("props"), "$.k", "int").alias("k"))
+
+
+def q_label_codes(spark, d):
+    from meterline.functions.exprs import label
+    return raw(spark, d).select(
+        "l_orderkey", "l_linenumber", "payment_type",
+        label("payment_type", R.PAYMENT_LABELS, "Other").alias("label"))
+
+
+# ------------------------------------------------------------------ filters and joins
+
+def q_clean_trips(spark, d):
+    from meterline.operators.clean import clean
+    return clean(stg(spark, d), CFG.rules())
+
+
+def q_reject_reasons(spark, d):
+    from meterline.operators.clean import rejects
+    r = rejects(stg(spark, d), CFG.rules())
+    return r.select("trip_id", F.array_join("reject_reasons", ",").alias("reject_reasons"))
+
+
+def q_year_filter(spark, d):
+    from meterline.functions.exprs import year_range
+    return stg(spark, d).filter(year_range("pickup_datetime", CFG.trip_year)).select(
+        "trip_id", "pickup_datetime")
+
+
+def q_in_filter(spark, d):
+    from meterline.operators.clean import in_set
+    return in_set(raw(spark, d), "PULocationID", [1, 3, 5]).select(
+        "l_orderkey", "l_linenumber", "PULocationID")
+
+
+def q_left_join_dim(spark, d):
+    from meterline.operators.joins import lookup
+    return lookup(stg(spark, d), zones(spark, d, partial=True), "pickup_location_id",
+                  "location_id", {"borough": "borough", "zone_name": "zone_name"}).select(
+        "trip_id", "pickup_location_id", "borough", "zone_name")
+
+
+def q_inner_join_dim(spark, d):
+    from meterline.operators.joins import lookup
+    return lookup(stg(spark, d), zones(spark, d, partial=True), "pickup_location_id",
+                  "location_id", {"borough": "borough"}, how="inner").select(
+        "trip_id", "pickup_location_id", "borough")
+
+
+def q_enrich_two_roles(spark, d):
+    return M.enrich_trips(stg(spark, d), zones(spark, d, partial=True), CFG)
+
+
+def q_orphan_keys(spark, d):
+    from meterline.operators.joins import orphans
+    return orphans(stg(spark, d), "pickup_location_id", zones(spark, d, partial=True),
+                   "location_id").select("trip_id", "pickup_location_id")
+
+
+def q_borough_not_null(spark, d):
+    from meterline.operators.clean import not_null
+    f = M.enrich_trips(stg(spark, d), zones(spark, d, partial=True), CFG)
+    return not_null(f, "pickup_borough", "dropoff_borough").select(
+        "trip_id", "pickup_borough", "dropoff_borough")
+
+
+# ------------------------------------------------------------------ marts and reports
+
+def daily(spark, d):
+    return M.daily_revenue(fct(spark, d))
+
+
+def q_dim_zones(spark, d):
+    return M.dim_zones(zones(spark, d))
+
+
+def q_volume_by_month(spark, d):
+    return R.volume_by_month(fct(spark, d))
+
+
+def q_zone_all_time(spark, d):
+    return R.zone_all_time(zone_perf(spark, d))
+
+
+def q_run_date_lookup(spark, d):
+    return R.run_date_lookup(daily(spark, d), RUN_DATE)
+
+
+def q_payment_tipping(spark, d):
+    return R.payment_tipping(fct(spark, d))
+
+
+def q_borough_flow(spark, d):
+    return R.borough_flow(fct(spark, d), 15)
+
+
+def q_hour_of_day(spark, d):
+    return R.hour_of_day(event_fact(spark, d))
+
+
+def q_hour_profile(spark, d):
+    return R.hour_profile(fct(spark, d))
+
+
+def q_top_zones_by_revenue(spark, d):
+    return R.top_zones_by_revenue(zone_perf(spark, d), 10)
+
+
+def q_top_zones_month(spark, d):
+    return R.top_zones_by_revenue(zone_perf(spark, d), 10, month=RUN_MONTH)
+
+
+def q_top_zones_by_trips(spark, d):
+    return R.top_zones_by_trips(zone_perf(spark, d), 15)
+
+
+def q_dq_audit(spark, d):
+    return R.dq_audit(raw(spark, d), CFG.trip_year)
+
+
+# ------------------------------------------------------------------ profile
+
+def q_row_range(spark, d):
+    return P.row_range(files(spark, d))
+
+
+def q_rows_per_year(spark, d):
+    return P.rows_per_year(files(spark, d))
+
+
+def q_null_profile(spark, d):
+    return P.null_profile(files(spark, d))
+
+
+def q_numeric_summary(spark, d):
+    return P.numeric_summary(files(spark, d))
+
+
+def q_quantiles(spark, d):
+    return P.quantile_summary(files(spark, d))
+
+
+def q_histogram(spark, d):
+    return P.distance_histogram(files(spark, d), 0.0, 20.0, 40)
+
+
+def q_payment_mix(spark, d):
+    return P.payment_mix(files(spark, d))
+
+
+def q_rate_code_mix(spark, d):
+    return P.rate_code_mix(files(spark, d))
+
+
+def q_value_counts(spark, d):
+    return P.value_counts(files(spark, d))
+
+
+def q_red_flags(spark, d):
+    return P.red_flags(files(spark, d), CFG.trip_year, CFG.max_duration)
+
+
+def q_borough_share(spark, d):
+    return P.borough_share(files(spark, d), zones(spark, d))
+
+
+def q_unknown_geography(spark, d):
+    return P.unknown_geography(files(spark, d), zones(spark, d), UNKNOWN_IDS)
+
+
+def q_trips_by_hour(spark, d):
+    return P.trips_by_hour(event_fact(spark, d), "pickup_datetime")
+
+
+def q_day_of_week(spark, d):
+    return P.day_of_week(event_fact(spark, d), "pickup_datetime")
+
+
+def q_tipping_by_type(spark, d):
+    return P.tipping_by_type(files(spark, d))
+
+
+# ------------------------------------------------------------------ incremental
+
+def batch(spark, d, loaded_at, cond):
+    return X.raw_trips(spark, d, loaded_at).filter(cond)
+
+
+def q_dedupe_latest(spark, d):
+    from meterline.operators.incremental import dedupe_latest
+    r = raw(spark, d).select(
+        "l_orderkey", "l_linenumber",
+        (F.lit(X.BASE_LOADED_AT).cast("timestamp_ntz")
+         + F.make_interval(days=(F.col("l_orderkey") % 3).cast("int"))).alias("_loaded_at"),
+        "fare_amount", "tip_amount", "PULocationID", "tpep_pickup_datetime")
+    return dedupe_latest(r, ["l_orderkey", "l_linenumber"], ["_loaded_at"])
+
+
+def q_incremental_slice(spark, d):
+    from meterline.operators.incremental import new_rows
+    r = raw(spark, d)
+    target = r.filter(F.col("file_month") <= F.lit(SLICE_MONTH).cast("date"))
+    return new_rows(r, target, "tpep_pickup_datetime").select(
+        "l_orderkey", "l_linenumber", "tpep_pickup_datetime")
+
+
+def q_upsert_two_batches(spark, d):
+    from meterline.operators.incremental import upsert_frame
+    b1 = M.stage_trips(batch(spark, d, LOAD_1, F.col("l_linenumber") <= 4))
+    b2 = M.stage_trips(batch(spark, d, LOAD_2, F.col("l_linenumber") >= 3)
+                       .withColumn("tip_amount", F.col("tip_amount") * F.lit(2.0)))
+    return upsert_frame(b1, b2, "trip_id")
+
+
+def _late_month(spark, d, watermark_col):
+    from meterline.operators.incremental import new_rows, upsert_frame
+    z = zones(spark, d)
+    late = F.lit(LATE_MONTH).cast("date")
+    first = M.enrich_trips(M.stage_trips(batch(spark, d, LOAD_1, F.col("file_month") > late)),
+                           z, CFG)
+    second = M.enrich_trips(M.stage_trips(batch(spark, d, LOAD_2, F.col("file_month") == late)),
+                            z, CFG)
+    fct1 = M.fact_trips(first)
+    slice2 = new_rows(second, fct1, watermark_col)
+    return upsert_frame(fct1, M.fact_trips(slice2), "trip_id")
+
+
+def q_late_month_reference(spark, d):
+    return _late_month(spark, d, "pickup_datetime")
+
+
+def q_late_month_safe(spark, d):
+    return _late_month(spark, d, "_loaded_at")
+
+
+def q_schema_sync(spark, d):
+    from meterline.operators.incremental import upsert_frame
+    old = (M.stage_trips(batch(spark, d, LOAD_1, F.col("l_linenumber") <= 4))
+           .drop("tip_amount").withColumn("vendor_note", F.lit("v1")))
+    new = M.stage_trips(batch(spark, d, LOAD_2, F.col("l_linenumber") >= 3))
+    return upsert_frame(old, new, "trip_id")
+
+
+def q_touched_partitions(spark, d):
+    from meterline.operators.joins import touched
+    target = stg(spark, d)
+    b = batch(spark, d, LOAD_2, F.col("file_month").isin(
+        [F.lit(m).cast("date") for m in TOUCH_MONTHS]))
+    return touched(target, b, ["file_month"]).select("trip_id", "file_month")
+
+
+# ------------------------------------------------------------------ checks
+
+def q_check_suite(spark, d):
+    from meterline.operators import checks as C
+    f = fct(spark, d)
+    dim = M.dim_zones(zones(spark, d, partial=True))
+    dly = M.daily_revenue(f)
+    zp = M.zone_performance(f, dim, CFG.high_volume_trips)
+    return C.check_counts(M.fact_checks(f, dim, dly, zp, CFG))
+
+
+def q_freshness_status(spark, d):
+    from meterline.operators import checks as C
+    r = X.raw_trips(spark, d, LOAD_2)
+    return C.freshness(r, "_loaded_at", FRESHNESS_NOW, 36, 72)
+
+
+def q_month_presence(spark, d):
+    from meterline.operators import checks as C
+    return C.source_present(raw(spark, d), "file_month", RUN_DATE)
+
+
+# Fixed parameters of the registered queries.
+RUN_DATE = "1997-03-10"
+RUN_MONTH = "1997-03-01"
+SLICE_MONTH = "1996-12-01"
+LATE_MONTH = "1997-01-01"
+TOUCH_MONTHS = ["1996-05-01", "1997-02-01"]
+UNKNOWN_IDS = (23, 24)
+LOAD_1 = "2024-01-01 00:00:00"
+LOAD_2 = "2024-01-02 00:00:00"
+FRESHNESS_NOW = "2024-01-04 12:00:00"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "idle_gaps": q_idle_gaps,
     "idle_gaps_fact": q_idle_gaps_fact,
@@ -88,4 +414,56 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_trips": q_fact_trips,
     "daily_revenue": q_daily_revenue,
     "zone_month_performance": q_zone_month_performance,
+
+    "duration_boundary": q_duration_boundary,
+    "duration_fractional": q_duration_fractional,
+    "date_parts": q_date_parts,
+    "json_extract": q_json_extract,
+    "label_codes": q_label_codes,
+    "clean_trips": q_clean_trips,
+    "reject_reasons": q_reject_reasons,
+    "year_filter": q_year_filter,
+    "in_filter": q_in_filter,
+    "left_join_dim": q_left_join_dim,
+    "inner_join_dim": q_inner_join_dim,
+    "enrich_two_roles": q_enrich_two_roles,
+    "orphan_keys": q_orphan_keys,
+    "borough_not_null": q_borough_not_null,
+    "dim_zones": q_dim_zones,
+    "volume_by_month": q_volume_by_month,
+    "zone_all_time": q_zone_all_time,
+    "run_date_lookup": q_run_date_lookup,
+    "payment_tipping": q_payment_tipping,
+    "borough_flow": q_borough_flow,
+    "hour_of_day": q_hour_of_day,
+    "hour_profile": q_hour_profile,
+    "top_zones_by_revenue": q_top_zones_by_revenue,
+    "top_zones_month": q_top_zones_month,
+    "top_zones_by_trips": q_top_zones_by_trips,
+    "dq_audit": q_dq_audit,
+    "row_range": q_row_range,
+    "rows_per_year": q_rows_per_year,
+    "null_profile": q_null_profile,
+    "numeric_summary": q_numeric_summary,
+    "quantiles": q_quantiles,
+    "histogram": q_histogram,
+    "payment_mix": q_payment_mix,
+    "rate_code_mix": q_rate_code_mix,
+    "value_counts": q_value_counts,
+    "red_flags": q_red_flags,
+    "borough_share": q_borough_share,
+    "unknown_geography": q_unknown_geography,
+    "trips_by_hour": q_trips_by_hour,
+    "day_of_week": q_day_of_week,
+    "tipping_by_type": q_tipping_by_type,
+    "dedupe_latest": q_dedupe_latest,
+    "incremental_slice": q_incremental_slice,
+    "upsert_two_batches": q_upsert_two_batches,
+    "late_month_reference": q_late_month_reference,
+    "late_month_safe": q_late_month_safe,
+    "schema_sync": q_schema_sync,
+    "touched_partitions": q_touched_partitions,
+    "check_suite": q_check_suite,
+    "freshness_status": q_freshness_status,
+    "month_presence": q_month_presence,
 }

@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterline.functions.exprs import json_extract
+
 # Fixed load time of the base view (a batch literal, deterministic on retry).
 BASE_LOADED_AT = "2024-01-01 00:00:00"
 
@@ -37,6 +39,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def trip_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Just the trip-file columns (the profile's input)."""
+    return trip_file_rows(spark, sf_dir).select(*TRIP_SOURCE_COLUMNS)
+
+
 def trip_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows shaped like a monthly trip file (19-column dictionary subset) plus
     the month the row's file belongs to (``_file_ym``, 'YYYY-MM')."""
@@ -109,7 +116,8 @@ def event_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fact-shaped trips from ``events`` for time-of-day work.
 
     pickup_datetime = ts (sub-second), pickup_location_id = user_id,
-    fare_amount = value, payment label = event_type.
+    fare_amount = value, payment label = event_type, trip_distance = the
+    ``k`` field of the JSON ``props`` column.
     """
     e = table(spark, sf_dir, "events")
     return e.select(
@@ -118,5 +126,6 @@ def event_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").alias("pickup_location_id"),
         F.col("value").alias("fare_amount"),
         F.col("event_type").alias("payment_label"),
+        json_extract(F.col("props"), "$.k", "double").alias("trip_distance"),
         F.col("props"),
     )
