@@ -395,7 +395,63 @@ def q_month_presence(spark, d):
     return C.source_present(raw(spark, d), "file_month", RUN_DATE)
 
 
+# ------------------------------------------------------------------ sources
+
+def _landed_counts(spark, raw_path):
+    r = spark.read.parquet(raw_path)
+    return r.groupBy("source_file", "file_month", "_loaded_at").agg(
+        F.count(F.lit(1)).alias("rows"))
+
+
+def q_file_ingest(spark, d):
+    """Three ledger runs: early months, then all months, then all again."""
+    from meterline.session import scratch_path
+    from meterline.sources.files import ingest_files
+    base = scratch_path(spark, "file-ingest")
+    paths = X.write_month_files(spark, d, f"{base}/landing")
+    early = [p for p in paths if p.rsplit("_", 1)[-1][:7] < INGEST_CUTOFF]
+    for run, (load, ps) in enumerate([(LOAD_1, early), (LOAD_2, paths), (LOAD_3, paths)]):
+        ingest_files(spark, ps, f"{base}/raw", f"{base}/ledger", load)
+    return _landed_counts(spark, f"{base}/raw")
+
+
+def q_stream_ingest(spark, d):
+    """availableNow runs as files arrive: early months, the rest, then nothing new."""
+    from meterline.session import scratch_path
+    from meterline.streaming.ingest import stream_ingest
+    base = scratch_path(spark, "stream-ingest")
+    glob = f"{base}/landing/yellow_tripdata_*.parquet/*.parquet"
+    ckpt = f"{base}/checkpoint"
+    X.write_month_files(spark, d, f"{base}/landing", F.col("_file_ym") < INGEST_CUTOFF)
+    stream_ingest(spark, glob, f"{base}/raw", ckpt, LOAD_1)
+    X.write_month_files(spark, d, f"{base}/landing", F.col("_file_ym") >= INGEST_CUTOFF)
+    stream_ingest(spark, glob, f"{base}/raw", ckpt, LOAD_2)
+    stream_ingest(spark, glob, f"{base}/raw", ckpt, LOAD_3)
+    return _landed_counts(spark, f"{base}/raw")
+
+
+def q_csv_dimension(spark, d):
+    from meterline.session import scratch_path
+    from meterline.sources.files import read_zone_csv
+    path = scratch_path(spark, "zones-csv")
+    X.zone_seed(spark, d).write.option("header", True).mode("overwrite").csv(path)
+    return M.stage_zones(read_zone_csv(spark, path))
+
+
+def q_historical_clean(spark, d):
+    from meterline.plans.historical import process_historical
+    from meterline.session import scratch_path
+    base = scratch_path(spark, "historical")
+    X.write_month_files(spark, d, f"{base}/landing")
+    out = f"{base}/clean"
+    process_historical(spark, f"{base}/landing/yellow_tripdata_{CFG.trip_year}-*.parquet", out,
+                       CFG.trip_year, CFG.min_duration, CFG.max_duration)
+    return spark.read.parquet(out)
+
+
 # Fixed parameters of the registered queries.
+INGEST_CUTOFF = "1998-01"
+LOAD_3 = "2024-01-03 00:00:00"
 RUN_DATE = "1997-03-10"
 RUN_MONTH = "1997-03-01"
 SLICE_MONTH = "1996-12-01"
@@ -466,4 +522,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "check_suite": q_check_suite,
     "freshness_status": q_freshness_status,
     "month_presence": q_month_presence,
+    "file_ingest": q_file_ingest,
+    "stream_ingest": q_stream_ingest,
+    "csv_dimension": q_csv_dimension,
+    "historical_clean": q_historical_clean,
 }

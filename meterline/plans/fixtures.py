@@ -129,3 +129,33 @@ def event_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
         json_extract(F.col("props"), "$.k", "double").alias("trip_distance"),
         F.col("props"),
     )
+
+
+def write_month_files(spark: SparkSession, sf_dir: str, base_dir: str,
+                      where=None) -> list[str]:
+    """Write the trip-file rows as monthly files ``yellow_tripdata_YYYY-MM.parquet``
+    under ``base_dir`` (each a Parquet folder); returns the written paths.
+
+    One partitioned write (no per-month jobs), then each ``_file_ym=...``
+    folder is renamed to the monthly file name: a metadata operation.
+    """
+    rows = trip_file_rows(spark, sf_dir)
+    if where is not None:
+        rows = rows.filter(where)
+    stage = f"{base_dir.rstrip('/')}/_stage"
+    rows.select(*TRIP_SOURCE_COLUMNS, "_file_ym").write.mode("overwrite") \
+        .partitionBy("_file_ym").parquet(stage)
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    stage_path = jvm.org.apache.hadoop.fs.Path(stage)
+    fs = stage_path.getFileSystem(conf)
+    out = []
+    for st in fs.listStatus(stage_path):
+        name = st.getPath().getName()
+        if not name.startswith("_file_ym="):
+            continue
+        ym = name.split("=", 1)[1]
+        dst = f"{base_dir.rstrip('/')}/yellow_tripdata_{ym}.parquet"
+        fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(dst))
+        out.append(dst)
+    return sorted(out)

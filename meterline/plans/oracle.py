@@ -656,3 +656,35 @@ FROM m""",
 SELECT DATE '{RUN_MONTH}' AS month, CAST(count(*) AS BIGINT) AS rows, count(*) > 0 AS present
 FROM raw WHERE file_month = DATE '{RUN_MONTH}'""",
 })
+
+
+INGESTED = f"""
+SELECT 'yellow_tripdata_' || strftime(o.o_orderdate, '%Y-%m') || '.parquet' AS source_file,
+       CAST(date_trunc('month', o.o_orderdate) AS DATE) AS file_month,
+       CASE WHEN strftime(o.o_orderdate, '%Y-%m') < '1998-01' THEN {LOAD_1} ELSE {LOAD_2} END
+         AS _loaded_at,
+       CAST(count(*) AS BIGINT) AS rows
+FROM lineitem l
+JOIN orders o ON l.l_orderkey = o.o_orderkey
+JOIN customer c ON o.o_custkey = c.c_custkey
+JOIN supplier s ON l.l_suppkey = s.s_suppkey
+JOIN part p ON l.l_partkey = p.p_partkey
+GROUP BY 1, 2, 3"""
+
+ORACLE.update({
+    "file_ingest": INGESTED,
+    "stream_ingest": INGESTED,
+    "csv_dimension": w(ZONES) + " SELECT * FROM zones",
+    "historical_clean": w(FILES) + f"""
+, d AS (
+  SELECT *, CAST(date_diff('second', date_trunc('second', tpep_pickup_datetime),
+                           date_trunc('second', tpep_dropoff_datetime)) AS DOUBLE)
+              / 60.0::DOUBLE AS trip_duration_minutes
+  FROM files)
+SELECT *, CAST(year(tpep_pickup_datetime) AS INTEGER) AS pickup_year,
+       CAST(month(tpep_pickup_datetime) AS INTEGER) AS pickup_month
+FROM d
+WHERE trip_distance > 0 AND fare_amount > 0 AND passenger_count > 0
+  AND trip_duration_minutes >= {float(MIN_DUR)} AND trip_duration_minutes <= {float(MAX_DUR)}
+  AND year(tpep_pickup_datetime) = {YEAR}""",
+})
