@@ -22,7 +22,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterline.session import scratch_path
 
 DEFAULT_FLOOR = "1900-01-01 00:00:00"
 
@@ -95,11 +94,14 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str]
 
     Precondition: the key determines the partition (rows sharing a key share
     partition values), so only the partitions the batch touches change. Those
-    partitions are read (pruned by a literal IN list), the batch keys are
-    anti-joined out, the batch is appended, and the result is staged in the
-    shared checkpoint folder (cutting lineage to the table being replaced)
-    before a dynamic partition overwrite swaps the touched partitions in.
-    A rerun of the same batch produces the same table.
+    partitions are read (pruned by a literal list of the batch's partition
+    values), the batch keys are anti-joined out, the batch is appended, and a
+    dynamic partition overwrite replaces exactly those partitions.
+
+    Writing over the partitions being read is safe here: the overwrite stages
+    its output and swaps partitions only at job commit, so a task retried
+    after a lost executor still reads the old files. A rerun of the same batch
+    produces the same table.
     """
     key = [key] if isinstance(key, str) else list(key)
     if full_refresh or not _exists(spark, path):
@@ -117,13 +119,9 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str]
         for c, v in zip(partition_cols, vals):
             conj = conj & (F.col(c).isNull() if v is None else (F.col(c) == F.lit(v)))
         pred = pred | conj
-    touched = target.filter(pred)
-    merged = upsert_frame(touched, batch, key)
-    stage = scratch_path(spark, "upsert-stage")
-    merged.write.mode("overwrite").partitionBy(*partition_cols).parquet(stage)
-    (spark.read.parquet(stage).write.mode("overwrite")
-          .option("partitionOverwriteMode", "dynamic")
-          .partitionBy(*partition_cols).parquet(path))
+    merged = upsert_frame(target.filter(pred), batch, key)
+    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy(*partition_cols).parquet(path))
 
 
 def sync_columns(target: DataFrame, batch: DataFrame) -> tuple[DataFrame, DataFrame]:

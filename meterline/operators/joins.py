@@ -18,10 +18,24 @@ from pyspark.sql import functions as F
 DIM_BROADCAST_MAX_ROWS = 100_000
 
 
+# Verdicts of the size check, per session and dimension plan (semantic hash
+# of the analysed plan, which includes the source paths).
+_VERDICTS: dict[tuple, bool] = {}
+
+
 def bounded(dim: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(dim)`` if it has at most ``max_rows`` rows, else ``dim``."""
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    """``broadcast(dim)`` if it has at most ``max_rows`` rows, else ``dim``.
+
+    The check reads at most ``max_rows + 1`` rows; its verdict is remembered
+    for the same dimension plan within the session, so repeated lookups of
+    one dimension pay for it once.
+    """
+    key = (id(dim.sparkSession), dim.semanticHash(), max_rows)
+    ok = _VERDICTS.get(key)
+    if ok is None:
+        ok = dim.limit(max_rows + 1).count() <= max_rows
+        _VERDICTS[key] = ok
+    return F.broadcast(dim) if ok else dim
 
 
 def lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,

@@ -66,30 +66,131 @@ def numeric_summary(df: DataFrame, cols: Sequence[str], avg_digits: int = 2) ->
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-              accuracy: int | None = None) -> DataFrame:
+              accuracy: int | None = None, exact_accuracy: int = 100_000) -> DataFrame:
     """Interpolated quantiles per column as (column_name, prob, value).
 
-    Exact by default (``percentile``, linear interpolation between ranks,
-    i.e. SQL ``quantile_cont``): its partial buffers hold value -> count, so
-    memory follows the number of distinct values, not rows. Pass
-    ``accuracy`` to use the bounded-memory ``percentile_approx`` sketch.
+    ``accuracy`` given: the bounded-memory ``percentile_approx`` sketch.
+    Otherwise exact (SQL ``quantile_cont``: the value at fractional rank
+    h = (n - 1) * p, interpolated as lo + (hi - lo) * (h - floor(h))), without
+    ever holding a column's values in one task:
+
+    1. one pass: n and a sketch bracket [q_a, q_b] around each target rank
+       (the sketch's rank error is at most n / ``exact_accuracy``);
+    2. one pass: each row contributes to a target either as "below the
+       bracket" (collapsed to one count per task by partial aggregation) or
+       as a bracket value; a per-target running count over the few bracket
+       values finds the rows at ranks floor(h) and ceil(h).
+    A bracket that misses its rank (never expected) is widened to the whole
+    column and resolved again, so the result is always exact.
     """
-    arr = F.array(*[F.lit(float(p)) for p in probs])
-    aggs = []
-    for c in cols:
-        v = F.col(c).cast("double")
-        q = (F.percentile_approx(v, arr, accuracy) if accuracy
-             else F.percentile(v, arr))
-        aggs.append(q.alias(c))
-    wide = df.agg(*aggs)
-    rows = wide.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).alias("q")) for c in cols
-    ])).alias("s"))
-    return (rows.select("s.column_name", F.posexplode("s.q").alias("i", "value"))
-                .select("column_name",
-                        F.element_at(F.array(*[F.lit(float(p)) for p in probs]),
-                                     F.col("i") + 1).alias("prob"),
-                        F.col("value").cast("double").alias("value")))
+    probs = [float(p) for p in probs]
+    if accuracy:
+        arr = F.array(*[F.lit(p) for p in probs])
+        wide = df.agg(*[F.percentile_approx(F.col(c).cast("double"), arr, accuracy).alias(c)
+                        for c in cols])
+        rows = wide.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("column_name"), F.col(c).alias("q")) for c in cols
+        ])).alias("s"))
+        return (rows.select("s.column_name", F.posexplode("s.q").alias("i", "value"))
+                    .select("column_name",
+                            F.element_at(arr, F.col("i") + 1).alias("prob"),
+                            F.col("value").cast("double").alias("value")))
+    return _exact_quantiles(df, list(cols), probs, exact_accuracy)
+
+
+def _exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
+                     accuracy: int) -> DataFrame:
+    import math
+    spark = df.sparkSession
+    eps = 3.0 / accuracy
+    edges = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-eps, eps)})
+    arr = F.array(*[F.lit(e) for e in edges])
+    first = df.agg(*[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(cols)],
+                   *[F.percentile_approx(F.col(c).cast("double"), arr, accuracy).alias(f"q{i}")
+                     for i, c in enumerate(cols)]).first()
+    targets = []          # (tid, column, prob, r_lo, r_hi, d, qa, qb)
+    for i, c in enumerate(cols):
+        n = first[f"n{i}"]
+        qs = dict(zip(edges, first[f"q{i}"] or []))
+        for p in probs:
+            if n == 0:
+                targets.append((len(targets), c, p, None, None, None, None, None))
+                continue
+            h = (n - 1) * p
+            lo = math.floor(h)
+            targets.append((len(targets), c, p, lo, math.ceil(h), h - lo,
+                            qs.get(min(1.0, max(0.0, p - eps))),
+                            qs.get(min(1.0, max(0.0, p + eps)))))
+    found = _resolve(df, targets)
+    missing = [t for t in targets if t[3] is not None and t[0] not in found]
+    if missing:   # widen to the whole column
+        found.update(_resolve(df, [t[:6] + (None, None) for t in missing]))
+    out = []
+    for tid, c, p, lo, hi, d, _, _ in targets:
+        if lo is None:
+            out.append((c, p, None))
+            continue
+        x_lo, x_hi = found[tid]
+        out.append((c, p, x_lo if x_lo == x_hi else x_lo + (x_hi - x_lo) * d))
+    return spark.createDataFrame(out, "column_name string, prob double, value double")
+
+
+def _resolve(df: DataFrame, targets) -> dict:
+    """Values at ranks r_lo / r_hi per target.
+
+    Two passes: per-target counts below each bracket (plain ``count_if``
+    aggregates), then the distinct bracket values with their counts, ranked
+    per target by a running sum over those few rows.
+    """
+    from pyspark.sql import Window
+    live = [t for t in targets if t[3] is not None]
+    if not live:
+        return {}
+    spark = df.sparkSession
+    below = df.agg(*[
+        (F.count_if(F.col(c).cast("double") < F.lit(qa)) if qa is not None else F.lit(0))
+        .alias(f"b{tid}") for tid, c, _, _, _, _, qa, _ in live]).first()
+    cols = sorted({t[1] for t in live})
+    cidx = {c: i for i, c in enumerate(cols)}
+
+    def in_bracket(v, c):
+        pred = F.lit(False)
+        for tid, tc, _, _, _, _, qa, qb in live:
+            if tc == c:
+                lo = v >= F.lit(qa) if qa is not None else F.lit(True)
+                hi = v <= F.lit(qb) if qb is not None else F.lit(True)
+                pred = pred | (lo & hi)
+        return v.isNotNull() & pred
+
+    pairs = df.select(F.explode(F.array(*[
+        F.struct(F.lit(cidx[c]).alias("ci"), F.col(c).cast("double").alias("v")) for c in cols
+    ])).alias("e")).select("e.*")
+    conds = [(F.col("ci") == cidx[c]) & in_bracket(F.col("v"), c) for c in cols]
+    keep = conds[0]
+    for c in conds[1:]:
+        keep = keep | c
+    vals = pairs.filter(keep).groupBy("ci", "v").agg(F.count(F.lit(1)).alias("k"))
+    tgt = spark.createDataFrame(
+        [(tid, cidx[c], r_lo, r_hi, qa, qb, int(below[f"b{tid}"]))
+         for tid, c, _, r_lo, r_hi, _, qa, qb in live],
+        "t int, ci int, r_lo bigint, r_hi bigint, qa double, qb double, below bigint")
+    j = vals.join(F.broadcast(tgt), "ci").filter(
+        (F.col("qa").isNull() | (F.col("v") >= F.col("qa")))
+        & (F.col("qb").isNull() | (F.col("v") <= F.col("qb"))))
+    w = (Window.partitionBy("t").orderBy(F.col("v").asc())
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = (j.withColumn("cum", F.col("below") + F.sum("k").over(w))
+               .withColumn("before", F.col("cum") - F.col("k")))
+    hits = ranked.filter(((F.col("before") <= F.col("r_lo")) & (F.col("r_lo") < F.col("cum")))
+                         | ((F.col("before") <= F.col("r_hi")) & (F.col("r_hi") < F.col("cum"))))
+    got: dict = {}
+    for r in hits.select("t", "v", "before", "cum", "r_lo", "r_hi").collect():
+        cur = got.setdefault(r.t, [None, None])
+        if r.before <= r.r_lo < r.cum:
+            cur[0] = r.v
+        if r.before <= r.r_hi < r.cum:
+            cur[1] = r.v
+    return {t: tuple(v) for t, v in got.items() if None not in v}
 
 
 def histogram(df: DataFrame, col: str, lo: float, hi: float, bins: int) -> DataFrame:

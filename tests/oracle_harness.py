@@ -56,7 +56,7 @@ def compare(spark, name: str, sf_dir: str, con=None) -> dict:
     if sql is None:
         res["status"] = "no-oracle"
         return res
-    ot = con.execute(sql).to_arrow_table()
+    ot = con.sql(sql).to_arrow_table()
     res["oracle_rows"] = ot.num_rows
     scols, srows = rows_of(st)
     ocols, orows = rows_of(ot)
