@@ -71,14 +71,25 @@ def enrich(fact: DataFrame, dim: DataFrame, dim_key: str,
     return out
 
 
-def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
-    """Child rows whose non-NULL foreign key has no parent row."""
+def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str,
+            max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
+    """Child rows whose non-NULL foreign key has no parent row.
+
+    A parent with a proven small key set is broadcast, so the child (the fact)
+    is never shuffled and a hot key costs nothing extra; a large parent falls
+    back to a shuffle anti-join, where AQE splits skewed child partitions.
+    """
     keys = parent.select(F.col(pk).alias("__pk")).distinct()
     return (child.filter(F.col(fk).isNotNull())
-                 .join(keys, F.col(fk) == F.col("__pk"), "left_anti"))
+                 .join(bounded(keys, max_rows), F.col(fk) == F.col("__pk"), "left_anti"))
 
 
-def touched(target: DataFrame, batch: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
-    """Target rows in the partitions the batch touches (J6, left semi join)."""
+def touched(target: DataFrame, batch: DataFrame, partition_cols: Sequence[str],
+            max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
+    """Target rows in the partitions the batch touches (J6, left semi join).
+
+    The batch's distinct partition values are few (one per month), so they
+    are broadcast after the size check and the target is not shuffled.
+    """
     parts = batch.select(*partition_cols).distinct()
-    return target.join(parts, list(partition_cols), "left_semi")
+    return target.join(bounded(parts, max_rows), list(partition_cols), "left_semi")

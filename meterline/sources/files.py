@@ -73,7 +73,7 @@ def file_name_of(path_col) -> F.Column:
     elems = F.split(path_col, "/")
     named = F.filter(elems, lambda e: e.rlike(MONTH_IN_NAME) & e.endswith(".parquet")
                      & ~e.startswith("part-"))
-    return F.coalesce(F.element_at(named, -1), F.element_at(elems, -1))
+    return F.coalesce(F.try_element_at(named, F.lit(-1)), F.try_element_at(elems, F.lit(-1)))
 
 
 def read_trip_files(spark: SparkSession, paths: Sequence[str] | str,

@@ -11,6 +11,8 @@ instead of appending a second copy.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,9 +26,13 @@ def stream_ingest(spark: SparkSession, source_glob: str, raw_path: str, checkpoi
                   on_batch=None) -> None:
     """Land all not-yet-seen files matching ``source_glob`` into ``raw_path``.
 
-    ``on_batch(landed_df, batch_id)`` may add work per batch (e.g. an upsert
-    into a downstream table); it runs after the raw write of that batch.
+    Micro-batch ``b`` of this run is stamped ``loaded_at + b microseconds``:
+    every batch is a separate load with its own, later ``_loaded_at`` (so a
+    strict high-water mark downstream admits each one), and a replayed batch
+    gets the same stamp again. ``on_batch(landed_df, batch_id)`` may add work
+    per batch (e.g. the incremental models); it runs after the raw write.
     """
+    base = _dt.datetime.fromisoformat(loaded_at)
     reader = spark.readStream.schema(TRIP_FILE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -34,7 +40,8 @@ def stream_ingest(spark: SparkSession, source_glob: str, raw_path: str, checkpoi
         "source_file", file_name_of(F.col("_metadata.file_path")))
 
     def write_batch(df: DataFrame, batch_id: int) -> None:
-        landed = land_columns(df, loaded_at).withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
+        stamp = (base + _dt.timedelta(microseconds=batch_id)).isoformat(sep=" ")
+        landed = land_columns(df, stamp).withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
         (landed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                .partitionBy(BATCH_COL).parquet(raw_path))
         if on_batch is not None:
@@ -46,3 +53,22 @@ def stream_ingest(spark: SparkSession, source_glob: str, raw_path: str, checkpoi
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
+
+
+def stream_trips(spark: SparkSession, source_glob: str, raw_path: str, checkpoint: str,
+                 loaded_at: str, seed: DataFrame, tables, cfg,
+                 max_files_per_trigger: int | None = None) -> None:
+    """Files -> raw -> incremental intermediate and fact -> marts, per micro-batch.
+
+    The exactly-once file pick-up (S7) feeding the delete+insert models (I2)
+    in ``foreachBatch``; replaying a batch is safe because the upserts are
+    idempotent by key.
+    """
+    from meterline.plans.models import run_pipeline
+
+    def models(landed: DataFrame, batch_id: int) -> None:
+        run_pipeline(spark, landed.drop(BATCH_COL), seed, tables, cfg,
+                     ("staging", "intermediate", "marts"))
+
+    stream_ingest(spark, source_glob, raw_path, checkpoint, loaded_at,
+                  max_files_per_trigger, on_batch=models)
