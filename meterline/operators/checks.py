@@ -71,17 +71,56 @@ def source_present(df: DataFrame, month_col: str, ds: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Check:
+    """A check whose failing rows are ``failing`` (any DataFrame)."""
     name: str
     column: str
     failing: DataFrame
 
 
-def check_counts(checks: Sequence[Check]) -> DataFrame:
-    """(check, column_name, failures, status) for all checks, one job."""
-    parts = [c.failing.agg(F.count(F.lit(1)).alias("failures"))
-             .select(F.lit(c.name).alias("check"), F.lit(c.column).alias("column_name"),
-                     "failures")
-             for c in checks]
+@dataclass(frozen=True)
+class RowChecks:
+    """Row-level checks of one table, evaluated together in ONE scan.
+
+    ``rules`` maps (check name, column label) -> predicate that is true on a
+    failing row (e.g. ``col.isNull()``); the table is read once however many
+    rules it has, instead of once per check.
+    """
+    table: DataFrame
+    rules: dict
+
+    def counts(self) -> DataFrame:
+        items = list(self.rules.items())
+        agg = self.table.agg(*[F.count_if(F.coalesce(p, F.lit(False))).alias(f"c{i}")
+                               for i, (_, p) in enumerate(items)])
+        rows = F.array(*[F.struct(F.lit(n).alias("check"), F.lit(c).alias("column_name"),
+                                  F.col(f"c{i}").alias("failures"))
+                         for i, ((n, c), _) in enumerate(items)])
+        return agg.select(F.explode(rows).alias("r")).select("r.*")
+
+
+def null_rule(col: str) -> Column:
+    return F.col(col).isNull()
+
+
+def range_rule(col: str, lo, hi) -> Column:
+    """Failing predicate of ``value_within_range`` (NULL passes)."""
+    return (F.col(col) < F.lit(lo)) | (F.col(col) > F.lit(hi))
+
+
+def check_counts(checks: Sequence) -> DataFrame:
+    """(check, column_name, failures, status) for all checks, one job.
+
+    ``checks`` mixes ``Check`` (own failing-row plan) and ``RowChecks``
+    (many rules, one scan of their table).
+    """
+    parts = []
+    for c in checks:
+        if isinstance(c, RowChecks):
+            parts.append(c.counts())
+        else:
+            parts.append(c.failing.agg(F.count(F.lit(1)).alias("failures"))
+                         .select(F.lit(c.name).alias("check"),
+                                 F.lit(c.column).alias("column_name"), "failures"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

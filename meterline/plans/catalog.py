@@ -449,7 +449,55 @@ def q_historical_clean(spark, d):
     return spark.read.parquet(out)
 
 
+def _safe_cfg():
+    import dataclasses
+    return dataclasses.replace(CFG, fact_watermark_col="_loaded_at")
+
+
+def q_layered_run(spark, d):
+    """M9 on disk: all months but one, then the late month; the zone mart."""
+    from meterline.session import scratch_path
+    tables = M.Tables(scratch_path(spark, "layered"))
+    seed = X.zone_seed(spark, d)
+    late = F.lit(LATE_MONTH).cast("date")
+    layers = ("staging", "intermediate", "marts")
+    M.run_pipeline(spark, batch(spark, d, LOAD_1, F.col("file_month") != late), seed, tables,
+                   _safe_cfg(), layers)
+    M.run_pipeline(spark, batch(spark, d, LOAD_2, F.col("file_month") == late), seed, tables,
+                   _safe_cfg(), layers)
+    return spark.read.parquet(tables.zone_perf)
+
+
+def q_backfill_month(spark, d):
+    """I8: the run date's monthly file through the models into fresh tables."""
+    from meterline.plans.runs import backfill
+    from meterline.session import scratch_path
+    base = scratch_path(spark, "backfill")
+    X.write_month_files(spark, d, f"{base}/landing")
+    tables = M.Tables(f"{base}/tables")
+    backfill(spark, f"{base}/landing", RUN_DATE, X.zone_seed(spark, d), tables, CFG, LOAD_1)
+    return spark.read.parquet(tables.fct).select(*M.ENRICHED_COLUMNS)
+
+
+def q_stream_models(spark, d):
+    """S7 -> I2 in foreachBatch: two availableNow runs as files arrive."""
+    from meterline.session import scratch_path
+    from meterline.streaming.ingest import stream_trips
+    base = scratch_path(spark, "stream-models")
+    glob = f"{base}/landing/yellow_tripdata_*.parquet/*.parquet"
+    tables = M.Tables(f"{base}/tables")
+    seed = X.zone_seed(spark, d)
+    for load, cond in [(LOAD_1, F.col("_file_ym") >= STREAM_SPLIT),
+                       (LOAD_2, F.col("_file_ym") < STREAM_SPLIT)]:
+        X.write_month_files(spark, d, f"{base}/landing", cond)
+        stream_trips(spark, glob, f"{base}/raw", f"{base}/checkpoint", load, seed, tables,
+                     _safe_cfg())
+    return spark.read.parquet(tables.fct).select(
+        *[c for c in M.ENRICHED_COLUMNS if c != "_loaded_at"])
+
+
 # Fixed parameters of the registered queries.
+STREAM_SPLIT = "1997-06"
 INGEST_CUTOFF = "1998-01"
 LOAD_3 = "2024-01-03 00:00:00"
 RUN_DATE = "1997-03-10"
@@ -526,4 +574,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_ingest": q_stream_ingest,
     "csv_dimension": q_csv_dimension,
     "historical_clean": q_historical_clean,
+    "layered_run": q_layered_run,
+    "backfill_month": q_backfill_month,
+    "stream_models": q_stream_models,
 }

@@ -238,28 +238,34 @@ def model_checks(spark: SparkSession, tables: Tables, cfg: PipelineConfig) -> Da
 
 
 def fact_checks(fct: DataFrame, dim: DataFrame, daily: DataFrame, zp: DataFrame,
-                cfg: PipelineConfig) -> list[C.Check]:
+                cfg: PipelineConfig) -> list:
+    """The model tests. Row-level rules of a table share one scan (RowChecks);
+    uniqueness is a grouped count; the relationship is a broadcast anti-join
+    against the (size-checked) dimension keys."""
     return [
-        C.Check("not_null", "fct_trips.trip_id", C.not_null(fct, "trip_id")),
+        C.RowChecks(fct, {
+            ("not_null", "fct_trips.trip_id"): C.null_rule("trip_id"),
+            ("not_null", "fct_trips.pickup_location_id"): C.null_rule("pickup_location_id"),
+            ("value_within_range", "fct_trips.trip_duration_minutes"):
+                C.range_rule("trip_duration_minutes", cfg.min_duration, cfg.max_duration),
+            ("not_null", "fct_trips.fare_amount"): C.null_rule("fare_amount"),
+            ("expression_holds", "fct_trips.total_amount>=fare_amount"):
+                F.col("total_amount") < F.col("fare_amount"),
+        }),
         C.Check("unique", "fct_trips.trip_id", C.unique(fct, "trip_id")),
-        C.Check("not_null", "fct_trips.pickup_location_id", C.not_null(fct, "pickup_location_id")),
         C.Check("relationships", "fct_trips.pickup_location_id",
                 C.relationships(fct, "pickup_location_id", dim, "location_id")),
-        C.Check("value_within_range", "fct_trips.trip_duration_minutes",
-                C.value_within_range(fct, "trip_duration_minutes",
-                                     cfg.min_duration, cfg.max_duration)),
-        C.Check("not_null", "fct_trips.fare_amount", C.not_null(fct, "fare_amount")),
-        C.Check("not_null", "dim_zones.location_id", C.not_null(dim, "location_id")),
+        C.RowChecks(dim, {("not_null", "dim_zones.location_id"): C.null_rule("location_id")}),
         C.Check("unique", "dim_zones.location_id", C.unique(dim, "location_id")),
-        C.Check("not_null", "agg_daily_revenue.revenue_date", C.not_null(daily, "revenue_date")),
+        C.RowChecks(daily, {("not_null", "agg_daily_revenue.revenue_date"):
+                            C.null_rule("revenue_date")}),
         C.Check("unique", "agg_daily_revenue.revenue_date", C.unique(daily, "revenue_date")),
-        C.Check("not_null", "agg_zone_performance.zone_month_key",
-                C.not_null(zp, "zone_month_key")),
+        C.RowChecks(zp, {
+            ("not_null", "agg_zone_performance.zone_month_key"): C.null_rule("zone_month_key"),
+            ("not_null", "agg_zone_performance.file_month"): C.null_rule("file_month"),
+            ("not_null", "agg_zone_performance.pickup_location_id"):
+                C.null_rule("pickup_location_id"),
+        }),
         C.Check("unique", "agg_zone_performance.zone_month_key",
                 C.unique(zp, "zone_month_key")),
-        C.Check("not_null", "agg_zone_performance.file_month", C.not_null(zp, "file_month")),
-        C.Check("not_null", "agg_zone_performance.pickup_location_id",
-                C.not_null(zp, "pickup_location_id")),
-        C.Check("expression_holds", "fct_trips.total_amount>=fare_amount",
-                C.expression_holds(fct, F.col("total_amount") < F.col("fare_amount"))),
     ]

@@ -688,3 +688,10 @@ WHERE trip_distance > 0 AND fare_amount > 0 AND passenger_count > 0
   AND trip_duration_minutes >= {float(MIN_DUR)} AND trip_duration_minutes <= {float(MAX_DUR)}
   AND year(tpep_pickup_datetime) = {YEAR}""",
 })
+
+
+ORACLE.update({
+    "layered_run": w(*FACT_CHAIN, ZONE_PERF) + " SELECT * FROM zone_perf",
+    "backfill_month": w(*FACT_CHAIN) + f" SELECT * FROM fct WHERE file_month = DATE '{RUN_MONTH}'",
+    "stream_models": w(*FACT_CHAIN) + " SELECT * EXCLUDE (_loaded_at) FROM fct",
+})
