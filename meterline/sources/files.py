@@ -64,16 +64,21 @@ def month_paths(base_dir: str, months: Iterable[str]) -> list[str]:
     return [f"{base_dir.rstrip('/')}/{FILE_PATTERN.format(month=m)}" for m in months]
 
 
+# Last path element carrying a YYYY-MM month and ending in .parquet, skipping
+# Spark part files (their UUIDs can contain digit runs).
+_MONTH_FILE_RE = r".*/((?!part-)[^/]*[0-9]{4}-[0-9]{2}[^/]*\.parquet)(?:/[^/]*)?$"
+
+
 def file_name_of(path_col) -> F.Column:
     """The monthly file name from a full file path.
 
     When a 'file' is itself a Spark output directory the last path element is
-    a part file, so take the path element that carries the month pattern.
+    a part file, so take the path element that carries the month pattern;
+    otherwise the last element. One codegen'd regex per row.
     """
-    elems = F.split(path_col, "/")
-    named = F.filter(elems, lambda e: e.rlike(MONTH_IN_NAME) & e.endswith(".parquet")
-                     & ~e.startswith("part-"))
-    return F.coalesce(F.try_element_at(named, F.lit(-1)), F.try_element_at(elems, F.lit(-1)))
+    named = F.regexp_extract(path_col, _MONTH_FILE_RE, 1)
+    last = F.regexp_extract(path_col, r"[^/]*$", 0)
+    return F.when(named != "", named).otherwise(last)
 
 
 def read_trip_files(spark: SparkSession, paths: Sequence[str] | str,
