@@ -26,10 +26,13 @@ def stream_ingest(spark: SparkSession, source_glob: str, raw_path: str, checkpoi
                   on_batch=None) -> None:
     """Land all not-yet-seen files matching ``source_glob`` into ``raw_path``.
 
-    Micro-batch ``b`` of this run is stamped ``loaded_at + b microseconds``:
-    every batch is a separate load with its own, later ``_loaded_at`` (so a
-    strict high-water mark downstream admits each one), and a replayed batch
-    gets the same stamp again. ``on_batch(landed_df, batch_id)`` may add work
+    The ``i``-th micro-batch of this run is stamped ``loaded_at + i
+    microseconds`` (the first one carries ``loaded_at`` itself): every batch
+    is a separate load with its own, later ``_loaded_at`` (so a strict
+    high-water mark downstream admits each one). Batch ids continue across
+    runs through the checkpoint, so the offset counts from the first batch
+    id this run sees; a rerun with the same ``loaded_at`` that replays an
+    uncommitted batch stamps it as that rerun's first load. ``on_batch(landed_df, batch_id)`` may add work
     per batch (e.g. the incremental models); it runs after the raw write.
     """
     base = _dt.datetime.fromisoformat(loaded_at)
@@ -39,8 +42,13 @@ def stream_ingest(spark: SparkSession, source_glob: str, raw_path: str, checkpoi
     stream = reader.parquet(source_glob).withColumn(
         "source_file", file_name_of(F.col("_metadata.file_path")))
 
+    first_batch: list[int] = []
+
     def write_batch(df: DataFrame, batch_id: int) -> None:
-        stamp = (base + _dt.timedelta(microseconds=batch_id)).isoformat(sep=" ")
+        if not first_batch:
+            first_batch.append(batch_id)
+        offset = batch_id - first_batch[0]
+        stamp = (base + _dt.timedelta(microseconds=offset)).isoformat(sep=" ")
         landed = land_columns(df, stamp).withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
         (landed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                .partitionBy(BATCH_COL).parquet(raw_path))
