@@ -65,23 +65,35 @@ def numeric_summary(df: DataFrame, cols: Sequence[str], avg_digits: int = 2) ->
     return stacked.select("s.*")
 
 
+# Most rows the final, exact ranking step sorts in one task per bracket.
+EXACT_BRACKET_MAX_ROWS = 100_000
+
+
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-              accuracy: int | None = None, exact_accuracy: int = 100_000) -> DataFrame:
+              accuracy: int | None = None, exact_accuracy: int = 10_000,
+              max_bracket_rows: int = EXACT_BRACKET_MAX_ROWS) -> DataFrame:
     """Interpolated quantiles per column as (column_name, prob, value).
 
     ``accuracy`` given: the bounded-memory ``percentile_approx`` sketch.
     Otherwise exact (SQL ``quantile_cont``: the value at fractional rank
-    h = (n - 1) * p, interpolated as lo + (hi - lo) * (h - floor(h))), without
-    ever holding a column's values in one task:
-
-    1. one pass: n and a sketch bracket [q_a, q_b] around each target rank
-       (the sketch's rank error is at most n / ``exact_accuracy``);
-    2. one pass: each row contributes to a target either as "below the
-       bracket" (collapsed to one count per task by partial aggregation) or
-       as a bracket value; a per-target running count over the few bracket
-       values finds the rows at ranks floor(h) and ceil(h).
-    A bracket that misses its rank (never expected) is widened to the whole
-    column and resolved again, so the result is always exact.
+    h = (n - 1) * p, interpolated as lo + (hi - lo) * (h - floor(h))), and no
+    task ever sorts more than ``max_bracket_rows`` values:
+
+    * each needed rank (floor(h), ceil(h)) owns a value interval that is known
+      to contain it, with the exact count of rows below and inside it;
+    * while an interval holds more than ``max_bracket_rows`` rows, one pass
+      sketches the rows inside it (``percentile_approx``, rank error at most
+      1 / ``exact_accuracy`` of them) around the rank, and a second pass
+      counts (partial aggregates only) the rows below the sketch's bracket,
+      inside it and on its two ends; a rank on an end is resolved at once,
+      otherwise its interval becomes the open gap between the ends or the
+      side the counts show it is on. Each round shrinks the interval by a
+      factor of about ``exact_accuracy`` / 6 (10^12 rows need two rounds) and
+      the result never depends on the sketch being right;
+    * finally the distinct values of each small interval are counted,
+      shuffled by interval and ranked by a running sum.
+    The first pass also counts each column, so data below the bound costs two
+    passes in all.
     """
     probs = [float(p) for p in probs]
     if accuracy:
@@ -95,102 +107,155 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     .select("column_name",
                             F.element_at(arr, F.col("i") + 1).alias("prob"),
                             F.col("value").cast("double").alias("value")))
-    return _exact_quantiles(df, list(cols), probs, exact_accuracy)
+    return _exact_quantiles(df, list(cols), probs, exact_accuracy, max_bracket_rows)
+
+
+class _Rank:
+    """One wanted rank of one column and the value interval known to hold it.
+
+    Bounds are (value, open) pairs or None for unbounded; ``below`` counts
+    the column's values under the interval, ``size`` the values inside it.
+    ``q`` is the quantile the rank serves: the two ranks of one quantile move
+    together while they share an interval.
+    """
+
+    def __init__(self, col: str, rank: int, size: int, q: int):
+        self.col, self.rank, self.size, self.below, self.q = col, rank, size, 0, q
+        self.lo = self.hi = None
+        self.value = None          # set when the rank is known to sit on a tie
+        self.stuck = False
+
+    def inside(self, v: Column) -> Column:
+        pred = v.isNotNull()
+        if self.lo is not None:
+            pred = pred & ((v > F.lit(self.lo[0])) if self.lo[1] else (v >= F.lit(self.lo[0])))
+        if self.hi is not None:
+            pred = pred & ((v < F.lit(self.hi[0])) if self.hi[1] else (v <= F.lit(self.hi[0])))
+        return pred
+
+    def interval(self) -> tuple:
+        return (self.col, self.lo, self.hi)
 
 
 def _exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                     accuracy: int) -> DataFrame:
+                     accuracy: int, max_rows: int) -> DataFrame:
     import math
     spark = df.sparkSession
     eps = 3.0 / accuracy
-    edges = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-eps, eps)})
-    arr = F.array(*[F.lit(e) for e in edges])
-    first = df.agg(*[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(cols)],
-                   *[F.percentile_approx(F.col(c).cast("double"), arr, accuracy).alias(f"q{i}")
+    vals = {c: F.col(c).cast("double") for c in cols}
+
+    def around(lo: float, hi: float) -> Column:
+        return F.array(F.lit(max(0.0, lo - eps)), F.lit(min(1.0, hi + eps)))
+
+    first = df.agg(*[F.count(vals[c]).alias(f"n{i}") for i, c in enumerate(cols)],
+                   *[F.percentile_approx(vals[c], F.flatten(F.array(*[
+                       around(p, p) for p in probs])), accuracy).alias(f"q{i}")
                      for i, c in enumerate(cols)]).first()
-    targets = []          # (tid, column, prob, r_lo, r_hi, d, qa, qb)
+    ranks: dict[tuple, _Rank] = {}
+    plan = []                                  # (column, prob, rank lo, rank hi, d)
+    brackets: dict[tuple, tuple] = {}          # (interval, quantile) -> sketch bracket
     for i, c in enumerate(cols):
         n = first[f"n{i}"]
-        qs = dict(zip(edges, first[f"q{i}"] or []))
-        for p in probs:
+        sk = first[f"q{i}"] or []
+        for j, p in enumerate(probs):
             if n == 0:
-                targets.append((len(targets), c, p, None, None, None, None, None))
+                plan.append((c, p, None, None, None))
                 continue
             h = (n - 1) * p
-            lo = math.floor(h)
-            targets.append((len(targets), c, p, lo, math.ceil(h), h - lo,
-                            qs.get(min(1.0, max(0.0, p - eps))),
-                            qs.get(min(1.0, max(0.0, p + eps)))))
-    found = _resolve(df, targets)
-    missing = [t for t in targets if t[3] is not None and t[0] not in found]
-    if missing:   # widen to the whole column
-        found.update(_resolve(df, [t[:6] + (None, None) for t in missing]))
+            lo, hi = math.floor(h), math.ceil(h)
+            plan.append((c, p, lo, hi, h - lo))
+            for r in (lo, hi):
+                if (c, r) not in ranks:
+                    ranks[(c, r)] = _Rank(c, r, n, (i, j))
+            if len(sk) == 2 * len(probs):
+                brackets[((c, None, None), (i, j))] = (sk[2 * j], sk[2 * j + 1])
+
+    while True:
+        groups: dict[tuple, list[_Rank]] = {}
+        for t in ranks.values():
+            if t.value is None and t.size > max_rows and not t.stuck:
+                groups.setdefault((t.interval(), t.q), []).append(t)
+        if not groups:
+            break
+        todo = list(groups.items())
+        need = [(k, g) for k, (key, g) in enumerate(todo) if key not in brackets]
+        if need:
+            # Sketch the rows inside each interval around its ranks' place there.
+            row = df.agg(*[F.percentile_approx(
+                F.when(g[0].inside(vals[g[0].col]), vals[g[0].col]),
+                around(min(t.rank - t.below for t in g) / max(1, g[0].size - 1),
+                       max(t.rank - t.below for t in g) / max(1, g[0].size - 1)),
+                accuracy).alias(f"s{k}") for k, g in need]).first()
+            for k, g in need:
+                brackets[todo[k][0]] = tuple(row[f"s{k}"])
+        # Count, exactly, the interval's rows below the sketch bracket, inside
+        # it, and on each of its two ends.
+        aggs = []
+        for k, (key, g) in enumerate(todo):
+            v, (qa, qb) = vals[g[0].col], brackets[key]
+            inside = g[0].inside(v)
+            aggs += [F.count_if(inside & (v < F.lit(qa))).alias(f"lt{k}"),
+                     F.count_if(inside & v.between(qa, qb)).alias(f"in{k}"),
+                     F.count_if(inside & (v == F.lit(qa))).alias(f"ea{k}"),
+                     F.count_if(inside & (v == F.lit(qb))).alias(f"eb{k}")]
+        row = df.agg(*aggs).first()
+        for k, (key, g) in enumerate(todo):
+            qa, qb = brackets.pop(key)
+            lt, inside, ea, eb = (row[f"{x}{k}"] for x in ("lt", "in", "ea", "eb"))
+            for t in g:
+                size, at = t.size, t.rank - t.below
+                if at < lt:                                 # left of the bracket
+                    t.hi, t.size = (qa, True), lt
+                elif at < lt + ea:                          # on its lower end
+                    t.value, t.size = qa, 0
+                elif at >= lt + inside:                     # right of it
+                    t.lo, t.below = (qb, True), t.below + lt + inside
+                    t.size = size - lt - inside
+                elif at >= lt + inside - eb:                # on its upper end
+                    t.value, t.size = qb, 0
+                else:                                       # strictly between the ends
+                    t.lo, t.hi = (qa, True), (qb, True)
+                    t.below, t.size = t.below + lt + ea, inside - ea - eb
+                t.stuck = t.size >= size  # no progress (not expected): rank it as is
+
+    found = {(t.col, t.rank): t.value for t in ranks.values() if t.value is not None}
+    found.update(_resolve(df, [t for t in ranks.values() if t.value is None], vals))
     out = []
-    for tid, c, p, lo, hi, d, _, _ in targets:
+    for c, p, lo, hi, d in plan:
         if lo is None:
             out.append((c, p, None))
             continue
-        x_lo, x_hi = found[tid]
+        x_lo, x_hi = found[(c, lo)], found[(c, hi)]
         out.append((c, p, x_lo if x_lo == x_hi else x_lo + (x_hi - x_lo) * d))
     return spark.createDataFrame(out, "column_name string, prob double, value double")
 
 
-def _resolve(df: DataFrame, targets) -> dict:
-    """Values at ranks r_lo / r_hi per target.
-
-    Two passes: per-target counts below each bracket (plain ``count_if``
-    aggregates), then the distinct bracket values with their counts, ranked
-    per target by a running sum over those few rows.
-    """
+def _resolve(df: DataFrame, ranks: list, vals: dict) -> dict:
+    """Value at each rank: the distinct values of each (small) interval with
+    their counts, ranked per interval by a running sum; ranks sharing an
+    interval share the work."""
     from pyspark.sql import Window
-    live = [t for t in targets if t[3] is not None]
-    if not live:
+    if not ranks:
         return {}
     spark = df.sparkSession
-    below = df.agg(*[
-        (F.count_if(F.col(c).cast("double") < F.lit(qa)) if qa is not None else F.lit(0))
-        .alias(f"b{tid}") for tid, c, _, _, _, _, qa, _ in live]).first()
-    cols = sorted({t[1] for t in live})
-    cidx = {c: i for i, c in enumerate(cols)}
-
-    def in_bracket(v, c):
-        pred = F.lit(False)
-        for tid, tc, _, _, _, _, qa, qb in live:
-            if tc == c:
-                lo = v >= F.lit(qa) if qa is not None else F.lit(True)
-                hi = v <= F.lit(qb) if qb is not None else F.lit(True)
-                pred = pred | (lo & hi)
-        return v.isNotNull() & pred
-
+    ids: dict[tuple, int] = {}
+    for t in ranks:
+        ids.setdefault(t.interval(), len(ids))
+    owner = {b: next(t for t in ranks if t.interval() == iv) for iv, b in ids.items()}
     pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(cidx[c]).alias("ci"), F.col(c).cast("double").alias("v")) for c in cols
-    ])).alias("e")).select("e.*")
-    conds = [(F.col("ci") == cidx[c]) & in_bracket(F.col("v"), c) for c in cols]
-    keep = conds[0]
-    for c in conds[1:]:
-        keep = keep | c
-    vals = pairs.filter(keep).groupBy("ci", "v").agg(F.count(F.lit(1)).alias("k"))
-    tgt = spark.createDataFrame(
-        [(tid, cidx[c], r_lo, r_hi, qa, qb, int(below[f"b{tid}"]))
-         for tid, c, _, r_lo, r_hi, _, qa, qb in live],
-        "t int, ci int, r_lo bigint, r_hi bigint, qa double, qb double, below bigint")
-    j = vals.join(F.broadcast(tgt), "ci").filter(
-        (F.col("qa").isNull() | (F.col("v") >= F.col("qa")))
-        & (F.col("qb").isNull() | (F.col("v") <= F.col("qb"))))
-    w = (Window.partitionBy("t").orderBy(F.col("v").asc())
+        F.when(t.inside(vals[t.col]), F.struct(F.lit(b).alias("b"), vals[t.col].alias("v")))
+        for b, t in owner.items()])).alias("e")).filter(F.col("e").isNotNull()).select("e.*")
+    counted = pairs.groupBy("b", "v").agg(F.count(F.lit(1)).alias("k"))
+    w = (Window.partitionBy("b").orderBy(F.col("v").asc())
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    ranked = (j.withColumn("cum", F.col("below") + F.sum("k").over(w))
-               .withColumn("before", F.col("cum") - F.col("k")))
-    hits = ranked.filter(((F.col("before") <= F.col("r_lo")) & (F.col("r_lo") < F.col("cum")))
-                         | ((F.col("before") <= F.col("r_hi")) & (F.col("r_hi") < F.col("cum"))))
-    got: dict = {}
-    for r in hits.select("t", "v", "before", "cum", "r_lo", "r_hi").collect():
-        cur = got.setdefault(r.t, [None, None])
-        if r.before <= r.r_lo < r.cum:
-            cur[0] = r.v
-        if r.before <= r.r_hi < r.cum:
-            cur[1] = r.v
-    return {t: tuple(v) for t, v in got.items() if None not in v}
+    ranked = counted.withColumn("cum", F.sum("k").over(w))
+    want = spark.createDataFrame(
+        [(ids[t.interval()], t.col, t.rank, t.rank - t.below) for t in ranks],
+        "b int, col string, rank bigint, local bigint")
+    hits = (ranked.join(F.broadcast(want), "b")
+                  .filter((F.col("cum") - F.col("k") <= F.col("local"))
+                          & (F.col("local") < F.col("cum"))))
+    return {(r.col, r.rank): r.v for r in hits.select("col", "rank", "v").collect()}
 
 
 def histogram(df: DataFrame, col: str, lo: float, hi: float, bins: int) -> DataFrame:

@@ -35,3 +35,21 @@ def test_null_profile_and_counts(spark):
     assert (cc.big, cc.none) == (2, 0)
     empty = P.conditional_counts(df.filter("false"), {"x": F.col("a") > 0}).first()
     assert empty.x == 0
+
+
+def test_exact_quantiles_refine_with_ties_and_nulls(spark):
+    """Brackets refined far below the data size (many rounds), with heavy
+    ties, NULLs and an empty column: still exactly numpy's linear quantile."""
+    rnd = np.random.default_rng(7)
+    x = np.concatenate([rnd.integers(0, 50, 3000).astype(float),       # heavy ties
+                        rnd.normal(100, 20, 2000).round(3)])
+    rows = [(float(v), None if i % 5 == 0 else float(v) * 2, None) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "x double, y double, z double")
+    probs = [0.0, 0.1, 0.5, 0.9, 0.99, 1.0]
+    got = {(r.column_name, r.prob): r.value for r in P.quantiles(
+        df, ["x", "y", "z"], probs, exact_accuracy=20, max_bracket_rows=40).collect()}
+    y = np.array([r[1] for r in rows if r[1] is not None])
+    for p in probs:
+        assert abs(got[("x", p)] - np.quantile(x, p)) < 1e-9
+        assert abs(got[("y", p)] - np.quantile(y, p)) < 1e-9
+        assert got[("z", p)] is None
