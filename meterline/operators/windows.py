@@ -23,15 +23,53 @@ from pyspark.sql import functions as F
 from meterline.functions.exprs import minutes_between
 
 
+# date_trunc units a bucket can take, coarsest first, with their length in
+# seconds (an upper bound for month and year).
+SPLIT_UNITS = [("year", 366 * 86400.0), ("month", 31 * 86400.0), ("week", 7 * 86400.0),
+               ("day", 86400.0), ("hour", 3600.0), ("minute", 60.0), ("second", 1.0),
+               ("millisecond", 0.001)]
+
+# Rows one (key, bucket) window task should hold at most, on average.
+BUCKET_TARGET_ROWS = 1_000_000
+
+
+def pick_split(df: DataFrame, key: str, ts: str,
+               target_rows: int = BUCKET_TARGET_ROWS) -> str:
+    """The coarsest time unit whose bucket of the densest key holds about
+    ``target_rows`` rows or fewer.
+
+    One aggregate (partial per task, then one row per key): each key's rows
+    per second over its own active span; only keys with more than
+    ``target_rows`` rows need cutting at all. The unit never changes results,
+    only how the work is cut.
+    """
+    secs = F.col(ts).cast("timestamp").cast("double")
+    per_key = (df.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
+                 .groupBy(key).agg(F.count(F.lit(1)).alias("n"),
+                                   (F.max(secs) - F.min(secs)).alias("span")))
+    dens = (per_key.filter(F.col("n") > target_rows)
+                   .agg(F.max(F.col("n") / F.greatest(F.col("span"), F.lit(1e-3))).alias("d"))
+                   .first()["d"])
+    if dens is None:
+        return SPLIT_UNITS[0][0]
+    for unit, length in SPLIT_UNITS:
+        if dens * length <= target_rows:
+            return unit
+    return SPLIT_UNITS[-1][0]
+
+
 def lag_gap(df: DataFrame, key: str, ts: str, prev_col: str = "prev_ts",
-            gap_col: str = "gap_minutes", split: str = "day",
+            gap_col: str = "gap_minutes", split: str = "auto",
             mode: str = "boundary", keep: Sequence[str] = ()) -> DataFrame:
     """Previous ``ts`` of the same ``key`` and the gap to it, per row.
 
     Rows without a previous row (the key's first) are dropped, as are rows
     whose key or time is NULL. ``split`` is the date_trunc unit of the bucket
-    that bounds one window task ('hour', 'day', 'month', ...).
+    that bounds one window task ('hour', 'day', 'month', ...), or 'auto' to
+    size it from the data (``pick_split``).
     """
+    if split == "auto":
+        split = pick_split(df, key, ts)
     base = (df.select(key, ts, *keep)
               .filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
               .withColumn("__bucket", F.date_trunc(split, F.col(ts))))

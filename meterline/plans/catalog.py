@@ -54,11 +54,11 @@ def event_fact(spark, d):
 # ------------------------------------------------------------------ queries
 
 def q_idle_gaps(spark, d):
-    return R.idle_gaps(event_fact(spark, d), zones(spark, d), k=5, split="day")
+    return R.idle_gaps(event_fact(spark, d), zones(spark, d), k=5)
 
 
 def q_idle_gaps_fact(spark, d):
-    return R.idle_gaps(fct(spark, d), zones(spark, d), k=5, split="month")
+    return R.idle_gaps(fct(spark, d), zones(spark, d), k=5)
 
 
 def q_stage_trips(spark, d):

@@ -74,14 +74,16 @@ def hour_profile(fct: DataFrame) -> DataFrame:
     return share_of_total(g, "trips", "pct_of_trips", 2).orderBy("pickup_hour")
 
 
-def idle_gaps(fct: DataFrame, zones: DataFrame, k: int = 5, split: str = "day",
+def idle_gaps(fct: DataFrame, zones: DataFrame, k: int = 5, split: str = "auto",
               key: str = "pickup_location_id", ts: str = "pickup_datetime") -> DataFrame:
     """Q3: the k longest idle gaps (boundary minutes) between consecutive
     pickups of each zone, ties kept, with the zone name.
 
     One hash exchange on (zone, time bucket) serves the lag, the bucket
     carry-over and the first, local top-k; only the survivors are shuffled by
-    zone for the final rank, and only those meet the dimension.
+    zone for the final rank, and only those meet the dimension. ``split``
+    'auto' sizes the bucket so the densest zone's buckets stay near
+    ``BUCKET_TARGET_ROWS`` rows each (one extra per-zone aggregate).
     """
     gaps = lag_gap(fct, key, ts, prev_col="prev_pickup_datetime",
                    gap_col="gap_minutes", split=split)

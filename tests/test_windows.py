@@ -6,7 +6,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from meterline.operators.windows import lag_gap, share_of_total, top_k
+from meterline.operators.windows import lag_gap, pick_split, share_of_total, top_k
 
 
 def _rows(n=600, keys=4, seed=7):
@@ -35,6 +35,24 @@ def test_lag_gap_split_matches_plain(spark):
         assert sorted(got.collect()) == sorted(_plain_gaps(df).collect()), split
 
 
+def test_pick_split_follows_density(spark):
+    # key 0: ~300 rows over 9 days (~33 a day, ~1.4 an hour); others are small
+    df = spark.createDataFrame(_rows(), "k int, t timestamp_ntz")
+    assert pick_split(df, "k", "t", target_rows=1000) == "year"      # no key needs cutting
+    assert pick_split(df, "k", "t", target_rows=100) == "day"
+    assert pick_split(df, "k", "t", target_rows=5) == "hour"
+    assert pick_split(df, "k", "t", target_rows=1) == "minute"
+
+
+def test_lag_gap_auto_split_exact(spark, monkeypatch):
+    import meterline.operators.windows as W
+    df = spark.createDataFrame(_rows(), "k int, t timestamp_ntz")
+    monkeypatch.setattr(W, "BUCKET_TARGET_ROWS", 5)
+    monkeypatch.setattr(W.pick_split, "__defaults__", (5,))
+    got = lag_gap(df, "k", "t", prev_col="prev").select("k", "t", "prev")
+    assert sorted(got.collect()) == sorted(_plain_gaps(df).collect())
+
+
 def test_lag_gap_skips_empty_buckets(spark):
     d = dt.datetime(2023, 1, 1, 10, 0, 45)
     rows = [(1, d), (1, d + dt.timedelta(days=5, seconds=30))]
