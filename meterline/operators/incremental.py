@@ -89,7 +89,8 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def upsert(spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str] | str,
-           partition_cols: Sequence[str], full_refresh: bool = False) -> None:
+           partition_cols: Sequence[str], full_refresh: bool = False,
+           parts: Sequence[tuple] | None = None) -> None:
     """Delete+insert ``batch`` into the partitioned Parquet table at ``path``.
 
     Precondition: the key determines the partition (rows sharing a key share
@@ -101,7 +102,8 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str]
     Writing over the partitions being read is safe here: the overwrite stages
     its output and swaps partitions only at job commit, so a task retried
     after a lost executor still reads the old files. A rerun of the same batch
-    produces the same table.
+    produces the same table. ``parts`` may pass the batch's distinct partition
+    values when the caller already has them.
     """
     key = [key] if isinstance(key, str) else list(key)
     if full_refresh or not _exists(spark, path):
@@ -110,7 +112,8 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str]
         return
     target = spark.read.parquet(path)
     # Distinct partition values of the batch: one row per touched partition.
-    parts = [tuple(r) for r in batch.select(*partition_cols).distinct().collect()]
+    if parts is None:
+        parts = [tuple(r) for r in batch.select(*partition_cols).distinct().collect()]
     if not parts:
         return
     pred = F.lit(False)

@@ -196,8 +196,10 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, seed: DataFrame, tables: T
 
     The intermediate and fact tables are incremental (high-water-mark slice +
     delete+insert by trip_id, partitioned by pickup month, which trip_id
-    determines because it hashes the pickup time); the marts are rebuilt from the written fact, so enrichment
-    runs once per batch. Returns the check results when 'checks' runs.
+    determines because it hashes the pickup time); the marts are refreshed
+    from the written fact for the months the batch touched (``refresh_marts``),
+    so enrichment runs once per batch and a batch's cost follows its own size,
+    not the fact's. Returns the check results when 'checks' runs.
     """
     stg = stage_trips(raw, cfg.duration_mode)
     zones = stage_zones(seed)
@@ -211,16 +213,13 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, seed: DataFrame, tables: T
     if "marts" in layers:
         enriched = spark.read.parquet(tables.int_trips)
         target = None if full_refresh else _read_or_none(spark, tables.fct)
-        batch = enriched if target is None else new_rows(enriched, target,
-                                                         cfg.fact_watermark_col)
-        upsert(spark, tables.fct, fact_trips(batch), "trip_id", [PARTITION_COL],
-               full_refresh)
+        batch = fact_trips(enriched if target is None else
+                           new_rows(enriched, target, cfg.fact_watermark_col))
+        touched = None if target is None else touched_months(target, batch)
+        upsert(spark, tables.fct, batch, "trip_id", [PARTITION_COL], full_refresh,
+               parts=None if touched is None else [(m,) for m in touched[0]])
         dim_zones(zones).write.mode("overwrite").parquet(tables.dim)
-        fct = spark.read.parquet(tables.fct)
-        dim = spark.read.parquet(tables.dim)
-        daily_revenue(fct).write.mode("overwrite").parquet(tables.daily)
-        zone_performance(fct, dim, cfg.high_volume_trips).write.mode("overwrite").parquet(
-            tables.zone_perf)
+        refresh_marts(spark, tables, cfg, touched)
     if "checks" in layers:
         results = model_checks(spark, tables, cfg)
         C.gate(results)
@@ -228,6 +227,90 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, seed: DataFrame, tables: T
     return None
 
 
+def touched_months(target: DataFrame, batch: DataFrame) -> tuple[list, list]:
+    """What a fact batch can change, read before it is applied:
+    (pickup months it writes, file months whose zone-month rows may change).
+
+    A batch row replaces the target's copy of its trip_id, which lies in the
+    same pickup month but may come from another file, so the file months are
+    the batch's own plus those present in the target's touched pickup-month
+    partitions (a partition-pruned scan of one column, a superset of the
+    exact set; recomputing an extra month is harmless).
+    """
+    pairs = batch.select(PARTITION_COL, "file_month").distinct().collect()
+    pickup = sorted({r[0] for r in pairs}, key=str)
+    files = {r[1] for r in pairs}
+    if pickup:
+        old = (target.filter(F.col(PARTITION_COL).isin(pickup))
+                     .select("file_month").distinct().collect())
+        files |= {r[0] for r in old}
+    return pickup, sorted(files, key=str)
+
+
+# Partition column of the daily mart (the month of revenue_date, which is the
+# fact's pickup month).
+DAILY_PARTITION_COL = "revenue_month"
+
+
+def refresh_marts(spark: SparkSession, tables: Tables, cfg: PipelineConfig,
+                  touched: tuple[list, list] | None) -> None:
+    """M6/M7 from the written fact: rebuilt in full when ``touched`` is None,
+    otherwise only the months a batch changed.
+
+    The daily mart is stored by month and recomputed from the fact's touched
+    pickup-month partitions (partition pruning: exact, no other month is
+    read). The zone mart is stored by file month and recomputed for the
+    touched file months; its revenue rank is within a month, so those months
+    alone give the same rows as a full rebuild. A touched file month that no
+    longer has any trip is removed: the write's ``observe`` reports the
+    months it produced, so this costs no extra job.
+    """
+    from pyspark.sql import Observation
+    fct = spark.read.parquet(tables.fct)
+    dim = spark.read.parquet(tables.dim)
+    full = (touched is None or not _exists_path(spark, tables.daily)
+            or not _exists_path(spark, tables.zone_perf))
+    if full:
+        daily_src, zp_src = fct, fct
+    else:
+        pickup, files = touched
+        if not pickup:
+            return
+        daily_src = fct.filter(F.col(PARTITION_COL).isin(pickup))
+        zp_src = fct.filter(F.col("file_month").isin(files))
+    overwrite = "static" if full else "dynamic"
+    daily = daily_revenue(daily_src).withColumn(
+        DAILY_PARTITION_COL, F.trunc(F.col("revenue_date"), "month"))
+    (daily.write.mode("overwrite").option("partitionOverwriteMode", overwrite)
+          .partitionBy(DAILY_PARTITION_COL).parquet(tables.daily))
+    seen = Observation("zone_months")
+    zp = zone_performance(zp_src, dim, cfg.high_volume_trips).observe(
+        seen, F.collect_set("file_month").alias("months"))
+    (zp.write.mode("overwrite").option("partitionOverwriteMode", overwrite)
+       .partitionBy("file_month").parquet(tables.zone_perf))
+    if not full:
+        produced = set(seen.get["months"] or [])
+        for m in set(touched[1]) - produced:
+            _delete_path(spark, f"{tables.zone_perf}/file_month={m.isoformat()}")
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _exists_path(spark: SparkSession, path: str) -> bool:
+    p, fs = _hadoop_path(spark, path)
+    return fs.exists(p)
+
+
+def _delete_path(spark: SparkSession, path: str) -> None:
+    p, fs = _hadoop_path(spark, path)
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
 def model_checks(spark: SparkSession, tables: Tables, cfg: PipelineConfig) -> DataFrame:
     """The model tests: not_null, unique, relationships, range, total >= fare."""
     fct = spark.read.parquet(tables.fct)
