@@ -159,11 +159,14 @@ def ingest_files(spark: SparkSession, paths: Sequence[str], raw_path: str,
     """Idempotent batch landing.
 
     Files whose name is already in the ledger are skipped; the new files are
-    read in one scan, landed and appended to the raw table, then recorded in
-    the ledger. Returns per-file loaded counts of this run (possibly empty).
-    Re-running after a failure between the two appends reloads nothing twice
-    only if the raw append did not commit; the raw table can be re-checked
-    with ``file_counts``.
+    read in one scan, landed into the raw table, then recorded in the ledger.
+    Returns per-file loaded counts of this run (possibly empty).
+
+    Both writes go to this load's own partition (``LOAD_COL``, derived from
+    ``loaded_at``) with dynamic overwrite, so a run that fails after the raw
+    write, rerun with the same logical ``loaded_at``, finds the same files
+    missing from the ledger and replaces its own raw partition instead of
+    appending the rows a second time.
     """
     ledger = _read_or_empty(spark, ledger_path, LEDGER_SCHEMA)
     names = [p.rstrip("/").split("/")[-1] for p in paths]
@@ -175,17 +178,32 @@ def ingest_files(spark: SparkSession, paths: Sequence[str], raw_path: str,
            .select("path").collect()]
     if not new:
         return spark.createDataFrame([], "source_file string, rows bigint")
-    landed = land_columns(read_trip_files(spark, new), loaded_at)
-    landed.write.mode("append").parquet(raw_path)
+    load_id = load_partition(loaded_at)
+    landed = land_columns(read_trip_files(spark, new), loaded_at).withColumn(
+        LOAD_COL, F.lit(load_id))
+    (landed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy(LOAD_COL).parquet(raw_path))
     counts = (spark.read.parquet(raw_path)
-              .filter(F.col("_loaded_at") == F.lit(loaded_at).cast("timestamp_ntz"))
+              .filter(F.col(LOAD_COL) == F.lit(load_id))
               .groupBy("source_file").agg(F.count(F.lit(1)).alias("rows")))
     (spark.createDataFrame([(n.split("/")[-1],) for n in new], "source_file string")
      .withColumn("_loaded_at", F.lit(loaded_at).cast("timestamp_ntz"))
-     .write.mode("append").parquet(ledger_path))
+     .withColumn(LOAD_COL, F.lit(load_id))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(LOAD_COL).parquet(ledger_path))
     return counts
 
 
+# Raw-table and ledger partition of one batch load.
+LOAD_COL = "_load_id"
+
+
+def load_partition(loaded_at: str) -> str:
+    """Partition value of a load: its stamp as digits ('20240101000000000000')."""
+    import datetime as _dt
+    return _dt.datetime.fromisoformat(loaded_at).strftime("%Y%m%d%H%M%S%f")
+
+
 def file_counts(raw: DataFrame) -> DataFrame:
     """Rows per source file plus nothing else (S10); total is ``sum(rows)``."""
     return raw.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows"))

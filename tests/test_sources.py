@@ -40,6 +40,22 @@ def test_ledger_ingest_loads_each_file_once(spark, tmp_table_dir):
     assert counts(spark.read.parquet(raw)) == expected(spark)
 
 
+def test_ingest_rerun_after_lost_ledger_write(spark, tmp_table_dir):
+    """The raw write committed but the ledger write did not: rerunning the
+    load with its stamp replaces its own rows, never doubles them."""
+    from meterline.sources.files import LOAD_COL, load_partition
+    paths = X.write_month_files(spark, SF001, tmp_table_dir + "/landing")
+    raw, ledger = tmp_table_dir + "/raw", tmp_table_dir + "/ledger"
+    ingest_files(spark, paths[:3], raw, ledger, "2024-01-01 00:00:00")
+    ingest_files(spark, paths, raw, ledger, "2024-01-02 00:00:00")
+    # Lose the second load's ledger entries, as if that write had failed.
+    kept = spark.read.parquet(ledger).filter(
+        F.col(LOAD_COL) != load_partition("2024-01-02 00:00:00"))
+    kept.write.mode("overwrite").partitionBy(LOAD_COL).parquet(tmp_table_dir + "/ledger2")
+    ingest_files(spark, paths, raw, tmp_table_dir + "/ledger2", "2024-01-02 00:00:00")
+    assert counts(spark.read.parquet(raw)) == expected(spark)
+
+
 def test_stream_ingest_exactly_once(spark, tmp_table_dir):
     land = tmp_table_dir + "/landing"
     glob = land + "/yellow_tripdata_*.parquet/*.parquet"
