@@ -76,9 +76,12 @@ def lag_gap(df: DataFrame, key: str, ts: str, prev_col: str = "prev_ts",
     w_local = Window.partitionBy(key, "__bucket").orderBy(F.col(ts).asc())
     local = base.withColumn("__prev_local", F.lag(ts).over(w_local))
 
-    # Last time of the previous non-empty bucket of the same key. Aggregating
-    # ``local`` (already hash-partitioned by key, bucket) adds no exchange, and
-    # its shuffle is reused by the join below.
+    # Last time of the previous non-empty bucket of the same key. Catalyst
+    # prunes the window away from this branch, so it is a second scan of the
+    # two columns, collapsed map-side to one row per (key, bucket); the lag
+    # then runs over those few rows per key, and the join back is broadcast
+    # by AQE when the measured carry table is small, else shuffled on the
+    # bucket side only.
     per_bucket = local.groupBy(key, "__bucket").agg(F.max(ts).alias("__bucket_max"))
     w_b = Window.partitionBy(key).orderBy(F.col("__bucket").asc())
     carry = per_bucket.select(key, "__bucket",
