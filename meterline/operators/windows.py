@@ -80,8 +80,8 @@ def lag_gap(df: DataFrame, key: str, ts: str, prev_col: str = "prev_ts",
     # prunes the window away from this branch, so it is a second scan of the
     # two columns, collapsed map-side to one row per (key, bucket); the lag
     # then runs over those few rows per key, and the join back is broadcast
-    # by AQE when the measured carry table is small, else shuffled on the
-    # bucket side only.
+    # by AQE when the measured carry table is small; otherwise only the carry
+    # table is shuffled (the rows keep their (key, bucket) partitioning).
     per_bucket = local.groupBy(key, "__bucket").agg(F.max(ts).alias("__bucket_max"))
     w_b = Window.partitionBy(key).orderBy(F.col("__bucket").asc())
     carry = per_bucket.select(key, "__bucket",
