@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 DIM_BROADCAST_MAX_ROWS = 100_000
 
 
-# Verdicts of the size check, per session and dimension plan (semantic hash
-# of the analysed plan, which includes the source paths).
+# Verdicts of the size check, per session, dimension plan (semantic hash of
+# the analysed plan, which includes the source paths) and the files the plan
+# reads: a table rewritten in place has new part files, so it is checked anew.
 _VERDICTS: dict[tuple, bool] = {}
 
 
@@ -30,7 +31,8 @@ def bounded(dim: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame
     for the same dimension plan within the session, so repeated lookups of
     one dimension pay for it once.
     """
-    key = (id(dim.sparkSession), dim.semanticHash(), max_rows)
+    key = (id(dim.sparkSession), dim.semanticHash(), tuple(sorted(dim.inputFiles())),
+           max_rows)
     ok = _VERDICTS.get(key)
     if ok is None:
         ok = dim.limit(max_rows + 1).count() <= max_rows

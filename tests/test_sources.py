@@ -140,3 +140,17 @@ def test_historical_counts_rows_once(spark, tmp_table_dir):
     out = spark.read.parquet(tmp_table_dir + "/out")
     assert out.count() == n
     assert {r.pickup_year for r in out.select("pickup_year").distinct().collect()} <= {1997}
+
+
+def test_bounded_rechecks_a_rewritten_table(spark, tmp_table_dir):
+    """The broadcast verdict follows the files: a dimension rewritten in place
+    with more rows than the bound is not broadcast on a stale verdict."""
+    from meterline.operators.joins import bounded
+    path = tmp_table_dir + "/dim"
+    spark.range(5).write.mode("overwrite").parquet(path)
+    small = bounded(spark.read.parquet(path), max_rows=10)
+    assert "ResolvedHint" in small._jdf.queryExecution().analyzed().toString() or \
+        "broadcast" in small._jdf.queryExecution().analyzed().toString().lower()
+    spark.range(50).write.mode("overwrite").parquet(path)
+    big = bounded(spark.read.parquet(path), max_rows=10)
+    assert "broadcast" not in big._jdf.queryExecution().analyzed().toString().lower()
