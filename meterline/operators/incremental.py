@@ -1,7 +1,9 @@
 """Incremental processing.
 
 * ``high_water_mark``  one-row max of a column (floored), fetched as a literal
-  so the slice predicate reaches the Parquet scan and partition pruning.
+  so the slice predicate reaches the Parquet scan and partition pruning. For
+  tables written by ``upsert`` it is read from the marks the writes recorded,
+  not by scanning the table.
 * ``new_rows``         strict ``>`` slice of a batch above the target's mark.
 * ``dedupe_latest``    one row per key, the latest by ``order`` with every
   other column as tie-breaker. Written as an aggregate (max of a struct), so
@@ -26,22 +28,57 @@ from pyspark.sql import types as T
 DEFAULT_FLOOR = "1900-01-01 00:00:00"
 
 
-def high_water_mark(target: DataFrame | None, col: str, floor: str = DEFAULT_FLOOR):
+# Hidden folder inside a table (Spark's reader skips names starting with '_')
+# holding one row per write: the max of each watermark column it wrote.
+MARKS_DIR = "_watermarks"
+_UNRECORDED = object()
+
+
+def high_water_mark(target: DataFrame | None, col: str, floor: str = DEFAULT_FLOOR,
+                    path: str | None = None):
     """``coalesce(max(col), floor)`` of the target; ``floor`` when it is missing.
 
     The floor also covers an existing but empty target, where a bare max is
-    NULL and a strict comparison against it would load nothing.
+    NULL and a strict comparison against it would load nothing. With ``path``
+    (a table written by ``upsert(..., watermark_cols=...)``) the max comes
+    from the marks its writes recorded, a few rows, instead of a scan of the
+    column over the whole table; without recorded marks it scans.
     """
     if target is None:
         return floor
-    row = target.agg(F.max(col).alias("m")).first()
-    return floor if row is None or row["m"] is None else row["m"]
+    m = _recorded_mark(target.sparkSession, path, col) if path else _UNRECORDED
+    if m is _UNRECORDED:
+        row = target.agg(F.max(col).alias("m")).first()
+        m = None if row is None else row["m"]
+    return floor if m is None else m
+
+
+def _recorded_mark(spark: SparkSession, path: str, col: str):
+    marks = f"{path.rstrip('/')}/{MARKS_DIR}"
+    if not _exists(spark, marks):
+        return _UNRECORDED
+    df = spark.read.parquet(marks)
+    if col not in df.columns:
+        return _UNRECORDED
+    return df.agg(F.max(col).alias("m")).first()["m"]
+
+
+def _record_marks(spark: SparkSession, path: str, written: DataFrame, marks: dict) -> None:
+    """Append one row of maxima after a committed write (append only: a rerun
+    adds the same values again, which leaves every max unchanged)."""
+    if not marks or all(v is None for v in marks.values()):
+        return
+    types = dict(written.dtypes)
+    schema = ", ".join(f"`{c}` {types[c]}" for c in marks)
+    (spark.createDataFrame([tuple(marks.values())], schema)
+          .write.mode("append").parquet(f"{path.rstrip('/')}/{MARKS_DIR}"))
 
 
 def new_rows(batch: DataFrame, target: DataFrame | None, col: str,
-             floor: str = DEFAULT_FLOOR) -> DataFrame:
-    """Rows of ``batch`` strictly above the target's high-water mark."""
-    mark = high_water_mark(target, col, floor)
+             floor: str = DEFAULT_FLOOR, path: str | None = None) -> DataFrame:
+    """Rows of ``batch`` strictly above the target's high-water mark (I1);
+    ``path`` lets the mark come from the target's recorded marks."""
+    mark = high_water_mark(target, col, floor, path)
     dtype = dict(batch.dtypes)[col]
     if isinstance(mark, (_dt.datetime, _dt.date)):
         mark = mark.isoformat(sep=" ") if isinstance(mark, _dt.datetime) else mark.isoformat()
@@ -90,7 +127,8 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def upsert(spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str] | str,
            partition_cols: Sequence[str], full_refresh: bool = False,
-           parts: Sequence[tuple] | None = None) -> None:
+           parts: Sequence[tuple] | None = None,
+           watermark_cols: Sequence[str] = ()) -> None:
     """Delete+insert ``batch`` into the partitioned Parquet table at ``path``.
 
     Precondition: the key determines the partition (rows sharing a key share
@@ -104,11 +142,31 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str]
     after a lost executor still reads the old files. A rerun of the same batch
     produces the same table. ``parts`` may pass the batch's distinct partition
     values when the caller already has them.
+
+    ``watermark_cols``: the write also records each column's max (an
+    ``observe`` on the write job, no extra pass) for ``high_water_mark``.
+    The recorded max is the table's max as long as replacing a key's rows
+    never lowers a column's max (true for the load stamp, which only grows,
+    and for columns the key determines, like the pickup time in trip_id); a
+    full refresh starts the record anew, and a run that failed between the
+    write and the record is repaired by rerunning it.
     """
+    from pyspark.sql import Observation
+    cols = [c for c in watermark_cols if c in batch.columns]
+    seen = Observation("upsert_marks") if cols else None
+
+    def observed(df: DataFrame) -> DataFrame:
+        return df.observe(seen, *[F.max(c).alias(c) for c in cols]) if seen else df
+
+    def record(df: DataFrame) -> None:
+        if seen:
+            _record_marks(spark, path, df, {c: seen.get[c] for c in cols})
+
     key = [key] if isinstance(key, str) else list(key)
     if full_refresh or not _exists(spark, path):
-        (batch.write.mode("overwrite").option("partitionOverwriteMode", "static")
-              .partitionBy(*partition_cols).parquet(path))
+        (observed(batch).write.mode("overwrite").option("partitionOverwriteMode", "static")
+                        .partitionBy(*partition_cols).parquet(path))
+        record(batch)
         return
     target = spark.read.parquet(path)
     # Distinct partition values of the batch: one row per touched partition.
@@ -123,8 +181,9 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str]
             conj = conj & (F.col(c).isNull() if v is None else (F.col(c) == F.lit(v)))
         pred = pred | conj
     merged = upsert_frame(target.filter(pred), batch, key)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(*partition_cols).parquet(path))
+    (observed(merged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                     .partitionBy(*partition_cols).parquet(path))
+    record(merged)
 
 
 def sync_columns(target: DataFrame, batch: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -164,6 +164,12 @@ def zone_performance(fct: DataFrame, dim: DataFrame,
 PARTITION_COL = "pickup_month"
 
 
+# Columns whose max the incremental tables record at each write (both
+# watermark policies: a copy of a trip_id has the same pickup time, and a
+# later load a later stamp, so an upsert never lowers either max).
+WATERMARK_COLS = ("_loaded_at", "pickup_datetime")
+
+
 def with_pickup_month(df: DataFrame) -> DataFrame:
     return df.withColumn(PARTITION_COL, F.trunc(F.col("pickup_datetime").cast("date"), "month"))
 
@@ -207,17 +213,19 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, seed: DataFrame, tables: T
         target = None if full_refresh else _read_or_none(spark, tables.int_trips)
         batch = enrich_trips(stg, zones, cfg)
         if target is not None:
-            batch = new_rows(batch, target, cfg.int_watermark_col)
+            batch = new_rows(batch, target, cfg.int_watermark_col, path=tables.int_trips)
         upsert(spark, tables.int_trips, with_pickup_month(batch), "trip_id",
-               [PARTITION_COL], full_refresh)
+               [PARTITION_COL], full_refresh, watermark_cols=WATERMARK_COLS)
     if "marts" in layers:
         enriched = spark.read.parquet(tables.int_trips)
         target = None if full_refresh else _read_or_none(spark, tables.fct)
         batch = fact_trips(enriched if target is None else
-                           new_rows(enriched, target, cfg.fact_watermark_col))
+                           new_rows(enriched, target, cfg.fact_watermark_col,
+                                    path=tables.fct))
         touched = None if target is None else touched_months(target, batch)
         upsert(spark, tables.fct, batch, "trip_id", [PARTITION_COL], full_refresh,
-               parts=None if touched is None else [(m,) for m in touched[0]])
+               parts=None if touched is None else [(m,) for m in touched[0]],
+               watermark_cols=WATERMARK_COLS)
         dim_zones(zones).write.mode("overwrite").parquet(tables.dim)
         refresh_marts(spark, tables, cfg, touched)
     if "checks" in layers:

@@ -97,3 +97,25 @@ def test_upsert_on_disk_idempotent_and_partition_local(spark, tmp_table_dir):
 
 def test_month_of_run():
     assert I.month_of_run("2023-03-15") == "2023-03"
+
+
+def test_recorded_marks_equal_scanned_max(spark, tmp_table_dir):
+    """upsert records each write's max; high_water_mark reads it instead of
+    scanning, and it equals the scanned max after inserts and replacements."""
+    import datetime as dt
+    from meterline.operators.incremental import MARKS_DIR, high_water_mark, upsert
+    path = tmp_table_dir + "/t"
+    rows = [(i, dt.datetime(2024, 1, 1 + i % 3), f"m{i % 2}") for i in range(10)]
+    df = spark.createDataFrame(rows, "k int, ts timestamp_ntz, part string")
+    upsert(spark, path, df, "k", ["part"], watermark_cols=["ts"])
+    later = spark.createDataFrame([(3, dt.datetime(2024, 2, 1), "m1"),
+                                   (11, dt.datetime(2024, 1, 5), "m1")],
+                                  "k int, ts timestamp_ntz, part string")
+    upsert(spark, path, later, "k", ["part"], watermark_cols=["ts"])
+    t = spark.read.parquet(path)
+    assert MARKS_DIR not in t.columns and t.count() == 11     # the marks stay hidden
+    scanned = t.agg({"ts": "max"}).first()[0]
+    assert high_water_mark(t, "ts", path=path) == scanned == dt.datetime(2024, 2, 1)
+    assert spark.read.parquet(f"{path}/{MARKS_DIR}").count() == 2
+    # a column without recorded marks falls back to a scan
+    assert high_water_mark(t, "k", path=path) == 11
