@@ -202,6 +202,30 @@ def sync_columns(target: DataFrame, batch: DataFrame) -> tuple[DataFrame, DataFr
     return target.select(*cols), batch
 
 
+def stage(spark: SparkSession, df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Compute ``df`` once into a fresh folder under the shared checkpoint
+    directory and return (a DataFrame reading it, its path).
+
+    Used for a batch that is needed more than once (its touched partitions,
+    then the merge): it is computed once instead of per use, and its lineage
+    is cut, so a task lost later re-reads the staged files instead of
+    recomputing the batch's joins and shuffles.
+    """
+    from meterline.session import scratch_path
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path), path
+
+
+def drop_staged(spark: SparkSession, path: str) -> None:
+    """Remove a staged folder once the write that read it has committed."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
 def month_of_run(ds: str) -> str:
     """Run date 'YYYY-MM-DD' -> the monthly file it belongs to, 'YYYY-MM' (I8)."""
     _dt.date.fromisoformat(ds)

@@ -17,7 +17,8 @@ from meterline.functions.exprs import (exact_avg, exact_sum, grain_key, minutes_
                                        pct, round_half_away, surrogate_key)
 from meterline.operators import checks as C
 from meterline.operators.clean import CleanRules, clean
-from meterline.operators.incremental import dedupe_latest, new_rows, upsert
+from meterline.operators.incremental import (dedupe_latest, drop_staged, new_rows, stage,
+                                              upsert)
 from meterline.operators.joins import bounded, enrich
 
 # Columns hashed into trip_id, in order (fixed value of the trip model).
@@ -211,21 +212,33 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, seed: DataFrame, tables: T
     zones = stage_zones(seed)
     if "intermediate" in layers:
         target = None if full_refresh else _read_or_none(spark, tables.int_trips)
-        batch = enrich_trips(stg, zones, cfg)
+        batch = with_pickup_month(enrich_trips(stg, zones, cfg))
+        staged = None
         if target is not None:
-            batch = new_rows(batch, target, cfg.int_watermark_col, path=tables.int_trips)
-        upsert(spark, tables.int_trips, with_pickup_month(batch), "trip_id",
+            # Needed twice by the upsert (touched partitions, merge): staged once.
+            batch, staged = stage(spark, new_rows(batch, target, cfg.int_watermark_col,
+                                                  path=tables.int_trips), "int-batch")
+        upsert(spark, tables.int_trips, batch, "trip_id",
                [PARTITION_COL], full_refresh, watermark_cols=WATERMARK_COLS)
+        if staged:
+            drop_staged(spark, staged)
     if "marts" in layers:
         enriched = spark.read.parquet(tables.int_trips)
         target = None if full_refresh else _read_or_none(spark, tables.fct)
         batch = fact_trips(enriched if target is None else
                            new_rows(enriched, target, cfg.fact_watermark_col,
                                     path=tables.fct))
-        touched = None if target is None else touched_months(target, batch)
+        staged, touched = None, None
+        if target is not None:
+            # The deduplicated batch feeds the touched months and the merge:
+            # computed (one shuffle) and staged once.
+            batch, staged = stage(spark, batch, "fact-batch")
+            touched = touched_months(target, batch)
         upsert(spark, tables.fct, batch, "trip_id", [PARTITION_COL], full_refresh,
                parts=None if touched is None else [(m,) for m in touched[0]],
                watermark_cols=WATERMARK_COLS)
+        if staged:
+            drop_staged(spark, staged)
         dim_zones(zones).write.mode("overwrite").parquet(tables.dim)
         refresh_marts(spark, tables, cfg, touched)
     if "checks" in layers:
