@@ -42,7 +42,9 @@ def high_water_mark(target: DataFrame | None, col: str, floor: str = DEFAULT_FLO
     NULL and a strict comparison against it would load nothing. With ``path``
     (a table written by ``upsert(..., watermark_cols=...)``) the max comes
     from the marks its writes recorded, a few rows, instead of a scan of the
-    column over the whole table; without recorded marks it scans.
+    column over the whole table; without recorded marks it scans. The record
+    is exact only if every write to that table goes through ``upsert`` with
+    the column in ``watermark_cols`` (as ``run_pipeline`` does).
     """
     if target is None:
         return floor
