@@ -298,7 +298,11 @@ def refresh_marts(spark: SparkSession, tables: Tables, cfg: PipelineConfig,
         if not pickup:
             return
         daily_src = fct.filter(F.col(PARTITION_COL).isin(pickup))
-        zp_src = fct.filter(F.col("file_month").isin(files))
+        known = [m for m in files if m is not None]
+        in_files = F.col("file_month").isin(known) if known else F.lit(False)
+        if None in files:   # rows from a file name without a valid month
+            in_files = in_files | F.col("file_month").isNull()
+        zp_src = fct.filter(in_files)
     overwrite = "static" if full else "dynamic"
     daily = daily_revenue(daily_src).withColumn(
         DAILY_PARTITION_COL, F.trunc(F.col("revenue_date"), "month"))
@@ -306,13 +310,20 @@ def refresh_marts(spark: SparkSession, tables: Tables, cfg: PipelineConfig,
           .partitionBy(DAILY_PARTITION_COL).parquet(tables.daily))
     seen = Observation("zone_months")
     zp = zone_performance(zp_src, dim, cfg.high_volume_trips).observe(
-        seen, F.collect_set("file_month").alias("months"))
+        seen, F.collect_set("file_month").alias("months"),
+        F.count_if(F.col("file_month").isNull()).alias("null_months"))
     (zp.write.mode("overwrite").option("partitionOverwriteMode", overwrite)
        .partitionBy("file_month").parquet(tables.zone_perf))
     if not full:
-        produced = set(seen.get["months"] or [])
+        got = seen.get
+        produced = set(got["months"] or []) | ({None} if got["null_months"] else set())
         for m in set(touched[1]) - produced:
-            _delete_path(spark, f"{tables.zone_perf}/file_month={m.isoformat()}")
+            part = NULL_PARTITION if m is None else m.isoformat()
+            _delete_path(spark, f"{tables.zone_perf}/file_month={part}")
+
+
+# Folder name Spark gives a NULL partition value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _hadoop_path(spark: SparkSession, path: str):
