@@ -35,25 +35,34 @@ BUCKET_TARGET_ROWS = 1_000_000
 
 def pick_split(df: DataFrame, key: str, ts: str,
                target_rows: int = BUCKET_TARGET_ROWS) -> str:
-    """The coarsest time unit whose bucket of the densest key holds about
-    ``target_rows`` rows or fewer.
-
-    One aggregate (partial per task, then one row per key): each key's rows
-    per second over its own active span; only keys with more than
-    ``target_rows`` rows need cutting at all. The unit never changes results,
-    only how the work is cut.
+    """The coarsest time unit whose largest (key, bucket) holds at most
+    ``target_rows`` rows.
+
+    Exact down to the minute: one aggregate counts rows per (key, minute)
+    (partial per task; at most one row per key and active minute); each of
+    those rows is repeated once per unit with its bucket, and a second
+    aggregate sums them per (unit, key, bucket), so every unit's largest
+    bucket comes from one scan. Below a minute the densest minute's rate
+    decides. The unit never changes results, only how the work is cut.
     """
-    secs = F.col(ts).cast("timestamp").cast("double")
-    per_key = (df.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
-                 .groupBy(key).agg(F.count(F.lit(1)).alias("n"),
-                                   (F.max(secs) - F.min(secs)).alias("span")))
-    dens = (per_key.filter(F.col("n") > target_rows)
-                   .agg(F.max(F.col("n") / F.greatest(F.col("span"), F.lit(1e-3))).alias("d"))
-                   .first()["d"])
-    if dens is None:
+    per_min = (df.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
+                 .groupBy(F.col(key).alias("__k"),
+                          F.date_trunc("minute", F.col(ts)).alias("__m"))
+                 .agg(F.count(F.lit(1)).alias("__n")))
+    units = [u for u, length in SPLIT_UNITS if length >= 60.0]
+    per_unit = per_min.select("__k", "__n", F.explode(F.array(*[
+        F.struct(F.lit(u).alias("u"), F.date_trunc(u, F.col("__m")).alias("b"))
+        for u in units])).alias("__e"))
+    largest = {r.u: r.largest for r in
+               per_unit.groupBy("__e.u", "__k", "__e.b").agg(F.sum("__n").alias("n"))
+                       .groupBy("u").agg(F.max("n").alias("largest")).collect()}
+    if largest.get("minute") is None:            # no rows
         return SPLIT_UNITS[0][0]
     for unit, length in SPLIT_UNITS:
-        if dens * length <= target_rows:
+        if length >= 60.0:
+            if largest[unit] <= target_rows:
+                return unit
+        elif largest["minute"] * length / 60.0 <= target_rows:
             return unit
     return SPLIT_UNITS[-1][0]
 

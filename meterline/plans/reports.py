@@ -82,8 +82,8 @@ def idle_gaps(fct: DataFrame, zones: DataFrame, k: int = 5, split: str = "auto",
     One hash exchange on (zone, time bucket) serves the lag, the bucket
     carry-over and the first, local top-k; only the survivors are shuffled by
     zone for the final rank, and only those meet the dimension. ``split``
-    'auto' sizes the bucket so the densest zone's buckets stay near
-    ``BUCKET_TARGET_ROWS`` rows each (one extra per-zone aggregate).
+    'auto' sizes the bucket so no (zone, bucket) holds more than
+    ``BUCKET_TARGET_ROWS`` rows (one extra scan of the two columns).
     """
     gaps = lag_gap(fct, key, ts, prev_col="prev_pickup_datetime",
                    gap_col="gap_minutes", split=split)

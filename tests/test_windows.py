@@ -35,13 +35,42 @@ def test_lag_gap_split_matches_plain(spark):
         assert sorted(got.collect()) == sorted(_plain_gaps(df).collect()), split
 
 
-def test_pick_split_follows_density(spark):
-    # key 0: ~300 rows over 9 days (~33 a day, ~1.4 an hour); others are small
-    df = spark.createDataFrame(_rows(), "k int, t timestamp_ntz")
-    assert pick_split(df, "k", "t", target_rows=1000) == "year"      # no key needs cutting
-    assert pick_split(df, "k", "t", target_rows=100) == "day"
-    assert pick_split(df, "k", "t", target_rows=5) == "hour"
-    assert pick_split(df, "k", "t", target_rows=1) == "minute"
+def _largest_buckets(rows):
+    """Largest (key, bucket) count per unit, by plain Python truncation."""
+    import collections
+
+    def trunc(t, unit):
+        if unit == "year":
+            return t.replace(month=1, day=1, hour=0, minute=0, second=0, microsecond=0)
+        if unit == "month":
+            return t.replace(day=1, hour=0, minute=0, second=0, microsecond=0)
+        if unit == "week":
+            d = t.replace(hour=0, minute=0, second=0, microsecond=0)
+            return d - dt.timedelta(days=d.weekday())
+        if unit == "day":
+            return t.replace(hour=0, minute=0, second=0, microsecond=0)
+        if unit == "hour":
+            return t.replace(minute=0, second=0, microsecond=0)
+        return t.replace(second=0, microsecond=0)
+    out = {}
+    for unit in ("year", "month", "week", "day", "hour", "minute"):
+        c = collections.Counter((k, trunc(t, unit)) for k, t in rows
+                                if k is not None and t is not None)
+        out[unit] = max(c.values())
+    return out
+
+
+def test_pick_split_is_exact(spark):
+    rows = _rows()
+    df = spark.createDataFrame(rows, "k int, t timestamp_ntz")
+    largest = _largest_buckets(rows)
+    units = ["year", "month", "week", "day", "hour", "minute"]
+    for target in (1000, 100, 20, 5, 2, 1):
+        want = next((u for u in units if largest[u] <= target), None)
+        if want is None:     # finer than a minute: the densest minute's rate
+            want = "second" if largest["minute"] / 60 <= target else "millisecond"
+        assert pick_split(df, "k", "t", target_rows=target) == want, (target, largest)
+    assert pick_split(df, "k", "t", target_rows=1000) == "year"   # no key needs cutting
 
 
 def test_lag_gap_auto_split_exact(spark, monkeypatch):
