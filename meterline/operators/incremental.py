@@ -219,8 +219,9 @@ def stage(spark: SparkSession, df: DataFrame, name: str) -> tuple[DataFrame, str
     return spark.read.parquet(path), path
 
 
-def drop_staged(spark: SparkSession, path: str) -> None:
-    """Remove a staged folder once the write that read it has committed."""
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder (a staged batch once the write that read it has
+    committed, or a table partition that lost all its rows)."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

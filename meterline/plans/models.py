@@ -17,8 +17,8 @@ from meterline.functions.exprs import (exact_avg, exact_sum, grain_key, minutes_
                                        pct, round_half_away, surrogate_key)
 from meterline.operators import checks as C
 from meterline.operators.clean import CleanRules, clean
-from meterline.operators.incremental import (dedupe_latest, drop_staged, new_rows, stage,
-                                              upsert)
+from meterline.operators.incremental import (_exists, dedupe_latest, delete_path, new_rows,
+                                              stage, upsert)
 from meterline.operators.joins import bounded, enrich
 
 # Columns hashed into trip_id, in order (fixed value of the trip model).
@@ -192,7 +192,6 @@ class Tables:
 
 
 def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    from meterline.operators.incremental import _exists
     return spark.read.parquet(path) if _exists(spark, path) else None
 
 
@@ -221,7 +220,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, seed: DataFrame, tables: T
         upsert(spark, tables.int_trips, batch, "trip_id",
                [PARTITION_COL], full_refresh, watermark_cols=WATERMARK_COLS)
         if staged:
-            drop_staged(spark, staged)
+            delete_path(spark, staged)
     if "marts" in layers:
         enriched = spark.read.parquet(tables.int_trips)
         target = None if full_refresh else _read_or_none(spark, tables.fct)
@@ -238,7 +237,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, seed: DataFrame, tables: T
                parts=None if touched is None else [(m,) for m in touched[0]],
                watermark_cols=WATERMARK_COLS)
         if staged:
-            drop_staged(spark, staged)
+            delete_path(spark, staged)
         dim_zones(zones).write.mode("overwrite").parquet(tables.dim)
         refresh_marts(spark, tables, cfg, touched)
     if "checks" in layers:
@@ -272,6 +271,9 @@ def touched_months(target: DataFrame, batch: DataFrame) -> tuple[list, list]:
 # fact's pickup month).
 DAILY_PARTITION_COL = "revenue_month"
 
+# Folder name Spark gives a NULL partition value.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
 
 def refresh_marts(spark: SparkSession, tables: Tables, cfg: PipelineConfig,
                   touched: tuple[list, list] | None) -> None:
@@ -289,8 +291,8 @@ def refresh_marts(spark: SparkSession, tables: Tables, cfg: PipelineConfig,
     from pyspark.sql import Observation
     fct = spark.read.parquet(tables.fct)
     dim = spark.read.parquet(tables.dim)
-    full = (touched is None or not _exists_path(spark, tables.daily)
-            or not _exists_path(spark, tables.zone_perf))
+    full = (touched is None or not _exists(spark, tables.daily)
+            or not _exists(spark, tables.zone_perf))
     if full:
         daily_src, zp_src = fct, fct
     else:
@@ -319,28 +321,7 @@ def refresh_marts(spark: SparkSession, tables: Tables, cfg: PipelineConfig,
         produced = set(got["months"] or []) | ({None} if got["null_months"] else set())
         for m in set(touched[1]) - produced:
             part = NULL_PARTITION if m is None else m.isoformat()
-            _delete_path(spark, f"{tables.zone_perf}/file_month={part}")
-
-
-# Folder name Spark gives a NULL partition value.
-NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
-
-
-def _hadoop_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def _exists_path(spark: SparkSession, path: str) -> bool:
-    p, fs = _hadoop_path(spark, path)
-    return fs.exists(p)
-
-
-def _delete_path(spark: SparkSession, path: str) -> None:
-    p, fs = _hadoop_path(spark, path)
-    if fs.exists(p):
-        fs.delete(p, True)
+            delete_path(spark, f"{tables.zone_perf}/file_month={part}")
 
 
 def model_checks(spark: SparkSession, tables: Tables, cfg: PipelineConfig) -> DataFrame:
