@@ -252,6 +252,7 @@ def _resolve(df: DataFrame, ranks: list, vals: dict) -> dict:
     want = spark.createDataFrame(
         [(ids[t.interval()], t.col, t.rank, t.rank - t.below) for t in ranks],
         "b int, col string, rank bigint, local bigint")
+    # ``want`` has one row per wanted rank (two per quantile): a fixed bound.
     hits = (ranked.join(F.broadcast(want), "b")
                   .filter((F.col("cum") - F.col("k") <= F.col("local"))
                           & (F.col("local") < F.col("cum"))))
