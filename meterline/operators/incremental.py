@@ -48,21 +48,23 @@ def high_water_mark(target: DataFrame | None, col: str, floor: str = DEFAULT_FLO
     """
     if target is None:
         return floor
-    m = _recorded_mark(target.sparkSession, path, col) if path else _UNRECORDED
+    m = (_recorded_mark(target.sparkSession, path, col, dict(target.dtypes).get(col))
+         if path else _UNRECORDED)
     if m is _UNRECORDED:
         row = target.agg(F.max(col).alias("m")).first()
         m = None if row is None else row["m"]
     return floor if m is None else m
 
 
-def _recorded_mark(spark: SparkSession, path: str, col: str):
+def _recorded_mark(spark: SparkSession, path: str, col: str, dtype: str | None):
     marks = f"{path.rstrip('/')}/{MARKS_DIR}"
-    if not _exists(spark, marks):
+    if dtype is None or not _exists(spark, marks):
         return _UNRECORDED
-    df = spark.read.parquet(marks)
-    if col not in df.columns:
-        return _UNRECORDED
-    return df.agg(F.max(col).alias("m")).first()["m"]
+    # Typed like the table's column: no schema-inference job. A record that
+    # lacks the column reads as all-NULL; count() tells that from "no rows".
+    df = spark.read.schema(f"`{col}` {dtype}").parquet(marks)
+    row = df.agg(F.max(col).alias("m"), F.count(col).alias("n")).first()
+    return row["m"] if row["n"] else _UNRECORDED
 
 
 def _record_marks(spark: SparkSession, path: str, written: DataFrame, marks: dict) -> None:
@@ -204,19 +206,29 @@ def sync_columns(target: DataFrame, batch: DataFrame) -> tuple[DataFrame, DataFr
     return target.select(*cols), batch
 
 
-def stage(spark: SparkSession, df: DataFrame, name: str) -> tuple[DataFrame, str]:
+def stage(spark: SparkSession, df: DataFrame, name: str,
+          distinct_of: Sequence[str] = ()) -> tuple[DataFrame, str, list[tuple]]:
     """Compute ``df`` once into a fresh folder under the shared checkpoint
-    directory and return (a DataFrame reading it, its path).
+    directory and return (a DataFrame reading it, its path, the distinct
+    value tuples of ``distinct_of``).
+
+    ``distinct_of`` names columns with few distinct values (partition values,
+    months): they are gathered by an ``observe`` on the staging write, so
+    finding the partitions a batch touches costs no job of its own.
 
     Used for a batch that is needed more than once (its touched partitions,
     then the merge): it is computed once instead of per use, and its lineage
     is cut, so a task lost later re-reads the staged files instead of
     recomputing the batch's joins and shuffles.
     """
+    from pyspark.sql import Observation
     from meterline.session import scratch_path
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path), path
+    seen = Observation("staged") if distinct_of else None
+    out = df.observe(seen, F.collect_set(F.struct(*distinct_of)).alias("v")) if seen else df
+    out.write.mode("overwrite").parquet(path)
+    values = [tuple(r) for r in seen.get["v"]] if seen else []
+    return spark.read.schema(df.schema).parquet(path), path, values
 
 
 def delete_path(spark: SparkSession, path: str) -> None:

@@ -212,13 +212,15 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, seed: DataFrame, tables: T
     if "intermediate" in layers:
         target = None if full_refresh else _read_or_none(spark, tables.int_trips)
         batch = with_pickup_month(enrich_trips(stg, zones, cfg))
-        staged = None
+        staged, parts = None, None
         if target is not None:
-            # Needed twice by the upsert (touched partitions, merge): staged once.
-            batch, staged = stage(spark, new_rows(batch, target, cfg.int_watermark_col,
-                                                  path=tables.int_trips), "int-batch")
+            # Needed twice by the upsert (touched partitions, merge): staged
+            # once; the staging write also reports the touched partitions.
+            batch, staged, parts = stage(
+                spark, new_rows(batch, target, cfg.int_watermark_col, path=tables.int_trips),
+                "int-batch", distinct_of=[PARTITION_COL])
         upsert(spark, tables.int_trips, batch, "trip_id",
-               [PARTITION_COL], full_refresh, watermark_cols=WATERMARK_COLS)
+               [PARTITION_COL], full_refresh, parts=parts, watermark_cols=WATERMARK_COLS)
         if staged:
             delete_path(spark, staged)
     if "marts" in layers:
@@ -231,8 +233,9 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, seed: DataFrame, tables: T
         if target is not None:
             # The deduplicated batch feeds the touched months and the merge:
             # computed (one shuffle) and staged once.
-            batch, staged = stage(spark, batch, "fact-batch")
-            touched = touched_months(target, batch)
+            batch, staged, pairs = stage(spark, batch, "fact-batch",
+                                         distinct_of=[PARTITION_COL, "file_month"])
+            touched = touched_months(target, pairs)
         upsert(spark, tables.fct, batch, "trip_id", [PARTITION_COL], full_refresh,
                parts=None if touched is None else [(m,) for m in touched[0]],
                watermark_cols=WATERMARK_COLS)
@@ -247,9 +250,10 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, seed: DataFrame, tables: T
     return None
 
 
-def touched_months(target: DataFrame, batch: DataFrame) -> tuple[list, list]:
+def touched_months(target: DataFrame, pairs: list[tuple]) -> tuple[list, list]:
     """What a fact batch can change, read before it is applied:
-    (pickup months it writes, file months whose zone-month rows may change).
+    (pickup months it writes, file months whose zone-month rows may change),
+    from the batch's distinct (pickup month, file month) ``pairs``.
 
     A batch row replaces the target's copy of its trip_id, which lies in the
     same pickup month but may come from another file, so the file months are
@@ -257,7 +261,6 @@ def touched_months(target: DataFrame, batch: DataFrame) -> tuple[list, list]:
     partitions (a partition-pruned scan of one column, a superset of the
     exact set; recomputing an extra month is harmless).
     """
-    pairs = batch.select(PARTITION_COL, "file_month").distinct().collect()
     pickup = sorted({r[0] for r in pairs}, key=str)
     files = {r[1] for r in pairs}
     if pickup:
