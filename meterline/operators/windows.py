@@ -33,17 +33,14 @@ SPLIT_UNITS = [("year", 366 * 86400.0), ("month", 31 * 86400.0), ("week", 7 * 86
 BUCKET_TARGET_ROWS = 1_000_000
 
 
-def pick_split(df: DataFrame, key: str, ts: str,
-               target_rows: int = BUCKET_TARGET_ROWS) -> str:
-    """The coarsest time unit whose largest (key, bucket) holds at most
-    ``target_rows`` rows.
-
-    Exact down to the minute: one aggregate counts rows per (key, minute)
-    (partial per task; at most one row per key and active minute); each of
-    those rows is repeated once per unit with its bucket, and a second
-    aggregate sums them per (unit, key, bucket), so every unit's largest
-    bucket comes from one scan. Below a minute the densest minute's rate
-    decides. The unit never changes results, only how the work is cut.
+def largest_buckets(df: DataFrame, key: str, ts: str) -> DataFrame:
+    """(u, largest): the most rows any (key, bucket) holds, per date_trunc unit
+    from year down to minute, from one scan.
+
+    One aggregate counts rows per (key, minute) (partial per task; at most
+    one row per key and active minute); each of those rows is repeated once
+    per unit with its bucket, and a second aggregate sums them per (unit,
+    key, bucket).
     """
     per_min = (df.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
                  .groupBy(F.col(key).alias("__k"),
@@ -53,9 +50,18 @@ def pick_split(df: DataFrame, key: str, ts: str,
     per_unit = per_min.select("__k", "__n", F.explode(F.array(*[
         F.struct(F.lit(u).alias("u"), F.date_trunc(u, F.col("__m")).alias("b"))
         for u in units])).alias("__e"))
-    largest = {r.u: r.largest for r in
-               per_unit.groupBy("__e.u", "__k", "__e.b").agg(F.sum("__n").alias("n"))
-                       .groupBy("u").agg(F.max("n").alias("largest")).collect()}
+    return (per_unit.groupBy("__e.u", "__k", "__e.b").agg(F.sum("__n").alias("n"))
+                    .groupBy("u").agg(F.max("n").alias("largest")))
+
+
+def pick_split(df: DataFrame, key: str, ts: str,
+               target_rows: int = BUCKET_TARGET_ROWS) -> str:
+    """The coarsest time unit whose largest (key, bucket) holds at most
+    ``target_rows`` rows: exact down to the minute (``largest_buckets``);
+    below a minute the densest minute's rate decides. The unit never changes
+    results, only how the work is cut.
+    """
+    largest = {r.u: r.largest for r in largest_buckets(df, key, ts).collect()}
     if largest.get("minute") is None:            # no rows
         return SPLIT_UNITS[0][0]
     for unit, length in SPLIT_UNITS:

@@ -32,3 +32,11 @@ def test_zone_performance_aggregates_before_join(spark):
     p = plan(C.q_zone_month_performance(spark, SF01))
     j = p.index("BroadcastHashJoin [pickup_location_id")
     assert p.index("HashAggregate", j) > j              # the aggregate is below the join
+
+
+def test_bucket_sizes_one_scan(spark):
+    from meterline.operators.windows import largest_buckets
+    ev = C.event_fact(spark, SF01)
+    p = plan(largest_buckets(ev, "pickup_location_id", "pickup_datetime"))
+    assert p.count("FileScan parquet") == 1             # every unit from one scan
+    assert "partial_count" in p                         # collapsed map-side first
