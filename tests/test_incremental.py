@@ -119,3 +119,8 @@ def test_recorded_marks_equal_scanned_max(spark, tmp_table_dir):
     assert spark.read.parquet(f"{path}/{MARKS_DIR}").count() == 2
     # a column without recorded marks falls back to a scan
     assert high_water_mark(t, "k", path=path) == 11
+    # a full refresh starts the record anew (the old, larger max is gone)
+    upsert(spark, path, df, "k", ["part"], full_refresh=True, watermark_cols=["ts"])
+    t = spark.read.parquet(path)
+    assert high_water_mark(t, "ts", path=path) == dt.datetime(2024, 1, 3)
+    assert spark.read.parquet(f"{path}/{MARKS_DIR}").count() == 1
