@@ -122,3 +122,21 @@ def test_share_of_total_zero(spark):
     df2 = spark.createDataFrame([("a", 1), ("b", 2)], "g string, n bigint")
     got2 = {r.g: r.pct for r in share_of_total(df2, "n", "pct", 2).collect()}
     assert got2 == {"a": 33.33, "b": 66.67}
+
+
+def test_lag_gap_sub_minute_buckets_exact(spark, monkeypatch):
+    """A hot key with many rows inside one minute forces second / millisecond
+    buckets; the repaired lag still equals the plain window."""
+    import meterline.operators.windows as W
+    rnd = random.Random(11)
+    base = dt.datetime(2023, 5, 1, 12, 0, 0)
+    rows = [(0, base + dt.timedelta(microseconds=rnd.randrange(0, 50_000_000)))
+            for _ in range(400)]
+    rows += [(1, base + dt.timedelta(minutes=i)) for i in range(5)]
+    df = spark.createDataFrame(rows, "k int, t timestamp_ntz")
+    assert W.pick_split(df, "k", "t", target_rows=50) == "second"
+    assert W.pick_split(df, "k", "t", target_rows=5) == "millisecond"
+    for target in (50, 5):
+        monkeypatch.setattr(W.pick_split, "__defaults__", (target,))
+        got = lag_gap(df, "k", "t", prev_col="prev").select("k", "t", "prev")
+        assert sorted(got.collect()) == sorted(_plain_gaps(df).collect()), target
