@@ -3,13 +3,21 @@ operator, with production parameters, to its whole table."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm import exact_dedup, hilbert
+from meterline.llm import bpe, exact_dedup, hilbert, packing
 from meterline.llm.common import small_batches, table
 
 
+def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text and the text decoded from them, as digests."""
+    small_batches(spark)
+    return bpe.round_trip_digests(table(spark, sf_dir, "documents"),
+                                  public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts; the largest doc_id stays."""
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents")).select(
@@ -17,6 +25,13 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("size").alias("group_size"), "kept", F.col("sha").alias("text_sha256"))
 
 
+def op8_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 4096 tokens."""
+    small_batches(spark)
+    return packing.pack_documents(table(spark, sf_dir, "documents"),
+                                  public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op9_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Eight shards cut from the Hilbert order of (lang, source, size)."""
     docs = hilbert.document_metadata(table(spark, sf_dir, "documents"))
@@ -28,7 +43,9 @@ def op9_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op4_bpe_round_trip": op4_bpe_round_trip,
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_harmonic_packing": op8_harmonic_packing,
     "op9_hilbert_sharding": op9_hilbert_sharding,
 }
 
