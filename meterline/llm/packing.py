@@ -170,8 +170,8 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
         return rest
 
     narrow = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
-    rest = (placed.filter("bin >= bins").select(*narrow).groupBy(F.lit(0)).applyInPandas(
-        fit, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
+    rest = (placed.filter("bin >= bins").select(F.lit(0).alias("all"), *narrow).groupBy("all").applyInPandas(
+        fit, "all int, doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
              "sequence_id long, offset long"))
     rest = rest.join(F.broadcast(total)).withColumn(
         "sequence_id", F.col("sequence_id") + F.col("total")).select(*cols)

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm import bpe, exact_dedup, hilbert, packing
+from meterline.llm import bpe, exact_dedup, hilbert, packing, simhash
 from meterline.llm.common import small_batches, table
 
 
@@ -25,6 +25,12 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("size").alias("group_size"), "kept", F.col("sha").alias("text_sha256"))
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints and near-duplicate components of all documents."""
+    small_batches(spark)
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 4096 tokens."""
     small_batches(spark)
@@ -45,6 +51,7 @@ def op9_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES = {
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_simhash": op7_simhash,
     "op8_harmonic_packing": op8_harmonic_packing,
     "op9_hilbert_sharding": op9_hilbert_sharding,
 }
