@@ -7,8 +7,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm import bpe, exact_dedup, hilbert, packing, simhash
-from meterline.llm.common import small_batches, table
+from meterline.llm import bpe, exact_dedup, hilbert, packing, quality, simhash, toxicity
+from meterline.llm.common import fold, small_batches, table
+
+#: A document counts as label 1 from this score on.
+THRESHOLD = 0.3
+
+
+def _scored(scores: DataFrame, folds: int, held: int) -> DataFrame:
+    return scores.select("doc_id", (fold(F.col("doc_id"), folds) == held).alias("held_out"), "score",
+                         F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted"))
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; fold 0 of 5 is held out of training."""
+    small_batches(spark)
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    field = quality.train(docs, labels, fold(F.col("doc_id"), 5) != 0)
+    return _scored(quality.score_documents(docs, field), 5, 0)
 
 
 def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,12 +64,22 @@ def op9_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; fold 2 of 4 is held out of training."""
+    small_batches(spark)
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels, fold(F.col("doc_id"), 4) != 2)
+    return _scored(toxicity.score_documents(docs, model), 4, 2)
+
+
 LLM_QUERIES = {
+    "op3_quality": op3_quality,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_simhash": op7_simhash,
     "op8_harmonic_packing": op8_harmonic_packing,
     "op9_hilbert_sharding": op9_hilbert_sharding,
+    "op10_toxicity": op10_toxicity,
 }
 
 LLM_ORACLE = {
