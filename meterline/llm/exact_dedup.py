@@ -92,11 +92,14 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.withColumn("__own", F.sha2(ascii_lower(text_of(text_col)).cast("binary"), 256))
     rows = rows.join(flags, rows[id_col].eqNullSafe(F.col("__id"))
                      & (F.col("__own") == F.col("__sha")), "left_semi")
-    # Repeats of a kept (id, text): one row of them. Only ids that occur more
-    # than once are compared.
+    return one_row_each(rows, id_col).select(*docs.columns)
+
+
+def one_row_each(rows: DataFrame, id_col: str, by: str = "__own") -> DataFrame:
+    """One of the rows that repeat an id and ``by``. Only ids that occur more
+    than once are compared."""
     keyed = rows.withColumn("__key", F.coalesce(F.col(id_col).cast("string"), F.lit("")))
-    again = (keyed.groupBy("__key", "__own").count().filter("count > 1")
-                  .select("__key", "__own"))
-    once = keyed.join(again, ["__key", "__own"], "left_anti")
-    firsts = keyed.join(again, ["__key", "__own"], "left_semi").dropDuplicates(["__key", "__own"])
-    return once.unionByName(firsts).select(*docs.columns)
+    again = keyed.groupBy("__key", by).count().filter("count > 1").select("__key", by)
+    once = keyed.join(again, ["__key", by], "left_anti")
+    firsts = keyed.join(again, ["__key", by], "left_semi").dropDuplicates(["__key", by])
+    return once.unionByName(firsts)

@@ -40,8 +40,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import batch_of, map_rows, written
+from meterline.llm.common import batch_of, map_rows, text_of, written
 from meterline.llm.components import components
+from meterline.llm.exact_dedup import one_row_each
 
 BITS = 64
 #: Candidates of one probed value beyond which its members are linked through
@@ -70,12 +71,14 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int, seed: int) -> DataFrame:
-    """doc_id, fp (the fingerprint's 64 bits as a long)."""
+    """doc_id, fp (the fingerprint's 64 bits as a long), hash (of the text:
+    tells rows that repeat an id apart)."""
     def run(batches: Iterator[list[list]]) -> Iterator[pa.RecordBatch]:
-        for keys, texts in batches:
+        for keys, texts, hashes in batches:
             fp = np.array([fingerprint(t, shingle, seed) for t in texts], "u8").view("i8")
-            yield batch_of(doc_id=(keys, pa.int64()), fp=(fp, pa.int64()))
-    return map_rows(docs.select(id_col, text_col), run, "doc_id long, fp long")
+            yield batch_of(doc_id=(keys, pa.int64()), fp=(fp, pa.int64()), hash=(hashes, pa.int64()))
+    rows = docs.select(id_col, text_col, F.xxhash64(text_of(text_col)))
+    return map_rows(rows, run, "doc_id long, fp long, hash long")
 
 
 def bit_sums(prints: DataFrame) -> tuple[int, np.ndarray]:
@@ -215,15 +218,36 @@ def links(prints: DataFrame, radius: int = 2, crowd: int = CROWD) -> DataFrame:
     return pairs.unionByName(_around(crowds, radius))
 
 
+def _components(docs: DataFrame, id_col: str, text_col: str, shingle: int, seed: int,
+                radius: int) -> tuple[DataFrame, DataFrame]:
+    """The rows (doc_id, fp, hash) and the component (root) of each fp."""
+    rows = written(fingerprints(docs, id_col, text_col, shingle, seed), "fingerprints")
+    # The first row of each fingerprint: smallest id that is not NULL.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash"))
+    prints = written(rows.groupBy("fp").agg(first.alias("first")), "prints")
+    roots = written(components(links(prints.select("fp"), radius)), "roots")
+    return rows, (prints.join(roots, prints["fp"] == roots["node"], "left")
+                        .select("fp", "first", F.coalesce("root", "fp").alias("root")))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle: int = 3, seed: int = 42, radius: int = 2) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id, one row per row."""
-    rows = written(fingerprints(docs, id_col, text_col, shingle, seed), "fingerprints")
-    prints = written(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "prints")
-    roots = written(components(links(prints.select("fp"), radius)), "roots")
-    root = (prints.join(roots, prints["fp"] == roots["node"], "left")
-                  .select("fp", "low", F.coalesce("root", "fp").alias("root")))
-    low = root.groupBy("root").agg(F.min("low").alias("component_id"))
-    of = root.join(low, "root").select("fp", "component_id")
+    rows, root = _components(docs, id_col, text_col, shingle, seed, radius)
+    low = root.groupBy("root").agg(F.min("first").alias("low"))
+    of = root.join(low, "root").select("fp", F.col("low.doc_id").alias("component_id"))
     return rows.join(of, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                     shingle: int = 3, seed: int = 42, radius: int = 2) -> DataFrame:
+    """One row of each component, the one of the smallest id, all columns
+    unchanged; of rows that repeat that id, one."""
+    _, root = _components(docs, id_col, text_col, shingle, seed, radius)
+    stay = (root.groupBy("root").agg(F.min("first").alias("low"))
+                .select(F.col("low.doc_id").alias("__id"), F.col("low.hash").alias("__hash")))
+    rows = docs.withColumn("__own", F.xxhash64(text_of(text_col)))
+    rows = rows.join(stay, rows[id_col].eqNullSafe(F.col("__id"))
+                     & (F.col("__own") == F.col("__hash")), "left_semi")
+    return one_row_each(rows, id_col).select(*docs.columns)
