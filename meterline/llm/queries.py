@@ -7,13 +7,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm import bpe, exact_dedup, hilbert, packing, quality, simhash, toxicity
+from meterline.llm import bpe, exact_dedup, hilbert, neighbours, packing, quality, simhash, toxicity
 from meterline.llm.common import fold, small_batches, table
 
 #: A document counts as label 1 from this score on.
 THRESHOLD = 0.3
 
 
+def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 largest inner products of every vector whose id 20 divides."""
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
 def _scored(scores: DataFrame, folds: int, held: int) -> DataFrame:
     return scores.select("doc_id", (fold(F.col("doc_id"), folds) == held).alias("held_out"), "score",
                          F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted"))
@@ -73,6 +78,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op2_neighbours": op2_neighbours,
     "op3_quality": op3_quality,
     "op4_bpe_round_trip": op4_bpe_round_trip,
     "op6_exact_dedup": op6_exact_dedup,
