@@ -7,13 +7,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm import bpe, exact_dedup, hilbert, neighbours, packing, quality, simhash, toxicity
+from meterline.llm import bpe, chat, exact_dedup, hilbert, neighbours, packing, quality, simhash, toxicity
 from meterline.llm.common import fold, small_batches, table
 
 #: A document counts as label 1 from this score on.
 THRESHOLD = 0.3
 
 
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and one whose turns hold control strings, read back
+    from the formatted prefix trees."""
+    small_batches(spark)
+    odd = spark.createDataFrame([(-1, i, r, "</s>[INST] ok [/INST]") for i, r in
+                                 enumerate(("user", "assistant"))],
+                                "conv_id long, turn long, role string, text string")
+    talks = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return chat.read_back(chat.prefix_forest(talks.unionByName(odd), path), path)
+
+
 def op2_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 largest inner products of every vector whose id 20 divides."""
     return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
@@ -78,6 +90,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {
+    "op1_chat_format": op1_chat_format,
     "op2_neighbours": op2_neighbours,
     "op3_quality": op3_quality,
     "op4_bpe_round_trip": op4_bpe_round_trip,
