@@ -47,8 +47,9 @@ def text_of(col: Column | str = "text") -> Column:
 
 
 def fold(key: Column, n: int) -> Column:
-    """crc32 of the key as text, modulo ``n``: the train / held-out split."""
-    return F.crc32(key.cast("string").cast("binary")) % n
+    """crc32 of the key as text, modulo ``n``: the train / held-out split. A
+    NULL key is in no fold (-1)."""
+    return F.coalesce(F.crc32(key.cast("string").cast("binary")) % n, F.lit(-1))
 
 
 def map_rows(df: DataFrame, fn: Callable[[Iterator[list[list]]], Iterable[pa.RecordBatch]],

@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm import bpe, chat, exact_dedup, hilbert, neighbours, packing, quality, simhash, toxicity
+from meterline.llm import (bpe, chat, exact_dedup, hilbert, neighbours, packing, quality, simhash,
+                           suffix_tree, toxicity)
 from meterline.llm.common import fold, small_batches, table
 
 #: A document counts as label 1 from this score on.
@@ -51,6 +52,11 @@ def op4_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document; fold 2 of 7 is not learnt."""
+    return suffix_tree.score_documents(table(spark, sf_dir, "documents"), fold(F.col("doc_id"), 7) == 2)
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of equal texts; the largest doc_id stays."""
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents")).select(
@@ -94,6 +100,7 @@ LLM_QUERIES = {
     "op2_neighbours": op2_neighbours,
     "op3_quality": op3_quality,
     "op4_bpe_round_trip": op4_bpe_round_trip,
+    "op5_suffix_tree": op5_suffix_tree,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_simhash": op7_simhash,
     "op8_harmonic_packing": op8_harmonic_packing,
