@@ -41,39 +41,57 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from meterline.llm.bpe import byte_letters
 from meterline.llm.common import batch_of, map_rows, written
 
 #: Words a worker remembers before it starts its table anew.
 REMEMBERED = 400_000
 
 
-class WordIds:
+class WordIds(dict):
     """Ids of whole texts for a vocabulary whose tokens never cross white
-    space: each space-delimited word is encoded by the library once."""
+    space: each space-delimited word is encoded by the library once.
+
+    A Latin word is handed to the library's merges directly, lower-cased, and
+    apart from a closing comma or full stop: the word pattern always breaks
+    between a letter and a mark. All other words take the library's whole way.
+    """
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.known: dict[str, bytes] = {}
+        self.letter_of = dict(enumerate(byte_letters()))
+        self.plain: dict[str, bytes] = {}
+
+    def _latin(self, word: str) -> bytes:
+        key = word.lower()
+        ids = self.plain.get(key)
+        if ids is None:
+            letters = key if key.isascii() else key.encode().decode("latin-1").translate(self.letter_of)
+            ids = np.array([t.id for t in self.library.model.tokenize(letters)], "<u4").tobytes()
+            if len(self.plain) >= REMEMBERED:
+                self.plain.clear()
+            self.plain[key] = ids
+        return ids
+
+    def __missing__(self, word: str) -> bytes:
+        bare = word[:-1] if word[-1:] in (",", ".") else word
+        if bare.isalpha() and max(bare) < "\u0250" and "\u0130" not in bare:
+            ids = self._latin(bare) + (self[word[-1]] if bare is not word else b"")
+        else:
+            ids = np.array(self.library.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+        if len(word) < 64:
+            if len(self) >= REMEMBERED:
+                self.clear()
+            self[word] = ids
+        return ids
 
     def __call__(self, text: str) -> bytes:
-        words = text.replace("\n", " ").split(" ")
-        known = self.known
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            pass
-        new = list({w for w in words if w not in known})
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = list(set(words))
-        found = dict(zip(new, (np.array(e.ids, "<u4").tobytes() for e in
-                               self.library.encode_batch_fast(new, add_special_tokens=False))))
-        known.update((w, ids) for w, ids in found.items() if len(w) < 64)
-        return b"".join([found[w] if w in found else known[w] for w in words])
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 @functools.lru_cache(maxsize=2)
