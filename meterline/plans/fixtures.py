@@ -23,16 +23,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.functions.exprs import json_extract
+from meterline.sources.files import TRIP_FILE_SCHEMA, land_columns
 
 # Fixed load time of the base view (a batch literal, deterministic on retry).
 BASE_LOADED_AT = "2024-01-01 00:00:00"
 
-TRIP_SOURCE_COLUMNS = [
-    "VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime",
-    "passenger_count", "trip_distance", "RatecodeID", "store_and_fwd_flag",
-    "PULocationID", "DOLocationID", "payment_type", "fare_amount",
-    "tip_amount", "total_amount",
-]
+TRIP_SOURCE_COLUMNS = TRIP_FILE_SCHEMA.names
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,8 +41,7 @@ def trip_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trip_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows shaped like a monthly trip file (19-column dictionary subset) plus
-    the month the row's file belongs to (``_file_ym``, 'YYYY-MM')."""
+    """Rows shaped like a monthly trip file (all 19 columns) plus the month the row's file belongs to (``_file_ym``, 'YYYY-MM')."""
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer")
@@ -70,9 +65,17 @@ def trip_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("s_nationkey").cast("int").alias("DOLocationID"),
         F.col("l_linenumber").cast("int").alias("payment_type"),
         price.alias("fare_amount"),
+        (F.col("l_discount") * F.lit(10.0)).alias("extra"),
+        F.when(F.col("l_linenumber") == 7, F.lit(-0.5)).otherwise(F.lit(0.5)).alias("mta_tax"),
         (price * F.col("l_tax")).alias("tip_amount"),
         (price * (F.lit(1.0) - F.col("l_discount")) * (F.lit(1.0) + F.col("l_tax")))
         .alias("total_amount"),
+        (F.col("l_tax") * F.lit(100.0)).alias("tolls_amount"),
+        F.lit(1.0).alias("improvement_surcharge"),
+        # Blank where the passenger count is, as in the source's files.
+        F.when(F.col("l_quantity") != 7, F.lit(2.5)).alias("congestion_surcharge"),
+        F.when(F.col("l_quantity") != 7, F.when(F.col("l_linenumber") == 1, F.lit(1.25))
+               .otherwise(F.lit(0.0))).alias("airport_fee"),
         F.date_format(F.col("o_orderdate"), "yyyy-MM").alias("_file_ym"),
         F.col("l_orderkey"), F.col("l_linenumber"),
     )
@@ -86,7 +89,6 @@ def raw_trips(spark: SparkSession, sf_dir: str,
     plus source_file, file_month and one _loaded_at literal per batch.
     Keeps l_orderkey / l_linenumber for batch splitting and dedupe fixtures.
     """
-    from meterline.sources.files import land_columns
     rows = trip_file_rows(spark, sf_dir)
     source_file = F.concat(F.lit("yellow_tripdata_"), F.col("_file_ym"), F.lit(".parquet"))
     return land_columns(rows.withColumn("source_file", source_file), loaded_at,
@@ -131,8 +133,15 @@ def event_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def widened(rows: DataFrame) -> DataFrame:
+    """The rows as another month's files store them: 64-bit integers."""
+    return rows.withColumns({c: F.col(c).cast("bigint") for c in
+                             ("VendorID", "passenger_count", "PULocationID", "DOLocationID",
+                              "payment_type")})
+
+
 def write_month_files(spark: SparkSession, sf_dir: str, base_dir: str,
-                      where=None) -> list[str]:
+                      where=None, wide: bool = False) -> list[str]:
     """Write the trip-file rows as monthly files ``yellow_tripdata_YYYY-MM.parquet``
     under ``base_dir`` (each a Parquet folder); returns the written paths.
 
@@ -142,6 +151,8 @@ def write_month_files(spark: SparkSession, sf_dir: str, base_dir: str,
     rows = trip_file_rows(spark, sf_dir)
     if where is not None:
         rows = rows.filter(where)
+    if wide:
+        rows = widened(rows)
     stage = f"{base_dir.rstrip('/')}/_stage"
     rows.select(*TRIP_SOURCE_COLUMNS, "_file_ym").write.mode("overwrite") \
         .partitionBy("_file_ym").parquet(stage)

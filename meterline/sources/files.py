@@ -6,7 +6,7 @@
 * ``ingest_files``      idempotent batch load: files already in the ledger
                         are skipped, new ones appended (plus the ledger rows)
 * ``read_zone_csv``     typed CSV dimension
-* ``write_table`` / ``write_partitioned``  overwrite materialisations
+* ``write_partitioned``  partitioned overwrite
 """
 
 from __future__ import annotations
@@ -19,8 +19,9 @@ from pyspark.sql import types as T
 
 from meterline.functions.exprs import month_from_name
 
-# File-level schema of a monthly trip file (the columns we read; the rest of
-# the dictionary is never projected, so the scan never decodes it).
+# Columns of a monthly trip file, in order (fixed values of the source's data
+# dictionary), with the types we give them. Files differ in how wide they store
+# numbers; ``read_trip_files`` reads each by its own footer and casts.
 TRIP_FILE_SCHEMA = T.StructType([
     T.StructField("VendorID", T.IntegerType()),
     T.StructField("tpep_pickup_datetime", T.TimestampNTZType()),
@@ -33,11 +34,17 @@ TRIP_FILE_SCHEMA = T.StructType([
     T.StructField("DOLocationID", T.IntegerType()),
     T.StructField("payment_type", T.IntegerType()),
     T.StructField("fare_amount", T.DoubleType()),
+    T.StructField("extra", T.DoubleType()),
+    T.StructField("mta_tax", T.DoubleType()),
     T.StructField("tip_amount", T.DoubleType()),
+    T.StructField("tolls_amount", T.DoubleType()),
+    T.StructField("improvement_surcharge", T.DoubleType()),
     T.StructField("total_amount", T.DoubleType()),
+    T.StructField("congestion_surcharge", T.DoubleType()),
+    T.StructField("airport_fee", T.DoubleType()),
 ])
 
-# Columns landed in the raw table, in order.
+# Columns landed in the raw table, in order (fixed values of its contract).
 RAW_COLUMNS = [
     "tpep_pickup_datetime", "tpep_dropoff_datetime", "passenger_count",
     "trip_distance", "PULocationID", "DOLocationID", "payment_type",
@@ -85,13 +92,35 @@ def read_trip_files(spark: SparkSession, paths: Sequence[str] | str,
                     schema: T.StructType = TRIP_FILE_SCHEMA) -> DataFrame:
     """Typed scan of monthly files with the source file name attached.
 
-    The declared schema means no inference pass, and Parquet logical
-    timestamps arrive as TIMESTAMP_NTZ (never epoch integers).
+    Files are grouped by their footers' types (one footer is opened per file,
+    a list of months); each group is one scan, cast to ``schema``, with NULL
+    for columns it lacks. So an id stored as INT32 in one month and INT64 in
+    the next, or a count stored as a double, loads alike, and timestamps arrive
+    as TIMESTAMP_NTZ. Names match whatever their case.
     """
     if isinstance(paths, str):
         paths = [paths]
-    df = spark.read.schema(schema).parquet(*paths)
-    return df.withColumn("source_file", file_name_of(F.col("_metadata.file_path")))
+    groups: dict[str, tuple[T.StructType, list[str]]] = {}
+    for path in paths:
+        own = spark.read.parquet(path).schema
+        groups.setdefault(own.json(), (own, []))[1].append(path)
+    out = None
+    for own, same in groups.values():
+        have = {f.name.lower(): f.name for f in own.fields}
+        cols = [(F.col(have[f.name.lower()]) if f.name.lower() in have else F.lit(None))
+                .cast(f.dataType).alias(f.name) for f in schema.fields]
+        part = spark.read.schema(own).parquet(*same).select(
+            *cols, file_name_of(F.col("_metadata.file_path")).alias("source_file"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob, sorted (a listing: one entry per file)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(pattern)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    return sorted(st.getPath().toString() for st in found or [])
 
 
 def read_months(spark: SparkSession, base_dir: str, months) -> DataFrame:
@@ -127,16 +156,6 @@ def land_columns(df: DataFrame, loaded_at: str, keep: Sequence[str] = ()) -> Dat
     )
 
 
-def assert_schema(df: DataFrame, expected: T.StructType) -> DataFrame:
-    """Fail fast when a source's columns arrive with unexpected types."""
-    have = {f.name: f.dataType for f in df.schema.fields}
-    bad = [(f.name, have.get(f.name), f.dataType) for f in expected.fields
-           if f.name in have and have[f.name] != f.dataType]
-    if bad:
-        raise TypeError(f"schema mismatch: {bad}")
-    return df
-
-
 # ------------------------------------------------------------------ ledger load
 
 LEDGER_SCHEMA = T.StructType([
@@ -159,49 +178,33 @@ def ingest_files(spark: SparkSession, paths: Sequence[str], raw_path: str,
     """Idempotent batch landing.
 
     Files whose name is already in the ledger are skipped; the new files are
-    read in one scan, landed into the raw table, then recorded in the ledger.
-    Returns per-file loaded counts of this run (possibly empty).
-
-    Both writes go to this load's own partition (``LOAD_COL``, derived from
-    ``loaded_at``) with dynamic overwrite, so a run that fails after the raw
-    write, rerun with the same logical ``loaded_at``, finds the same files
-    missing from the ledger and replaces its own raw partition instead of
-    appending the rows a second time.
+    read in one scan per footer type, landed into the raw table, then recorded
+    in the ledger. Returns per-file loaded counts of this run (possibly empty).
+
+    Raw table and ledger are partitioned by file and written with dynamic
+    overwrite: a load replaces only its own files' rows, whatever stamp other
+    loads carry, and a run that failed after the raw write replaces its rows
+    when it is run again. The driver holds one entry per listed file.
     """
     ledger = _read_or_empty(spark, ledger_path, LEDGER_SCHEMA)
     names = [p.rstrip("/").split("/")[-1] for p in paths]
-    # Anti-join of this run's file listing against the ledger; the listing is a
-    # driver-side list of file names (one row per file, not per trip).
     listing = spark.createDataFrame([(n, p) for n, p in zip(names, paths)],
                                     "source_file string, path string")
     new = [r.path for r in listing.join(ledger, "source_file", "left_anti")
            .select("path").collect()]
     if not new:
         return spark.createDataFrame([], "source_file string, rows bigint")
-    load_id = load_partition(loaded_at)
-    landed = land_columns(read_trip_files(spark, new), loaded_at).withColumn(
-        LOAD_COL, F.lit(load_id))
-    (landed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(LOAD_COL).parquet(raw_path))
-    counts = (spark.read.parquet(raw_path)
-              .filter(F.col(LOAD_COL) == F.lit(load_id))
+    new_names = [p.rstrip("/").split("/")[-1] for p in new]
+    _by_file(land_columns(read_trip_files(spark, new), loaded_at), raw_path)
+    counts = (spark.read.parquet(raw_path).filter(F.col("source_file").isin(new_names))
               .groupBy("source_file").agg(F.count(F.lit(1)).alias("rows")))
-    (spark.createDataFrame([(n.split("/")[-1],) for n in new], "source_file string")
-     .withColumn("_loaded_at", F.lit(loaded_at).cast("timestamp_ntz"))
-     .withColumn(LOAD_COL, F.lit(load_id))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(LOAD_COL).parquet(ledger_path))
+    _by_file(spark.createDataFrame([(n,) for n in new_names], "source_file string")
+             .withColumn("_loaded_at", F.lit(loaded_at).cast("timestamp_ntz")), ledger_path)
     return counts
 
 
-# Raw-table and ledger partition of one batch load.
-LOAD_COL = "_load_id"
-
-
-def load_partition(loaded_at: str) -> str:
-    """Partition value of a load: its stamp as digits ('20240101000000000000')."""
-    import datetime as _dt
-    return _dt.datetime.fromisoformat(loaded_at).strftime("%Y%m%d%H%M%S%f")
+def _by_file(df: DataFrame, path: str) -> None:
+    write_partitioned(df, path, ["source_file"], dynamic=True)
 
 
 def file_counts(raw: DataFrame) -> DataFrame:
@@ -218,11 +221,6 @@ def read_zone_csv(spark: SparkSession, path: str) -> DataFrame:
 
 # ------------------------------------------------------------------ sinks
 
-def write_table(df: DataFrame, path: str) -> None:
-    """Full-table materialisation (S14): overwrite the table path."""
-    df.write.mode("overwrite").parquet(path)
-
-
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str],
                       dynamic: bool = False) -> None:
     """Partitioned Parquet overwrite.

@@ -3,10 +3,16 @@
 A file-source stream over the landing folder, run with
 ``trigger(availableNow=True)``: each run processes every file not yet seen
 (the source's own log in the checkpoint remembers processed files) and stops.
-Each micro-batch is landed (typed projection + provenance) and written by
+The stream carries file paths; each micro-batch reads its files by their own
+footers, lands them (typed projection + provenance) and writes them by
 ``foreachBatch`` into the raw table partition of its batch id with dynamic
 overwrite, so a batch replayed after a failure replaces its own output
 instead of appending a second copy.
+
+A batch's load stamp is stored beside the checkpoint before the batch's first
+write and used again when the batch is replayed; a new batch's stamp is later
+than every stored one. A strict high-water mark downstream therefore admits
+each batch exactly once, however often runs fail or reuse a stamp.
 """
 
 from __future__ import annotations
@@ -16,9 +22,32 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.sources.files import TRIP_FILE_SCHEMA, file_name_of, land_columns
+from meterline.operators.incremental import _exists
+from meterline.sources.files import land_columns, read_trip_files
 
 BATCH_COL = "_ingest_batch"
+STAMPS = "batch bigint, stamp timestamp_ntz"
+# Spark's own schema of a binary file source.
+BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
+
+
+def batch_stamp(spark: SparkSession, path: str, batch_id: int, loaded_at: str) -> _dt.datetime:
+    """The stored stamp of a batch, or a new one: ``loaded_at``, or one
+    microsecond after the latest stored stamp if that is later."""
+    if _exists(spark, path):
+        stored = spark.read.schema(STAMPS).parquet(path)
+        row = stored.agg(F.max(F.when(F.col("batch") == batch_id, F.col("stamp"))).alias("own"),
+                         F.max("stamp").alias("latest")).first()
+        if row["own"] is not None:
+            return row["own"]
+    else:
+        row = {"latest": None}
+    stamp = _dt.datetime.fromisoformat(loaded_at)
+    if row["latest"] is not None:
+        stamp = max(stamp, row["latest"] + _dt.timedelta(microseconds=1))
+    (spark.createDataFrame([(batch_id, stamp)], STAMPS).coalesce(1)
+          .write.mode("append").parquet(path))
+    return stamp
 
 
 def stream_ingest(spark: SparkSession, source_glob: str, raw_path: str, checkpoint: str,
@@ -26,30 +55,23 @@ def stream_ingest(spark: SparkSession, source_glob: str, raw_path: str, checkpoi
                   on_batch=None) -> None:
     """Land all not-yet-seen files matching ``source_glob`` into ``raw_path``.
 
-    The ``i``-th micro-batch of this run is stamped ``loaded_at + i
-    microseconds`` (the first one carries ``loaded_at`` itself): every batch
-    is a separate load with its own, later ``_loaded_at`` (so a strict
-    high-water mark downstream admits each one). Batch ids continue across
-    runs through the checkpoint, so the offset counts from the first batch
-    id this run sees; a rerun with the same ``loaded_at`` that replays an
-    uncommitted batch stamps it as that rerun's first load. ``on_batch(landed_df, batch_id)`` may add work
-    per batch (e.g. the incremental models); it runs after the raw write.
+    ``loaded_at`` is the earliest stamp of this run's new batches (see
+    ``batch_stamp``). ``on_batch(landed_df, batch_id)`` may add work per batch
+    (e.g. the incremental models); it runs after the raw write. A batch's file
+    paths reach the driver; ``max_files_per_trigger`` bounds them.
     """
-    base = _dt.datetime.fromisoformat(loaded_at)
-    reader = spark.readStream.schema(TRIP_FILE_SCHEMA)
+    # Of a binary file source only the path is read, never the content.
+    reader = spark.readStream.format("binaryFile").schema(BINARY_FILE)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    stream = reader.parquet(source_glob).withColumn(
-        "source_file", file_name_of(F.col("_metadata.file_path")))
-
-    first_batch: list[int] = []
+    stream = reader.load(source_glob).select("path")
+    stamps = f"{checkpoint.rstrip('/')}_stamps"
 
     def write_batch(df: DataFrame, batch_id: int) -> None:
-        if not first_batch:
-            first_batch.append(batch_id)
-        offset = batch_id - first_batch[0]
-        stamp = (base + _dt.timedelta(microseconds=offset)).isoformat(sep=" ")
-        landed = land_columns(df, stamp).withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
+        paths = sorted(r["path"] for r in df.collect())
+        stamp = batch_stamp(spark, stamps, batch_id, loaded_at).isoformat(sep=" ")
+        landed = land_columns(read_trip_files(spark, paths), stamp).withColumn(
+            BATCH_COL, F.lit(batch_id).cast("bigint"))
         (landed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                .partitionBy(BATCH_COL).parquet(raw_path))
         if on_batch is not None:
@@ -69,8 +91,8 @@ def stream_trips(spark: SparkSession, source_glob: str, raw_path: str, checkpoin
     """Files -> raw -> incremental intermediate and fact -> marts, per micro-batch.
 
     The exactly-once file pick-up (S7) feeding the delete+insert models (I2)
-    in ``foreachBatch``; replaying a batch is safe because the upserts are
-    idempotent by key.
+    in ``foreachBatch``; replaying a batch is safe because it carries its first
+    stamp again and the upserts are idempotent by key.
     """
     from meterline.plans.models import run_pipeline
 

@@ -6,12 +6,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF001
+from meterline.operators.incremental import read_table
+from meterline.plans import catalog as C
 from meterline.plans import fixtures as X
 from meterline.plans import models as M
 from meterline.plans.historical import process_historical
 from meterline.plans.runs import backfill, month_available
-from meterline.sources.files import (file_counts, file_name_of, ingest_files, read_months,
-                                     read_zone_csv)
+from meterline.sources.files import (TRIP_FILE_SCHEMA, file_counts, file_name_of, ingest_files,
+                                     read_months, read_trip_files, read_zone_csv)
 from meterline.streaming.ingest import stream_ingest, stream_trips
 
 CFG = dataclasses.replace(M.FIXTURE_CONFIG, fact_watermark_col="_loaded_at")
@@ -42,20 +44,71 @@ def test_ledger_ingest_loads_each_file_once(spark, tmp_table_dir):
 
 def test_ingest_rerun_after_lost_ledger_write(spark, tmp_table_dir):
     """The raw write committed but the ledger write did not: rerunning the
-    load with its stamp replaces its own rows, never doubles them."""
-    from meterline.sources.files import LOAD_COL, load_partition
+    load replaces its own files' rows, never doubles them."""
     paths = X.write_month_files(spark, SF001, tmp_table_dir + "/landing")
     raw, ledger = tmp_table_dir + "/raw", tmp_table_dir + "/ledger"
     ingest_files(spark, paths[:3], raw, ledger, "2024-01-01 00:00:00")
     ingest_files(spark, paths, raw, ledger, "2024-01-02 00:00:00")
     # Lose the second load's ledger entries, as if that write had failed.
-    kept = spark.read.parquet(ledger).filter(
-        F.col(LOAD_COL) != load_partition("2024-01-02 00:00:00"))
-    kept.write.mode("overwrite").partitionBy(LOAD_COL).parquet(tmp_table_dir + "/ledger2")
+    spark.read.parquet(ledger).filter("_loaded_at = '2024-01-01'").write.partitionBy(
+        "source_file").parquet(tmp_table_dir + "/ledger2")
     ingest_files(spark, paths, raw, tmp_table_dir + "/ledger2", "2024-01-02 00:00:00")
     assert counts(spark.read.parquet(raw)) == expected(spark)
 
 
+def test_two_loads_with_one_stamp_keep_both(spark, tmp_table_dir):
+    paths = X.write_month_files(spark, SF001, tmp_table_dir + "/landing")
+    raw, ledger = tmp_table_dir + "/raw", tmp_table_dir + "/ledger"
+    for ps in (paths[:4], paths):
+        ingest_files(spark, ps, raw, ledger, "2024-01-01 00:00:00")
+    assert counts(spark.read.parquet(raw)) == expected(spark)
+    assert spark.read.parquet(ledger).count() == len(paths)
+
+
+def test_mixed_integer_widths_load_alike(spark, tmp_table_dir):
+    early = F.col("_file_ym") < "1996-01"
+    land = tmp_table_dir + "/landing"
+    paths = (X.write_month_files(spark, SF001, land, early)
+             + X.write_month_files(spark, SF001, land, ~early, wide=True))
+    got = read_trip_files(spark, paths)
+    assert got.drop("source_file").schema == TRIP_FILE_SCHEMA
+    want = X.trip_files(spark, SF001)
+    key = ["PULocationID", "passenger_count", "payment_type", "tolls_amount"]
+    assert sorted(map(tuple, got.select(*key).collect()), key=repr) == sorted(
+        map(tuple, want.select(*key).collect()), key=repr)
+
+
+def test_missing_and_differently_cased_columns_read_as_declared(spark, tmp_table_dir):
+    path = tmp_table_dir + "/yellow_tripdata_2023-01.parquet"
+    spark.createDataFrame([(1, 2.5)], "vendorid bigint, Airport_fee double").write.parquet(path)
+    row = read_trip_files(spark, path).first()
+    assert (row["VendorID"], row["airport_fee"], row["fare_amount"]) == (1, 2.5, None)
+
+
+def test_stream_replay_reaches_the_models(spark, tmp_table_dir):
+    """A run dies in a middle batch and is started again with its stamp: no
+    batch is lost to the models."""
+    land, tables = tmp_table_dir + "/landing", M.Tables(tmp_table_dir + "/tables")
+    seed = X.zone_seed(spark, SF001)
+    C._one_part_files(spark, SF001, land)
+    args = (spark, land + "/yellow_tripdata_*.parquet", tmp_table_dir + "/raw", tmp_table_dir + "/ckpt",
+            "2024-01-01 00:00:00")
+
+    def dies(landed, batch_id):
+        if batch_id == 2:
+            raise RuntimeError("lost")
+        M.run_pipeline(spark, landed.drop("_ingest_batch"), seed, tables, CFG, ("intermediate", "marts"))
+
+    with pytest.raises(Exception):
+        stream_ingest(*args, 1, dies)
+    stream_trips(*args, seed, tables, CFG, 1)
+    raw = spark.read.parquet(tmp_table_dir + "/raw")
+    assert raw.select("_loaded_at").distinct().count() == raw.select("_ingest_batch").distinct().count() == 4
+    full = M.fact_trips(M.enrich_trips(M.stage_trips(raw.drop("_ingest_batch")), M.stage_zones(seed), CFG))
+    got = sorted(r.trip_id for r in read_table(spark, tables.fct).select("trip_id").collect())
+    assert got == sorted(r.trip_id for r in full.select("trip_id").collect()) and len(got) > 0
+
+
 def test_stream_ingest_exactly_once(spark, tmp_table_dir):
     land = tmp_table_dir + "/landing"
     glob = land + "/yellow_tripdata_*.parquet/*.parquet"
@@ -142,15 +195,17 @@ def test_historical_counts_rows_once(spark, tmp_table_dir):
     assert {r.pickup_year for r in out.select("pickup_year").distinct().collect()} <= {1997}
 
 
-def test_bounded_rechecks_a_rewritten_table(spark, tmp_table_dir):
-    """The broadcast verdict follows the files: a dimension rewritten in place
-    with more rows than the bound is not broadcast on a stale verdict."""
-    from meterline.operators.joins import bounded
-    path = tmp_table_dir + "/dim"
-    spark.range(5).write.mode("overwrite").parquet(path)
-    small = bounded(spark.read.parquet(path), max_rows=10)
-    assert "ResolvedHint" in small._jdf.queryExecution().analyzed().toString() or \
-        "broadcast" in small._jdf.queryExecution().analyzed().toString().lower()
-    spark.range(50).write.mode("overwrite").parquet(path)
-    big = bounded(spark.read.parquet(path), max_rows=10)
-    assert "broadcast" not in big._jdf.queryExecution().analyzed().toString().lower()
+def test_small_dimension_is_broadcast_without_a_hint(spark):
+    df = C.q_left_join_dim(spark, SF001)
+    assert "ResolvedHint" not in df._jdf.queryExecution().analyzed().toString()
+    assert "BroadcastHashJoin" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_shared_folder_must_be_named_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from meterline.session import shared_dir
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, master="yarn", setCheckpointDir=lambda d: None)
+    fake = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda k, d: d))
+    with pytest.raises(RuntimeError):
+        shared_dir(fake)
