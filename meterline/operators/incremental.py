@@ -11,16 +11,18 @@
   all its copies in one task, as a ``row_number`` window would.
 * ``upsert_frame``     delete+insert by key as a lazy DataFrame.
 * ``upsert``           the same against a partitioned Parquet table, rewriting
-  only the partitions the batch touches.
+  only the partitions the batch touches; crash-safe, with a declared schema.
+* ``read_table``       such a table, by its declared schema.
 * ``sync_columns``     align a target to a batch's columns (add / drop).
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,6 +33,9 @@ DEFAULT_FLOOR = "1900-01-01 00:00:00"
 # Hidden folder inside a table (Spark's reader skips names starting with '_')
 # holding one row per write: the max of each watermark column it wrote.
 MARKS_DIR = "_watermarks"
+PARTS_COL = "_parts"
+# Hidden folder with the values of a mapped column per partition.
+MAP_DIR = "_map"
 _UNRECORDED = object()
 
 
@@ -67,15 +72,61 @@ def _recorded_mark(spark: SparkSession, path: str, col: str, dtype: str | None):
     return row["m"] if row["n"] else _UNRECORDED
 
 
-def _record_marks(spark: SparkSession, path: str, written: DataFrame, marks: dict) -> None:
+def _append(spark: SparkSession, path: str, rows: list[tuple], schema: str) -> None:
+    if rows:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+
+
+def _record_marks(spark: SparkSession, path: str, written: DataFrame, marks: dict,
+                  replaced: list | None) -> None:
     """Append one row of maxima after a committed write (append only: a rerun
-    adds the same values again, which leaves every max unchanged)."""
-    if not marks or all(v is None for v in marks.values()):
+    adds the same values again, which leaves every max unchanged), with the
+    partitions it replaced (NULL: all)."""
+    if all(v is None for v in marks.values()):
         return
     types = dict(written.dtypes)
     schema = ", ".join(f"`{c}` {types[c]}" for c in marks)
-    (spark.createDataFrame([tuple(marks.values())], schema)
-          .write.mode("append").parquet(f"{path.rstrip('/')}/{MARKS_DIR}"))
+    texts = None if replaced is None else [None if v is None else str(v) for v in replaced]
+    _append(spark, f"{path.rstrip('/')}/{MARKS_DIR}", [(*marks.values(), texts)],
+            f"{schema}, {PARTS_COL} array<string>")
+
+
+def partitions_above(spark: SparkSession, path: str, col: str, mark) -> list[str | None] | None:
+    """Partitions (as text) that can hold rows with ``col`` above ``mark``: those
+    replaced by writes that recorded a larger max. None: any can."""
+    at = f"{path.rstrip('/')}/{MARKS_DIR}"
+    schema = _stored_schema(spark, path)
+    if schema is None or col not in schema.names or not _exists(spark, at):
+        return None
+    marks = spark.read.schema(f"`{col}` {schema[col].dataType.simpleString()}, "
+                              f"{PARTS_COL} array<string>").parquet(at)
+    later = marks.filter(F.col(col) > F.lit(str(mark)).cast(schema[col].dataType))
+    row = later.agg(F.count_if(F.col(PARTS_COL).isNull()).alias("whole"), F.count(F.lit(1)).alias("n")).first()
+    if row["whole"] or not row["n"]:
+        return None
+    return [r["p"] for r in later.select(F.explode(PARTS_COL).alias("p")).distinct().collect()]
+
+
+def partitions_with(spark: SparkSession, path: str, values: Sequence) -> list[str | None] | None:
+    """Partitions (as text) in which a write has put any of the mapped column's
+    ``values``: a superset of those that hold them now. None: no record."""
+    at = f"{path.rstrip('/')}/{MAP_DIR}"
+    if not _exists(spark, at):
+        return None
+    v = F.col("v")
+    known = [str(x) for x in values if x is not None]
+    hit = v.isin(known) if known else F.lit(False)
+    if any(x is None for x in values):
+        hit = hit | v.isNull()
+    return [r["part"] for r in spark.read.schema("v string, part string").parquet(at)
+            .filter(hit).select("part").distinct().collect()]
+
+
+def in_partitions(col: str, dtype: str, parts: Sequence[str | None]) -> Column:
+    """A filter on a partition column that prunes: literals of its type."""
+    known = [F.lit(p).cast(dtype) for p in parts if p is not None]
+    hit = F.col(col).isin(known) if known else F.lit(False)
+    return hit | F.col(col).isNull() if any(p is None for p in parts) else hit
 
 
 def new_rows(batch: DataFrame, target: DataFrame | None, col: str,
@@ -100,13 +151,15 @@ def dedupe_latest(df: DataFrame, key: Sequence[str] | str,
     key = [key] if isinstance(key, str) else list(key)
     order = [order] if isinstance(order, str) else list(order)
     rest = [c for c in df.columns if c not in key and c not in order]
-    sort_fields = []
+    # One struct in tie order; the winner's columns are read back from it.
+    fields = []
     for i, c in enumerate(order):
-        sort_fields += [F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"o{i}")]
-    row = F.struct(*[F.col(c) for c in df.columns]).alias("row")
-    best = F.max(F.struct(*sort_fields, *[F.col(c).alias(f"r_{c}") for c in rest], row))
-    return (df.groupBy(*key).agg(best.alias("__best"))
-              .select(*[F.col(f"__best.row.{c}").alias(c) for c in df.columns]))
+        fields += [F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"o{i}")]
+    fields += [F.col(c).alias(f"r{i}") for i, c in enumerate(rest)]
+    place = {**{c: f"o{i}" for i, c in enumerate(order)}, **{c: f"r{i}" for i, c in enumerate(rest)}}
+    return (df.groupBy(*key).agg(F.max(F.struct(*fields)).alias("__best"))
+              .select(*[F.col(c) if c in key else F.col(f"__best.{place[c]}").alias(c)
+                        for c in df.columns]))
 
 
 def upsert_frame(target: DataFrame | None, batch: DataFrame,
@@ -129,10 +182,76 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+# Hidden folders inside a stored table: its declared schema (the last row
+# written counts), and a merge that is written but not yet swapped in.
+SCHEMA_DIR = "_schema"
+PENDING_DIR = "_pending"
+PENDING_PLAN = "declared string, by array<string>"
+
+
+def _stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    at = f"{path.rstrip('/')}/{SCHEMA_DIR}"
+    if not _exists(spark, f"{at}/_SUCCESS"):
+        return None
+    row = (spark.read.schema("version bigint, declared string").parquet(at)
+                .agg(F.max_by("declared", "version").alias("d")).first())
+    return T.StructType.fromJson(json.loads(row["d"])) if row["d"] else None
+
+
+def _declare(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Record ``schema`` as the table's unless it already is. Every column is
+    declared nullable: older partitions may lack it."""
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
+    if _stored_schema(spark, path) == schema:
+        return
+    at = f"{path.rstrip('/')}/{SCHEMA_DIR}"
+    n = spark.read.schema("version bigint").parquet(at).count() if _exists(spark, at) else 0
+    (spark.createDataFrame([(n, schema.json())], "version bigint, declared string")
+          .coalesce(1).write.mode("append").parquet(at))
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table written by ``upsert`` is there: its first write ended."""
+    return _stored_schema(spark, path) is not None
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """A table written by ``upsert``, by its declared schema; None if there is
+    none.
+
+    A column added by a later batch reads as NULL in partitions that no batch
+    has touched since, a dropped one is gone from all, and a table without any
+    row reads as empty. A merge that a crash left between its write and its
+    swap is finished first, so no reader sees a partition half replaced.
+    """
+    schema = _stored_schema(spark, path)
+    if schema is None:
+        return None
+    if _exists(spark, f"{path.rstrip('/')}/{PENDING_DIR}"):
+        _finish_pending(spark, path)
+        schema = _stored_schema(spark, path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def _finish_pending(spark: SparkSession, path: str) -> None:
+    """Redo the swap of a complete pending merge; drop an incomplete one."""
+    at = f"{path.rstrip('/')}/{PENDING_DIR}"
+    if not _exists(spark, at):
+        return
+    if _exists(spark, f"{at}/rows/_SUCCESS"):
+        plan = spark.read.schema(PENDING_PLAN).parquet(f"{at}/plan").first()
+        merged = T.StructType.fromJson(json.loads(plan["declared"]))
+        (spark.read.schema(merged).parquet(f"{at}/rows")
+              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .partitionBy(*plan["by"]).parquet(path))
+        _declare(spark, path, merged)
+    delete_path(spark, at)
+
+
 def upsert(spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str] | str,
            partition_cols: Sequence[str], full_refresh: bool = False,
            parts: Sequence[tuple] | None = None,
-           watermark_cols: Sequence[str] = ()) -> None:
+           watermark_cols: Sequence[str] = (), map_col: str | None = None) -> None:
     """Delete+insert ``batch`` into the partitioned Parquet table at ``path``.
 
     Precondition: the key determines the partition (rows sharing a key share
@@ -141,11 +260,19 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str]
     values), the batch keys are anti-joined out, the batch is appended, and a
     dynamic partition overwrite replaces exactly those partitions.
 
-    Writing over the partitions being read is safe here: the overwrite stages
-    its output and swaps partitions only at job commit, so a task retried
-    after a lost executor still reads the old files. A rerun of the same batch
-    produces the same table. ``parts`` may pass the batch's distinct partition
-    values when the caller already has them.
+    Crash safety: the merged partitions are first written whole beside the
+    table (``_pending``) and then swapped in from there. A run that dies
+    before that write ends has changed nothing; one that dies in the swap is
+    finished by the next ``read_table`` or ``upsert``, from the pending copy,
+    which holds the kept rows too. A rerun of the same batch produces the same
+    table. The first write and a full refresh replace the whole table and
+    declare its schema last: until then the table does not exist, and a rerun
+    starts anew. ``parts`` may pass the batch's distinct partition values when
+    the caller already has them.
+
+    Columns follow the batch (I5): the table's declared schema becomes the
+    batch's. Added and dropped columns need no rewrite (see ``read_table``); a
+    column whose type changes does, and all partitions are then rewritten.
 
     ``watermark_cols``: the write also records each column's max (an
     ``observe`` on the write job, no extra pass) for ``high_water_mark``.
@@ -153,41 +280,62 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str]
     never lowers a column's max (true for the load stamp, which only grows,
     and for columns the key determines, like the pickup time in trip_id); a
     full refresh starts the record anew, and a run that failed between the
-    write and the record is repaired by rerunning it.
+    write and the record is repaired by rerunning it. Beside the marks stand
+    the partitions the write replaced (``partitions_above``).
+
+    ``map_col``: a column with few values per partition (a month); the write
+    records which of its values lie in which partition (``partitions_with``).
+    Both records name values of the first partition column.
     """
     from pyspark.sql import Observation
     cols = [c for c in watermark_cols if c in batch.columns]
-    seen = Observation("upsert_marks") if cols else None
+    watched = [F.max(c).alias(c) for c in cols]
+    if map_col:
+        watched.append(F.collect_set(F.struct(F.col(map_col).cast("string").alias("v"), F.col(
+            partition_cols[0]).cast("string").alias("part"))).alias("__map"))
+    seen = Observation("upsert_marks") if watched else None
 
     def observed(df: DataFrame) -> DataFrame:
-        return df.observe(seen, *[F.max(c).alias(c) for c in cols]) if seen else df
+        return df.observe(seen, *watched) if seen else df
 
-    def record(df: DataFrame) -> None:
-        if seen:
-            _record_marks(spark, path, df, {c: seen.get[c] for c in cols})
+    def record(df: DataFrame, replaced: list | None) -> None:
+        if map_col:
+            _append(spark, f"{path.rstrip('/')}/{MAP_DIR}", [tuple(r) for r in seen.get["__map"]],
+                    "v string, part string")
+        if cols:
+            _record_marks(spark, path, df, {c: seen.get[c] for c in cols}, replaced)
 
     key = [key] if isinstance(key, str) else list(key)
-    if full_refresh or not _exists(spark, path):
+    target = None if full_refresh else read_table(spark, path)
+    if target is None:
         (observed(batch).write.mode("overwrite").option("partitionOverwriteMode", "static")
                         .partitionBy(*partition_cols).parquet(path))
-        record(batch)
+        record(batch, None)
+        _declare(spark, path, batch.schema)
         return
-    target = spark.read.parquet(path)
     # Distinct partition values of the batch: one row per touched partition.
     if parts is None:
         parts = [tuple(r) for r in batch.select(*partition_cols).distinct().collect()]
     if not parts:
         return
-    pred = F.lit(False)
-    for vals in parts:
-        conj = F.lit(True)
-        for c, v in zip(partition_cols, vals):
-            conj = conj & (F.col(c).isNull() if v is None else (F.col(c) == F.lit(v)))
-        pred = pred | conj
+    types = dict(target.dtypes)
+    rewrite = any(types.get(c, t) != t for c, t in batch.dtypes)
+    if rewrite:
+        pred = F.lit(True)
+    else:
+        pred = F.lit(False)
+        for vals in parts:
+            conj = F.lit(True)
+            for c, v in zip(partition_cols, vals):
+                conj = conj & (F.col(c).isNull() if v is None else (F.col(c) == F.lit(v)))
+            pred = pred | conj
     merged = upsert_frame(target.filter(pred), batch, key)
-    (observed(merged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                     .partitionBy(*partition_cols).parquet(path))
-    record(merged)
+    at = f"{path.rstrip('/')}/{PENDING_DIR}"
+    (spark.createDataFrame([(merged.schema.json(), list(partition_cols))], PENDING_PLAN)
+          .coalesce(1).write.mode("overwrite").parquet(f"{at}/plan"))
+    observed(merged).write.mode("overwrite").parquet(f"{at}/rows")
+    _finish_pending(spark, path)
+    record(merged, None if rewrite else [v[0] for v in parts])
 
 
 def sync_columns(target: DataFrame, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -246,6 +394,3 @@ def month_of_run(ds: str) -> str:
     _dt.date.fromisoformat(ds)
     return ds[:7]
 
-
-def empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)

@@ -17,9 +17,11 @@ from meterline.functions.exprs import (exact_avg, exact_sum, grain_key, minutes_
                                        pct, round_half_away, surrogate_key)
 from meterline.operators import checks as C
 from meterline.operators.clean import CleanRules, clean
-from meterline.operators.incremental import (_exists, dedupe_latest, delete_path, new_rows,
+from meterline.operators.incremental import (_exists, dedupe_latest, delete_path,
+                                              high_water_mark, in_partitions, new_rows,
+                                              partitions_above, partitions_with, read_table,
                                               stage, upsert)
-from meterline.operators.joins import bounded, enrich
+from meterline.operators.joins import enrich
 
 # Columns hashed into trip_id, in order (fixed value of the trip model).
 TRIP_KEY_COLUMNS = [
@@ -41,9 +43,10 @@ class PipelineConfig:
     high_volume_trips: int = 10_000
     # Column the intermediate layer's incremental slice watermarks on.
     int_watermark_col: str = "_loaded_at"
-    # Column the fact's incremental slice watermarks on ('pickup_datetime'
-    # reproduces the original models; '_loaded_at' also admits late months).
-    fact_watermark_col: str = "pickup_datetime"
+    # Column the fact's incremental slice watermarks on. '_loaded_at' admits
+    # late months; 'pickup_datetime' is the original models' rule, which never
+    # takes a month older than the newest one in.
+    fact_watermark_col: str = "_loaded_at"
     keep: tuple[str, ...] = field(default_factory=tuple)
 
     def rules(self) -> CleanRules:
@@ -147,7 +150,7 @@ def zone_performance(fct: DataFrame, dim: DataFrame,
         round_half_away(exact_avg("trip_distance"), 2).alias("avg_trip_distance"),
         round_half_away(exact_avg("fare_amount"), 2).alias("avg_fare"),
         round_half_away(exact_sum("total_amount"), 2).alias("total_revenue"))
-    d = bounded(dim.select(F.col("location_id"), "borough", "zone_name"))
+    d = dim.select("location_id", "borough", "zone_name")
     j = g.join(d, g.pickup_location_id == d.location_id, "left").drop("location_id")
     w = Window.partitionBy("file_month").orderBy(F.col("total_revenue").desc_nulls_first())
     return j.select(
@@ -191,10 +194,6 @@ class Tables:
     def zone_perf(self): return f"{self.base}/agg_zone_performance"
 
 
-def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    return spark.read.parquet(path) if _exists(spark, path) else None
-
-
 def run_pipeline(spark: SparkSession, raw: DataFrame, seed: DataFrame, tables: Tables,
                  cfg: PipelineConfig, layers=("staging", "intermediate", "marts", "checks"),
                  full_refresh: bool = False) -> DataFrame | None:
@@ -210,7 +209,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, seed: DataFrame, tables: T
     stg = stage_trips(raw, cfg.duration_mode)
     zones = stage_zones(seed)
     if "intermediate" in layers:
-        target = None if full_refresh else _read_or_none(spark, tables.int_trips)
+        target = None if full_refresh else read_table(spark, tables.int_trips)
         batch = with_pickup_month(enrich_trips(stg, zones, cfg))
         staged, parts = None, None
         if target is not None:
@@ -224,11 +223,10 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, seed: DataFrame, tables: T
         if staged:
             delete_path(spark, staged)
     if "marts" in layers:
-        enriched = spark.read.parquet(tables.int_trips)
-        target = None if full_refresh else _read_or_none(spark, tables.fct)
+        enriched = read_table(spark, tables.int_trips)
+        target = None if full_refresh else read_table(spark, tables.fct)
         batch = fact_trips(enriched if target is None else
-                           new_rows(enriched, target, cfg.fact_watermark_col,
-                                    path=tables.fct))
+                           fact_slice(spark, enriched, target, tables, cfg))
         staged, touched = None, None
         if target is not None:
             # The deduplicated batch feeds the touched months and the merge:
@@ -238,18 +236,29 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, seed: DataFrame, tables: T
             touched = touched_months(target, pairs)
         upsert(spark, tables.fct, batch, "trip_id", [PARTITION_COL], full_refresh,
                parts=None if touched is None else [(m,) for m in touched[0]],
-               watermark_cols=WATERMARK_COLS)
+               watermark_cols=WATERMARK_COLS, map_col="file_month")
         if staged:
             delete_path(spark, staged)
         dim_zones(zones).write.mode("overwrite").parquet(tables.dim)
         refresh_marts(spark, tables, cfg, touched)
     if "checks" in layers:
-        results = model_checks(spark, tables, cfg)
+        results = model_checks(spark, stg, zones, tables, cfg)
         C.gate(results)
         return results
     return None
 
 
+def fact_slice(spark: SparkSession, enriched: DataFrame, target: DataFrame, tables: Tables,
+               cfg: PipelineConfig) -> DataFrame:
+    """The intermediate rows above the fact's mark, read from the pickup months
+    that writes with a later mark replaced (all, if that is not recorded)."""
+    mark = high_water_mark(target, cfg.fact_watermark_col, path=tables.fct)
+    parts = partitions_above(spark, tables.int_trips, cfg.fact_watermark_col, mark)
+    if parts is not None:
+        enriched = enriched.filter(in_partitions(PARTITION_COL, "date", parts))
+    return new_rows(enriched, target, cfg.fact_watermark_col, path=tables.fct)
+
+
 def touched_months(target: DataFrame, pairs: list[tuple]) -> tuple[list, list]:
     """What a fact batch can change, read before it is applied:
     (pickup months it writes, file months whose zone-month rows may change),
@@ -292,7 +301,7 @@ def refresh_marts(spark: SparkSession, tables: Tables, cfg: PipelineConfig,
     months it produced, so this costs no extra job.
     """
     from pyspark.sql import Observation
-    fct = spark.read.parquet(tables.fct)
+    fct = read_table(spark, tables.fct)
     dim = spark.read.parquet(tables.dim)
     full = (touched is None or not _exists(spark, tables.daily)
             or not _exists(spark, tables.zone_perf))
@@ -307,7 +316,9 @@ def refresh_marts(spark: SparkSession, tables: Tables, cfg: PipelineConfig,
         in_files = F.col("file_month").isin(known) if known else F.lit(False)
         if None in files:   # rows from a file name without a valid month
             in_files = in_files | F.col("file_month").isNull()
-        zp_src = fct.filter(in_files)
+        parts = partitions_with(spark, tables.fct, files)
+        pruned = fct if parts is None else fct.filter(in_partitions(PARTITION_COL, "date", parts))
+        zp_src = pruned.filter(in_files)
     overwrite = "static" if full else "dynamic"
     daily = daily_revenue(daily_src).withColumn(
         DAILY_PARTITION_COL, F.trunc(F.col("revenue_date"), "month"))
@@ -327,20 +338,45 @@ def refresh_marts(spark: SparkSession, tables: Tables, cfg: PipelineConfig,
             delete_path(spark, f"{tables.zone_perf}/file_month={part}")
 
 
-def model_checks(spark: SparkSession, tables: Tables, cfg: PipelineConfig) -> DataFrame:
-    """The model tests: not_null, unique, relationships, range, total >= fare."""
-    fct = spark.read.parquet(tables.fct)
+def read_marts(spark: SparkSession, tables: Tables, fct: DataFrame,
+               cfg: PipelineConfig) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(dim_zones, daily, zone performance) as stored, by the schemas their
+    models give: a mart without rows reads as empty."""
     dim = spark.read.parquet(tables.dim)
-    daily = spark.read.parquet(tables.daily)
-    zp = spark.read.parquet(tables.zone_perf)
-    return C.check_counts(fact_checks(fct, dim, daily, zp, cfg))
+    daily = daily_revenue(fct).withColumn(DAILY_PARTITION_COL, F.trunc("revenue_date", "month"))
+    zp = zone_performance(fct, dim, cfg.high_volume_trips)
+    return (dim, spark.read.schema(daily.schema).parquet(tables.daily),
+            spark.read.schema(zp.schema).parquet(tables.zone_perf))
+
+
+def model_checks(spark: SparkSession, stg: DataFrame, zones: DataFrame, tables: Tables,
+                 cfg: PipelineConfig) -> DataFrame:
+    """The model tests: not_null, unique, relationships, range, total >= fare."""
+    fct = read_table(spark, tables.fct)
+    return C.check_counts(staging_checks(stg, zones, read_table(spark, tables.int_trips))
+                          + fact_checks(fct, *read_marts(spark, tables, fct, cfg), cfg))
+
+
+def staging_checks(stg: DataFrame, zones: DataFrame, enriched: DataFrame) -> list:
+    """The tests of the staging and intermediate models."""
+    return [
+        C.RowChecks(stg, {("not_null", "stg_trips.trip_id"): C.null_rule("trip_id"),
+                          ("not_null", "stg_trips.pickup_datetime"): C.null_rule("pickup_datetime")}),
+        C.RowChecks(zones, {("not_null", "stg_zones.location_id"): C.null_rule("location_id"),
+                            ("not_null", "stg_zones.borough"): C.null_rule("borough")}),
+        C.Check("unique", "stg_zones.location_id", C.unique(zones, "location_id")),
+        C.RowChecks(enriched, {
+            ("not_null", "int_trips_enriched.trip_id"): C.null_rule("trip_id"),
+            ("not_null", "int_trips_enriched.pickup_location_id"): C.null_rule("pickup_location_id"),
+        }),
+    ]
 
 
 def fact_checks(fct: DataFrame, dim: DataFrame, daily: DataFrame, zp: DataFrame,
                 cfg: PipelineConfig) -> list:
-    """The model tests. Row-level rules of a table share one scan (RowChecks);
-    uniqueness is a grouped count; the relationship is a broadcast anti-join
-    against the (size-checked) dimension keys."""
+    """The tests of the fact, the dimension and the marts. Row-level rules of a
+    table share one scan (RowChecks); uniqueness is a grouped count; the
+    relationship is an anti-join against the dimension's keys."""
     return [
         C.RowChecks(fct, {
             ("not_null", "fct_trips.trip_id"): C.null_rule("trip_id"),

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 
 from meterline.operators import incremental as I
 
@@ -123,3 +125,79 @@ def test_recorded_marks_equal_scanned_max(spark, tmp_table_dir):
     t = spark.read.parquet(path)
     assert high_water_mark(t, "ts", path=path) == dt.datetime(2024, 1, 3)
     assert spark.read.parquet(f"{path}/{MARKS_DIR}").count() == 1
+
+
+DRIFT = "trip_id string, tip double, m date"
+
+
+def _drift(spark):
+    one, two = dt.date(2023, 1, 1), dt.date(2023, 2, 1)
+    first = spark.createDataFrame([("a", 1.0, one), ("b", 1.0, two)], DRIFT)
+    second = spark.createDataFrame([("b", 2.0, 7, two)], "trip_id string, tip double, x int, m date")
+    third = spark.createDataFrame([("c", 3.0, 8, two)], "trip_id string, tip double, x int, m date")
+    return first, second, third
+
+
+def test_columns_sync_on_disk(spark, tmp_table_dir):
+    path = tmp_table_dir + "/t"
+    first, second, third = _drift(spark)
+    for b in (first, second, third):
+        I.upsert(spark, path, b, "trip_id", ["m"])
+    got = {r.trip_id: (r.tip, r.x) for r in I.read_table(spark, path).collect()}
+    assert got == {"a": (1.0, None), "b": (2.0, 7), "c": (3.0, 8)}
+    # A dropped column is gone from partitions no batch touched, too.
+    I.upsert(spark, path, spark.createDataFrame([("d", dt.date(2023, 2, 1))], "trip_id string, m date"),
+             "trip_id", ["m"])
+    t = I.read_table(spark, path)
+    assert t.columns == ["trip_id", "m"] and t.count() == 4
+    # A column whose type changes is rewritten everywhere.
+    wide = spark.createDataFrame([("e", 1, dt.date(2023, 2, 1))], "trip_id string, n int, m date")
+    I.upsert(spark, path, wide, "trip_id", ["m"])
+    I.upsert(spark, path, wide.withColumn("n", wide["n"].cast("bigint")), "trip_id", ["m"])
+    assert dict(I.read_table(spark, path).dtypes)["n"] == "bigint"
+    assert sorted(r.trip_id for r in I.read_table(spark, path).collect()) == list("abcde")
+
+
+def test_a_crash_in_the_swap_loses_nothing(spark, tmp_table_dir, monkeypatch):
+    """Die after the pending write and half the swap (the touched partition is
+    deleted): the next reader finishes it, kept rows included."""
+    path = tmp_table_dir + "/t"
+    first = spark.createDataFrame([("a", 1.0, dt.date(2023, 1, 1)), ("k", 1.0, dt.date(2023, 1, 1)),
+                                   ("b", 1.0, dt.date(2023, 2, 1))], DRIFT)
+    I.upsert(spark, path, first, "trip_id", ["m"])
+    batch = spark.createDataFrame([("a", 5.0, dt.date(2023, 1, 1))], DRIFT)
+    finish = I._finish_pending
+
+    def dies(spark_, path_):
+        I.delete_path(spark_, path_ + "/m=2023-01-01")
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(I, "_finish_pending", dies)
+    with pytest.raises(RuntimeError):
+        I.upsert(spark, path, batch, "trip_id", ["m"])
+    monkeypatch.setattr(I, "_finish_pending", finish)
+    want = [("a", 5.0), ("b", 1.0), ("k", 1.0)]
+    assert sorted((r.trip_id, r.tip) for r in I.read_table(spark, path).collect()) == want
+    I.upsert(spark, path, batch, "trip_id", ["m"])     # the rerun changes nothing
+    assert sorted((r.trip_id, r.tip) for r in I.read_table(spark, path).collect()) == want
+
+
+def test_a_crash_before_the_pending_write_ends_changes_nothing(spark, tmp_table_dir):
+    path = tmp_table_dir + "/t"
+    first, *_ = _drift(spark)
+    I.upsert(spark, path, first, "trip_id", ["m"])
+    # What an unfinished write leaves: rows without the success mark.
+    first.write.parquet(path + "/_pending/rows")
+    I.delete_path(spark, path + "/_pending/rows/_SUCCESS")
+    assert I.read_table(spark, path).count() == 2
+    assert not I._exists(spark, path + "/_pending")
+
+
+def test_an_empty_first_batch_makes_an_empty_table(spark, tmp_table_dir):
+    path = tmp_table_dir + "/t"
+    first, *_ = _drift(spark)
+    I.upsert(spark, path, first.limit(0), "trip_id", ["m"], watermark_cols=["tip"])
+    t = I.read_table(spark, path)
+    assert t.count() == 0 and t.columns == first.columns
+    I.upsert(spark, path, first, "trip_id", ["m"], watermark_cols=["tip"])
+    assert I.read_table(spark, path).count() == 2

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SF001
 from meterline.operators.checks import QualityGateError
+from meterline.operators.incremental import read_table
 from meterline.plans import fixtures as X
 from meterline.plans import models as M
 
@@ -135,3 +136,18 @@ def test_incremental_marts_null_file_month(spark, tmp_table_dir):
     M.run_pipeline(spark, reload("1997-04-01", "yellow_tripdata_1997-04.parquet",
                                  "2024-01-03 00:00:00"), seed, tables, cfg, layers)
     assert marts_match() == 0
+
+
+def test_empty_first_batch_builds_all_tables(spark, tmp_table_dir):
+    tables, seed = M.Tables(tmp_table_dir), X.zone_seed(spark, SF001)
+    raw1, raw2 = batches(spark)
+    M.run_pipeline(spark, raw1.filter(F.lit(False)), seed, tables, CFG)     # all checks pass
+    assert read_table(spark, tables.fct).count() == 0
+    M.run_pipeline(spark, raw1, seed, tables, CFG, ("intermediate", "marts"))
+    full = M.fact_trips(M.enrich_trips(M.stage_trips(raw1), M.stage_zones(seed), CFG))
+    assert ids(read_table(spark, tables.fct)) == ids(full)
+    assert len(M.staging_checks(M.stage_trips(raw1), M.stage_zones(seed), full)) == 4
+
+
+def test_default_watermark_takes_late_months():
+    assert M.PipelineConfig().fact_watermark_col == "_loaded_at"
