@@ -61,18 +61,29 @@ def round_half_away(x: ColumnOrName, digits: int = 2) -> Column:
     return F.when(v >= 0, pos).otherwise(neg)
 
 
+# Beyond this a double's sum is left to double arithmetic (decimal(38,10)
+# holds 28 digits before the point).
+EXACT_LIMIT = 1e27
+
+
 def exact_sum(x: ColumnOrName) -> Column:
     """Order-independent sum of a double column (decimal accumulation).
 
     Double addition is not associative, so a plain ``sum`` depends on the
     partitioning. Summing in decimal(38,10) is exact and gives the same value
     however the rows are split across tasks; the result is returned as double.
+    With a NaN, an infinity or a value beyond ``EXACT_LIMIT`` in the group the
+    sum is the plain double one, as ``sum`` gives it (NaN, infinity).
     """
-    return F.sum(_c(x).cast(T.DecimalType(38, 10))).cast("double")
+    v = _c(x).cast("double")
+    fits = F.coalesce(F.abs(v) < F.lit(EXACT_LIMIT), F.lit(True)) & ~F.coalesce(F.isnan(v), F.lit(False))
+    exact = F.sum(F.when(fits, v).cast(T.DecimalType(38, 10))).cast("double")
+    return F.when(F.count_if(~fits) > 0, F.sum(v)).otherwise(exact)
 
 
 def exact_avg(x: ColumnOrName) -> Column:
-    """Mean of the non-NULL values computed from ``exact_sum`` (double)."""
+    """Mean of the non-NULL values computed from ``exact_sum`` (double); NaN and
+    infinities carry through, as in ``avg``."""
     return F.try_divide(exact_sum(x), F.count(_c(x)).cast("double"))
 
 
@@ -150,14 +161,6 @@ def label(c: ColumnOrName, mapping: Mapping, default: str | None = None) -> Colu
     return expr.otherwise(F.lit(default))
 
 
-def flag(c: ColumnOrName, threshold, op: str = ">") -> Column:
-    """Threshold boolean flag (``c > threshold`` by default)."""
-    col = _c(c)
-    ops = {">": col > threshold, ">=": col >= threshold,
-           "<": col < threshold, "<=": col <= threshold}
-    return ops[op]
-
-
 def share_flag(cond: Column) -> Column:
     """0/1 integer of a condition, for averages of a condition (NULL -> 0)."""
     return F.when(cond, F.lit(1)).otherwise(F.lit(0))
@@ -172,10 +175,6 @@ def month_from_name(name: ColumnOrName) -> Column:
         F.try_to_date(F.concat(ym, F.lit("-01")), "yyyy-MM-dd"))
 
 
-def first_of_month(ts: ColumnOrName) -> Column:
-    return F.trunc(_c(ts).cast("date"), "month")
-
-
 def year_range(ts: ColumnOrName, year: int) -> Column:
     """``year(ts) = year`` written as a half-open range so it reaches the scan."""
     return ((_c(ts) >= F.lit(f"{year:04d}-01-01 00:00:00").cast("timestamp_ntz"))

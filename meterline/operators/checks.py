@@ -132,9 +132,14 @@ class QualityGateError(RuntimeError):
     pass
 
 
+def findings(results: DataFrame) -> DataFrame:
+    """The checks a gate stops on."""
+    return results.filter(F.col("status") != "pass")
+
+
 def gate(results: DataFrame) -> DataFrame:
     """Raise if any check failed; the results table is one row per check."""
-    failed = results.filter(F.col("status") != "pass").collect()
+    failed = findings(results).collect()
     if failed:
         raise QualityGateError(
             "; ".join(f"{r['check']}({r['column_name']}): {r['failures']}" for r in failed))

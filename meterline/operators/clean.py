@@ -71,8 +71,3 @@ def not_null(df: DataFrame, *cols: str) -> DataFrame:
 def in_set(df: DataFrame, col: str, values) -> DataFrame:
     """membership filter."""
     return df.filter(F.col(col).isin(list(values)))
-
-
-def on_date(df: DataFrame, col: str, ds: str) -> DataFrame:
-    """F8: rows of one run date ('YYYY-MM-DD')."""
-    return df.filter(F.col(col) == F.lit(ds).cast("date"))

@@ -1,10 +1,9 @@
-"""Dimension joins.
+"""Dimension joins.
 
-Every join in the trip models goes from a fact to a small dimension. The
-dimension is broadcast only after its size is proven: ``bounded`` reads at
-most ``max_rows + 1`` rows of it (a limit, so a huge input is not scanned in
-full) and returns a broadcast-hinted frame only when the bound holds;
-otherwise the plain frame goes to Catalyst, which plans a shuffle join.
+No join here forces a broadcast: Catalyst broadcasts a side whose files are
+below its byte threshold, and adaptive execution one whose measured size is,
+so a small dimension never shuffles the fact and a large one never has to fit
+in memory.
 """
 
 from __future__ import annotations
@@ -14,35 +13,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension we hint for broadcast (rows). The zone seed has 265.
-DIM_BROADCAST_MAX_ROWS = 100_000
-
-
-# Verdicts of the size check, per session, dimension plan (semantic hash of
-# the analysed plan, which includes the source paths) and the files the plan
-# reads: a table rewritten in place has new part files, so it is checked anew.
-_VERDICTS: dict[tuple, bool] = {}
-
-
-def bounded(dim: DataFrame, max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(dim)`` if it has at most ``max_rows`` rows, else ``dim``.
-
-    The check reads at most ``max_rows + 1`` rows; its verdict is remembered
-    for the same dimension plan within the session, so repeated lookups of
-    one dimension pay for it once.
-    """
-    key = (id(dim.sparkSession), dim.semanticHash(), tuple(sorted(dim.inputFiles())),
-           max_rows)
-    ok = _VERDICTS.get(key)
-    if ok is None:
-        ok = dim.limit(max_rows + 1).count() <= max_rows
-        _VERDICTS[key] = ok
-    return F.broadcast(dim) if ok else dim
-
 
 def lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-           columns: Mapping[str, str], how: str = "left",
-           max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
+           columns: Mapping[str, str], how: str = "left") -> DataFrame:
     """Attach dimension columns to a fact (J1 left / J3 inner).
 
     ``columns`` maps dimension column -> output name. The dimension key must be
@@ -50,48 +23,43 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
     """
     d = dim.select(F.col(dim_key).alias("__dim_key"),
                    *[F.col(src).alias(dst) for src, dst in columns.items()])
-    j = fact.join(bounded(d, max_rows), F.col(fact_key) == F.col("__dim_key"), how)
+    j = fact.join(d, F.col(fact_key) == F.col("__dim_key"), how)
     return j.drop("__dim_key")
 
 
 def enrich(fact: DataFrame, dim: DataFrame, dim_key: str,
-           roles: Mapping[str, str], columns: Mapping[str, str],
-           max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
+           roles: Mapping[str, str], columns: Mapping[str, str]) -> DataFrame:
     """Role-playing dimension (J2): join the same dimension once per role.
 
     ``roles`` maps role prefix -> fact key column, e.g.
     ``{"pickup": "pickup_location_id", "dropoff": "dropoff_location_id"}``;
     ``columns`` maps dimension column -> suffix, e.g. ``{"borough": "borough"}``
-    giving ``pickup_borough``. Both joins are left joins on one broadcast copy.
+    giving ``pickup_borough``. Both are left joins.
     """
-    small = bounded(dim, max_rows)
     out = fact
     for role, key in roles.items():
-        d = small.select(F.col(dim_key).alias(f"__{role}_key"),
+        d = dim.select(F.col(dim_key).alias(f"__{role}_key"),
                          *[F.col(c).alias(f"{role}_{suf}") for c, suf in columns.items()])
         out = out.join(d, F.col(key) == F.col(f"__{role}_key"), "left").drop(f"__{role}_key")
     return out
 
 
-def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str,
-            max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
+def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """Child rows whose non-NULL foreign key has no parent row.
 
-    A parent with a proven small key set is broadcast, so the child (the fact)
-    is never shuffled and a hot key costs nothing extra; a large parent falls
-    back to a shuffle anti-join, where AQE splits skewed child partitions.
+    A parent with a small key set is broadcast by Catalyst or AQE, so the child
+    (the fact) is not shuffled; with a large one AQE splits skewed partitions.
     """
     keys = parent.select(F.col(pk).alias("__pk")).distinct()
     return (child.filter(F.col(fk).isNotNull())
-                 .join(bounded(keys, max_rows), F.col(fk) == F.col("__pk"), "left_anti"))
+                 .join(keys, F.col(fk) == F.col("__pk"), "left_anti"))
 
 
-def touched(target: DataFrame, batch: DataFrame, partition_cols: Sequence[str],
-            max_rows: int = DIM_BROADCAST_MAX_ROWS) -> DataFrame:
+def touched(target: DataFrame, batch: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
     """Target rows in the partitions the batch touches (J6, left semi join).
 
-    The batch's distinct partition values are few (one per month), so they
-    are broadcast after the size check and the target is not shuffled.
+    The batch's distinct partition values are few (one per month), so AQE
+    broadcasts them and the target is not shuffled.
     """
     parts = batch.select(*partition_cols).distinct()
-    return target.join(bounded(parts, max_rows), list(partition_cols), "left_semi")
+    return target.join(parts, list(partition_cols), "left_semi")

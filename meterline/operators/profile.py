@@ -24,14 +24,6 @@ def conditional_counts(df: DataFrame, conditions: Mapping[str, Column]) -> DataF
                     for n, c in conditions.items()])
 
 
-def to_rows(one_row: DataFrame, name_col: str = "metric",
-            value_col: str = "value", value_type: str = "double") -> DataFrame:
-    """Wide one-row result -> (name, value) rows."""
-    cols = one_row.columns
-    cast = one_row.select(*[F.col(c).cast(value_type).alias(c) for c in cols])
-    return cast.unpivot([], cols, name_col, value_col)
-
-
 def null_profile(df: DataFrame, digits: int = 3) -> DataFrame:
     """Null count and percent for every column with at least one NULL (A10).
 

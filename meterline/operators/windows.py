@@ -33,42 +33,45 @@ SPLIT_UNITS = [("year", 366 * 86400.0), ("month", 31 * 86400.0), ("week", 7 * 86
 BUCKET_TARGET_ROWS = 1_000_000
 
 
-def largest_buckets(df: DataFrame, key: str, ts: str) -> DataFrame:
-    """(u, largest): the most rows any (key, bucket) holds, per date_trunc unit
-    from year down to minute, from one scan.
-
-    One aggregate counts rows per (key, minute) (partial per task; at most
-    one row per key and active minute); each of those rows is repeated once
-    per unit with its bucket, and a second aggregate sums them per (unit,
-    key, bucket).
-    """
-    per_min = (df.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
-                 .groupBy(F.col(key).alias("__k"),
-                          F.date_trunc("minute", F.col(ts)).alias("__m"))
-                 .agg(F.count(F.lit(1)).alias("__n")))
-    units = [u for u, length in SPLIT_UNITS if length >= 60.0]
-    per_unit = per_min.select("__k", "__n", F.explode(F.array(*[
-        F.struct(F.lit(u).alias("u"), F.date_trunc(u, F.col("__m")).alias("b"))
-        for u in units])).alias("__e"))
-    return (per_unit.groupBy("__e.u", "__k", "__e.b").agg(F.sum("__n").alias("n"))
-                    .groupBy("u").agg(F.max("n").alias("largest")))
+def _largest(counts: DataFrame, unit: str) -> int | None:
+    """Most rows of any (key, ``unit`` bucket), from counts per (key, bucket)."""
+    return (counts.groupBy("k", F.date_trunc(unit, F.col("b")).alias("u")).agg(F.sum("n").alias("n"))
+                  .agg(F.max("n").alias("n")).first()["n"])
+
+
+def _counts(df: DataFrame, key: str, ts: str, unit: str) -> DataFrame:
+    return (df.filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
+              .groupBy(F.col(key).alias("k"), F.date_trunc(unit, F.col(ts)).alias("b"))
+              .agg(F.count(F.lit(1)).alias("n")))
 
 
 def pick_split(df: DataFrame, key: str, ts: str,
                target_rows: int = BUCKET_TARGET_ROWS) -> str:
     """The coarsest time unit whose largest (key, bucket) holds at most
-    ``target_rows`` rows: exact down to the minute (``largest_buckets``);
-    below a minute the densest minute's rate decides. The unit never changes
-    results, only how the work is cut.
+    ``target_rows`` rows: exact down to the minute; below a minute the densest
+    minute's rate decides. The unit never changes results, only how the work
+    is cut.
+
+    One scan counts rows per (key, hour), at most one row per key and active
+    hour, staged; coarser units sum those few rows, coarsest first, until one
+    fits. Only if no hour fits are the hours above the target counted again by
+    minute.
     """
-    largest = {r.u: r.largest for r in largest_buckets(df, key, ts).collect()}
-    if largest.get("minute") is None:            # no rows
-        return SPLIT_UNITS[0][0]
+    from meterline.operators.incremental import stage
+    hours, _, _ = stage(df.sparkSession, _counts(df, key, ts, "hour"), "hours")
+    for unit, length in SPLIT_UNITS:
+        if length < 3600.0:
+            break
+        largest = _largest(hours, unit)
+        if largest is None or largest <= target_rows:
+            return unit
+    full = hours.filter(F.col("n") > target_rows).select(
+        F.col("k").alias("__k"), F.col("b").alias("__b"))
+    dense = (df.withColumn("__h", F.date_trunc("hour", F.col(ts)))
+               .join(full, (F.col(key) == F.col("__k")) & (F.col("__h") == F.col("__b")), "left_semi"))
+    minute = _largest(_counts(dense, key, ts, "minute"), "minute")
     for unit, length in SPLIT_UNITS:
-        if length >= 60.0:
-            if largest[unit] <= target_rows:
-                return unit
-        elif largest["minute"] * length / 60.0 <= target_rows:
+        if length < 3600.0 and minute * length / 60.0 <= target_rows:
             return unit
     return SPLIT_UNITS[-1][0]
 
@@ -83,11 +86,15 @@ def lag_gap(df: DataFrame, key: str, ts: str, prev_col: str = "prev_ts",
     that bounds one window task ('hour', 'day', 'month', ...), or 'auto' to
     size it from the data (``pick_split``).
     """
-    if split == "auto":
-        split = pick_split(df, key, ts)
     base = (df.select(key, ts, *keep)
-              .filter(F.col(key).isNotNull() & F.col(ts).isNotNull())
-              .withColumn("__bucket", F.date_trunc(split, F.col(ts))))
+              .filter(F.col(key).isNotNull() & F.col(ts).isNotNull()))
+    if split == "auto":
+        # Sizing, rows and carry each read these columns: the input's own plan
+        # runs once.
+        from meterline.operators.incremental import stage
+        base, _, _ = stage(df.sparkSession, base, "lag")
+        split = pick_split(base, key, ts)
+    base = base.withColumn("__bucket", F.date_trunc(split, F.col(ts)))
     w_local = Window.partitionBy(key, "__bucket").orderBy(F.col(ts).asc())
     local = base.withColumn("__prev_local", F.lag(ts).over(w_local))
 
@@ -127,13 +134,6 @@ def top_k(df: DataFrame, key: Sequence[str] | str, order: Column, k: int,
     return cur.withColumn(rank_col, F.rank().over(w)).filter(F.col(rank_col) <= k)
 
 
-def rank_within(df: DataFrame, key: Sequence[str] | str, order: Column,
-                rank_col: str = "rank") -> DataFrame:
-    """``rank()`` per key, descending orders written with explicit null order."""
-    key = [key] if isinstance(key, str) else list(key)
-    return df.withColumn(rank_col, F.rank().over(Window.partitionBy(*key).orderBy(order)))
-
-
 def share_of_total(agg: DataFrame, count_col: str, out_col: str,
                    digits: int | None = 2) -> DataFrame:
     """Percent of the grand total per row of an already-aggregated table.

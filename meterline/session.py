@@ -2,12 +2,13 @@
 
 Everything that must outlive a task (lineage cuts, staged upserts, stream
 checkpoints) goes under the folder the cluster names in ``spark.checkpoint.dir``.
-A private folder is created only when the session has none set (tests, bench).
+A private folder is created only when the session has none set and runs in one
+process (master ``local``: tests, bench); on a cluster that is an error.
 """
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -64,6 +65,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="meterline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc.getCheckpointDir() is None:
@@ -74,7 +77,3 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path inside the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_dir_for_tests() -> str:
-    return tempfile.mkdtemp(prefix="meterline-test-", dir=os.environ.get("TMPDIR", "/tmp"))

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 """Expression semantics: minute boundaries, rounding, keys, file names."""
 
 import datetime as dt
@@ -98,3 +100,17 @@ def test_pct_zero_total(spark):
     df = spark.createDataFrame([(5, 0), (5, 10), (None, 10)], "a bigint, b bigint")
     got = [r.p for r in df.select(X.pct("a", "b").alias("p")).collect()]
     assert got == [None, 50.0, None]
+
+
+def test_nan_and_infinity_carry_through_sums_and_means(spark):
+    from meterline.functions.exprs import exact_avg, exact_sum
+    nan, inf = float("nan"), float("inf")
+    rows = [("n", 1.0), ("n", nan), ("i", 1.0), ("i", inf), ("b", inf), ("b", -inf), ("z", None),
+            ("f", 0.1), ("f", 0.2), ("f", None), ("big", 1e30), ("big", 1.0)]
+    df = spark.createDataFrame(rows, "k string, x double")
+    got = {r.k: (r.s, r.a, r.p) for r in df.groupBy("k").agg(
+        exact_sum("x").alias("s"), exact_avg("x").alias("a"), F.avg("x").alias("p")).collect()}
+    assert all(v != v for v in got["n"]) and got["i"] == (inf, inf, inf)
+    assert all(v != v for v in got["b"]) and got["z"] == (None, None, None)
+    assert got["f"][0] == 0.3 and got["f"][1] == 0.15
+    assert got["big"][0] == 1e30

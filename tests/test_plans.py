@@ -1,6 +1,6 @@
 """Physical-plan properties the design relies on."""
 
-from tests.conftest import SF01
+from tests.conftest import SF001, SF01
 from meterline.plans import catalog as C
 
 
@@ -11,8 +11,9 @@ def plan(df):
 def test_idle_gaps_plan(spark):
     p = plan(C.q_idle_gaps(spark, SF01))
     assert "WindowGroupLimit" in p                      # top-k cut before the per-zone shuffle
-    assert "BroadcastHashJoin" in p                     # zone names from the bounded dimension
-    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint>" in p   # pruned scan
+    assert "BroadcastHashJoin" in p                     # zone names from the small dimension
+    # Two columns of the staged input, no more.
+    assert "ReadSchema: struct<pickup_location_id:bigint,pickup_datetime:timestamp_ntz>" in p
 
 
 def test_year_rule_reaches_scan(spark):
@@ -34,9 +35,41 @@ def test_zone_performance_aggregates_before_join(spark):
     assert p.index("HashAggregate", j) > j              # the aggregate is below the join
 
 
-def test_bucket_sizes_one_scan(spark):
-    from meterline.operators.windows import largest_buckets
-    ev = C.event_fact(spark, SF01)
-    p = plan(largest_buckets(ev, "pickup_location_id", "pickup_datetime"))
-    assert p.count("FileScan parquet") == 1             # every unit from one scan
-    assert "partial_count" in p                         # collapsed map-side first
+def test_lag_reads_its_input_once(spark):
+    """Sizing, rows and carry read the staged columns, not the fact's chain."""
+    p = plan(C.q_idle_gaps_fact(spark, SF01))
+    assert "lineitem" not in p and p.count("FileScan parquet") <= 4
+
+
+def test_dedupe_holds_each_column_once(spark):
+    p = plan(C.q_dedupe_latest(spark, SF01))
+    # Once read, once in the partial and once in the final aggregate's struct.
+    struct = p[p.index("partial_max(") + len("partial_max("):]
+    assert struct[:struct.index(")]")].count("fare_amount") == 1
+
+
+def test_incremental_slices_prune_partitions(spark, tmp_table_dir):
+    """The fact's slice and the zone mart's source read only the months that
+    the late batch touched."""
+    from pyspark.sql import functions as F
+
+    from meterline.operators.incremental import in_partitions, partitions_with, read_table
+    from meterline.plans import fixtures as X
+    from meterline.plans import models as M
+    tables, seed = M.Tables(tmp_table_dir), X.zone_seed(spark, SF001)
+    late = F.col("file_month") == F.lit("1997-03-01").cast("date")
+    raw = X.raw_trips(spark, SF001, "2024-01-01 00:00:00").drop("l_orderkey", "l_linenumber")
+    again = X.raw_trips(spark, SF001, "2024-01-02 00:00:00").drop("l_orderkey", "l_linenumber")
+    M.run_pipeline(spark, raw, seed, tables, C.CFG, ("intermediate", "marts"))
+    M.run_pipeline(spark, again.filter(late), seed, tables, C.CFG, ("intermediate",))
+    sliced = M.fact_slice(spark, read_table(spark, tables.int_trips), read_table(spark, tables.fct),
+                          tables, C.CFG)
+    p = plan(sliced)
+    filters = p[p.index("PartitionFilters: ["):].split("]")[0]
+    assert "1997-03-01" in filters or "pickup_month" in filters
+    assert {r[0].isoformat() for r in sliced.select("pickup_month").distinct().collect()} == {"1997-03-01"}
+    import datetime as dt
+    parts = partitions_with(spark, tables.fct, [dt.date(1997, 3, 1)])
+    assert parts == ["1997-03-01"]
+    zone_source = read_table(spark, tables.fct).filter(in_partitions("pickup_month", "date", parts))
+    assert "PartitionFilters: [isnotnull" in plan(zone_source)
