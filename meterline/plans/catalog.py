@@ -7,6 +7,7 @@ independent SQL for each name.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -70,7 +71,12 @@ def q_enriched_trips(spark, d):
 
 
 def q_fact_trips(spark, d):
-    return fct(spark, d)
+    """Two loads that share trips: the later load's copy of a trip stays."""
+    first = batch(spark, d, LOAD_1, F.lit(True))
+    again = batch(spark, d, LOAD_2, F.col("l_linenumber") >= 3).withColumn(
+        "tip_amount", F.col("tip_amount") * F.lit(2.0))
+    return M.fact_trips(M.enrich_trips(M.stage_trips(first.unionByName(again)),
+                                       zones(spark, d), CFG))
 
 
 def q_daily_revenue(spark, d):
@@ -223,7 +229,10 @@ def q_hour_of_day(spark, d):
 
 
 def q_hour_profile(spark, d):
-    return R.hour_profile(fct(spark, d))
+    """Timed pickups; the minute stands in for the duration."""
+    timed = event_fact(spark, d).withColumn("trip_duration_minutes",
+                                            F.minute("pickup_datetime").cast("bigint"))
+    return R.hour_profile(timed)
 
 
 def q_top_zones_by_revenue(spark, d):
@@ -375,19 +384,42 @@ def q_touched_partitions(spark, d):
 
 # ------------------------------------------------------------------ checks
 
-def q_check_suite(spark, d):
+def _check_results(spark, d):
+    """All model tests over one staged fact; the dimension lacks five zones."""
     from meterline.operators import checks as C
-    f = fct(spark, d)
-    dim = M.dim_zones(zones(spark, d, partial=True))
-    dly = M.daily_revenue(f)
+    from meterline.operators.incremental import stage
+    e, _, _ = stage(spark, enriched(spark, d), "check-enriched")
+    f, _, _ = stage(spark, M.fact_trips(e), "check-fact")
+    z = zones(spark, d, partial=True)
+    dim = M.dim_zones(z)
     zp = M.zone_performance(f, dim, CFG.high_volume_trips)
-    return C.check_counts(M.fact_checks(f, dim, dly, zp, CFG))
+    return C.check_counts(M.staging_checks(stg(spark, d), z, e)
+                          + M.fact_checks(f, dim, M.daily_revenue(f), zp, CFG))
+
+
+def q_check_suite(spark, d):
+    return _check_results(spark, d)
+
+
+def q_gate_findings(spark, d):
+    """What the gate would stop on."""
+    from meterline.operators import checks as C
+    return C.findings(_check_results(spark, d)).select("check", "column_name", "failures")
 
 
 def q_freshness_status(spark, d):
+    """D6 on row stamps that differ, at four points in time, and on no rows."""
     from meterline.operators import checks as C
-    r = X.raw_trips(spark, d, LOAD_2)
-    return C.freshness(r, "_loaded_at", FRESHNESS_NOW, 36, 72)
+    r = event_fact(spark, d).select(F.date_trunc("second", "pickup_datetime")
+                                     .cast("timestamp_ntz").alias("_loaded_at"))
+    newest = r.agg(F.max("_loaded_at").alias("m")).first()["m"]
+    out = None
+    for case, hours in FRESHNESS_CASES.items():
+        src = r.filter(F.lit(False)) if case == "empty" else r
+        now = (newest + dt.timedelta(hours=hours)).isoformat(sep=" ")
+        row = C.freshness(src, "_loaded_at", now, 36, 72).withColumn("case", F.lit(case))
+        out = row if out is None else out.unionByName(row)
+    return out
 
 
 def q_month_presence(spark, d):
@@ -438,6 +470,31 @@ def q_csv_dimension(spark, d):
     return M.stage_zones(read_zone_csv(spark, path))
 
 
+def q_ingest_same_stamp(spark, d):
+    """Two loads with one stamp: the early months, then all months."""
+    from meterline.session import scratch_path
+    from meterline.sources.files import ingest_files
+    base = scratch_path(spark, "same-stamp")
+    paths = X.write_month_files(spark, d, f"{base}/landing")
+    early = [p for p in paths if p.rsplit("_", 1)[-1][:7] < INGEST_CUTOFF]
+    for ps in (early, paths):
+        ingest_files(spark, ps, f"{base}/raw", f"{base}/ledger", LOAD_1)
+    return _landed_counts(spark, f"{base}/raw")
+
+
+def q_ingest_mixed_widths(spark, d):
+    """One load over files that store ids and counts as 32-bit or double and
+    files that store them as 64-bit integers."""
+    from meterline.session import scratch_path
+    from meterline.sources.files import RAW_COLUMNS, ingest_files
+    base = scratch_path(spark, "widths")
+    early = F.col("_file_ym") < INGEST_CUTOFF
+    paths = (X.write_month_files(spark, d, f"{base}/landing", early)
+             + X.write_month_files(spark, d, f"{base}/landing", ~early, wide=True))
+    ingest_files(spark, paths, f"{base}/raw", f"{base}/ledger", LOAD_1)
+    return spark.read.parquet(f"{base}/raw").select(*RAW_COLUMNS)
+
+
 def q_historical_clean(spark, d):
     from meterline.plans.historical import process_historical
     from meterline.session import scratch_path
@@ -475,7 +532,8 @@ def q_backfill_month(spark, d):
     base = scratch_path(spark, "backfill")
     X.write_month_files(spark, d, f"{base}/landing")
     tables = M.Tables(f"{base}/tables")
-    backfill(spark, f"{base}/landing", RUN_DATE, X.zone_seed(spark, d), tables, CFG, LOAD_1)
+    for _ in range(2):   # run twice: the second changes nothing
+        backfill(spark, f"{base}/landing", RUN_DATE, X.zone_seed(spark, d), tables, CFG, LOAD_1)
     return spark.read.parquet(tables.fct).select(*M.ENRICHED_COLUMNS)
 
 
@@ -496,6 +554,109 @@ def q_stream_models(spark, d):
         *[c for c in M.ENRICHED_COLUMNS if c != "_loaded_at"])
 
 
+class _Stop(Exception):
+    """Thrown inside a micro-batch to stand for a lost driver."""
+
+
+def q_stream_replay(spark, d):
+    """One file per micro-batch; the run dies in its third batch after the raw
+    write and is started again with the same stamp."""
+    from meterline.session import scratch_path
+    from meterline.streaming.ingest import BATCH_COL, stream_ingest, stream_trips
+    base = scratch_path(spark, "stream-replay")
+    glob = f"{base}/landing/yellow_tripdata_*.parquet"
+    tables, seed = M.Tables(f"{base}/tables"), X.zone_seed(spark, d)
+    # A few files: late 1996 to the middle of 1997, one part each.
+    _one_part_files(spark, d, f"{base}/landing")
+
+    def models_until(landed, batch_id):
+        if batch_id == 2:
+            raise _Stop("driver lost")
+        M.run_pipeline(spark, landed.drop(BATCH_COL), seed, tables, CFG, ("intermediate", "marts"))
+
+    try:
+        stream_ingest(spark, glob, f"{base}/raw", f"{base}/checkpoint", LOAD_1, 1, models_until)
+    except Exception as e:
+        if "driver lost" not in str(e):
+            raise
+    stream_trips(spark, glob, f"{base}/raw", f"{base}/checkpoint", LOAD_1, seed, tables, CFG, 1)
+    from meterline.operators.incremental import read_table
+    return read_table(spark, tables.fct).select(*[c for c in M.ENRICHED_COLUMNS if c != "_loaded_at"])
+
+
+def _one_part_files(spark, d, landing):
+    """The months of ``REPLAY_GROUPS`` groups as single files, one per group."""
+    from meterline.operators.incremental import delete_path
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    rows = X.trip_file_rows(spark, d)
+    for name, lo, hi in REPLAY_GROUPS:
+        stage = f"{landing}_{name}"
+        (rows.filter((F.col("_file_ym") >= lo) & (F.col("_file_ym") < hi))
+             .select(*X.TRIP_SOURCE_COLUMNS).coalesce(1).write.mode("overwrite").parquet(stage))
+        at = jvm.org.apache.hadoop.fs.Path(stage)
+        fs = at.getFileSystem(conf)
+        fs.mkdirs(jvm.org.apache.hadoop.fs.Path(landing))
+        for st in fs.listStatus(at):
+            if st.getPath().getName().startswith("part-"):
+                fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(
+                    f"{landing}/yellow_tripdata_{name}.parquet"))
+        delete_path(spark, stage)
+
+
+def _upserted(spark, d, name, *batches, **how):
+    """Batches of staged trips through the on-disk upsert, by trip and month."""
+    from meterline.operators.incremental import read_table, upsert
+    from meterline.session import scratch_path
+    path = scratch_path(spark, name)
+    for i, b in enumerate(batches):
+        upsert(spark, path, M.with_pickup_month(b), "trip_id", [M.PARTITION_COL],
+               watermark_cols=M.WATERMARK_COLS, full_refresh=how.get("refresh") == i)
+    return read_table(spark, path).drop(M.PARTITION_COL)
+
+
+def _overlap(spark, d):
+    first = M.stage_trips(batch(spark, d, LOAD_1, F.col("l_linenumber") <= 4))
+    second = M.stage_trips(batch(spark, d, LOAD_2, F.col("l_linenumber") >= 3).withColumn(
+        "tip_amount", F.col("tip_amount") * F.lit(2.0)))
+    return first, second
+
+
+def q_upsert_disk_overlap(spark, d):
+    """I2 on disk: the batches share keys, and the second is run twice."""
+    first, second = _overlap(spark, d)
+    return _upserted(spark, d, "overlap", first, second, second)
+
+
+def q_full_refresh(spark, d):
+    """I4 on disk: a refresh leaves only its own rows."""
+    first, second = _overlap(spark, d)
+    return _upserted(spark, d, "refresh", first, second, refresh=1)
+
+
+def q_schema_sync_disk(spark, d):
+    """I5 on disk, three batches by month: the second adds a column, the third
+    drops one; months that a batch does not touch are read back too."""
+    month = F.col("file_month")
+    first = M.stage_trips(batch(spark, d, LOAD_1, F.lit(True))).withColumn("vendor_note", F.lit("v1"))
+    second = (M.stage_trips(batch(spark, d, LOAD_2, month == F.lit(RUN_MONTH).cast("date")))
+              .withColumn("vendor_note", F.lit("v2")).withColumn("extra", F.lit(7)))
+    third = (M.stage_trips(batch(spark, d, LOAD_3, (month == F.lit(RUN_MONTH).cast("date"))
+                                 & (F.col("l_linenumber") == 1)))
+             .withColumn("extra", F.lit(8)))
+    return _upserted(spark, d, "sync", first, second, third)
+
+
+def q_schema_rows(spark, d):
+    """The trip files' columns and types, as written and read back."""
+    from meterline.session import scratch_path
+    from meterline.sources.files import matching_paths, read_trip_files
+    base = scratch_path(spark, "schema")
+    X.write_month_files(spark, d, f"{base}/landing", F.col("_file_ym") == RUN_DATE[:7])
+    trips = read_trip_files(spark, matching_paths(spark, f"{base}/landing/yellow_*.parquet"))
+    return P.schema(trips.drop("source_file"))
+
+
 # Fixed parameters of the registered queries.
 STREAM_SPLIT = "1997-06"
 INGEST_CUTOFF = "1998-01"
@@ -508,7 +669,9 @@ TOUCH_MONTHS = ["1996-05-01", "1997-02-01"]
 UNKNOWN_IDS = (23, 24)
 LOAD_1 = "2024-01-01 00:00:00"
 LOAD_2 = "2024-01-02 00:00:00"
-FRESHNESS_NOW = "2024-01-04 12:00:00"
+FRESHNESS_CASES = {"new": 36, "late": 37, "edge": 72, "stale": 73, "empty": 0}
+REPLAY_GROUPS = [("1997-01", "1992-01", "1997-03"), ("1997-03", "1997-03", "1997-06"),
+                 ("1997-06", "1997-06", "1997-09"), ("1997-09", "1997-09", "1999-01")]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "idle_gaps": q_idle_gaps,
@@ -577,4 +740,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "layered_run": q_layered_run,
     "backfill_month": q_backfill_month,
     "stream_models": q_stream_models,
+    "stream_replay": q_stream_replay,
+    "ingest_same_stamp": q_ingest_same_stamp,
+    "ingest_mixed_widths": q_ingest_mixed_widths,
+    "upsert_disk_overlap": q_upsert_disk_overlap,
+    "full_refresh": q_full_refresh,
+    "schema_sync_disk": q_schema_sync_disk,
+    "schema_rows": q_schema_rows,
+    "gate_findings": q_gate_findings,
 }

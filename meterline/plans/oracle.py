@@ -105,22 +105,21 @@ zones AS (
   FROM nation JOIN region ON n_regionkey = r_regionkey
 )"""
 
-ENRICHED_COLS = """t.trip_id, t.pickup_datetime, t.dropoff_datetime, t.trip_duration_minutes,
-    t.passenger_count, t.trip_distance, t.payment_type, t.fare_amount, t.tip_amount,
-    t.total_amount, t.pickup_location_id, puz.borough AS pickup_borough,
-    puz.zone_name AS pickup_zone, t.dropoff_location_id, doz.borough AS dropoff_borough,
-    doz.zone_name AS dropoff_zone, t.file_month, t.source_file, t._loaded_at"""
-
-ENRICHED = f"""
-enriched AS (
-  SELECT {ENRICHED_COLS}
-  FROM stg t
-  LEFT JOIN zones puz ON t.pickup_location_id = puz.location_id
-  LEFT JOIN zones doz ON t.dropoff_location_id = doz.location_id
-  WHERE t.trip_distance > 0 AND t.fare_amount > 0 AND t.passenger_count > 0
-    AND t.trip_duration_minutes >= {MIN_DUR} AND t.trip_duration_minutes <= {MAX_DUR}
-    AND year(t.pickup_datetime) = {YEAR}
-)"""
+# Kept trips by the rules first, then each one's zone names looked up.
+KEEP = (f"trip_distance > 0 AND fare_amount > 0 AND passenger_count > 0 AND "
+        f"trip_duration_minutes BETWEEN {MIN_DUR} AND {MAX_DUR} AND year(pickup_datetime) = {YEAR}")
+
+
+def enriched_of(name: str, src: str, zones: str = "zones") -> str:
+    def named(column: str, role: str) -> str:
+        return (f"(SELECT any_value({column}) FROM {zones} WHERE location_id = "
+                f"k.{role}_location_id) AS {role}_{column.removesuffix('_name')}")
+    looked_up = ", ".join(named(c, r) for r in ("pickup", "dropoff") for c in ("borough", "zone_name"))
+    return f"""
+{name} AS (SELECT k.*, {looked_up} FROM (SELECT * FROM {src} WHERE {KEEP}) k)"""
+
+
+ENRICHED = enriched_of("enriched", "stg")
 
 FCT = """
 fct AS (
@@ -175,23 +174,26 @@ FACT_CHAIN = (RAW, STG, ZONES, ENRICHED, FCT)
 
 
 def idle_gaps_sql(src: str) -> str:
+    """From the definition: a pickup's predecessor is the zone's latest earlier
+    moment; further pickups at one moment follow the first with no gap."""
     return f"""
-, f AS (SELECT pickup_location_id, pickup_datetime FROM {src}
-        WHERE pickup_location_id IS NOT NULL AND pickup_datetime IS NOT NULL)
-, ordered AS (
-  SELECT pickup_location_id, pickup_datetime,
-         lag(pickup_datetime) OVER (PARTITION BY pickup_location_id
-                                    ORDER BY pickup_datetime) AS prev_pickup_datetime
-  FROM f)
-, gaps AS (
-  SELECT *, date_diff('minute', prev_pickup_datetime, pickup_datetime) AS gap_minutes
-  FROM ordered WHERE prev_pickup_datetime IS NOT NULL)
-SELECT g.pickup_location_id, z.zone_name, g.prev_pickup_datetime, g.pickup_datetime,
-       g.gap_minutes,
-       CAST(rank() OVER (PARTITION BY g.pickup_location_id
-                         ORDER BY g.gap_minutes DESC NULLS FIRST) AS INTEGER) AS gap_rank
-FROM gaps g LEFT JOIN zones z ON g.pickup_location_id = z.location_id
-QUALIFY gap_rank <= 5
+, moments AS (
+  SELECT pickup_location_id AS zone, pickup_datetime AS t, count(*) AS pickups
+  FROM {src} WHERE pickup_location_id IS NOT NULL AND pickup_datetime IS NOT NULL GROUP BY ALL)
+, waits AS (
+  SELECT a.zone, b.t AS since, a.t AS until FROM moments a ASOF JOIN moments b
+    ON a.zone = b.zone AND b.t < a.t
+  UNION ALL
+  SELECT zone, t, t FROM moments, range(1, pickups))
+, ranked AS (
+  SELECT *, date_diff('minute', since, until) AS wait,
+         rank() OVER (PARTITION BY zone ORDER BY date_diff('minute', since, until) DESC) AS place
+  FROM waits)
+SELECT zone AS pickup_location_id,
+       (SELECT any_value(zone_name) FROM zones WHERE location_id = zone) AS zone_name,
+       since AS prev_pickup_datetime, until AS pickup_datetime, wait AS gap_minutes,
+       CAST(place AS INTEGER) AS gap_rank
+FROM ranked WHERE place <= 5
 """
 
 
@@ -200,7 +202,6 @@ ORACLE: dict[str, str] = {
     "idle_gaps_fact": w(*FACT_CHAIN) + idle_gaps_sql("fct"),
     "stage_trips": w(RAW, STG) + " SELECT * FROM stg",
     "enriched_trips": w(RAW, STG, ZONES, ENRICHED) + " SELECT * FROM enriched",
-    "fact_trips": w(*FACT_CHAIN) + " SELECT * FROM fct",
     "daily_revenue": w(*FACT_CHAIN) + f"""
 SELECT CAST(pickup_datetime AS DATE) AS revenue_date,
        CAST(count(*) AS BIGINT) AS total_trips,
@@ -230,8 +231,15 @@ files AS (
     CAST(s.s_nationkey AS INTEGER) AS DOLocationID,
     CAST(l.l_linenumber AS INTEGER) AS payment_type,
     l.l_extendedprice AS fare_amount,
+    l.l_discount * 10.0::DOUBLE AS extra,
+    CASE WHEN l.l_linenumber = 7 THEN -0.5::DOUBLE ELSE 0.5::DOUBLE END AS mta_tax,
     l.l_extendedprice * l.l_tax AS tip_amount,
-    l.l_extendedprice * (1.0::DOUBLE - l.l_discount) * (1.0::DOUBLE + l.l_tax) AS total_amount
+    l.l_tax * 100.0::DOUBLE AS tolls_amount,
+    1.0::DOUBLE AS improvement_surcharge,
+    l.l_extendedprice * (1.0::DOUBLE - l.l_discount) * (1.0::DOUBLE + l.l_tax) AS total_amount,
+    CASE WHEN l.l_quantity <> 7 THEN 2.5::DOUBLE END AS congestion_surcharge,
+    CASE WHEN l.l_quantity <> 7 THEN CASE WHEN l.l_linenumber = 1 THEN 1.25::DOUBLE
+                                          ELSE 0.0::DOUBLE END END AS airport_fee
   FROM lineitem l
   JOIN orders o ON l.l_orderkey = o.o_orderkey
   JOIN customer c ON o.o_custkey = c.c_custkey
@@ -239,10 +247,17 @@ files AS (
   JOIN part p ON l.l_partkey = p.p_partkey
 )"""
 
-FILE_COLUMNS = ["VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime",
-                "passenger_count", "trip_distance", "RatecodeID", "store_and_fwd_flag",
-                "PULocationID", "DOLocationID", "payment_type", "fare_amount",
-                "tip_amount", "total_amount"]
+# The files' columns with their types (fixed values).
+FILE_TYPES = {
+    "VendorID": "int", "tpep_pickup_datetime": "timestamp_ntz",
+    "tpep_dropoff_datetime": "timestamp_ntz", "passenger_count": "double",
+    "trip_distance": "double", "RatecodeID": "double", "store_and_fwd_flag": "string",
+    "PULocationID": "int", "DOLocationID": "int", "payment_type": "int", "fare_amount": "double",
+    "extra": "double", "mta_tax": "double", "tip_amount": "double", "tolls_amount": "double",
+    "improvement_surcharge": "double", "total_amount": "double", "congestion_surcharge": "double",
+    "airport_fee": "double",
+}
+FILE_COLUMNS = list(FILE_TYPES)
 
 PZONES = """
 pzones AS (SELECT * FROM zones WHERE location_id < 20)"""
@@ -263,7 +278,7 @@ pairs AS (
 )"""
 
 RUN_DATE, RUN_MONTH, SLICE_MONTH, LATE_MONTH = "1997-03-10", "1997-03-01", "1996-12-01", "1997-01-01"
-LOAD_1, LOAD_2 = "TIMESTAMP '2024-01-01 00:00:00'", "TIMESTAMP '2024-01-02 00:00:00'"
+LOAD_1, LOAD_2, LOAD_3 = (f"TIMESTAMP '2024-01-0{i} 00:00:00'" for i in (1, 2, 3))
 
 
 def share(count_col: str, digits: int) -> str:
@@ -290,19 +305,6 @@ def stg_of(name: str, src: str, tip: str = "tip_amount") -> str:
 )"""
 
 
-def enriched_of(name: str, src: str, zones: str = "zones") -> str:
-    return f"""
-{name} AS (
-  SELECT {ENRICHED_COLS}
-  FROM {src} t
-  LEFT JOIN {zones} puz ON t.pickup_location_id = puz.location_id
-  LEFT JOIN {zones} doz ON t.dropoff_location_id = doz.location_id
-  WHERE t.trip_distance > 0 AND t.fare_amount > 0 AND t.passenger_count > 0
-    AND t.trip_duration_minutes >= {MIN_DUR} AND t.trip_duration_minutes <= {MAX_DUR}
-    AND year(t.pickup_datetime) = {YEAR}
-)"""
-
-
 def fct_of(name: str, src: str) -> str:
     return FCT.replace("fct AS", f"{name} AS").replace("FROM enriched", f"FROM {src}")
 
@@ -374,6 +376,15 @@ FROM b GROUP BY bin"""
 
 def checks_sql() -> str:
     checks = [
+        ("not_null", "stg_trips.trip_id", "SELECT 1 FROM stg WHERE trip_id IS NULL"),
+        ("not_null", "stg_trips.pickup_datetime", "SELECT 1 FROM stg WHERE pickup_datetime IS NULL"),
+        ("not_null", "stg_zones.location_id", "SELECT 1 FROM pzones WHERE location_id IS NULL"),
+        ("not_null", "stg_zones.borough", "SELECT 1 FROM pzones WHERE borough IS NULL"),
+        ("unique", "stg_zones.location_id",
+         "SELECT location_id FROM pzones GROUP BY 1 HAVING count(*) > 1"),
+        ("not_null", "int_trips_enriched.trip_id", "SELECT 1 FROM enriched WHERE trip_id IS NULL"),
+        ("not_null", "int_trips_enriched.pickup_location_id",
+         "SELECT 1 FROM enriched WHERE pickup_location_id IS NULL"),
         ("not_null", "fct_trips.trip_id", "SELECT 1 FROM fct WHERE trip_id IS NULL"),
         ("unique", "fct_trips.trip_id",
          "SELECT trip_id FROM fct WHERE trip_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1"),
@@ -512,12 +523,12 @@ ORDER BY trips DESC, pickup_borough, dropoff_borough LIMIT 15""",
          {rha(eavg('fare_amount'))} AS avg_fare, {rha(eavg('trip_distance'))} AS avg_distance
   FROM efct GROUP BY 1)
 SELECT *, {share('total_trips', 2)} AS pct_of_trips FROM g""",
-    "hour_profile": w(*FACT_CHAIN) + f"""
+    "hour_profile": w(EVENT_FACT2) + f"""
 , g AS (
   SELECT CAST(hour(pickup_datetime) AS INTEGER) AS pickup_hour, CAST(count(*) AS BIGINT) AS trips,
          {rha(eavg('fare_amount'))} AS avg_fare, {rha(eavg('trip_distance'))} AS avg_miles,
-         {rha(eavg('trip_duration_minutes'), 1)} AS avg_duration_min
-  FROM fct GROUP BY 1)
+         {rha(eavg('minute(pickup_datetime)'), 1)} AS avg_duration_min
+  FROM efct GROUP BY 1)
 SELECT *, {share('trips', 2)} AS pct_of_trips FROM g""",
     "top_zones_by_revenue": w(*FACT_CHAIN, ZONE_PERF) + """
 SELECT file_month, pickup_location_id, revenue_rank, borough, zone_name, total_trips,
@@ -640,18 +651,13 @@ SELECT trip_id, file_month FROM stg
 WHERE file_month IN (SELECT DISTINCT file_month FROM raw
                      WHERE file_month IN (DATE '1996-05-01', DATE '1997-02-01'))""",
     "check_suite": checks_sql(),
-    "freshness_status": w(RAW) + """
-, m AS (SELECT max(TIMESTAMP '2024-01-02 00:00:00') AS max_loaded_at FROM raw)
-SELECT max_loaded_at,
-       CAST(date_diff('second', max_loaded_at, TIMESTAMP '2024-01-04 12:00:00') AS DOUBLE)
-         / 3600.0::DOUBLE AS age_hours,
-       CASE WHEN max_loaded_at IS NULL THEN 'error'
-            WHEN date_diff('second', max_loaded_at, TIMESTAMP '2024-01-04 12:00:00') > 72 * 3600
-              THEN 'error'
-            WHEN date_diff('second', max_loaded_at, TIMESTAMP '2024-01-04 12:00:00') > 36 * 3600
-              THEN 'warn'
-            ELSE 'pass' END AS status
-FROM m""",
+    "freshness_status": """
+WITH m AS (SELECT date_trunc('second', max(ts)) AS newest FROM events),
+cases("case", hours) AS (VALUES ('new', 36), ('late', 37), ('edge', 72), ('stale', 73))
+SELECT "case", CAST(newest AS TIMESTAMP) AS max_loaded_at, CAST(hours AS DOUBLE) AS age_hours,
+       CASE WHEN hours > 72 THEN 'error' WHEN hours > 36 THEN 'warn' ELSE 'pass' END AS status
+FROM m, cases
+UNION ALL SELECT 'empty', NULL, NULL, 'error'""",
     "month_presence": w(RAW) + f"""
 SELECT DATE '{RUN_MONTH}' AS month, CAST(count(*) AS BIGINT) AS rows, count(*) > 0 AS present
 FROM raw WHERE file_month = DATE '{RUN_MONTH}'""",
@@ -695,3 +701,39 @@ ORACLE.update({
     "backfill_month": w(*FACT_CHAIN) + f" SELECT * FROM fct WHERE file_month = DATE '{RUN_MONTH}'",
     "stream_models": w(*FACT_CHAIN) + " SELECT * EXCLUDE (_loaded_at) FROM fct",
 })
+
+
+OVERLAP = (RAW, raw_at("b1", LOAD_1, "l_linenumber <= 4"), raw_at("b2", LOAD_2, "l_linenumber >= 3"),
+           stg_of("s1", "b1"), stg_of("s2", "b2", "tip_amount * 2.0::DOUBLE"))
+REPLACED = "SELECT * FROM s1 WHERE trip_id NOT IN (SELECT trip_id FROM s2) UNION ALL SELECT * FROM s2"
+RUN_ROWS = f"file_month = DATE '{RUN_MONTH}'"
+
+ORACLE.update({
+    "fact_trips": w(RAW, ZONES, raw_at("b1", LOAD_1, "true"), raw_at("b2", LOAD_2, "l_linenumber >= 3"),
+                    stg_of("s1", "b1"), stg_of("s2", "b2", "tip_amount * 2.0::DOUBLE"))
+    + ", stg AS (SELECT * FROM s1 UNION ALL SELECT * FROM s2)," + ENRICHED + "," + FCT
+    + " SELECT * FROM fct",
+    "stream_replay": w(*FACT_CHAIN) + """
+SELECT * EXCLUDE (_loaded_at, file_month, source_file, m),
+       'yellow_tripdata_' || strftime(m, '%Y-%m') || '.parquet' AS source_file, m AS file_month
+FROM (SELECT *, CASE WHEN file_month < DATE '1997-03-01' THEN DATE '1997-01-01'
+                     WHEN file_month < DATE '1997-06-01' THEN DATE '1997-03-01'
+                     WHEN file_month < DATE '1997-09-01' THEN DATE '1997-06-01'
+                     ELSE DATE '1997-09-01' END AS m FROM fct)""",
+    "ingest_same_stamp": f"SELECT * REPLACE ({LOAD_1} AS _loaded_at) FROM ({INGESTED})",
+    "ingest_mixed_widths": w(RAW) + f" SELECT * EXCLUDE (l_orderkey, l_linenumber) "
+                                    f"REPLACE ({LOAD_1} AS _loaded_at) FROM raw",
+    "upsert_disk_overlap": w(*OVERLAP) + REPLACED,
+    "full_refresh": w(*OVERLAP) + "SELECT * FROM s2",
+    "schema_sync_disk": w(RAW, raw_at("b1", LOAD_1, "true"), raw_at("b2", LOAD_2, RUN_ROWS),
+                          raw_at("b3", LOAD_3, f"{RUN_ROWS} AND l_linenumber = 1"),
+                          stg_of("s1", "b1"), stg_of("s2", "b2"), stg_of("s3", "b3")) + """
+SELECT *, CAST(NULL AS INTEGER) AS extra FROM s1 WHERE trip_id NOT IN (SELECT trip_id FROM s2)
+UNION ALL SELECT *, 7 FROM s2 WHERE trip_id NOT IN (SELECT trip_id FROM s3)
+UNION ALL SELECT *, 8 FROM s3""",
+    "schema_rows": "SELECT * FROM (VALUES " + ", ".join(
+        f"('{c}', '{t}', CAST({i} AS INTEGER))" for i, (c, t) in enumerate(FILE_TYPES.items(), 1))
+    + ") AS t(column_name, column_type, position)",
+    "gate_findings": 'SELECT "check", column_name, failures FROM (' + checks_sql()
+                     + ") WHERE status = 'fail'",
+})
