@@ -24,13 +24,17 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` computed once into the cluster's shared folder and read back: its
-    lineage is cut, and a task lost later re-reads the files."""
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` computed once into the cluster's shared folder and read back, and
+    its folder: the lineage is cut, and a task lost later re-reads the files."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    return stored(df, name)[0]
 
 
 def ascii_lower(col: Column | str) -> Column:

@@ -43,7 +43,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import batch_of, map_rows, small_batches, written
+from meterline.llm.common import batch_of, map_rows, small_batches, stored, written
+from meterline.operators.incremental import delete_path
 
 BLOCK = 1_500_000
 ENTRIES = 400_000
@@ -60,11 +61,24 @@ RARE = np.uint64(xxhash.xxh64_intdigest(b" ", SEED))
 
 
 def pack(a: np.ndarray) -> bytes:
-    return zstandard.compress(np.ascontiguousarray(a).tobytes(), 1)
+    """An array's bytes, plane by plane (all first bytes, then all second ones,
+    ...), compressed: high bytes of small numbers shrink to nothing."""
+    a = np.ascontiguousarray(a)
+    return zstandard.compress(a.view("u1").reshape(-1, a.itemsize).T.tobytes(), 1)
 
 
 def unpack(b: bytes, dtype: str) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(b), dtype)
+    planes = np.frombuffer(zstandard.decompress(b), "u1").reshape(np.dtype(dtype).itemsize, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(dtype)
+
+
+def pack_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys, by their differences."""
+    return pack(np.diff(keys, prepend=np.uint64(0)))
+
+
+def unpack_keys(b: bytes) -> np.ndarray:
+    return np.cumsum(unpack(b, "<u8"), dtype="u8")
 
 
 def mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -78,23 +92,25 @@ def mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 # --- blocks ---------------------------------------------------------------
 
 BLOCKS = ("block long, doc_ids array<long>, lens binary, held binary, ids binary, keys binary, "
-          "counts binary, n_keys long, n_train long")
+          "counts binary, end_at long, n_keys long, n_tokens long, n_train long")
 
 
 def _block_row(number: int, doc_ids: list, lens: list[int], held: list[bool], ids: array,
                words: dict[bytes, int]) -> pa.RecordBatch:
+    """A block: its words' keys ascending, its tokens as places among them."""
     local = np.frombuffer(ids, "<u4")
     train = np.repeat(~np.array(held, bool), lens)
-    order = np.argsort(-np.bincount(local, minlength=len(words)), kind="stable")
-    rank = np.empty(len(order), "<u4")   # frequent words get small numbers
-    rank[order] = np.arange(len(order))
-    keys = np.array([xxhash.xxh64_intdigest(w, SEED) for w in words], "<u8")[order]
+    keys = np.array([xxhash.xxh64_intdigest(w, SEED) for w in words], "<u8")
+    order = np.argsort(keys)
+    place = np.empty(len(order), "<u4")
+    place[order] = np.arange(len(order))
     counts = np.bincount(local[train], minlength=len(words))[order].astype("<u4")
     return batch_of(block=([number], pa.int64()), doc_ids=([doc_ids], pa.list_(pa.int64())),
                     lens=([pack(np.array(lens, "<u4"))], pa.binary()),
                     held=([pack(np.array(held, "u1"))], pa.binary()),
-                    ids=([pack(rank[local])], pa.binary()), keys=([pack(keys)], pa.binary()),
-                    counts=([pack(counts)], pa.binary()), n_keys=([len(words)], pa.int64()),
+                    ids=([pack(place[local])], pa.binary()), keys=([pack_keys(keys[order])], pa.binary()),
+                    counts=([pack(counts)], pa.binary()), end_at=([int(place[0])], pa.int64()),
+                    n_keys=([len(words)], pa.int64()), n_tokens=([len(local)], pa.int64()),
                     n_train=([int(train.sum())], pa.int64()))
 
 
@@ -122,55 +138,66 @@ def blocks_of(docs: DataFrame, held: Column, id_col: str, text_col: str) -> Data
 # --- totals of keys over all blocks -----------------------------------------
 
 Summary = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, ...]]
-
-
-def totals(entries: DataFrame, n_entries: int, name: str,
-           summary: Summary) -> tuple[DataFrame, DataFrame]:
-    """(block, parts: the totals of each block's keys in bucket order; and the
-    rows of ``summary``: key, a, b). ``entries``: block, keys, counts, and for
-    contexts ctx and lp (packed, aligned)."""
-    buckets = n_entries // ENTRIES + 8
-
-    def deal(batches: Iterator[list[list]]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
-            for block, *packed in zip(*rows):
-                cols = [unpack(b, t) if b is not None else None
-                        for b, t in zip(packed, ("<u8", "<u4", "<u8", "<f4"))]
-                order, starts = deal_order(cols[0], buckets)
-                used = np.flatnonzero(np.diff(starts))
-                sliced = [[pack(c[order[starts[p]:starts[p + 1]]]) if c is not None else None
-                           for p in used] for c in cols]
-                yield batch_of(bucket=(used, pa.int32()), block=([block] * len(used), pa.int64()),
-                               keys=(sliced[0], pa.binary()), counts=(sliced[1], pa.binary()),
-                               ctx=(sliced[2], pa.binary()), lp=(sliced[3], pa.binary()))
-
+DEALT = ("bucket int, block long, keys binary, counts binary, contexts binary, context binary, "
+         "lp binary")
+
+
+def dealt(block: int, keys: np.ndarray, counts: np.ndarray, ctx: np.ndarray | None,
+          lp: np.ndarray | None, buckets: int) -> pa.RecordBatch:
+    """A block's entries, keys ascending, one row per bucket: buckets are equal
+    ranges of the keys, so a block's totals come back in the order of its keys."""
+    edges = np.array([(i << 64) // buckets for i in range(buckets)], "<u8")
+    starts = np.append(np.searchsorted(keys, edges), len(keys))
+    used = np.flatnonzero(np.diff(starts))
+    out: list[list] = [[] for _ in range(5)]
+    for p in used:
+        at = slice(starts[p], starts[p + 1])
+        out[0].append(pack_keys(keys[at]))
+        out[1].append(pack(counts[at].astype("<u4")))
+        if ctx is not None:
+            own, place = np.unique(ctx[at], return_inverse=True)
+            out[2].append(pack_keys(own))
+            out[3].append(pack(place.astype("<u4")))
+            out[4].append(pack(lp[at].astype("<f4")))
+    out = [c or [None] * len(used) for c in out]
+    return batch_of(bucket=(used, pa.int32()), block=([block] * len(used), pa.int64()),
+                    keys=(out[0], pa.binary()), counts=(out[1], pa.binary()),
+                    contexts=(out[2], pa.binary()), context=(out[3], pa.binary()), lp=(out[4], pa.binary()))
+
+
+def totals(entries: DataFrame, name: str, summary: Summary,
+           often: int = 0) -> tuple[DataFrame, DataFrame]:
+    """(block, parts: by bucket the totals of the block's keys, and the keys
+    whose total reaches ``often``; and the rows of ``summary``: key, a, b).
+    ``entries``: rows of ``dealt``."""
     def add(rows: pd.DataFrame) -> pd.DataFrame:
-        keys = [unpack(b, "<u8") for b in rows["keys"]]
+        keys = [unpack_keys(b) for b in rows["keys"]]
         distinct, first, at = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
         total = np.bincount(at, np.concatenate([unpack(b, "<u4") for b in rows["counts"]]))
         cuts = np.cumsum([len(k) for k in keys])[:-1]
-        back = [pack(p.astype("<f8")) for p in np.split(total[at], cuts)]
+        split = np.split(total[at], cuts)
         ctx = lp = None
-        if rows["ctx"].iloc[0] is not None:
-            ctx = np.concatenate([unpack(b, "<u8") for b in rows["ctx"]])[first]
+        if rows["context"].iloc[0] is not None:
+            ctx = np.concatenate([unpack_keys(a)[unpack(b, "<u4")] for a, b in
+                                  zip(rows["contexts"], rows["context"])])[first]
             lp = np.concatenate([unpack(b, "<f4") for b in rows["lp"]])[first].astype(float)
         key, a, b = summary(distinct, total, ctx, lp)
-        blank = [None] * len(back)
-        out = pd.DataFrame({"block": rows["block"], "bucket": rows["bucket"], "part": back,
+        blank = [None] * len(split)
+        out = pd.DataFrame({"block": rows["block"], "bucket": rows["bucket"],
+                            "part": [pack(t.astype("<u8")) for t in split],
+                            "often": [pack_keys(k[t >= often]) for k, t in zip(keys, split)]
+                            if often else blank,
                             "keys": blank, "a": blank, "b": blank})
         more = pd.DataFrame({"block": [-1], "bucket": [int(rows["bucket"].iloc[0])], "part": [None],
-                             "keys": [pack(key.astype("<u8"))], "a": [pack(a.astype("<f8"))],
-                             "b": [pack(b.astype("<f8"))]})
+                             "often": [None], "keys": [pack(key.astype("<u8"))],
+                             "a": [pack(a.astype("<f8"))], "b": [pack(b.astype("<f8"))]})
         return pd.concat([out, more], ignore_index=True)
 
-    dealt = map_rows(entries, deal, "bucket int, block long, keys binary, counts binary, "
-                                    "ctx binary, lp binary")
-    spark = entries.sparkSession
-    small_batches(spark)
-    summed = written(dealt.groupBy("bucket").applyInPandas(
-        add, "block long, bucket int, part binary, keys binary, a binary, b binary"), name)
+    small_batches(entries.sparkSession)
+    summed = written(entries.groupBy("bucket").applyInPandas(
+        add, "block long, bucket int, part binary, often binary, keys binary, a binary, b binary"), name)
     parts = (summed.filter("block >= 0").groupBy("block")
-                   .agg(F.sort_array(F.collect_list(F.struct("bucket", "part"))).alias("parts")))
+                   .agg(F.sort_array(F.collect_list(F.struct("bucket", "part", "often"))).alias("parts")))
 
     def spread(batches: Iterator[list[list]]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
@@ -179,22 +206,20 @@ def totals(entries: DataFrame, n_entries: int, name: str,
                                a=(unpack(a, "<f8"), pa.float64()), b=(unpack(b, "<f8"), pa.float64()))
     rest = map_rows(summed.filter("block < 0").select("keys", "a", "b"), spread,
                     "key long, a double, b double")
-    return parts.withColumn("buckets", F.lit(buckets)), rest
+    return parts, rest
 
 
-def deal_order(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order of the keys by bucket, and where each bucket starts in it."""
-    bucket = (keys % np.uint64(buckets)).astype("i8")
-    return np.argsort(bucket, kind="stable"), np.concatenate(
-        [[0], np.cumsum(np.bincount(bucket, minlength=buckets))])
+def collected(parts: list[dict] | None) -> np.ndarray:
+    """A block's totals in the order of its keys."""
+    return np.concatenate([unpack(p["part"], "<u8") for p in parts or []] or [np.empty(0)]).astype(float)
 
 
-def collected(parts: list[dict], keys: np.ndarray, buckets: int) -> np.ndarray:
-    """A block's totals in the order of its keys."""
-    out = np.empty(len(keys))
-    if len(keys):
-        out[deal_order(keys, buckets)[0]] = np.concatenate([unpack(p["part"], "<f8") for p in parts])
-    return out
+def word_entries(blocks: DataFrame, buckets: int) -> DataFrame:
+    def run(batches: Iterator[list[list]]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            for block, keys, counts in zip(*rows):
+                yield dealt(block, unpack_keys(keys), unpack(counts, "<u4"), None, None, buckets)
+    return map_rows(blocks.select("block", "keys", "counts"), run, DEALT)
 
 
 # --- the three rounds ---------------------------------------------------------
@@ -231,150 +256,176 @@ def among(keys: np.ndarray, sorted_set: np.ndarray) -> np.ndarray:
     return sorted_set[at] == keys
 
 
-ENTRY = "keys binary, counts binary, ctx binary, lp binary, n_entries long"
 PAIRS = ("block long, doc_ids array<long>, lens binary, held binary, n_known binary, base binary, "
-         f"rest binary, symbols binary, symbol_keys binary, symbol_lp binary, symbol_n binary, {ENTRY}")
-
-
-def _pairs(symbols: np.ndarray, lens: np.ndarray, n_symbols: int,
-           context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(distinct pair codes, the pair of each token or -1, the previous symbol
-    of each token). Symbol 0 is the end mark, also before a text's first."""
-    before = np.empty_like(symbols)
-    before[1:] = symbols[:-1]
-    before[np.concatenate([[0], np.cumsum(lens)[:-1]])] = 0
-    use = context[before]
-    codes, at = np.unique(before[use] * n_symbols + symbols[use], return_inverse=True)
-    pair = np.full(len(symbols), -1)
-    pair[use] = at
-    return codes, pair, before
-
-
-def pair_round(blocks: DataFrame, words: DataFrame, n: int, v: int, rare_mass: float,
-               min_symbol: int, min_context: int) -> DataFrame:
-    """Base scores; tokens as symbols; the distinct (context, symbol) pairs."""
+         "rest binary, symbols binary, symbol_keys binary, symbol_lp binary, symbol_n binary")
+
+
+def symbol_round(blocks: DataFrame, words: DataFrame, n: int, v: int, rare_mass: float,
+                 min_symbol: int) -> DataFrame:
+    """Base scores, and the tokens as symbols: 0 the end mark, 1 the rare class,
+    then the block's frequent words, the most frequent first."""
     size = n + v + 1.0
 
     def run(batches: Iterator[list[list]]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            for block, doc_ids, lens, held, ids, keys, parts, buckets in zip(*rows):
-                lens, held = unpack(lens, "<u4").astype("i8"), unpack(held, "u1").astype(bool)
-                keys, local = unpack(keys, "<u8"), unpack(ids, "<u4").astype("i8")
-                c = collected(parts, keys, buckets)
+            for block, doc_ids, lens_b, held_b, ids, end, parts in zip(*rows):
+                lens, local = unpack(lens_b, "<u4").astype("i8"), unpack(ids, "<u4").astype("i8")
+                c = collected(parts)
                 lp = np.log((c + 1) / size)
                 doc = np.repeat(np.arange(len(lens)), lens)
                 n_known = np.bincount(doc[c[local] > 0], minlength=len(lens))
                 base = np.bincount(doc, lp[local], len(lens))
-                # Symbols: 0 the end mark, 1 the rare class, then frequent words.
-                often = (c >= min_symbol) & (keys != END)
-                number = np.ones(len(keys), "i8")
-                number[often] = np.arange(2, 2 + often.sum())
-                number[keys == END] = 0
-                s_keys = np.concatenate([[END, RARE], keys[often]])
-                s_n = np.concatenate([[c[keys == END].sum(), 0], c[often]])
+                often = np.flatnonzero(c >= min_symbol)
+                keys = np.concatenate([unpack_keys(p["often"]) for p in parts])
+                keys, often = keys[often != end], often[often != end]
+                order = np.argsort(-c[often], kind="stable")
+                keys, often = keys[order], often[order]
+                number = np.ones(len(c), "i8")
+                number[often] = np.arange(2, 2 + len(often))
+                number[end] = 0
                 lp_rare = math.log(rare_mass / size)
-                s_lp = np.concatenate([[lp[keys == END].sum(), lp_rare], lp[often]])
                 symbols = number[local]
                 # What a rare word costs beyond its class, in whatever state.
                 rest = np.bincount(doc, np.where(symbols == 1, lp[local] - lp_rare, 0.0), len(lens))
-                context = s_n >= min_context
-                codes, pair, _ = _pairs(symbols, lens, len(s_keys), context)
-                u, x = codes // len(s_keys), codes % len(s_keys)
-                counts = np.bincount(pair[(pair >= 0) & ~np.repeat(held, lens)], minlength=len(codes))
                 yield batch_of(
                     block=([block], pa.int64()), doc_ids=([doc_ids], pa.list_(pa.int64())),
-                    lens=([pack(lens.astype("<u4"))], pa.binary()), held=([pack(held.astype("u1"))], pa.binary()),
+                    lens=([lens_b], pa.binary()), held=([held_b], pa.binary()),
                     n_known=([pack(n_known.astype("<u4"))], pa.binary()), base=([pack(base)], pa.binary()),
                     rest=([pack(rest)], pa.binary()), symbols=([pack(symbols.astype("<u4"))], pa.binary()),
-                    symbol_keys=([pack(s_keys)], pa.binary()), symbol_lp=([pack(s_lp)], pa.binary()),
-                    symbol_n=([pack(s_n)], pa.binary()), keys=([pack(mix(s_keys[u], s_keys[x]))], pa.binary()),
-                    counts=([pack(counts.astype("<u4"))], pa.binary()), ctx=([pack(s_keys[u])], pa.binary()),
-                    lp=([pack(s_lp[x].astype("<f4"))], pa.binary()), n_entries=([len(codes)], pa.int64()))
+                    symbol_keys=([pack(np.concatenate([[END, RARE], keys]))], pa.binary()),
+                    symbol_lp=([pack(np.concatenate([[lp[end], lp_rare], lp[often]]))], pa.binary()),
+                    symbol_n=([pack(np.concatenate([[c[end], 0], c[often]]).astype("<u8"))], pa.binary()))
 
     met = blocks.join(words, "block")
-    return map_rows(met.select("block", "doc_ids", "lens", "held", "ids", "keys", "parts", "buckets"),
-                    run, PAIRS)
+    return map_rows(met.select("block", "doc_ids", "lens", "held", "ids", "end_at", "parts"), run, PAIRS)
+
+
+class Pairs:
+    """A block's distinct (context, symbol) pairs, keys ascending."""
+
+    def __init__(self, lens: bytes, symbols: bytes, s_keys: bytes, s_lp: bytes, s_n: bytes,
+                 min_context: int):
+        self.lens = unpack(lens, "<u4").astype("i8")
+        self.symbols = unpack(symbols, "<u4").astype("i8")
+        self.s_keys, self.s_lp = unpack(s_keys, "<u8"), unpack(s_lp, "<f8")
+        self.s_n = unpack(s_n, "<u8").astype(float)
+        self.context = self.s_n >= min_context
+        self.starts = np.concatenate([[0], np.cumsum(self.lens)[:-1]])
+        # The symbol before each token; the end mark before a text's first.
+        self.before = np.empty_like(self.symbols)
+        self.before[1:] = self.symbols[:-1]
+        self.before[self.starts] = 0
+        use = self.context[self.before]
+        size = len(self.s_keys)
+        codes, at = np.unique(self.before[use] * size + self.symbols[use], return_inverse=True)
+        u, x = codes // size, codes % size
+        keys = mix(self.s_keys[u], self.s_keys[x])
+        order = np.argsort(keys)
+        place = np.empty(len(order), "i8")
+        place[order] = np.arange(len(order))
+        self.keys, self.u, self.x = keys[order], u[order], x[order]
+        self.pair = np.full(len(self.symbols), -1)   # the pair of each token
+        self.pair[use] = place[at]
+
+
+SYMBOLS = ("lens", "symbols", "symbol_keys", "symbol_lp", "symbol_n")
+
+
+def pair_entries(pairs: DataFrame, min_context: int, buckets: int) -> DataFrame:
+    def run(batches: Iterator[list[list]]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            for block, held, *packed in zip(*rows):
+                p = Pairs(*packed, min_context)
+                train = ~np.repeat(unpack(held, "u1").astype(bool), p.lens)
+                counts = np.bincount(p.pair[(p.pair >= 0) & train], minlength=len(p.keys))
+                yield dealt(block, p.keys, counts, p.s_keys[p.u], p.s_lp[p.x], buckets)
+    return map_rows(pairs.select("block", "held", *SYMBOLS), run, DEALT)
 
 
 TRIPLES = ("block long, doc_ids array<long>, lens binary, held binary, n_known binary, base binary, "
-           f"score binary, tokens binary, per_doc binary, total binary, {ENTRY}")
+           "score binary, tokens binary, per_doc binary, total binary, keys binary, counts binary, "
+           "ctx binary, lp binary")
 
 
 def triple_round(pairs: DataFrame, sums: DataFrame, kept: np.ndarray, min_context: int) -> DataFrame:
     """Scores by contexts of up to one word, without the tokens that a longer
-    context precedes; those tokens and their distinct triples."""
+    context precedes; those tokens and their distinct triples, keys ascending."""
     def run(batches: Iterator[list[list]]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            for (block, doc_ids, lens_b, held_b, known_b, base_b, rest, symbols, s_keys, s_lp, s_n, keys,
-                 parts, buckets) in zip(*rows):
-                lens, held = unpack(lens_b, "<u4").astype("i8"), unpack(held_b, "u1").astype(bool)
-                symbols, s_keys = unpack(symbols, "<u4").astype("i8"), unpack(s_keys, "<u8")
-                s_lp, s_n, n_s = unpack(s_lp, "<f8"), unpack(s_n, "<f8"), len(s_keys)
-                context = s_n >= min_context
-                codes, pair, before = _pairs(symbols, lens, n_s, context)
-                total = collected(parts, unpack(keys, "<u8"), buckets)
-                u, x = codes // n_s, codes % n_s
-                state = among(s_keys, kept) & context
+            for block, doc_ids, held_b, known_b, base_b, rest, parts, *packed in zip(*rows):
+                p, total = Pairs(*packed, min_context), collected(parts)
+                held, size, n_docs = unpack(held_b, "u1").astype(bool), len(p.s_keys), len(p.lens)
+                state = among(p.s_keys, kept) & p.context
                 # Log-probability of each pair's symbol after its context.
-                lp = np.where(state[u], log_state(total, s_n[u], PRIOR[1], s_lp[x]), s_lp[x])
-                by_token = np.where(pair >= 0, lp[pair] if len(lp) else 0.0, s_lp[symbols])
+                lp = np.where(state[p.u], log_state(total, p.s_n[p.u], PRIOR[1], p.s_lp[p.x]), p.s_lp[p.x])
+                by_token = p.s_lp[p.symbols]
+                paired = p.pair >= 0
+                by_token[paired] = lp[p.pair[paired]]
                 # Two words of context: the token before was itself paired, and
                 # that pair is frequent; not across a text's start.
-                doc = np.repeat(np.arange(len(lens)), lens)
-                earlier = np.full(len(symbols), -1)
-                earlier[1:] = pair[:-1]
-                earlier[np.concatenate([[0], np.cumsum(lens)[:-1]])] = -1
-                long = np.zeros(len(symbols), bool)
-                if len(codes):
-                    long = (earlier >= 0) & (total[earlier] >= min_context) & (before != 1) & (pair >= 0)
-                triples, tokens = np.unique(earlier[long] * n_s + symbols[long], return_inverse=True)
-                ctx, y = triples // n_s, triples % n_s
-                parent = np.empty(len(triples))
+                doc = np.repeat(np.arange(n_docs), p.lens)
+                earlier = np.full(len(p.symbols), -1)
+                earlier[1:] = p.pair[:-1]
+                earlier[p.starts] = -1
+                long = (earlier >= 0) & paired & (p.before != 1)
+                long[long] = total[earlier[long]] >= min_context
+                triples, at = np.unique(earlier[long] * size + p.symbols[long], return_inverse=True)
+                ctx, y = triples // size, triples % size
+                c_keys = mix(p.s_keys[p.u[ctx]], p.s_keys[p.x[ctx]])
+                keys = mix(c_keys, p.s_keys[y])
+                order = np.argsort(keys)
+                place = np.empty(len(order), "i8")
+                place[order] = np.arange(len(order))
+                tokens = place[at]
+                parent = np.empty(len(order))
                 parent[tokens] = by_token[long]
-                counts = np.bincount(tokens[~held[doc[long]]], minlength=len(triples))
-                c_keys = mix(s_keys[u[ctx]], s_keys[x[ctx]]) if len(ctx) else np.empty(0, "<u8")
-                score = np.bincount(doc[~long], by_token[~long], len(lens)) + unpack(rest, "<f8")
+                counts = np.bincount(tokens[~held[doc[long]]], minlength=len(order))
+                score = np.bincount(doc[~long], by_token[~long], n_docs) + unpack(rest, "<f8")
                 yield batch_of(
                     block=([block], pa.int64()), doc_ids=([doc_ids], pa.list_(pa.int64())),
-                    lens=([lens_b], pa.binary()), held=([held_b], pa.binary()), n_known=([known_b], pa.binary()),
+                    lens=([packed[0]], pa.binary()), held=([held_b], pa.binary()), n_known=([known_b], pa.binary()),
                     base=([base_b], pa.binary()), score=([pack(score)], pa.binary()),
                     tokens=([pack(tokens.astype("<u4"))], pa.binary()),
-                    per_doc=([pack(np.bincount(doc[long], minlength=len(lens)).astype("<u4"))], pa.binary()),
-                    total=([pack(total[ctx] if len(ctx) else np.empty(0))], pa.binary()),
-                    keys=([pack(mix(c_keys, s_keys[y]) if len(ctx) else c_keys)], pa.binary()),
-                    counts=([pack(counts.astype("<u4"))], pa.binary()), ctx=([pack(c_keys)], pa.binary()),
-                    lp=([pack(parent.astype("<f4"))], pa.binary()), n_entries=([len(triples)], pa.int64()))
+                    per_doc=([pack(np.bincount(doc[long], minlength=n_docs).astype("<u4"))], pa.binary()),
+                    total=([pack(total[ctx[order]].astype("<u8"))], pa.binary()),
+                    keys=([pack_keys(keys[order])], pa.binary()), counts=([pack(counts.astype("<u4"))], pa.binary()),
+                    ctx=([pack(c_keys[order])], pa.binary()), lp=([pack(parent.astype("<f4"))], pa.binary()))
 
     met = pairs.join(sums, "block", "left")
-    return map_rows(met.select("block", "doc_ids", "lens", "held", "n_known", "base", "rest", "symbols",
-                               "symbol_keys", "symbol_lp", "symbol_n", "keys", "parts", "buckets"),
+    return map_rows(met.select("block", "doc_ids", "held", "n_known", "base", "rest", "parts", *SYMBOLS),
                     run, TRIPLES)
 
 
+def triple_entries(triples: DataFrame, buckets: int) -> DataFrame:
+    def run(batches: Iterator[list[list]]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            for block, keys, counts, ctx, lp in zip(*rows):
+                yield dealt(block, unpack_keys(keys), unpack(counts, "<u4"), unpack(ctx, "<u8"),
+                            unpack(lp, "<f4"), buckets)
+    return map_rows(triples.select("block", "keys", "counts", "ctx", "lp"), run, DEALT)
+
+
 def score_round(triples: DataFrame, sums: DataFrame, kept: np.ndarray, n: int) -> DataFrame:
     """The documents' scores."""
     def run(batches: Iterator[list[list]]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            for (block, doc_ids, lens, held, known, base, score, tokens, per_doc, total, keys, ctx, lp,
-                 parts, buckets) in zip(*rows):
-                keys, lp = unpack(keys, "<u8"), unpack(lp, "<f4").astype(float)
-                c = collected(parts, keys, buckets) if len(keys) else np.empty(0)
+            for doc_ids, lens, held, known, base, score, tokens, per_doc, total, ctx, lp, parts in zip(*rows):
+                lp = unpack(lp, "<f4").astype(float)
                 lp = np.where(among(unpack(ctx, "<u8"), kept),
-                              log_state(c, unpack(total, "<f8"), PRIOR[2], lp), lp)
+                              log_state(collected(parts), unpack(total, "<u8"), PRIOR[2], lp), lp)
                 per_doc = unpack(per_doc, "<u4").astype("i8")
                 more = np.bincount(np.repeat(np.arange(len(per_doc)), per_doc),
                                    lp[unpack(tokens, "<u4")], len(per_doc))
-                size = len(doc_ids)
                 yield batch_of(doc_id=(doc_ids, pa.int64()), held_out=(unpack(held, "u1").astype(bool), pa.bool_()),
                                n_tokens=(unpack(lens, "<u4").astype("i8"), pa.int64()),
                                n_known=(unpack(known, "<u4").astype("i8"), pa.int64()),
-                               train_tokens=([n] * size, pa.int64()),
+                               train_tokens=([n] * len(doc_ids), pa.int64()),
                                base_score=(unpack(base, "<f8") / math.log(10), pa.float64()),
                                score=((unpack(score, "<f8") + more) / math.log(10), pa.float64()))
 
     met = triples.join(sums, "block", "left")
-    return map_rows(met.select("block", "doc_ids", "lens", "held", "n_known", "base", "score", "tokens",
-                               "per_doc", "total", "keys", "ctx", "lp", "parts", "buckets"), run,
+    return map_rows(met.select("doc_ids", "lens", "held", "n_known", "base", "score", "tokens", "per_doc",
+                               "total", "ctx", "lp", "parts"), run,
                     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
                     "base_score double, score double")
 
@@ -390,33 +441,32 @@ def score_documents(docs: DataFrame, held: Column, id_col: str = "doc_id",
     (log10 probabilities); documents for which ``held`` holds are not learnt."""
     spark = docs.sparkSession
     small_batches(spark)
-    blocks = written(blocks_of(docs, held, id_col, text_col), "blocks")
-    size = blocks.agg(F.sum("n_train").alias("n"), F.sum("n_keys").alias("k")).first()
-    n, n_keys = size["n"] or 0, size["k"] or 0
+    blocks, blocks_at = stored(blocks_of(docs, held, id_col, text_col), "blocks")
+    size = blocks.agg(F.sum("n_train").alias("n"), F.sum("n_keys").alias("k"),
+                      F.sum("n_tokens").alias("t")).first()
+    n, n_keys, n_tokens = size["n"] or 0, size["k"] or 0, size["t"] or 0
     min_context = max(64, math.ceil(SHARE * n))
     min_symbol = max(8, math.ceil(SHARE / 10 * n))
 
-    def vocabulary(_: np.ndarray, c: np.ndarray, *__) -> tuple[np.ndarray, ...]:
-        rare = (c > 0) & (c < min_symbol)
+    def vocabulary(keys: np.ndarray, c: np.ndarray, *_) -> tuple[np.ndarray, ...]:
+        rare = (c > 0) & (c < min_symbol) & (keys != END)
         return np.zeros(1, "u8"), np.array([(c > 0).sum()], float), np.array([(c[rare] + 1).sum()])
 
-    entries = blocks.select("block", "keys", "counts", F.lit(None).cast("binary").alias("ctx"),
-                            F.lit(None).cast("binary").alias("lp"))
     _whole_blocks(spark)
-    words, known = totals(entries, n_keys, "words", vocabulary)
+    words, known = totals(word_entries(blocks, n_keys // ENTRIES + 8), "words", vocabulary, min_symbol)
     v = known.agg(F.sum("a").alias("v"), F.sum("b").alias("rare")).first()
     _whole_blocks(spark)
-    pairs = written(pair_round(blocks, words, n, int(v["v"] or 0), (v["rare"] or 0.0) + 1.0, min_symbol,
-                               min_context), "pairs")
-    n_pairs = pairs.agg(F.sum("n_entries")).first()[0] or 0
-    sums, gains = totals(pairs.select("block", "keys", "counts", "ctx", "lp"), n_pairs, "pair-totals",
-                         leave_one_out(PRIOR[1]))
+    pairs, pairs_at = stored(symbol_round(blocks, words, n, int(v["v"] or 0), (v["rare"] or 0.0) + 1.0,
+                                 min_symbol), "pairs")
+    delete_path(spark, blocks_at)   # what was made of it is written
+    # Distinct pairs are a third of the tokens or less, triples fewer still.
+    buckets = n_tokens // (3 * ENTRIES) + 8
+    sums, gains = totals(pair_entries(pairs, min_context, buckets), "pair-totals", leave_one_out(PRIOR[1]))
     kept = kept_contexts(gains, PRIOR[1])
     _whole_blocks(spark)
     triples = written(triple_round(pairs, sums, kept, min_context), "triples")
-    n_triples = triples.agg(F.sum("n_entries")).first()[0] or 0
-    sums, gains = totals(triples.select("block", "keys", "counts", "ctx", "lp"), n_triples,
-                         "triple-totals", leave_one_out(PRIOR[2]))
+    delete_path(spark, pairs_at)
+    sums, gains = totals(triple_entries(triples, buckets), "triple-totals", leave_one_out(PRIOR[2]))
     longer = kept_contexts(gains, PRIOR[2])
     _whole_blocks(spark)
     return score_round(triples, sums, longer, n)
