@@ -59,7 +59,8 @@ def test_full_refresh_and_gate(spark, tmp_table_dir):
         M.run_pipeline(spark, raw1.unionByName(raw2), seed, tables, CFG, full_refresh=True)
     # the generated fares have discount > tax on many rows: only that rule fails
     assert "expression_holds" in str(e.value)
-    res = M.model_checks(spark, tables, CFG)
+    res = M.model_checks(spark, M.stage_trips(raw1.unionByName(raw2)), M.stage_zones(seed), tables, CFG)
+    assert res.count() == 22
     failing = {r.check for r in res.filter("status = 'fail'").collect()}
     assert failing == {"expression_holds"}
     zp = spark.read.parquet(tables.zone_perf)
