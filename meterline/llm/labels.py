@@ -2,9 +2,18 @@
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable, Iterator
+from typing import TypeVar
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meterline.llm.common import batch_of, map_rows, written
+
+Model = TypeVar("Model")
+
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Column,
                     rows: int) -> DataFrame:
@@ -18,3 +27,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Colum
                     .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
     return (docs.select("doc_id", "text").filter("text is not null")
                 .join(F.broadcast(picked), "doc_id"))
+
+
+def fitted(sample: DataFrame, fit: Callable[[list[tuple[str, int]]], Model]) -> Model:
+    """What ``fit`` makes of a ``labelled_sample``'s (text, label) rows. It runs
+    in one task, which the sample's bound allows; only the model reaches the
+    driver."""
+    rows = written(sample.select("text", "label"), "sample")
+
+    def run(batches: Iterator[list[list]]) -> Iterator[pa.RecordBatch]:
+        got = sorted((text, int(y)) for texts, ys in batches for text, y in zip(texts, ys))
+        yield batch_of(model=([pickle.dumps(fit(got))], pa.binary()))
+    row = map_rows(rows.repartition(1), run, "model binary").first()
+    return pickle.loads(row["model"]) if row else fit([])

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 
 from meterline.llm.common import batch_of, map_rows
-from meterline.llm.labels import labelled_sample
+from meterline.llm.labels import fitted, labelled_sample
 
 #: Labelled documents the field is fitted on, at most.
 TRAIN_ROWS = 4000
@@ -151,11 +151,13 @@ class LineField:
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, steps: int, l2: float) -> np.ndarray:
-    w = np.zeros(x.shape[1])
+    w = np.zeros(x.shape[1], x.dtype)   # the features' type: no wider copies
     m, v = np.zeros_like(w), np.zeros_like(w)
+    weight = (weight / weight.sum()).astype(x.dtype)
+    y = y.astype(x.dtype)
     for t in range(1, steps + 1):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -40, 40)))
-        g = x.T @ ((y - p) * weight) / weight.sum() - l2 * w
+        g = x.T @ ((y - p) * weight) - l2 * w
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         w = w + 0.1 * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-8)
     return w
@@ -193,7 +195,7 @@ def _fit_chain(x: np.ndarray, y: np.ndarray, chains: list[slice], w: np.ndarray,
                       - z[:, None, None, None])
         p = np.empty(len(y))
         p[index[there]] = good[there]
-        g = x.T @ (y - p) / n - l2 * w
+        g = x.T @ ((y - p) / n).astype(x.dtype) - l2 * w
         gm = (moves_seen - (pair * both[:, :, None, None]).sum((0, 1))) / n - l2 * moves
         for grad, (i, j), target in ((g, (0, 1), w), (gm, (2, 3), moves)):
             state[i] = 0.9 * state[i] + 0.1 * grad
@@ -208,7 +210,7 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]]) -> LineField:
     if len(set(labels.tolist())) < 2:
         return LineField(np.zeros(WIDTH), np.zeros((2, 2)), 0.0,
                          float(labels.mean()) if len(rows) else 1.0)
-    x = np.vstack([chain_features(own) for _, own, _ in rows]).astype(float)
+    x = np.vstack([chain_features(own) for _, own, _ in rows]).astype("f4")
     sizes = np.array([len(own) for _, own, _ in rows])
     lengths = np.concatenate([n for _, _, n in rows]).astype(float)
     y = np.repeat(labels, sizes)
@@ -227,7 +229,7 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]]) -> LineField:
     weights, moves = _fit_chain(x, y, chains, first, 80, 1e-4)
     field = LineField(weights, moves, 1.0, 0.0)
     means, at = np.empty(len(rows)), 0
-    emission = x @ weights
+    emission = (x @ weights).astype(float)
     for i, n in enumerate(sizes):
         p = field.marginals(emission[at:at + n])
         means[i] = np.dot(p, lengths[at:at + n] + 1) / (lengths[at:at + n] + 1).sum()
@@ -238,24 +240,9 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]]) -> LineField:
 
 
 def train(docs: DataFrame, labels: DataFrame, admit: Column, rows: int = TRAIN_ROWS) -> LineField:
-    """Fit on at most ``rows`` labelled documents for which ``admit`` holds.
-    Line features of that bounded sample reach the driver, not its texts."""
-    sample = labelled_sample(docs, labels, "quality", admit, rows)
-
-    def run(batches: Iterator[list[list]]) -> Iterator[pa.RecordBatch]:
-        for _, texts, ys in batches:
-            made = [line_features(t) for t in texts]
-            yield batch_of(label=([int(y) for y in ys], pa.int32()),
-                           own=([np.packbits(x > 0, axis=1).tobytes() for x, _ in made], pa.binary()),
-                           lengths=([n.astype("<i8").tobytes() for _, n in made], pa.binary()))
-    out = []
-    got = map_rows(sample.select("doc_id", "text", "label"), run,
-                   "label int, own binary, lengths binary")
-    for r in sorted(got.collect(), key=lambda r: (r["lengths"], r["own"], r["label"])):
-        n = np.frombuffer(r["lengths"], "<i8")
-        bits = np.unpackbits(np.frombuffer(r["own"], "u1").reshape(len(n), -1), axis=1, count=OWN)
-        out.append((r["label"], bits.astype("f4"), n))
-    return fit(out)
+    """Fit on at most ``rows`` labelled documents for which ``admit`` holds."""
+    return fitted(labelled_sample(docs, labels, "quality", admit, rows),
+                  lambda got: fit([(y, *line_features(text)) for text, y in got]))
 
 
 def score_documents(docs: DataFrame, field: LineField) -> DataFrame:

@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 
 from meterline.llm.common import batch_of, map_rows
-from meterline.llm.labels import labelled_sample
+from meterline.llm.labels import fitted, labelled_sample
 
 #: Labelled documents the model is fitted on, at most.
 TRAIN_ROWS = 8000
@@ -121,8 +122,10 @@ class Bags:
         return out
 
 
-def sentence_words(text: str | None) -> list[list[str]]:
-    return [words for s in SENTENCE.findall((text or "").lower()) for words in instances(s)]
+def sentence_features(text: str | None) -> list[set[str]]:
+    """The features of each instance of a text."""
+    return [{f for w in words for f in features(w)}
+            for s in SENTENCE.findall((text or "").lower()) for words in instances(s)]
 
 
 def _curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -136,43 +139,54 @@ def _curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return max(float(w[0]), 1e-3), float(w[1])
 
 
-def fit(rows: list[tuple[int, list[list[str]]]], steps: int = 120, l1: float = 1e-4) -> Bags:
-    """A model from (label, words of each sentence) of whole documents."""
-    y = np.array([r[0] for r in rows], float)
-    if len(set(y.tolist())) < 2:
-        return Bags({}, 0.0, flat=float(y.mean()) if len(rows) else 0.0)
-    df, toxic = Counter(), Counter()
-    for label, bag in rows:
-        words = {f for w in set().union(*bag) for f in features(w)}
-        df.update(words)
-        if label:
-            toxic.update(words)
-    vocab = {w: i for i, w in enumerate(sorted(w for w, n in df.items() if n >= MIN_DOCS))}
-    doc, sent, word, k = [], [], [], 0
-    for d, (_, bag) in enumerate(rows):
-        for s in bag:
-            doc.append(d)
-            got = [vocab[f] for f in {f for w in s for f in features(w)} if f in vocab]
-            sent += [k] * len(got)
-            word += got
-            k += 1
-    doc, sent, word = np.array(doc, int), np.array(sent, int), np.array(word, int)
+Vocabulary = dict[str, tuple[int, int, int]]
+
+
+def vocabulary(counts: list[tuple[str, int, int]]) -> Vocabulary:
+    """(place, documents, toxic documents) of each feature of enough documents."""
+    enough = sorted(c for c in counts if c[1] >= MIN_DOCS)
+    return {f: (i, n, toxic) for i, (f, n, toxic) in enumerate(enough)}
+
+
+def bag_of(text: str | None, vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray, int]:
+    """(instance, feature) places of a text, and its number of instances."""
+    bag = sentence_features(text)
+    sent, word = array("I"), array("I")
+    for k, s in enumerate(bag):
+        got = sorted(vocab[f][0] for f in s if f in vocab)
+        word.extend(got)
+        sent.extend([k] * len(got))
+    return np.frombuffer(sent, "<u4"), np.frombuffer(word, "<u4"), len(bag)
+
+
+def fit(labels: list[int], bags: list[tuple[np.ndarray, np.ndarray, int]], vocab: Vocabulary,
+        steps: int = 120, l1: float = 1e-4) -> Bags:
+    """A model from whole documents' labels and bags (as ``bag_of`` makes them)."""
+    y = np.array(labels, float)
+    if len(set(labels)) < 2:
+        return Bags({}, 0.0, flat=float(y.mean()) if labels else 0.0)
+    sizes = np.array([n for *_, n in bags])
+    first = np.concatenate([[0], np.cumsum(sizes)])
+    k = int(first[-1])
+    doc = np.repeat(np.arange(len(bags)), sizes)
+    sent = np.concatenate([s.astype("i4") + first[i] for i, (s, _, _) in enumerate(bags)]).astype("i4")
+    word = np.concatenate([w for _, w, _ in bags]).astype("i4")
     n1, n0 = y.sum(), len(y) - y.sum()
-    # Start from each word's log-odds, shrunk towards none.
+    # Start from each feature's log-odds, shrunk towards none.
     w = np.zeros(len(vocab))
-    for t, i in vocab.items():
-        w[i] = math.log((toxic[t] + 0.5) / (n1 + 1)) - math.log((df[t] - toxic[t] + 0.5) / (n0 + 1))
+    for i, n, toxic in vocab.values():
+        w[i] = math.log((toxic + 0.5) / (n1 + 1)) - math.log((n - toxic + 0.5) / (n0 + 1))
     w = np.sign(w) * np.maximum(np.abs(w) - 1.5, 0.0)
     b = -5.0
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for t in range(1, steps + 1):
         z = b + np.bincount(sent, w[word], k)
         p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-        none = np.bincount(doc, np.log1p(-np.minimum(p, 1 - 1e-9)), len(rows))
+        none = np.bincount(doc, np.log1p(-np.minimum(p, 1 - 1e-9)), len(y))
         bag = np.clip(-np.expm1(none), 1e-9, 1 - 1e-9)
         # d log-likelihood / dz of a sentence: p (y - bag) / bag
         g = p * ((y - bag) / bag)[doc]
-        gw, gb = np.bincount(word, g[sent], len(w)) / len(rows), g.sum() / len(rows)
+        gw, gb = np.bincount(word, g[sent], len(w)) / len(y), g.sum() / len(y)
         m, v = 0.9 * m + 0.1 * gw, 0.99 * v + 0.01 * gw * gw
         mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
         rate = 0.1 / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-4)
@@ -182,24 +196,28 @@ def fit(rows: list[tuple[int, list[list[str]]]], steps: int = 120, l1: float = 1
     names = list(vocab)
     model = Bags({names[i]: float(w[i]) for i in np.flatnonzero(np.abs(w) > 1e-3)}, float(b))
     z = b + np.bincount(sent, w[word], k)
-    none = np.bincount(doc, -np.logaddexp(0, np.minimum(z, 40)), len(rows))
+    none = np.bincount(doc, -np.logaddexp(0, np.minimum(z, 40)), len(y))
     none = np.minimum(none, -1e-12)
     model.slope, model.shift = _curve(np.log(-np.expm1(none)) - none, y)
     return model
 
 
+def fit_texts(rows: list[tuple[str, int]]) -> Bags:
+    """A model from (text, label) of whole documents."""
+    n, toxic = Counter(), Counter()
+    for text, y in rows:
+        own = set().union(*sentence_features(text))
+        n.update(own)
+        if y:
+            toxic.update(own)
+    vocab = vocabulary([(f, k, toxic[f]) for f, k in n.items() if k >= MIN_DOCS])
+    del n, toxic
+    return fit([y for _, y in rows], [bag_of(text, vocab) for text, _ in rows], vocab)
+
+
 def train(docs: DataFrame, labels: DataFrame, admit: Column, rows: int = TRAIN_ROWS) -> Bags:
     """Fit on at most ``rows`` labelled documents for which ``admit`` holds."""
-    sample = labelled_sample(docs, labels, "toxic", admit, rows)
-
-    def run(batches: Iterator[list[list]]) -> Iterator[pa.RecordBatch]:
-        for texts, ys in batches:
-            yield batch_of(label=([int(y) for y in ys], pa.int32()),
-                           bag=(["\n".join(" ".join(s) for s in sentence_words(t)) for t in texts],
-                                pa.string()))
-    got = map_rows(sample.select("text", "label"), run, "label int, bag string").collect()
-    return fit([(r["label"], [s.split(" ") for s in r["bag"].split("\n")] if r["bag"] else [])
-                for r in sorted(got, key=lambda r: (r["bag"], r["label"]))])
+    return fitted(labelled_sample(docs, labels, "toxic", admit, rows), fit_texts)
 
 
 def score_documents(docs: DataFrame, model: Bags) -> DataFrame:

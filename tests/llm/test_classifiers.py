@@ -80,9 +80,9 @@ def test_noisy_or_equals_its_definition():
 
 
 def test_offending_sentences_are_located(spark):
-    train = [(1, toxicity.sentence_words(f"We walk to town {i}. You scum fool. Fine day.")) for i in range(40)] + \
-            [(0, toxicity.sentence_words(f"We walk to town {i}. Fine day. Good soup.")) for i in range(160)]
-    model = toxicity.fit(train)
+    texts = [(1, f"We walk to town {i}. You scum fool. Fine day.") for i in range(40)] + \
+            [(0, f"We walk to town {i}. Fine day. Good soup.") for i in range(160)]
+    model = toxicity.fit_texts([(t, y) for y, t in texts])
     text = "Fine day. You scum fool! Good soup."
     docs = spark.createDataFrame([(1, text), (2, "Good soup."), (3, None)], "doc_id long, text string")
     out = toxicity.offending_sentences(docs, model).collect()
