@@ -3,7 +3,9 @@ import hashlib
 from pyspark.sql import functions as F
 
 from meterline.llm import exact_dedup
+from tests.conftest import SF001
 from tests.llm.helpers import awkward, empty, rows
+from tests.oracle_harness import compare, duck
 
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -51,3 +53,15 @@ def test_drop_copies_keeps_whole_rows(spark):
 def test_empty_table(spark):
     assert exact_dedup.exact_groups(empty(spark)).count() == 0
     assert exact_dedup.drop_copies(empty(spark)).count() == 0
+
+
+def test_query_matches_its_sql(spark):
+    r = compare(spark, "op6_exact_dedup", SF001, duck(SF001))
+    assert r["status"] == "ok" and not r.get("types"), r
+
+
+def test_the_entry_registers_every_operator_and_the_pipeline():
+    import __spark_entry__ as E
+    names = set(E.queries())
+    assert "pipeline" in names
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
