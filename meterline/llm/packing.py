@@ -164,10 +164,13 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
     before = counts.withColumn("before", F.coalesce(F.sum("n").over(
         Window.partitionBy("class").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0))).drop("n")
-    # One row per class (at most `capacity`): full bins and their first id.
-    per_class = counts.groupBy("class").agg(F.expr("sum(n) div class").alias("bins"))
-    first = per_class.withColumn("first", F.coalesce(F.sum("bins").over(
-        Window.orderBy("class").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    # One row per class, `capacity` at most: its full bins and the first one's id.
+    total, classes = 0, []
+    for r in (counts.groupBy("class").agg(F.expr("sum(n) div class").alias("bins"))
+                    .orderBy("class").collect()):
+        classes.append((r["class"], r["bins"], total))
+        total += r["bins"]
+    first = pieces.sparkSession.createDataFrame(classes, "class int, bins long, first long")
     placed = (pieces.join(before, ["class", "part"]).join(F.broadcast(first), "class")
                     .withColumn("rank", F.col("before") + F.col("k"))
                     .withColumn("bin", F.expr("rank div class")))
@@ -179,21 +182,20 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
                   .withColumn("sequence_id", F.col("first") + F.col("bin"))
                   .withColumn("slot", F.expr("rank % class"))
                   .withColumn("offset", so_far).select(*cols))
-    total = per_class.agg(F.coalesce(F.sum("bins"), F.lit(0)).alias("total"))
 
     def fit(rest: pd.DataFrame) -> pd.DataFrame:
         rest = rest.sort_values(["length", "doc_id", "start"], ascending=False).reset_index(drop=True)
-        rest["sequence_id"] = np.array(best_fit(rest["length"].tolist(), capacity), "int64")
+        rest["sequence_id"] = total + np.array(best_fit(rest["length"].tolist(), capacity), "int64")
         rest["offset"] = rest.groupby("sequence_id")["length"].cumsum() - rest["length"]
         return rest
 
-    narrow = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
-    rest = (placed.filter("bin >= bins").select(F.lit(0).alias("all"), *narrow).groupBy("all").applyInPandas(
-        fit, "all int, doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
+    # Ids as text: pandas would turn a column of numbers and NULLs into floats.
+    narrow = [F.lit(0).alias("all"), F.col("doc_id").cast("string").alias("doc_id"), "start", "length",
+              "ids_crc32", "doc_tokens"]
+    rest = (placed.filter("bin >= bins").select(*narrow).groupBy("all").applyInPandas(
+        fit, "all int, doc_id string, start long, length long, ids_crc32 long, doc_tokens long, "
              "sequence_id long, offset long"))
-    rest = rest.join(F.broadcast(total)).withColumn(
-        "sequence_id", F.col("sequence_id") + F.col("total")).select(*cols)
-    return full.unionByName(rest)
+    return full.unionByName(rest.withColumn("doc_id", F.col("doc_id").cast("long")).select(*cols))
 
 
 def pack_documents(docs: DataFrame, path: str, end_id: int = 2, capacity: int = 4096,
