@@ -1,7 +1,7 @@
 """Language-model scoring with a probabilistic suffix tree over words.
 
 States are contexts of zero, one or two words. The root predicts words by their
-counts plus one. A context of at least ``min_context`` occurrences is kept as a
+counts plus one. A context of at least ``MIN_CONTEXT`` occurrences is kept as a
 state only if a divergence test passes: its next-word counts must predict
 themselves, each occurrence left out in turn, better than its longest kept
 suffix does, by more than ``TEST`` nats in all. A kept state's distribution is
@@ -9,9 +9,10 @@ smoothed towards its suffix's, (n + k P) / (N + k); a word is scored by the
 longest state that is a suffix of what precedes it. A text begins after the end
 of another, so the end mark is the first word's context.
 
-States tell apart the words of at least ``min_symbol`` occurrences and one
+States tell apart the words of at least ``MIN_SYMBOL`` occurrences and one
 class of all others; within that class words keep the root's proportions. All
-distributions sum to one over the known words and one unknown.
+distributions sum to one over the known words and one unknown. Both floors are
+fixed numbers, so the model grows with the corpus.
 
 Counting and scoring move no tokens. Texts are cut into blocks of about
 ``BLOCK`` tokens, each kept as one packed row, and a block asks only for the
@@ -19,9 +20,9 @@ totals of the distinct keys in it: its keys are dealt over buckets by their
 hash, a bucket sums them over all blocks and sends each block its totals. So a
 key that fills the corpus is one entry per block, and each bucket holds about
 ``ENTRIES`` entries whatever the input. This is done three times: words, pairs
-(context, word) and triples. Words and keys are 64-bit hashes. Only kept
-contexts reach the driver, at most 1 / ``SHARE`` of each length, since a
-context needs that share of all tokens.
+(context, word) and triples. Whether a context is kept comes back the same way:
+a block asks the buckets for its own contexts. Words and keys are 64-bit hashes.
+The driver gets a few sums and no keys.
 
 Defined cases: NULL texts are empty (their end mark is their one token); NULL
 ids are training rows; repeated rows all count; without training rows every
@@ -48,9 +49,12 @@ from meterline.operators.incremental import delete_path
 
 BLOCK = 1_500_000
 ENTRIES = 400_000
-#: A context needs this share of the training tokens (and at least 64), a
-#: symbol a tenth of it (and at least 8).
-SHARE = 1e-5
+#: Occurrences that a context and a symbol need, whatever the corpus.
+MIN_CONTEXT = 64
+MIN_SYMBOL = 8
+#: Share of the training tokens that a context needs besides: none (the floors'
+#: definition in the tests names it).
+SHARE = 0.0
 #: Weight of the suffix's distribution in a state's, by context length.
 PRIOR = (0.0, 60.0, 20.0)
 #: Gain in nats that a context must show to be kept.
@@ -142,18 +146,25 @@ DEALT = ("bucket int, block long, keys binary, counts binary, contexts binary, c
          "lp binary")
 
 
-def dealt(block: int, keys: np.ndarray, counts: np.ndarray, ctx: np.ndarray | None,
+def bucket_of(key: Column, buckets: int) -> Column:
+    """The bucket of a key: equal ranges of its upper 32 bits."""
+    return F.shiftright(F.shiftrightunsigned(key, 32) * F.lit(buckets).cast("long"), 32).cast("int")
+
+
+def dealt(block: int, keys: np.ndarray, counts: np.ndarray | None, ctx: np.ndarray | None,
           lp: np.ndarray | None, buckets: int) -> pa.RecordBatch:
-    """A block's entries, keys ascending, one row per bucket: buckets are equal
-    ranges of the keys, so a block's totals come back in the order of its keys."""
-    edges = np.array([(i << 64) // buckets for i in range(buckets)], "<u8")
+    """A block's entries, keys ascending, one row per bucket (``bucket_of``):
+    buckets are equal ranges of the keys, so a block's totals come back in the
+    order of its keys."""
+    edges = np.array([-(-(i << 32) // buckets) << 32 for i in range(buckets)], "<u8")
     starts = np.append(np.searchsorted(keys, edges), len(keys))
     used = np.flatnonzero(np.diff(starts))
     out: list[list] = [[] for _ in range(5)]
     for p in used:
         at = slice(starts[p], starts[p + 1])
         out[0].append(pack_keys(keys[at]))
-        out[1].append(pack(counts[at].astype("<u4")))
+        if counts is not None:
+            out[1].append(pack(counts[at].astype("<u4")))
         if ctx is not None:
             own, place = np.unique(ctx[at], return_inverse=True)
             out[2].append(pack_keys(own))
@@ -240,13 +251,11 @@ def leave_one_out(prior: float) -> Summary:
     return summary
 
 
-def kept_contexts(gains: DataFrame, prior: float) -> np.ndarray:
-    """Contexts that pass the divergence test; few, as each needs its share of
-    all tokens."""
-    rows = (gains.groupBy("key").agg(F.sum("a").alias("a"), F.sum("b").alias("n"))
+def kept_contexts(gains: DataFrame, prior: float) -> DataFrame:
+    """key of the contexts that pass the divergence test."""
+    return (gains.groupBy("key").agg(F.sum("a").alias("a"), F.sum("b").alias("n"))
                  .filter((F.col("n") > 1) & (F.col("a") - F.col("n") * F.log(F.col("n") - 1 + prior) > TEST))
-                 .select("key").collect())
-    return np.sort(np.array([r["key"] for r in rows], "<i8").view("<u8"))
+                 .select("key"))
 
 
 def among(keys: np.ndarray, sorted_set: np.ndarray) -> np.ndarray:
@@ -256,6 +265,27 @@ def among(keys: np.ndarray, sorted_set: np.ndarray) -> np.ndarray:
     return sorted_set[at] == keys
 
 
+def kept_flags(asked: DataFrame, kept: DataFrame, buckets: int) -> DataFrame:
+    """(block, flags: by bucket whether each key that the block asks for is
+    among the kept contexts). ``asked``: rows of ``dealt``, keys alone."""
+    def mark(asks: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        have = np.sort(known["key"].to_numpy("<i8").view("<u8"))
+        return pd.DataFrame({"block": asks["block"], "bucket": asks["bucket"],
+                             "flags": [pack(among(unpack_keys(b), have).astype("u1"))
+                                       for b in asks["keys"]]})
+
+    known = kept.select(bucket_of(F.col("key"), buckets).alias("bucket"), "key")
+    return (asked.select("bucket", "block", "keys").groupBy("bucket")
+                 .cogroup(known.groupBy("bucket"))
+                 .applyInPandas(mark, "block long, bucket int, flags binary")
+                 .groupBy("block").agg(F.sort_array(F.collect_list(F.struct("bucket", "flags"))).alias("flags")))
+
+
+def flagged(flags: list[dict] | None) -> np.ndarray:
+    """A block's flags in the order of the keys it asked for."""
+    return np.concatenate([unpack(f["flags"], "u1") for f in flags or []] or [np.empty(0)]).astype(bool)
+
+
 PAIRS = ("block long, doc_ids array<long>, lens binary, held binary, n_known binary, base binary, "
          "rest binary, symbols binary, symbol_keys binary, symbol_lp binary, symbol_n binary")
 
@@ -342,20 +372,32 @@ def pair_entries(pairs: DataFrame, min_context: int, buckets: int) -> DataFrame:
     return map_rows(pairs.select("block", "held", *SYMBOLS), run, DEALT)
 
 
+def asked_words(pairs: DataFrame, min_context: int, buckets: int) -> DataFrame:
+    """The words of a block that occur often enough to be contexts."""
+    def run(batches: Iterator[list[list]]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            for block, keys, n in zip(*rows):
+                keys = np.sort(unpack(keys, "<u8")[unpack(n, "<u8") >= min_context])
+                yield dealt(block, keys, None, None, None, buckets)
+    return map_rows(pairs.select("block", "symbol_keys", "symbol_n"), run, DEALT)
+
+
 TRIPLES = ("block long, doc_ids array<long>, lens binary, held binary, n_known binary, base binary, "
            "score binary, tokens binary, per_doc binary, total binary, keys binary, counts binary, "
-           "ctx binary, lp binary")
+           "contexts binary, ctx binary, lp binary, n_triples long")
 
 
-def triple_round(pairs: DataFrame, sums: DataFrame, kept: np.ndarray, min_context: int) -> DataFrame:
+def triple_round(pairs: DataFrame, sums: DataFrame, kept: DataFrame, min_context: int) -> DataFrame:
     """Scores by contexts of up to one word, without the tokens that a longer
-    context precedes; those tokens and their distinct triples, keys ascending."""
+    context precedes; those tokens, their distinct triples, keys ascending, and
+    the triples' distinct contexts. ``kept``: flags of ``asked_words``."""
     def run(batches: Iterator[list[list]]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            for block, doc_ids, held_b, known_b, base_b, rest, parts, *packed in zip(*rows):
+            for block, doc_ids, held_b, known_b, base_b, rest, parts, flags, *packed in zip(*rows):
                 p, total = Pairs(*packed, min_context), collected(parts)
                 held, size, n_docs = unpack(held_b, "u1").astype(bool), len(p.s_keys), len(p.lens)
-                state = among(p.s_keys, kept) & p.context
+                state, often = np.zeros(size, bool), np.flatnonzero(p.context)
+                state[often[np.argsort(p.s_keys[often])]] = flagged(flags)
                 # Log-probability of each pair's symbol after its context.
                 lp = np.where(state[p.u], log_state(total, p.s_n[p.u], PRIOR[1], p.s_lp[p.x]), p.s_lp[p.x])
                 by_token = p.s_lp[p.symbols]
@@ -370,13 +412,14 @@ def triple_round(pairs: DataFrame, sums: DataFrame, kept: np.ndarray, min_contex
                 long = (earlier >= 0) & paired & (p.before != 1)
                 long[long] = total[earlier[long]] >= min_context
                 triples, at = np.unique(earlier[long] * size + p.symbols[long], return_inverse=True)
+                # A pair's key is that of the context it makes, and pairs ascend by it.
                 ctx, y = triples // size, triples % size
-                c_keys = mix(p.s_keys[p.u[ctx]], p.s_keys[p.x[ctx]])
-                keys = mix(c_keys, p.s_keys[y])
+                keys = mix(p.keys[ctx], p.s_keys[y])
                 order = np.argsort(keys)
                 place = np.empty(len(order), "i8")
                 place[order] = np.arange(len(order))
                 tokens = place[at]
+                used, c_at = np.unique(ctx[order], return_inverse=True)
                 parent = np.empty(len(order))
                 parent[tokens] = by_token[long]
                 counts = np.bincount(tokens[~held[doc[long]]], minlength=len(order))
@@ -387,32 +430,42 @@ def triple_round(pairs: DataFrame, sums: DataFrame, kept: np.ndarray, min_contex
                     base=([base_b], pa.binary()), score=([pack(score)], pa.binary()),
                     tokens=([pack(tokens.astype("<u4"))], pa.binary()),
                     per_doc=([pack(np.bincount(doc[long], minlength=n_docs).astype("<u4"))], pa.binary()),
-                    total=([pack(total[ctx[order]].astype("<u8"))], pa.binary()),
+                    total=([pack(total[used].astype("<u8"))], pa.binary()),
                     keys=([pack_keys(keys[order])], pa.binary()), counts=([pack(counts.astype("<u4"))], pa.binary()),
-                    ctx=([pack(c_keys[order])], pa.binary()), lp=([pack(parent.astype("<f4"))], pa.binary()))
+                    contexts=([pack_keys(p.keys[used])], pa.binary()), ctx=([pack(c_at.astype("<u4"))], pa.binary()),
+                    lp=([pack(parent.astype("<f4"))], pa.binary()), n_triples=([len(order)], pa.int64()))
 
-    met = pairs.join(sums, "block", "left")
-    return map_rows(met.select("block", "doc_ids", "held", "n_known", "base", "rest", "parts", *SYMBOLS),
+    met = pairs.join(sums, "block", "left").join(kept, "block", "left")
+    return map_rows(met.select("block", "doc_ids", "held", "n_known", "base", "rest", "parts", "flags", *SYMBOLS),
                     run, TRIPLES)
 
 
 def triple_entries(triples: DataFrame, buckets: int) -> DataFrame:
     def run(batches: Iterator[list[list]]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            for block, keys, counts, ctx, lp in zip(*rows):
-                yield dealt(block, unpack_keys(keys), unpack(counts, "<u4"), unpack(ctx, "<u8"),
-                            unpack(lp, "<f4"), buckets)
-    return map_rows(triples.select("block", "keys", "counts", "ctx", "lp"), run, DEALT)
+            for block, keys, counts, contexts, ctx, lp in zip(*rows):
+                yield dealt(block, unpack_keys(keys), unpack(counts, "<u4"),
+                            unpack_keys(contexts)[unpack(ctx, "<u4")], unpack(lp, "<f4"), buckets)
+    return map_rows(triples.select("block", "keys", "counts", "contexts", "ctx", "lp"), run, DEALT)
+
+
+def asked_pairs(triples: DataFrame, buckets: int) -> DataFrame:
+    """The contexts of a block's triples."""
+    def run(batches: Iterator[list[list]]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            for block, contexts in zip(*rows):
+                yield dealt(block, unpack_keys(contexts), None, None, None, buckets)
+    return map_rows(triples.select("block", "contexts"), run, DEALT)
 
 
-def score_round(triples: DataFrame, sums: DataFrame, kept: np.ndarray, n: int) -> DataFrame:
-    """The documents' scores."""
+def score_round(triples: DataFrame, sums: DataFrame, kept: DataFrame, n: int) -> DataFrame:
+    """The documents' scores. ``kept``: flags of ``asked_pairs``."""
     def run(batches: Iterator[list[list]]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            for doc_ids, lens, held, known, base, score, tokens, per_doc, total, ctx, lp, parts in zip(*rows):
-                lp = unpack(lp, "<f4").astype(float)
-                lp = np.where(among(unpack(ctx, "<u8"), kept),
-                              log_state(collected(parts), unpack(total, "<u8"), PRIOR[2], lp), lp)
+            for doc_ids, lens, held, known, base, score, tokens, per_doc, total, ctx, lp, parts, flags in zip(*rows):
+                lp, ctx = unpack(lp, "<f4").astype(float), unpack(ctx, "<u4")
+                lp = np.where(flagged(flags)[ctx],
+                              log_state(collected(parts), unpack(total, "<u8")[ctx], PRIOR[2], lp), lp)
                 per_doc = unpack(per_doc, "<u4").astype("i8")
                 more = np.bincount(np.repeat(np.arange(len(per_doc)), per_doc),
                                    lp[unpack(tokens, "<u4")], len(per_doc))
@@ -423,9 +476,9 @@ def score_round(triples: DataFrame, sums: DataFrame, kept: np.ndarray, n: int) -
                                base_score=(unpack(base, "<f8") / math.log(10), pa.float64()),
                                score=((unpack(score, "<f8") + more) / math.log(10), pa.float64()))
 
-    met = triples.join(sums, "block", "left")
+    met = triples.join(sums, "block", "left").join(kept, "block", "left")
     return map_rows(met.select("doc_ids", "lens", "held", "n_known", "base", "score", "tokens", "per_doc",
-                               "total", "ctx", "lp", "parts"), run,
+                               "total", "ctx", "lp", "parts", "flags"), run,
                     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
                     "base_score double, score double")
 
@@ -445,8 +498,7 @@ def score_documents(docs: DataFrame, held: Column, id_col: str = "doc_id",
     size = blocks.agg(F.sum("n_train").alias("n"), F.sum("n_keys").alias("k"),
                       F.sum("n_tokens").alias("t")).first()
     n, n_keys, n_tokens = size["n"] or 0, size["k"] or 0, size["t"] or 0
-    min_context = max(64, math.ceil(SHARE * n))
-    min_symbol = max(8, math.ceil(SHARE / 10 * n))
+    min_context, min_symbol = MIN_CONTEXT, MIN_SYMBOL
 
     def vocabulary(keys: np.ndarray, c: np.ndarray, *_) -> tuple[np.ndarray, ...]:
         rare = (c > 0) & (c < min_symbol) & (keys != END)
@@ -459,14 +511,15 @@ def score_documents(docs: DataFrame, held: Column, id_col: str = "doc_id",
     pairs, pairs_at = stored(symbol_round(blocks, words, n, int(v["v"] or 0), (v["rare"] or 0.0) + 1.0,
                                  min_symbol), "pairs")
     delete_path(spark, blocks_at)   # what was made of it is written
-    # Distinct pairs are a third of the tokens or less, triples fewer still.
-    buckets = n_tokens // (3 * ENTRIES) + 8
+    # A block's distinct pairs are about half of its tokens.
+    buckets = n_tokens // (2 * ENTRIES) + 8
     sums, gains = totals(pair_entries(pairs, min_context, buckets), "pair-totals", leave_one_out(PRIOR[1]))
-    kept = kept_contexts(gains, PRIOR[1])
+    kept = kept_flags(asked_words(pairs, min_context, buckets), kept_contexts(gains, PRIOR[1]), buckets)
     _whole_blocks(spark)
     triples = written(triple_round(pairs, sums, kept, min_context), "triples")
     delete_path(spark, pairs_at)
+    buckets = (triples.agg(F.sum("n_triples").alias("n")).first()["n"] or 0) // ENTRIES + 8
     sums, gains = totals(triple_entries(triples, buckets), "triple-totals", leave_one_out(PRIOR[2]))
-    longer = kept_contexts(gains, PRIOR[2])
+    longer = kept_flags(asked_pairs(triples, buckets), kept_contexts(gains, PRIOR[2]), buckets)
     _whole_blocks(spark)
     return score_round(triples, sums, longer, n)

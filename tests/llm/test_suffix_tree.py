@@ -135,3 +135,24 @@ def test_keys_tell_order_apart():
     a, b = np.arange(1000, dtype="u8"), np.arange(1000, dtype="u8")[::-1].copy()
     k = st.mix(a, b)
     assert len(set(k.tolist()) | set(st.mix(b, a).tolist())) == 1000 and len(set(k.tolist())) == 1000
+
+
+def test_floors_do_not_follow_the_corpus(spark):
+    """66 occurrences in seven million tokens are a context of their own."""
+    filler = spark.range(70).select("id", F.expr("repeat('x ', 100000)").alias("text"))
+    rare = spark.range(100, 166).select("id", F.lit("a b").alias("text"))
+    docs = filler.unionByName(rare).withColumnRenamed("id", "doc_id")
+    out = st.score_documents(docs, F.lit(False)).filter("doc_id >= 100").collect()
+    assert len(out) == 66 and out[0]["train_tokens"] > 7_000_000
+    assert all(r["score"] > r["base_score"] + 10 for r in out)
+
+
+def test_a_keys_bucket_is_the_range_it_is_dealt_to(spark):
+    keys = np.sort(np.random.default_rng(5).integers(0, 1 << 64, 500, "u8"))
+    for buckets in (1, 8, 1003):
+        dealt = st.dealt(0, keys, None, None, None, buckets)
+        want = {int(k): b for b, packed in zip(dealt["bucket"].to_pylist(), dealt["keys"].to_pylist())
+                for k in st.unpack_keys(packed).view("<i8")}
+        rows = spark.createDataFrame([(k,) for k in want], "key long")
+        got = rows.select("key", st.bucket_of(F.col("key"), buckets).alias("b")).collect()
+        assert {r["key"]: r["b"] for r in got} == want
