@@ -12,6 +12,9 @@ that made a document toxic.
   step, so a document of rare words is not toxic by chance.
 * Sentences end at . ! ? and line feeds and are cut after ``MAX_WORDS`` words,
   so text without marks cannot add up small weights without end.
+* A sentence enters the noisy-or by itself only if its words raise its odds
+  above the offset; all others count as one sentence at the offset, so a text's
+  odds do not rise with its number of sentences alone.
 * The model is fitted on a bounded sample of labelled rows (``TRAIN_ROWS``);
   every document is scored, whole. A closing logistic curve on the bag's
   log-odds puts scores on the labels' scale.
@@ -96,13 +99,13 @@ class Bags:
         return self.offset + sum([self.weights[f] for f in hit]) if hit else self.offset
 
     def bag_odds(self, text: str | None) -> float:
-        """Log-odds of the noisy-or over the text's sentences."""
-        none = 0.0   # log of the probability that no sentence is toxic
-        plain = math.log1p(math.exp(self.offset))
+        """Log-odds of the noisy-or over the text's raised sentences and the rest."""
+        none = -math.log1p(math.exp(self.offset))   # log of the probability that no sentence is toxic
         for s in SENTENCE.findall((text or "").lower()):
             for words in instances(s):
                 z = self._odds(words)
-                none -= plain if z == self.offset else math.log1p(math.exp(min(z, 40.0)))
+                if z > self.offset:
+                    none -= math.log1p(math.exp(min(z, 40.0)))
         none = min(none, -1e-12)
         return math.log(-math.expm1(none)) - none
 
@@ -180,13 +183,15 @@ def fit(labels: list[int], bags: list[tuple[np.ndarray, np.ndarray, int]], vocab
     b = -5.0
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for t in range(1, steps + 1):
-        z = b + np.bincount(sent, w[word], k)
-        p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-        none = np.bincount(doc, np.log1p(-np.minimum(p, 1 - 1e-9)), len(y))
+        up = np.bincount(sent, w[word], k)
+        p = np.where(up > 0, 1 / (1 + np.exp(-np.clip(b + up, -40, 40))), 0.0)
+        rest = 1 / (1 + math.exp(-min(max(b, -40.0), 40.0)))
+        none = np.bincount(doc, np.log1p(-np.minimum(p, 1 - 1e-9)), len(y)) + math.log1p(-min(rest, 1 - 1e-9))
         bag = np.clip(-np.expm1(none), 1e-9, 1 - 1e-9)
         # d log-likelihood / dz of a sentence: p (y - bag) / bag
-        g = p * ((y - bag) / bag)[doc]
-        gw, gb = np.bincount(word, g[sent], len(w)) / len(y), g.sum() / len(y)
+        pull = (y - bag) / bag
+        g = p * pull[doc]
+        gw, gb = np.bincount(word, g[sent], len(w)) / len(y), (g.sum() + rest * pull.sum()) / len(y)
         m, v = 0.9 * m + 0.1 * gw, 0.99 * v + 0.01 * gw * gw
         mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
         rate = 0.1 / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-4)
@@ -195,8 +200,9 @@ def fit(labels: list[int], bags: list[tuple[np.ndarray, np.ndarray, int]], vocab
         b += 0.1 * (mb / (1 - 0.9 ** t)) / (math.sqrt(vb / (1 - 0.99 ** t)) + 1e-8)
     names = list(vocab)
     model = Bags({names[i]: float(w[i]) for i in np.flatnonzero(np.abs(w) > 1e-3)}, float(b))
-    z = b + np.bincount(sent, w[word], k)
-    none = np.bincount(doc, -np.logaddexp(0, np.minimum(z, 40)), len(y))
+    up = np.bincount(sent, w[word], k)
+    none = np.bincount(doc, np.where(up > 0, -np.logaddexp(0, np.minimum(b + up, 40)), 0.0), len(y))
+    none = none - math.log1p(math.exp(b))
     none = np.minimum(none, -1e-12)
     model.slope, model.shift = _curve(np.log(-np.expm1(none)) - none, y)
     return model

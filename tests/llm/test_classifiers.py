@@ -116,3 +116,14 @@ def test_long_text_is_scored_whole():
     assert bags.score(LONG) < bags.score(LONG + " bad")
     f = field()
     assert f.mean("Some prose.\n" * 5000 + "#" * 50_000) != f.mean("Some prose.\n" * 5000)
+
+
+def test_length_alone_is_not_toxic():
+    texts = [(f"We walk to town {i}. You scum fool. Fine day.", 1) for i in range(40)] + \
+            [(f"We walk to town {i}. Fine day. Good soup.", 0) for i in range(160)]
+    model = toxicity.fit_texts(texts)
+    clean = [t for t, y in texts if not y]
+    assert all(model.score(t) < 0.3 for t in clean)
+    assert model.score(" ".join(clean * 200)) < 0.3
+    assert model.score("Unknown words here. " * 100_000) == pytest.approx(model.score(None))
+    assert model.score(" ".join(clean * 200) + " You scum fool.") > 0.5
