@@ -19,14 +19,17 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Colum
                     rows: int) -> DataFrame:
     """doc_id, text, label of at most ``rows`` labelled documents that ``train``
     (a condition on the label rows) admits, chosen by a hash of the id. A
-    document labelled more than once counts once, with its smallest label; NULL
-    ids, labels and texts are not used. The sample's bound makes the broadcast
-    safe."""
+    document labelled more than once counts once, with its smallest label, and
+    an id on many rows once, with the text of the smallest hash; NULL ids, labels
+    and texts are not used. The sample's bound makes the broadcast safe."""
     picked = (labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).filter(train)
                     .groupBy("doc_id").agg(F.min(label).alias("label"))
                     .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
+    # Partial aggregates: however often an id repeats, a task sends one row of it.
     return (docs.select("doc_id", "text").filter("text is not null")
-                .join(F.broadcast(picked), "doc_id"))
+                .join(F.broadcast(picked), "doc_id")
+                .groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text"), "text")).alias("least"))
+                .select("doc_id", "least.text", "label"))
 
 
 def fitted(sample: DataFrame, fit: Callable[[list[tuple[str, int]]], Model]) -> Model:

@@ -4,8 +4,10 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from meterline.llm import quality, toxicity
+from meterline.llm.labels import labelled_sample
 from meterline.llm.queries import op3_quality, op10_toxicity
 from tests.conftest import SF01
 from tests.llm.helpers import LONG, awkward, empty, rows, stored
@@ -127,3 +129,13 @@ def test_length_alone_is_not_toxic():
     assert model.score(" ".join(clean * 200)) < 0.3
     assert model.score("Unknown words here. " * 100_000) == pytest.approx(model.score(None))
     assert model.score(" ".join(clean * 200) + " You scum fool.") > 0.5
+
+
+def test_an_id_on_many_rows_is_one_row_of_the_sample(spark):
+    docs = spark.range(300).select(F.when(F.col("id") < 200, 1).otherwise(F.col("id")).alias("doc_id"),
+                                   F.concat(F.lit("text "), F.col("id")).alias("text"))
+    marks = docs.select("doc_id", F.lit(1).alias("toxic")).distinct()
+    got = labelled_sample(docs, marks, "toxic", F.lit(True), 1000).collect()
+    assert sorted(r["doc_id"] for r in got) == [1, *range(200, 300)]
+    again = labelled_sample(docs.repartition(7), marks, "toxic", F.lit(True), 1000).collect()
+    assert {tuple(r) for r in again} == {tuple(r) for r in got}
