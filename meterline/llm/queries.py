@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm import (bpe, chat, exact_dedup, hilbert, neighbours, packing, quality, simhash,
-                           suffix_tree, toxicity)
+from meterline.llm import (bpe, chat, exact_dedup, filter_audit, hilbert, neighbours, packing, quality,
+                           simhash, suffix_tree, topk, toxicity, whitening)
 from meterline.llm.common import fold, small_batches, table
 
 #: A document counts as label 1 from this score on.
@@ -95,6 +95,24 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(toxicity.score_documents(docs, model), 4, 2)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters over all documents in all 120 orders, by language."""
+    return filter_audit.audit(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+        filter_audit.document_filters(), F.col("lang"),
+        {"good_lost": F.col("quality") == 1, "toxic_lost": F.col("toxic") == 1})
+
+
+def op12_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 highest integer inner products of every vector whose id 100 divides."""
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the first 16 whitened components of all distinct ones."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 LLM_QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_neighbours": op2_neighbours,
@@ -106,6 +124,9 @@ LLM_QUERIES = {
     "op8_harmonic_packing": op8_harmonic_packing,
     "op9_hilbert_sharding": op9_hilbert_sharding,
     "op10_toxicity": op10_toxicity,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_exact_topk": op12_exact_topk,
+    "op13_whitening": op13_whitening,
 }
 
 LLM_ORACLE = {
@@ -119,4 +140,68 @@ LLM_ORACLE = {
                doc_id = max(doc_id) OVER (PARTITION BY norm) AS kept,
                sha256(norm) AS text_sha256
         FROM t""",
+    "op11_filter_audit": r"""
+        WITH d AS (
+          SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+                 list_filter(regexp_split_to_array(coalesce(text, ''), '[ \x09-\x0D]+'),
+                             lambda w: w <> '') AS words
+          FROM documents),
+        l AS (
+          SELECT doc_id, coalesce(max(CAST(quality = 1 AS INT)), 0) AS good,
+                 coalesce(max(CAST(toxic = 1 AS INT)), 0) AS toxic
+          FROM labels GROUP BY doc_id),
+        failed AS (
+          SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+                 CAST(len(words) < 100 AS INT) AS a,
+                 CAST(100 * len(list_distinct(words)) < 80 * len(words) AS INT) AS b,
+                 CAST(100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')))
+                      > 10 * length(text) AS INT) AS c,
+                 CAST(regexp_matches(text, '[#$%&*|]') AS INT) AS d,
+                 coalesce(CAST(d.doc_id > min(d.doc_id) OVER (PARTITION BY text) AS INT), 0) AS e
+          FROM d LEFT JOIN l ON d.doc_id = l.doc_id),
+        sets AS (
+          SELECT part, a + 2 * b + 4 * c + 8 * d + 16 * e AS fails, count(*) AS n,
+                 sum(good) AS good, sum(toxic) AS toxic
+          FROM failed GROUP BY ALL),
+        f(letter, bit) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+        orders AS (
+          SELECT f1.letter || f2.letter || f3.letter || f4.letter || f5.letter AS filter_order,
+                 [f1.bit, f2.bit, f3.bit, f4.bit, f5.bit] AS bits
+          FROM f f1, f f2, f f3, f f4, f f5
+          WHERE f1.bit + f2.bit + f3.bit + f4.bit + f5.bit = 31
+            AND (f1.bit | f2.bit | f3.bit | f4.bit | f5.bit) = 31),
+        steps AS (
+          SELECT filter_order, step, bits[step] AS bit, CAST(coalesce(list_sum(bits[1:step - 1]), 0) AS INT) AS before
+          FROM orders, (SELECT CAST(unnest(range(1, 6)) AS INT) AS step)),
+        done AS (
+          SELECT part, filter_order, step, bit,
+                 sum(CASE WHEN fails & (before | bit) = 0 THEN n ELSE 0 END) AS kept,
+                 sum(CASE WHEN fails & before = 0 AND fails & bit > 0 THEN n ELSE 0 END) AS removed,
+                 sum(CASE WHEN fails & before > 0 AND fails & bit > 0 THEN n ELSE 0 END) AS redundant,
+                 sum(CASE WHEN fails = bit THEN n ELSE 0 END) AS unique_fails,
+                 sum(CASE WHEN fails & before = 0 AND fails & bit > 0 THEN good ELSE 0 END) AS good_lost,
+                 sum(CASE WHEN fails & before = 0 AND fails & bit > 0 THEN toxic ELSE 0 END) AS toxic_lost
+          FROM sets, steps GROUP BY part, filter_order, step, bit)
+        SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+               CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+               CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+               CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+        FROM done""",
+    "op12_exact_topk": """
+        WITH v AS (
+          SELECT vec_id, min(list_transform(embedding, lambda x: CAST(x AS DOUBLE))) AS e
+          FROM embeddings
+          WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+          GROUP BY vec_id),
+        w AS (
+          SELECT vec_id, list_transform(e, lambda x: CAST(floor(1024 * x) AS BIGINT)) AS x FROM v),
+        s AS (
+          SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+                 CAST(coalesce(list_sum(list_transform(range(1, len(q.x) + 1), lambda i: q.x[i] * c.x[i])), 0)
+                      AS BIGINT) AS score
+          FROM w q JOIN w c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.x) = len(c.x))
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank,
+               vec_id, score
+        FROM s QUALIFY rank <= 10""",
 }
