@@ -12,7 +12,8 @@
 * ``upsert_frame``     delete+insert by key as a lazy DataFrame.
 * ``upsert``           the same against a partitioned Parquet table, rewriting
   only the partitions the batch touches; crash-safe, with a declared schema.
-* ``read_table``       such a table, by its declared schema.
+* ``read_table``       such a table, by its declared schema; never writes.
+* ``unapplied``        what a table derived from it has not taken over yet.
 * ``sync_columns``     align a target to a batch's columns (add / drop).
 """
 
@@ -20,23 +21,33 @@ from __future__ import annotations
 
 import datetime as _dt
 import json
+import uuid
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from meterline.sources.files import rebalanced
+from meterline.sources.storage import (delete_path, names_in, read_record, record_names,
+                                       write_record)
+from meterline.sources.storage import exists as _exists
+from meterline.sources.storage import move as _move
 
 DEFAULT_FLOOR = "1900-01-01 00:00:00"
 
 
 # Hidden folder inside a table (Spark's reader skips names starting with '_')
-# holding one row per write: the max of each watermark column it wrote.
+# with one small file per write, in order: its number and id, the table's schema
+# from then on, the partitions it replaced (null: all), the max of each watermark
+# column so far, and which values of a mapped column writes have put in which
+# partition so far.
 MARKS_DIR = "_watermarks"
-PARTS_COL = "_parts"
-# Hidden folder with the values of a mapped column per partition.
-MAP_DIR = "_map"
-_UNRECORDED = object()
+# Hidden folder of a merge that is written but not yet swapped in.
+PENDING_DIR = "_pending"
+# Hidden file of a derived table: the last write of its source that it holds.
+APPLIED = "_applied/mark.json"
 
 
 def high_water_mark(target: DataFrame | None, col: str, floor: str = DEFAULT_FLOOR,
@@ -53,73 +64,108 @@ def high_water_mark(target: DataFrame | None, col: str, floor: str = DEFAULT_FLO
     """
     if target is None:
         return floor
-    m = (_recorded_mark(target.sparkSession, path, col, dict(target.dtypes).get(col))
-         if path else _UNRECORDED)
-    if m is _UNRECORDED:
-        row = target.agg(F.max(col).alias("m")).first()
-        m = None if row is None else row["m"]
+    last = _last_write(target.sparkSession, path) if path else None
+    if last is None or last["marks"].get(col) is None or col not in target.columns:
+        m = target.agg(F.max(col).alias("m")).first()["m"]
+    else:
+        m = _typed(last["marks"][col], dict(target.dtypes)[col])
     return floor if m is None else m
 
 
-def _recorded_mark(spark: SparkSession, path: str, col: str, dtype: str | None):
-    marks = f"{path.rstrip('/')}/{MARKS_DIR}"
-    if dtype is None or not _exists(spark, marks):
-        return _UNRECORDED
-    # Typed like the table's column: no schema-inference job. A record that
-    # lacks the column reads as all-NULL; count() tells that from "no rows".
-    df = spark.read.schema(f"`{col}` {dtype}").parquet(marks)
-    row = df.agg(F.max(col).alias("m"), F.count(col).alias("n")).first()
-    return row["m"] if row["n"] else _UNRECORDED
+def _typed(value, dtype: str):
+    """A recorded value as a column of ``dtype`` gives it."""
+    if dtype.startswith("timestamp"):
+        return _dt.datetime.fromisoformat(value)
+    if dtype == "date":
+        return _dt.date.fromisoformat(value)
+    return Decimal(value) if dtype.startswith("decimal") else value
 
 
-def _append(spark: SparkSession, path: str, rows: list[tuple], schema: str) -> None:
-    if rows:
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+def _numbers(spark: SparkSession, path: str) -> list[str]:
+    """Names of a stored table's write records, the first write's first."""
+    return record_names(spark, f"{path.rstrip('/')}/{MARKS_DIR}")
 
 
-def _record_marks(spark: SparkSession, path: str, written: DataFrame, marks: dict,
-                  replaced: list | None) -> None:
-    """Append one row of maxima after a committed write (append only: a rerun
-    adds the same values again, which leaves every max unchanged), with the
-    partitions it replaced (NULL: all)."""
-    if all(v is None for v in marks.values()):
-        return
-    types = dict(written.dtypes)
-    schema = ", ".join(f"`{c}` {types[c]}" for c in marks)
-    texts = None if replaced is None else [None if v is None else str(v) for v in replaced]
-    _append(spark, f"{path.rstrip('/')}/{MARKS_DIR}", [(*marks.values(), texts)],
-            f"{schema}, {PARTS_COL} array<string>")
+def _write(spark: SparkSession, path: str, name: str) -> dict:
+    return read_record(spark, f"{path.rstrip('/')}/{MARKS_DIR}/{name}")
+
+
+def _last_write(spark: SparkSession, path: str) -> dict | None:
+    """The record of a stored table's last write; None if its first has not ended."""
+    names = _numbers(spark, path)
+    return _write(spark, path, names[-1]) if names else None
+
+
+def _record(spark: SparkSession, at: str, schema: T.StructType, before: dict | None, marks: dict,
+            replaced: Sequence | None, mapped: Sequence[tuple]) -> None:
+    """Write one write's record into the folder ``at``."""
+    # Every column is declared nullable: older partitions may lack it.
+    declared = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
+    types = {f.name: f.dataType.simpleString() for f in schema.fields}
+    highest = {}
+    for c, v in marks.items():
+        old = before["marks"].get(c) if before else None
+        known = [x for x in (v, None if old is None else _typed(old, types[c])) if x is not None]
+        highest[c] = max(known).isoformat() if known and isinstance(known[0], _dt.date) else max(known, default=None)
+    pairs = {tuple(p) for p in (before["map"] if before else [])} | set(mapped)
+    n, write = (before["n"] + 1 if before else 0), uuid.uuid4().hex
+    write_record(spark, f"{at}/{n:012d}-{write}.json", {
+        "n": n, "write": write, "declared": declared.json(), "marks": highest,
+        "parts": None if replaced is None else [None if v is None else str(v) for v in replaced],
+        "map": sorted(pairs, key=str)})
 
 
 def partitions_above(spark: SparkSession, path: str, col: str, mark) -> list[str | None] | None:
     """Partitions (as text) that can hold rows with ``col`` above ``mark``: those
-    replaced by writes that recorded a larger max. None: any can."""
-    at = f"{path.rstrip('/')}/{MARKS_DIR}"
-    schema = _stored_schema(spark, path)
-    if schema is None or col not in schema.names or not _exists(spark, at):
-        return None
-    marks = spark.read.schema(f"`{col}` {schema[col].dataType.simpleString()}, "
-                              f"{PARTS_COL} array<string>").parquet(at)
-    later = marks.filter(F.col(col) > F.lit(str(mark)).cast(schema[col].dataType))
-    row = later.agg(F.count_if(F.col(PARTS_COL).isNull()).alias("whole"), F.count(F.lit(1)).alias("n")).first()
-    if row["whole"] or not row["n"]:
-        return None
-    return [r["p"] for r in later.select(F.explode(PARTS_COL).alias("p")).distinct().collect()]
-
-
-def partitions_with(spark: SparkSession, path: str, values: Sequence) -> list[str | None] | None:
+    replaced by the writes that raised the max beyond it and all later ones. None:
+    any can."""
+    names, parts = _numbers(spark, path), set()
+    for name in reversed(names):
+        record = _write(spark, path, name)
+        highest = record["marks"].get(col)
+        if highest is None:
+            return None
+        dtype = T.StructType.fromJson(json.loads(record["declared"]))[col].dataType.simpleString()
+        if not _typed(highest, dtype) > (_typed(mark, dtype) if isinstance(mark, str) else mark):
+            return sorted(parts, key=str)
+        if record["parts"] is None:
+            return None
+        parts |= set(record["parts"])
+    return None
+
+
+def partitions_with(spark: SparkSession, path: str, values: Sequence) -> list[str | None]:
     """Partitions (as text) in which a write has put any of the mapped column's
-    ``values``: a superset of those that hold them now. None: no record."""
-    at = f"{path.rstrip('/')}/{MAP_DIR}"
-    if not _exists(spark, at):
-        return None
-    v = F.col("v")
-    known = [str(x) for x in values if x is not None]
-    hit = v.isin(known) if known else F.lit(False)
-    if any(x is None for x in values):
-        hit = hit | v.isNull()
-    return [r["part"] for r in spark.read.schema("v string, part string").parquet(at)
-            .filter(hit).select("part").distinct().collect()]
+    ``values``: a superset of those that hold them now."""
+    wanted = {None if v is None else str(v) for v in values}
+    return sorted({part for v, part in _last_write(spark, path)["map"] if v in wanted}, key=str)
+
+
+def values_in(spark: SparkSession, path: str, parts: Sequence[str | None]) -> list[str | None]:
+    """The mapped column's values (as text) that any write has put in ``parts``:
+    what they held before their last write included."""
+    return sorted({v for v, part in _last_write(spark, path)["map"] if part in set(parts)}, key=str)
+
+
+def unapplied(spark: SparkSession, path: str, derived: str) -> tuple[dict, list[str | None] | None]:
+    """(mark of the last write of the table ``path``, partitions replaced by the
+    writes that the table ``derived`` does not hold yet; None: all)."""
+    names = _numbers(spark, path)
+    last = _write(spark, path, names[-1])
+    mark, at = {"n": last["n"], "write": last["write"]}, f"{derived.rstrip('/')}/{APPLIED}"
+    held = read_record(spark, at) if _exists(spark, at) else None
+    if held is None or not any(held["write"] in n for n in names):   # none, or of a table since written anew
+        return mark, None
+    later = [_write(spark, path, n) for n in names if int(n.split("-")[0]) > held["n"]]
+    if any(r["parts"] is None for r in later):
+        return mark, None
+    return mark, sorted({p for r in later for p in r["parts"]}, key=str)
+
+
+def record_applied(spark: SparkSession, derived: str, mark: dict) -> None:
+    """Note that ``derived`` holds its source's writes up to ``mark``; its own
+    write has ended."""
+    write_record(spark, f"{derived.rstrip('/')}/{APPLIED}", mark)
 
 
 def in_partitions(col: str, dtype: str, parts: Sequence[str | None]) -> Column:
@@ -175,44 +221,21 @@ def upsert_frame(target: DataFrame | None, batch: DataFrame,
     return kept.unionByName(batch)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
-
-
-# Hidden folders inside a stored table: its declared schema (the last row
-# written counts), and a merge that is written but not yet swapped in.
-SCHEMA_DIR = "_schema"
-PENDING_DIR = "_pending"
-PENDING_PLAN = "declared string, by array<string>"
-
-
-def _stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
-    at = f"{path.rstrip('/')}/{SCHEMA_DIR}"
-    if not _exists(spark, f"{at}/_SUCCESS"):
-        return None
-    row = (spark.read.schema("version bigint, declared string").parquet(at)
-                .agg(F.max_by("declared", "version").alias("d")).first())
-    return T.StructType.fromJson(json.loads(row["d"])) if row["d"] else None
-
-
-def _declare(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """Record ``schema`` as the table's unless it already is. Every column is
-    declared nullable: older partitions may lack it."""
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in schema.fields])
-    if _stored_schema(spark, path) == schema:
-        return
-    at = f"{path.rstrip('/')}/{SCHEMA_DIR}"
-    n = spark.read.schema("version bigint").parquet(at).count() if _exists(spark, at) else 0
-    (spark.createDataFrame([(n, schema.json())], "version bigint, declared string")
-          .coalesce(1).write.mode("append").parquet(at))
+def _schema_of(record: dict) -> T.StructType:
+    return T.StructType.fromJson(json.loads(record["declared"]))
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether a table written by ``upsert`` is there: its first write ended."""
-    return _stored_schema(spark, path) is not None
+    return bool(_numbers(spark, path))
+
+
+def _leaves(spark: SparkSession, root: str, under: str = "") -> list[str]:
+    """Partition folders below ``root`` ('a=1/b=2'), without hidden ones."""
+    inner = [n for n in names_in(spark, f"{root}/{under}".rstrip("/")) if "=" in n and n[0] not in "_."]
+    if not inner:
+        return [under] if under else []
+    return [leaf for n in inner for leaf in _leaves(spark, root, f"{under}/{n}".lstrip("/"))]
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
@@ -221,33 +244,66 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
 
     A column added by a later batch reads as NULL in partitions that no batch
     has touched since, a dropped one is gone from all, and a table without any
-    row reads as empty. A merge that a crash left between its write and its
-    swap is finished first, so no reader sees a partition half replaced.
+    row reads as empty. Reading never writes: where a crash left a merge
+    between its write and the end of its swap, the partitions still pending
+    are read from there, so no reader sees a partition half replaced.
     """
-    schema = _stored_schema(spark, path)
-    if schema is None:
-        return None
-    if _exists(spark, f"{path.rstrip('/')}/{PENDING_DIR}"):
-        _finish_pending(spark, path)
-        schema = _stored_schema(spark, path)
-    return spark.read.schema(schema).parquet(path)
+    root = path.rstrip("/")
+    at = f"{root}/{PENDING_DIR}"
+    last, pending = _last_write(spark, path), _last_write(spark, at)
+    if last is None or pending is None:
+        return None if last is None else spark.read.schema(_schema_of(last)).parquet(path)
+    schema = _schema_of(pending)
+    waiting = _leaves(spark, f"{at}/rows")
+    out = spark.createDataFrame([], schema)
+    for base, leaves in ((f"{at}/rows", waiting),
+                         (root, [x for x in _leaves(spark, root) if x not in set(waiting)])):
+        if leaves:
+            out = out.unionByName(spark.read.schema(schema).option("basePath", base)
+                                       .parquet(*[f"{base}/{x}" for x in leaves]))
+    return out
 
 
 def _finish_pending(spark: SparkSession, path: str) -> None:
-    """Redo the swap of a complete pending merge; drop an incomplete one."""
-    at = f"{path.rstrip('/')}/{PENDING_DIR}"
-    if not _exists(spark, at):
-        return
-    if _exists(spark, f"{at}/rows/_SUCCESS"):
-        plan = spark.read.schema(PENDING_PLAN).parquet(f"{at}/plan").first()
-        merged = T.StructType.fromJson(json.loads(plan["declared"]))
-        (spark.read.schema(merged).parquet(f"{at}/rows")
-              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy(*plan["by"]).parquet(path))
-        _declare(spark, path, merged)
+    """Swap a complete pending merge in, folder by folder, then publish its
+    record; drop an incomplete one. What a crash left undone is done by the
+    next call: moved folders are no longer there."""
+    root = path.rstrip("/")
+    at = f"{root}/{PENDING_DIR}"
+    for name in _numbers(spark, at):
+        for leaf in _leaves(spark, f"{at}/rows"):
+            _move(spark, f"{at}/rows/{leaf}", f"{root}/{leaf}")
+        _move(spark, f"{at}/{MARKS_DIR}/{name}", f"{root}/{MARKS_DIR}/{name}")
     delete_path(spark, at)
 
 
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish what a lost writer of the table left; for its writer to call."""
+    if _exists(spark, f"{path.rstrip('/')}/{PENDING_DIR}"):
+        _finish_pending(spark, path)
+
+
+# Types that Parquet files are read as without being rewritten.
+_WIDER = {"tinyint": ("smallint", "int", "bigint", "double"), "smallint": ("int", "bigint", "double"),
+          "int": ("bigint", "double"), "float": ("double",)}
+
+
+def _touched(types: dict[str, str], cols: Sequence[str], parts: Sequence[tuple]) -> Column:
+    """Rows in any of ``parts``; prunes partitions. A flat list for one column,
+    else a balanced tree of ORs."""
+    if len(cols) == 1:
+        return in_partitions(cols[0], types[cols[0]], [None if v is None else str(v) for v, in parts])
+    hits = []
+    for values in parts:
+        hit = F.lit(True)
+        for c, v in zip(cols, values):
+            hit = hit & F.col(c).eqNullSafe(F.lit(v).cast(types[c]))
+        hits.append(hit)
+    while len(hits) > 1:
+        hits = [hits[i] | hits[i + 1] if i + 1 < len(hits) else hits[i] for i in range(0, len(hits), 2)]
+    return hits[0]
+
+
 def upsert(spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str] | str,
            partition_cols: Sequence[str], full_refresh: bool = False,
            parts: Sequence[tuple] | None = None,
@@ -257,37 +313,41 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str]
     Precondition: the key determines the partition (rows sharing a key share
     partition values), so only the partitions the batch touches change. Those
     partitions are read (pruned by a literal list of the batch's partition
-    values), the batch keys are anti-joined out, the batch is appended, and a
-    dynamic partition overwrite replaces exactly those partitions.
-
-    Crash safety: the merged partitions are first written whole beside the
-    table (``_pending``) and then swapped in from there. A run that dies
-    before that write ends has changed nothing; one that dies in the swap is
-    finished by the next ``read_table`` or ``upsert``, from the pending copy,
-    which holds the kept rows too. A rerun of the same batch produces the same
-    table. The first write and a full refresh replace the whole table and
-    declare its schema last: until then the table does not exist, and a rerun
-    starts anew. ``parts`` may pass the batch's distinct partition values when
-    the caller already has them.
+    values), the batch keys are anti-joined out and the batch is appended.
+
+    Crash safety: the merged partitions are written once, whole, beside the
+    table (``_pending``), with the write's record as their commit; then their
+    folders take the place of the old ones by name and the record is published.
+    A run that dies before the record has changed nothing; one that dies in the
+    swap is finished by the next ``upsert`` (or ``recover``), and until then
+    ``read_table`` reads what is still pending from there. A rerun of the same
+    batch produces the same table. The first write and a full refresh replace
+    the whole table and record it last: until then the table does not exist,
+    and a rerun starts anew. ``parts`` may pass the batch's distinct partition
+    values when the caller already has them.
+
+    Files follow partitions (``rebalanced``): adaptive execution cuts a heavy
+    partition into several and writes a small one as one.
 
     Columns follow the batch (I5): the table's declared schema becomes the
-    batch's. Added and dropped columns need no rewrite (see ``read_table``); a
-    column whose type changes does, and all partitions are then rewritten.
+    batch's. Added and dropped columns need no rewrite (see ``read_table``), nor
+    does a wider number type, which old files are read as; any other change of
+    a column's type rewrites all partitions.
 
     ``watermark_cols``: the write also records each column's max (an
     ``observe`` on the write job, no extra pass) for ``high_water_mark``.
     The recorded max is the table's max as long as replacing a key's rows
     never lowers a column's max (true for the load stamp, which only grows,
     and for columns the key determines, like the pickup time in trip_id); a
-    full refresh starts the record anew, and a run that failed between the
-    write and the record is repaired by rerunning it. Beside the marks stand
-    the partitions the write replaced (``partitions_above``).
+    full refresh starts the record anew. Beside the marks stand the partitions
+    the write replaced (``partitions_above``, ``unapplied``).
 
     ``map_col``: a column with few values per partition (a month); the write
     records which of its values lie in which partition (``partitions_with``).
     Both records name values of the first partition column.
     """
     from pyspark.sql import Observation
+    root = path.rstrip("/")
     cols = [c for c in watermark_cols if c in batch.columns]
     watched = [F.max(c).alias(c) for c in cols]
     if map_col:
@@ -295,47 +355,37 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str]
             partition_cols[0]).cast("string").alias("part"))).alias("__map"))
     seen = Observation("upsert_marks") if watched else None
 
-    def observed(df: DataFrame) -> DataFrame:
-        return df.observe(seen, *watched) if seen else df
+    def written(df: DataFrame, to: str) -> None:
+        df = rebalanced(df, partition_cols)   # observed above the shuffle: an empty one leaves the plan
+        df = df.observe(seen, *watched) if seen else df
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+           .partitionBy(*partition_cols).parquet(to))
 
-    def record(df: DataFrame, replaced: list | None) -> None:
-        if map_col:
-            _append(spark, f"{path.rstrip('/')}/{MAP_DIR}", [tuple(r) for r in seen.get["__map"]],
-                    "v string, part string")
-        if cols:
-            _record_marks(spark, path, df, {c: seen.get[c] for c in cols}, replaced)
+    def record(df: DataFrame, to: str, before: dict | None, replaced: list | None) -> None:
+        _record(spark, f"{to}/{MARKS_DIR}", df.schema, before, {c: seen.get[c] for c in cols}, replaced,
+                [tuple(r) for r in seen.get["__map"]] if map_col else [])
 
     key = [key] if isinstance(key, str) else list(key)
-    target = None if full_refresh else read_table(spark, path)
-    if target is None:
-        (observed(batch).write.mode("overwrite").option("partitionOverwriteMode", "static")
-                        .partitionBy(*partition_cols).parquet(path))
-        record(batch, None)
-        _declare(spark, path, batch.schema)
+    recover(spark, path)
+    last = None if full_refresh else _last_write(spark, path)
+    if last is None:
+        written(batch, path)
+        record(batch, root, None, None)
         return
     # Distinct partition values of the batch: one row per touched partition.
     if parts is None:
         parts = [tuple(r) for r in batch.select(*partition_cols).distinct().collect()]
     if not parts:
         return
+    target = spark.read.schema(_schema_of(last)).parquet(path)
     types = dict(target.dtypes)
-    rewrite = any(types.get(c, t) != t for c, t in batch.dtypes)
-    if rewrite:
-        pred = F.lit(True)
-    else:
-        pred = F.lit(False)
-        for vals in parts:
-            conj = F.lit(True)
-            for c, v in zip(partition_cols, vals):
-                conj = conj & (F.col(c).isNull() if v is None else (F.col(c) == F.lit(v)))
-            pred = pred | conj
-    merged = upsert_frame(target.filter(pred), batch, key)
-    at = f"{path.rstrip('/')}/{PENDING_DIR}"
-    (spark.createDataFrame([(merged.schema.json(), list(partition_cols))], PENDING_PLAN)
-          .coalesce(1).write.mode("overwrite").parquet(f"{at}/plan"))
-    observed(merged).write.mode("overwrite").parquet(f"{at}/rows")
+    rewrite = any(types.get(c, t) != t and t not in _WIDER.get(types[c], ()) for c, t in batch.dtypes)
+    old = target if rewrite else target.filter(_touched(types, partition_cols, parts))
+    merged = upsert_frame(old, batch, key)
+    at = f"{root}/{PENDING_DIR}"
+    written(merged, f"{at}/rows")
+    record(merged, at, last, None if rewrite else [v[0] for v in parts])
     _finish_pending(spark, path)
-    record(merged, None if rewrite else [v[0] for v in parts])
 
 
 def sync_columns(target: DataFrame, batch: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -379,16 +429,6 @@ def stage(spark: SparkSession, df: DataFrame, name: str,
     return spark.read.schema(df.schema).parquet(path), path, values
 
 
-def delete_path(spark: SparkSession, path: str) -> None:
-    """Remove a folder (a staged batch once the write that read it has
-    committed, or a table partition that lost all its rows)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(p):
-        fs.delete(p, True)
-
-
 def month_of_run(ds: str) -> str:
     """Run date 'YYYY-MM-DD' -> the monthly file it belongs to, 'YYYY-MM' (I8)."""
     _dt.date.fromisoformat(ds)

@@ -559,15 +559,17 @@ class _Stop(Exception):
 
 
 def q_stream_replay(spark, d):
-    """One file per micro-batch; the run dies in its third batch after the raw
-    write and is started again with the same stamp."""
+    """The monthly files in about four micro-batches; the run dies in its third
+    after the raw write and is started again with the same stamp."""
+    from meterline.operators.incremental import read_table
     from meterline.session import scratch_path
+    from meterline.sources.files import matching_paths
     from meterline.streaming.ingest import BATCH_COL, stream_ingest, stream_trips
     base = scratch_path(spark, "stream-replay")
-    glob = f"{base}/landing/yellow_tripdata_*.parquet"
+    glob = f"{base}/landing/yellow_tripdata_*.parquet/*.parquet"
     tables, seed = M.Tables(f"{base}/tables"), X.zone_seed(spark, d)
-    # A few files: late 1996 to the middle of 1997, one part each.
-    _one_part_files(spark, d, f"{base}/landing")
+    X.write_month_files(spark, d, f"{base}/landing")
+    per_batch = max(1, len(matching_paths(spark, glob)) // REPLAY_BATCHES)
 
     def models_until(landed, batch_id):
         if batch_id == 2:
@@ -575,33 +577,34 @@ def q_stream_replay(spark, d):
         M.run_pipeline(spark, landed.drop(BATCH_COL), seed, tables, CFG, ("intermediate", "marts"))
 
     try:
-        stream_ingest(spark, glob, f"{base}/raw", f"{base}/checkpoint", LOAD_1, 1, models_until)
+        stream_ingest(spark, glob, f"{base}/raw", f"{base}/checkpoint", LOAD_1, per_batch, models_until)
     except Exception as e:
         if "driver lost" not in str(e):
             raise
-    stream_trips(spark, glob, f"{base}/raw", f"{base}/checkpoint", LOAD_1, seed, tables, CFG, 1)
-    from meterline.operators.incremental import read_table
+    stream_trips(spark, glob, f"{base}/raw", f"{base}/checkpoint", LOAD_1, seed, tables, CFG, per_batch)
     return read_table(spark, tables.fct).select(*[c for c in M.ENRICHED_COLUMNS if c != "_loaded_at"])
 
 
-def _one_part_files(spark, d, landing):
-    """The months of ``REPLAY_GROUPS`` groups as single files, one per group."""
-    from meterline.operators.incremental import delete_path
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    rows = X.trip_file_rows(spark, d)
-    for name, lo, hi in REPLAY_GROUPS:
-        stage = f"{landing}_{name}"
-        (rows.filter((F.col("_file_ym") >= lo) & (F.col("_file_ym") < hi))
-             .select(*X.TRIP_SOURCE_COLUMNS).coalesce(1).write.mode("overwrite").parquet(stage))
-        at = jvm.org.apache.hadoop.fs.Path(stage)
-        fs = at.getFileSystem(conf)
-        fs.mkdirs(jvm.org.apache.hadoop.fs.Path(landing))
-        for st in fs.listStatus(at):
-            if st.getPath().getName().startswith("part-"):
-                fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(
-                    f"{landing}/yellow_tripdata_{name}.parquet"))
-        delete_path(spark, stage)
+def q_marts_recovery(spark, d):
+    """Both marts after a run that died between the fact's write and the marts
+    and a later run with another batch."""
+    from meterline.session import scratch_path
+    tables, seed = M.Tables(scratch_path(spark, "recovery")), X.zone_seed(spark, d)
+    month = F.col("file_month")
+    lost = month == F.lit(RUN_MONTH).cast("date")
+    last = month == F.lit(LATE_MONTH).cast("date")
+    layers = ("staging", "intermediate", "marts")
+    M.run_pipeline(spark, batch(spark, d, LOAD_1, ~lost & ~last), seed, tables, _safe_cfg(), layers)
+    M.load_intermediate(spark, M.stage_trips(batch(spark, d, LOAD_2, lost)), zones(spark, d), tables,
+                        _safe_cfg())
+    M.load_fact(spark, tables, _safe_cfg())          # the driver is lost here
+    M.run_pipeline(spark, batch(spark, d, LOAD_3, last), seed, tables, _safe_cfg(), layers)
+    daily_mart = spark.read.parquet(tables.daily).select(
+        F.lit("daily").alias("mart"), F.col("revenue_date").cast("string").alias("grain"),
+        F.col("total_trips").alias("trips"), F.col("total_fare").alias("amount"))
+    return daily_mart.unionByName(spark.read.parquet(tables.zone_perf).select(
+        F.lit("zone_month").alias("mart"), F.col("zone_month_key").alias("grain"),
+        F.col("total_trips").alias("trips"), F.col("total_revenue").alias("amount")))
 
 
 def _upserted(spark, d, name, *batches, **how):
@@ -648,13 +651,15 @@ def q_schema_sync_disk(spark, d):
 
 
 def q_schema_rows(spark, d):
-    """The trip files' columns and types, as written and read back."""
+    """The columns and types of all trip files, the later ones with 64-bit
+    numbers, by the files' footers."""
     from meterline.session import scratch_path
-    from meterline.sources.files import matching_paths, read_trip_files
+    from meterline.sources.files import file_columns
     base = scratch_path(spark, "schema")
-    X.write_month_files(spark, d, f"{base}/landing", F.col("_file_ym") == RUN_DATE[:7])
-    trips = read_trip_files(spark, matching_paths(spark, f"{base}/landing/yellow_*.parquet"))
-    return P.schema(trips.drop("source_file"))
+    early = F.col("_file_ym") < INGEST_CUTOFF
+    paths = (X.write_month_files(spark, d, f"{base}/landing", early)
+             + X.write_month_files(spark, d, f"{base}/landing", ~early, wide=True))
+    return P.file_schema(file_columns(spark, paths))
 
 
 # Fixed parameters of the registered queries.
@@ -670,8 +675,7 @@ UNKNOWN_IDS = (23, 24)
 LOAD_1 = "2024-01-01 00:00:00"
 LOAD_2 = "2024-01-02 00:00:00"
 FRESHNESS_CASES = {"new": 36, "late": 37, "edge": 72, "stale": 73, "empty": 0}
-REPLAY_GROUPS = [("1997-01", "1992-01", "1997-03"), ("1997-03", "1997-03", "1997-06"),
-                 ("1997-06", "1997-06", "1997-09"), ("1997-09", "1997-09", "1999-01")]
+REPLAY_BATCHES = 4
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "idle_gaps": q_idle_gaps,
@@ -741,6 +745,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "backfill_month": q_backfill_month,
     "stream_models": q_stream_models,
     "stream_replay": q_stream_replay,
+    "marts_recovery": q_marts_recovery,
     "ingest_same_stamp": q_ingest_same_stamp,
     "ingest_mixed_widths": q_ingest_mixed_widths,
     "upsert_disk_overlap": q_upsert_disk_overlap,

@@ -17,10 +17,10 @@ from meterline.functions.exprs import (exact_avg, exact_sum, grain_key, minutes_
                                        pct, round_half_away, surrogate_key)
 from meterline.operators import checks as C
 from meterline.operators.clean import CleanRules, clean
-from meterline.operators.incremental import (_exists, dedupe_latest, delete_path,
-                                              high_water_mark, in_partitions, new_rows,
-                                              partitions_above, partitions_with, read_table,
-                                              stage, upsert)
+from meterline.operators.incremental import (dedupe_latest, delete_path, high_water_mark,
+                                              in_partitions, new_rows, partitions_above,
+                                              partitions_with, read_table, record_applied,
+                                              recover, stage, unapplied, upsert, values_in)
 from meterline.operators.joins import enrich
 
 # Columns hashed into trip_id, in order (fixed value of the trip model).
@@ -201,46 +201,20 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, seed: DataFrame, tables: T
 
     The intermediate and fact tables are incremental (high-water-mark slice +
     delete+insert by trip_id, partitioned by pickup month, which trip_id
-    determines because it hashes the pickup time); the marts are refreshed
-    from the written fact for the months the batch touched (``refresh_marts``),
-    so enrichment runs once per batch and a batch's cost follows its own size,
-    not the fact's. Returns the check results when 'checks' runs.
+    determines because it hashes the pickup time); the marts take over from the
+    written fact what they do not hold yet (``refresh_marts``), so enrichment
+    runs once per batch and a batch's cost follows its own size, not the
+    fact's, and a run that died anywhere is repaired by the next one. Returns
+    the check results when 'checks' runs.
     """
     stg = stage_trips(raw, cfg.duration_mode)
     zones = stage_zones(seed)
     if "intermediate" in layers:
-        target = None if full_refresh else read_table(spark, tables.int_trips)
-        batch = with_pickup_month(enrich_trips(stg, zones, cfg))
-        staged, parts = None, None
-        if target is not None:
-            # Needed twice by the upsert (touched partitions, merge): staged
-            # once; the staging write also reports the touched partitions.
-            batch, staged, parts = stage(
-                spark, new_rows(batch, target, cfg.int_watermark_col, path=tables.int_trips),
-                "int-batch", distinct_of=[PARTITION_COL])
-        upsert(spark, tables.int_trips, batch, "trip_id",
-               [PARTITION_COL], full_refresh, parts=parts, watermark_cols=WATERMARK_COLS)
-        if staged:
-            delete_path(spark, staged)
+        load_intermediate(spark, stg, zones, tables, cfg, full_refresh)
     if "marts" in layers:
-        enriched = read_table(spark, tables.int_trips)
-        target = None if full_refresh else read_table(spark, tables.fct)
-        batch = fact_trips(enriched if target is None else
-                           fact_slice(spark, enriched, target, tables, cfg))
-        staged, touched = None, None
-        if target is not None:
-            # The deduplicated batch feeds the touched months and the merge:
-            # computed (one shuffle) and staged once.
-            batch, staged, pairs = stage(spark, batch, "fact-batch",
-                                         distinct_of=[PARTITION_COL, "file_month"])
-            touched = touched_months(target, pairs)
-        upsert(spark, tables.fct, batch, "trip_id", [PARTITION_COL], full_refresh,
-               parts=None if touched is None else [(m,) for m in touched[0]],
-               watermark_cols=WATERMARK_COLS, map_col="file_month")
-        if staged:
-            delete_path(spark, staged)
+        load_fact(spark, tables, cfg, full_refresh)
         dim_zones(zones).write.mode("overwrite").parquet(tables.dim)
-        refresh_marts(spark, tables, cfg, touched)
+        refresh_marts(spark, tables, cfg)
     if "checks" in layers:
         results = model_checks(spark, stg, zones, tables, cfg)
         C.gate(results)
@@ -248,6 +222,45 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, seed: DataFrame, tables: T
     return None
 
 
+def load_intermediate(spark: SparkSession, stg: DataFrame, zones: DataFrame, tables: Tables,
+                      cfg: PipelineConfig, full_refresh: bool = False) -> None:
+    """M3 on disk: the staged rows above the intermediate table's mark."""
+    recover(spark, tables.int_trips)
+    target = None if full_refresh else read_table(spark, tables.int_trips)
+    batch = with_pickup_month(enrich_trips(stg, zones, cfg))
+    staged, parts = None, None
+    if target is not None:
+        # Needed twice by the upsert (touched partitions, merge): staged
+        # once; the staging write also reports the touched partitions.
+        batch, staged, parts = stage(
+            spark, new_rows(batch, target, cfg.int_watermark_col, path=tables.int_trips),
+            "int-batch", distinct_of=[PARTITION_COL])
+    upsert(spark, tables.int_trips, batch, "trip_id",
+           [PARTITION_COL], full_refresh, parts=parts, watermark_cols=WATERMARK_COLS)
+    if staged:
+        delete_path(spark, staged)
+
+
+def load_fact(spark: SparkSession, tables: Tables, cfg: PipelineConfig,
+              full_refresh: bool = False) -> None:
+    """M4 on disk: the intermediate rows above the fact's mark, one per trip."""
+    recover(spark, tables.int_trips)
+    recover(spark, tables.fct)
+    enriched = read_table(spark, tables.int_trips)
+    target = None if full_refresh else read_table(spark, tables.fct)
+    batch = fact_trips(enriched if target is None else
+                       fact_slice(spark, enriched, target, tables, cfg))
+    staged, parts = None, None
+    if target is not None:
+        # The deduplicated batch feeds the touched months and the merge:
+        # computed (one shuffle) and staged once.
+        batch, staged, parts = stage(spark, batch, "fact-batch", distinct_of=[PARTITION_COL])
+    upsert(spark, tables.fct, batch, "trip_id", [PARTITION_COL], full_refresh, parts=parts,
+           watermark_cols=WATERMARK_COLS, map_col="file_month")
+    if staged:
+        delete_path(spark, staged)
+
+
 def fact_slice(spark: SparkSession, enriched: DataFrame, target: DataFrame, tables: Tables,
                cfg: PipelineConfig) -> DataFrame:
     """The intermediate rows above the fact's mark, read from the pickup months
@@ -259,26 +272,6 @@ def fact_slice(spark: SparkSession, enriched: DataFrame, target: DataFrame, tabl
     return new_rows(enriched, target, cfg.fact_watermark_col, path=tables.fct)
 
 
-def touched_months(target: DataFrame, pairs: list[tuple]) -> tuple[list, list]:
-    """What a fact batch can change, read before it is applied:
-    (pickup months it writes, file months whose zone-month rows may change),
-    from the batch's distinct (pickup month, file month) ``pairs``.
-
-    A batch row replaces the target's copy of its trip_id, which lies in the
-    same pickup month but may come from another file, so the file months are
-    the batch's own plus those present in the target's touched pickup-month
-    partitions (a partition-pruned scan of one column, a superset of the
-    exact set; recomputing an extra month is harmless).
-    """
-    pickup = sorted({r[0] for r in pairs}, key=str)
-    files = {r[1] for r in pairs}
-    if pickup:
-        old = (target.filter(F.col(PARTITION_COL).isin(pickup))
-                     .select("file_month").distinct().collect())
-        files |= {r[0] for r in old}
-    return pickup, sorted(files, key=str)
-
-
 # Partition column of the daily mart (the month of revenue_date, which is the
 # fact's pickup month).
 DAILY_PARTITION_COL = "revenue_month"
@@ -287,55 +280,58 @@ DAILY_PARTITION_COL = "revenue_month"
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
-def refresh_marts(spark: SparkSession, tables: Tables, cfg: PipelineConfig,
-                  touched: tuple[list, list] | None) -> None:
-    """M6/M7 from the written fact: rebuilt in full when ``touched`` is None,
-    otherwise only the months a batch changed.
-
-    The daily mart is stored by month and recomputed from the fact's touched
-    pickup-month partitions (partition pruning: exact, no other month is
-    read). The zone mart is stored by file month and recomputed for the
-    touched file months; its revenue rank is within a month, so those months
-    alone give the same rows as a full rebuild. A touched file month that no
-    longer has any trip is removed: the write's ``observe`` reports the
-    months it produced, so this costs no extra job.
+def refresh_marts(spark: SparkSession, tables: Tables, cfg: PipelineConfig) -> None:
+    """M6/M7 from the written fact. Each mart keeps its own mark, the last of
+    the fact's writes it holds, and takes over the later ones: a run that died after the fact's write,
+    or between the marts, is repaired by the next, whatever batch that brings.
+
+    The daily mart is stored by month and recomputed from the pickup-month
+    partitions those writes replaced (partition pruning: exact, no other month
+    is read). The zone mart is stored by file month and recomputed for every
+    file month that a write ever put in those partitions (a reloaded trip may
+    have left its old one); its revenue rank is within a month, so those months
+    alone give the same rows as a full rebuild. A file month that no longer has
+    any trip is removed: the write's ``observe`` reports the months it
+    produced, so this costs no extra job. A mart that holds no write yet (also
+    one whose first write died), or a fact written anew, is rebuilt in full.
     """
-    from pyspark.sql import Observation
     fct = read_table(spark, tables.fct)
-    dim = spark.read.parquet(tables.dim)
-    full = (touched is None or not _exists(spark, tables.daily)
-            or not _exists(spark, tables.zone_perf))
-    if full:
-        daily_src, zp_src = fct, fct
-    else:
-        pickup, files = touched
-        if not pickup:
-            return
-        daily_src = fct.filter(F.col(PARTITION_COL).isin(pickup))
-        known = [m for m in files if m is not None]
-        in_files = F.col("file_month").isin(known) if known else F.lit(False)
-        if None in files:   # rows from a file name without a valid month
-            in_files = in_files | F.col("file_month").isNull()
-        parts = partitions_with(spark, tables.fct, files)
-        pruned = fct if parts is None else fct.filter(in_partitions(PARTITION_COL, "date", parts))
-        zp_src = pruned.filter(in_files)
-    overwrite = "static" if full else "dynamic"
-    daily = daily_revenue(daily_src).withColumn(
-        DAILY_PARTITION_COL, F.trunc(F.col("revenue_date"), "month"))
-    (daily.write.mode("overwrite").option("partitionOverwriteMode", overwrite)
-          .partitionBy(DAILY_PARTITION_COL).parquet(tables.daily))
+    mark, parts = unapplied(spark, tables.fct, tables.daily)
+    if parts is None or parts:
+        rows = fct if parts is None else fct.filter(in_partitions(PARTITION_COL, "date", parts))
+        daily = daily_revenue(rows).withColumn(
+            DAILY_PARTITION_COL, F.trunc(F.col("revenue_date"), "month"))
+        _write_mart(daily, tables.daily, DAILY_PARTITION_COL, parts is None)
+        record_applied(spark, tables.daily, mark)
+    mark, parts = unapplied(spark, tables.fct, tables.zone_perf)
+    if parts is None or parts:
+        _refresh_zone_mart(spark, fct, tables, cfg, parts)
+        record_applied(spark, tables.zone_perf, mark)
+
+
+def _refresh_zone_mart(spark: SparkSession, fct: DataFrame, tables: Tables, cfg: PipelineConfig,
+                       parts: list | None) -> None:
+    from pyspark.sql import Observation
+    months = None if parts is None else values_in(spark, tables.fct, parts)
+    if months is not None:
+        around = partitions_with(spark, tables.fct, months)
+        fct = (fct.filter(in_partitions(PARTITION_COL, "date", around))
+                  .filter(in_partitions("file_month", "date", months)))
     seen = Observation("zone_months")
-    zp = zone_performance(zp_src, dim, cfg.high_volume_trips).observe(
-        seen, F.collect_set("file_month").alias("months"),
+    zp = zone_performance(fct, spark.read.parquet(tables.dim), cfg.high_volume_trips).observe(
+        seen, F.collect_set(F.col("file_month").cast("string")).alias("months"),
         F.count_if(F.col("file_month").isNull()).alias("null_months"))
-    (zp.write.mode("overwrite").option("partitionOverwriteMode", overwrite)
-       .partitionBy("file_month").parquet(tables.zone_perf))
-    if not full:
+    _write_mart(zp, tables.zone_perf, "file_month", parts is None)
+    if months is not None:
         got = seen.get
         produced = set(got["months"] or []) | ({None} if got["null_months"] else set())
-        for m in set(touched[1]) - produced:
-            part = NULL_PARTITION if m is None else m.isoformat()
-            delete_path(spark, f"{tables.zone_perf}/file_month={part}")
+        for m in set(months) - produced:
+            delete_path(spark, f"{tables.zone_perf}/file_month={NULL_PARTITION if m is None else m}")
+
+
+def _write_mart(mart: DataFrame, path: str, by: str, full: bool) -> None:
+    (mart.write.mode("overwrite").option("partitionOverwriteMode", "static" if full else "dynamic")
+         .partitionBy(by).parquet(path))
 
 
 def read_marts(spark: SparkSession, tables: Tables, fct: DataFrame,

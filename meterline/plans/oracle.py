@@ -258,6 +258,8 @@ FILE_TYPES = {
     "airport_fee": "double",
 }
 FILE_COLUMNS = list(FILE_TYPES)
+# Columns that other months' files store as 64-bit integers.
+WIDENED = ("VendorID", "passenger_count", "PULocationID", "DOLocationID", "payment_type")
 
 PZONES = """
 pzones AS (SELECT * FROM zones WHERE location_id < 20)"""
@@ -713,13 +715,12 @@ ORACLE.update({
                     stg_of("s1", "b1"), stg_of("s2", "b2", "tip_amount * 2.0::DOUBLE"))
     + ", stg AS (SELECT * FROM s1 UNION ALL SELECT * FROM s2)," + ENRICHED + "," + FCT
     + " SELECT * FROM fct",
-    "stream_replay": w(*FACT_CHAIN) + """
-SELECT * EXCLUDE (_loaded_at, file_month, source_file, m),
-       'yellow_tripdata_' || strftime(m, '%Y-%m') || '.parquet' AS source_file, m AS file_month
-FROM (SELECT *, CASE WHEN file_month < DATE '1997-03-01' THEN DATE '1997-01-01'
-                     WHEN file_month < DATE '1997-06-01' THEN DATE '1997-03-01'
-                     WHEN file_month < DATE '1997-09-01' THEN DATE '1997-06-01'
-                     ELSE DATE '1997-09-01' END AS m FROM fct)""",
+    "stream_replay": w(*FACT_CHAIN) + " SELECT * EXCLUDE (_loaded_at) FROM fct",
+    "marts_recovery": f"""
+SELECT 'daily' AS mart, CAST(revenue_date AS VARCHAR) AS grain, total_trips AS trips, total_fare AS amount
+FROM ({ORACLE['daily_revenue']})
+UNION ALL
+SELECT 'zone_month', zone_month_key, total_trips, total_revenue FROM ({ORACLE['zone_month_performance']})""",
     "ingest_same_stamp": f"SELECT * REPLACE ({LOAD_1} AS _loaded_at) FROM ({INGESTED})",
     "ingest_mixed_widths": w(RAW) + f" SELECT * EXCLUDE (l_orderkey, l_linenumber) "
                                     f"REPLACE ({LOAD_1} AS _loaded_at) FROM raw",
@@ -731,9 +732,12 @@ FROM (SELECT *, CASE WHEN file_month < DATE '1997-03-01' THEN DATE '1997-01-01'
 SELECT *, CAST(NULL AS INTEGER) AS extra FROM s1 WHERE trip_id NOT IN (SELECT trip_id FROM s2)
 UNION ALL SELECT *, 7 FROM s2 WHERE trip_id NOT IN (SELECT trip_id FROM s3)
 UNION ALL SELECT *, 8 FROM s3""",
-    "schema_rows": "SELECT * FROM (VALUES " + ", ".join(
-        f"('{c}', '{t}', CAST({i} AS INTEGER))" for i, (c, t) in enumerate(FILE_TYPES.items(), 1))
-    + ") AS t(column_name, column_type, position)",
+    "schema_rows": w(RAW) + ", t(column_name, narrow, wide) AS (VALUES " + ", ".join(
+        f"('{c}', '{t}', '{'bigint' if c in WIDENED else t}')" for c, t in FILE_TYPES.items()) + f"""),
+months AS (SELECT DISTINCT source_file, strftime(file_month, '%Y-%m') AS ym FROM raw)
+SELECT column_name, CASE WHEN ym < '1998-01' THEN narrow ELSE wide END AS column_type,
+       count(*) AS files, min(source_file) AS first_file, max(source_file) AS last_file
+FROM months, t GROUP BY 1, 2""",
     "gate_findings": 'SELECT "check", column_name, failures FROM (' + checks_sql()
                      + ") WHERE status = 'fail'",
 })

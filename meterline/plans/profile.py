@@ -148,3 +148,11 @@ def schema(trips: DataFrame) -> DataFrame:
     """Describe the columns."""
     return P.schema_rows(trips)
 
+
+def file_schema(columns: DataFrame) -> DataFrame:
+    """E3 over many files: each column and type of ``sources.files.file_columns``
+    with the number of files that have it so, the first and the last of them. A
+    column that differs in one month shows as a second row."""
+    return (columns.groupBy("column_name", "column_type")
+                   .agg(F.count(F.lit(1)).alias("files"), F.min("source_file").alias("first_file"),
+                        F.max("source_file").alias("last_file")))

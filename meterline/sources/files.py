@@ -1,5 +1,7 @@
 """Readers and writers.
 
+* ``file_groups``       monthly files grouped by their footers' types
+* ``file_columns``      the same catalogue as rows: file, column, type
 * ``read_trip_files``   typed Parquet scan of monthly files with provenance
 * ``read_months``       the files of a chosen month list, in one scan
 * ``land_columns``      the typed landing projection (raw-table shape)
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meterline.functions.exprs import month_from_name
+from meterline.sources.storage import located
 
 # Columns of a monthly trip file, in order (fixed values of the source's data
 # dictionary), with the types we give them. Files differ in how wide they store
@@ -88,38 +91,84 @@ def file_name_of(path_col) -> F.Column:
     return F.when(named != "", named).otherwise(last)
 
 
+def _footer_files(spark: SparkSession, paths: Sequence[str]):
+    """Status of the file that stands for each path: itself, or the first part
+    of a folder (None for a folder without any)."""
+    for path in paths:
+        fs, at = located(spark, path)
+        status = fs.getFileStatus(at)
+        if status.isDirectory():
+            parts = {st.getPath().getName(): st for st in fs.listStatus(at)}
+            parts = {n: st for n, st in parts.items() if n[0] not in "_."}
+            status = parts[min(parts)] if parts else None
+        yield status
+
+
+def file_groups(spark: SparkSession, paths: Sequence[str]) -> list[tuple[T.StructType, list[str]]]:
+    """The files grouped by what their footers declare: (schema, paths).
+
+    The footers are read in parallel by the Parquet library in one call; Spark
+    itself opens one file of each group. The driver holds one short text per
+    file. A folder of part files has the schema of its first part; a folder
+    without parts has no rows and is left out.
+    """
+    jvm = spark.sparkContext._jvm
+    known, statuses = [], jvm.java.util.ArrayList()
+    for path, status in zip(paths, _footer_files(spark, paths)):
+        if status is not None:
+            known.append(path)
+            statuses.add(status)
+    found = jvm.org.apache.parquet.hadoop.ParquetFileReader.readAllFootersInParallel(
+        spark.sparkContext._jsc.hadoopConfiguration(), statuses, True)
+    groups: dict[str, list[str]] = {}
+    for path, footer in zip(known, found):
+        text = footer.getParquetMetadata().getFileMetaData().getSchema().toString()
+        groups.setdefault(text, []).append(path)
+    return [(spark.read.parquet(same[0]).schema, same) for same in groups.values()]
+
+
+def file_columns(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """The footer catalogue as rows: source_file, column_name, column_type of
+    every column of every file."""
+    groups = file_groups(spark, paths)
+    files = spark.createDataFrame([(i, p) for i, (_, same) in enumerate(groups) for p in same],
+                                  "group int, path string")
+    columns = spark.createDataFrame(
+        [(i, f.name, f.dataType.simpleString()) for i, (own, _) in enumerate(groups) for f in own.fields],
+        "group int, column_name string, column_type string")
+    return files.join(columns, "group").select(
+        file_name_of(F.col("path")).alias("source_file"), "column_name", "column_type")
+
+
 def read_trip_files(spark: SparkSession, paths: Sequence[str] | str,
                     schema: T.StructType = TRIP_FILE_SCHEMA) -> DataFrame:
     """Typed scan of monthly files with the source file name attached.
 
-    Files are grouped by their footers' types (one footer is opened per file,
-    a list of months); each group is one scan, cast to ``schema``, with NULL
-    for columns it lacks. So an id stored as INT32 in one month and INT64 in
-    the next, or a count stored as a double, loads alike, and timestamps arrive
-    as TIMESTAMP_NTZ. Names match whatever their case.
+    Files are grouped by their footers' types (``file_groups``); each group is
+    one scan, cast to ``schema``, with NULL for columns it lacks. So an id
+    stored as INT32 in one month and INT64 in the next, or a count stored as a
+    double, loads alike, and timestamps arrive as TIMESTAMP_NTZ. Names match
+    whatever their case.
     """
     if isinstance(paths, str):
         paths = [paths]
-    groups: dict[str, tuple[T.StructType, list[str]]] = {}
-    for path in paths:
-        own = spark.read.parquet(path).schema
-        groups.setdefault(own.json(), (own, []))[1].append(path)
     out = None
-    for own, same in groups.values():
+    for own, same in file_groups(spark, paths):
         have = {f.name.lower(): f.name for f in own.fields}
         cols = [(F.col(have[f.name.lower()]) if f.name.lower() in have else F.lit(None))
                 .cast(f.dataType).alias(f.name) for f in schema.fields]
         part = spark.read.schema(own).parquet(*same).select(
             *cols, file_name_of(F.col("_metadata.file_path")).alias("source_file"))
         out = part if out is None else out.unionByName(part)
+    if out is None:
+        out = spark.createDataFrame([], schema).withColumn("source_file", F.lit("").cast("string"))
     return out
 
 
 def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that match a glob, sorted (a listing: one entry per file)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(pattern)
-    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    fs, at = located(spark, pattern)
+    found = fs.globStatus(at)
     return sorted(st.getPath().toString() for st in found or [])
 
 
@@ -204,7 +253,7 @@ def ingest_files(spark: SparkSession, paths: Sequence[str], raw_path: str,
 
 
 def _by_file(df: DataFrame, path: str) -> None:
-    write_partitioned(df, path, ["source_file"], dynamic=True)
+    write_partitioned(df, path, ["source_file"], dynamic=True, rebalance=False)
 
 
 def file_counts(raw: DataFrame) -> DataFrame:
@@ -221,16 +270,27 @@ def read_zone_csv(spark: SparkSession, path: str) -> DataFrame:
 
 # ------------------------------------------------------------------ sinks
 
+def rebalanced(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``df`` dealt by the partition columns for a partitioned write: adaptive
+    execution cuts a heavy partition's rows into several tasks (files) of the
+    advisory size and puts small partitions together in one task, one file each.
+    Without it every task writes a file for every partition it holds."""
+    return df.hint("rebalance", *by)
+
+
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str],
-                      dynamic: bool = False) -> None:
+                      dynamic: bool = False, rebalance: bool = True) -> None:
     """Partitioned Parquet overwrite.
 
-    No shuffle: each task sorts its own rows by the partition columns and
-    writes one file per partition value it holds. A month holding a third of
-    all rows is therefore written by many tasks in parallel, never one.
-    ``dynamic=True`` replaces only the partitions present in ``df``.
+    Rows are rebalanced by the partition columns first: a month holding a third
+    of all rows is written by many tasks, months of a few rows are one file each.
+    ``rebalance=False`` for rows that already lie together by partition (the
+    scan of one file per partition). ``dynamic=True`` replaces only the
+    partitions present in ``df``.
     """
     mode = "dynamic" if dynamic else "static"
+    if rebalance:
+        df = rebalanced(df, by)
     (df.write.mode("overwrite")
        .option("partitionOverwriteMode", mode)
        .partitionBy(*by)

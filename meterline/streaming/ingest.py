@@ -22,11 +22,10 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.operators.incremental import _exists
 from meterline.sources.files import land_columns, read_trip_files
+from meterline.sources.storage import read_record, record_names, write_record
 
 BATCH_COL = "_ingest_batch"
-STAMPS = "batch bigint, stamp timestamp_ntz"
 # Spark's own schema of a binary file source.
 BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -34,19 +33,14 @@ BINARY_FILE = "path string, modificationTime timestamp, length bigint, content b
 def batch_stamp(spark: SparkSession, path: str, batch_id: int, loaded_at: str) -> _dt.datetime:
     """The stored stamp of a batch, or a new one: ``loaded_at``, or one
     microsecond after the latest stored stamp if that is later."""
-    if _exists(spark, path):
-        stored = spark.read.schema(STAMPS).parquet(path)
-        row = stored.agg(F.max(F.when(F.col("batch") == batch_id, F.col("stamp"))).alias("own"),
-                         F.max("stamp").alias("latest")).first()
-        if row["own"] is not None:
-            return row["own"]
-    else:
-        row = {"latest": None}
+    names, own = record_names(spark, path), f"{batch_id:012d}.json"
+    if own in names:
+        return _dt.datetime.fromisoformat(read_record(spark, f"{path}/{own}")["stamp"])
     stamp = _dt.datetime.fromisoformat(loaded_at)
-    if row["latest"] is not None:
-        stamp = max(stamp, row["latest"] + _dt.timedelta(microseconds=1))
-    (spark.createDataFrame([(batch_id, stamp)], STAMPS).coalesce(1)
-          .write.mode("append").parquet(path))
+    if names:   # stamps grow with the batches: the last is the latest
+        latest = _dt.datetime.fromisoformat(read_record(spark, f"{path}/{names[-1]}")["stamp"])
+        stamp = max(stamp, latest + _dt.timedelta(microseconds=1))
+    write_record(spark, f"{path}/{own}", {"stamp": stamp.isoformat()})
     return stamp
 
 

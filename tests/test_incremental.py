@@ -117,14 +117,14 @@ def test_recorded_marks_equal_scanned_max(spark, tmp_table_dir):
     assert MARKS_DIR not in t.columns and t.count() == 11     # the marks stay hidden
     scanned = t.agg({"ts": "max"}).first()[0]
     assert high_water_mark(t, "ts", path=path) == scanned == dt.datetime(2024, 2, 1)
-    assert spark.read.parquet(f"{path}/{MARKS_DIR}").count() == 2
+    assert spark.read.json(f"{path}/{MARKS_DIR}").count() == 2
     # a column without recorded marks falls back to a scan
     assert high_water_mark(t, "k", path=path) == 11
     # a full refresh starts the record anew (the old, larger max is gone)
     upsert(spark, path, df, "k", ["part"], full_refresh=True, watermark_cols=["ts"])
     t = spark.read.parquet(path)
     assert high_water_mark(t, "ts", path=path) == dt.datetime(2024, 1, 3)
-    assert spark.read.parquet(f"{path}/{MARKS_DIR}").count() == 1
+    assert spark.read.json(f"{path}/{MARKS_DIR}").count() == 1
 
 
 DRIFT = "trip_id string, tip double, m date"
@@ -189,6 +189,8 @@ def test_a_crash_before_the_pending_write_ends_changes_nothing(spark, tmp_table_
     # What an unfinished write leaves: rows without the success mark.
     first.write.parquet(path + "/_pending/rows")
     I.delete_path(spark, path + "/_pending/rows/_SUCCESS")
+    assert I.read_table(spark, path).count() == 2          # a reader leaves it alone
+    I.upsert(spark, path, first, "trip_id", ["m"])         # the next writer removes it
     assert I.read_table(spark, path).count() == 2
     assert not I._exists(spark, path + "/_pending")
 
@@ -201,3 +203,79 @@ def test_an_empty_first_batch_makes_an_empty_table(spark, tmp_table_dir):
     assert t.count() == 0 and t.columns == first.columns
     I.upsert(spark, path, first, "trip_id", ["m"], watermark_cols=["tip"])
     assert I.read_table(spark, path).count() == 2
+
+
+def test_a_swap_broken_off_between_two_folders_reads_whole(spark, tmp_table_dir, monkeypatch):
+    """Every point of the swap: readers see the merged table and change nothing,
+    the next writer ends it, and the write is recorded once."""
+    months = [dt.date(2023, m, 1) for m in (1, 2, 3)]
+    first = spark.createDataFrame([(f"k{m.month}", 1.0, m) for m in months], DRIFT)
+    batch = spark.createDataFrame([(f"n{m.month}", 2.0, m) for m in months], DRIFT)
+    want = [(f"{c}{m}", t) for c, t in (("k", 1.0), ("n", 2.0)) for m in (1, 2, 3)]
+    move = I._move
+    for broken in range(4):
+        path = f"{tmp_table_dir}/t{broken}"
+        I.upsert(spark, path, first, "trip_id", ["m"], watermark_cols=["tip"])
+        done = []
+
+        def dies(spark_, source, to):
+            if len(done) == broken:
+                I.delete_path(spark_, to)        # the old folder is gone, the new one not there
+                raise RuntimeError("lost")
+            done.append(to)
+            move(spark_, source, to)
+
+        monkeypatch.setattr(I, "_move", dies)
+        with pytest.raises(RuntimeError):
+            I.upsert(spark, path, batch, "trip_id", ["m"], watermark_cols=["tip"])
+        monkeypatch.setattr(I, "_move", move)
+        for _ in range(2):
+            assert sorted((r.trip_id, r.tip) for r in I.read_table(spark, path).collect()) == want
+        assert I._exists(spark, path + "/_pending")
+        I.recover(spark, path)
+        assert sorted((r.trip_id, r.tip) for r in I.read_table(spark, path).collect()) == want
+        assert not I._exists(spark, path + "/_pending")
+        assert [int(n.split("-")[0]) for n in I._numbers(spark, path)] == [0, 1]
+
+
+def test_a_merge_is_one_table_write(spark, tmp_table_dir, monkeypatch):
+    path = tmp_table_dir + "/t"
+    first, *_ = _drift(spark)
+    I.upsert(spark, path, first, "trip_id", ["m"])
+    from pyspark.sql import DataFrameWriter
+    seen, write = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, at, *a, **k: (seen.append(at), write(self, at, *a, **k)))
+    I.upsert(spark, path, first, "trip_id", ["m"])
+    assert [p.replace(path, "") for p in seen] == ["/_pending/rows"]
+    seen.clear()
+    assert I.read_table(spark, path).count() == 2 and not seen
+
+
+def test_a_wider_number_type_rewrites_only_its_own_months(spark, tmp_table_dir):
+    path = tmp_table_dir + "/t"
+    one, two = dt.date(2023, 1, 1), dt.date(2023, 2, 1)
+    cols = "trip_id string, n {}, f {}, m date"
+    I.upsert(spark, path, spark.createDataFrame([("a", 1, 0.5, one), ("b", 2, 0.5, two)],
+                                                cols.format("int", "float")), "trip_id", ["m"])
+    old = sorted(spark.read.parquet(path + "/m=2023-01-01").inputFiles())
+    wide = spark.createDataFrame([("c", 2 ** 40, 1e300, two)], cols.format("bigint", "double"))
+    I.upsert(spark, path, wide, "trip_id", ["m"])
+    t = I.read_table(spark, path)
+    assert dict(t.dtypes)["n"] == "bigint" and dict(t.dtypes)["f"] == "double"
+    assert {r.trip_id: (r.n, r.f) for r in t.collect()} == {"a": (1, 0.5), "b": (2, 0.5), "c": (2 ** 40, 1e300)}
+    assert sorted(spark.read.parquet(path + "/m=2023-01-01").inputFiles()) == old
+    # A later merge into the old month reads its narrow files.
+    I.upsert(spark, path, spark.createDataFrame([("d", 5, 2.0, one)], cols.format("bigint", "double")),
+             "trip_id", ["m"])
+    assert {r.trip_id: r.n for r in I.read_table(spark, path).collect()} == {"a": 1, "b": 2, "c": 2 ** 40, "d": 5}
+
+
+def test_two_partition_columns_and_null_values(spark, tmp_table_dir):
+    path = tmp_table_dir + "/t"
+    cols = "k string, v int, a string, b int"
+    I.upsert(spark, path, spark.createDataFrame(
+        [("p", 1, "x", 1), ("q", 1, None, 2), ("r", 1, "x", None), ("s", 1, "y", 3)], cols), "k", ["a", "b"])
+    I.upsert(spark, path, spark.createDataFrame(
+        [("q", 2, None, 2), ("r", 2, "x", None), ("t", 2, "z z", 4)], cols), "k", ["a", "b"])
+    got = {r.k: (r.v, r.a, r.b) for r in I.read_table(spark, path).collect()}
+    assert got == {"p": (1, "x", 1), "q": (2, None, 2), "r": (2, "x", None), "s": (1, "y", 3), "t": (2, "z z", 4)}

@@ -152,3 +152,79 @@ def test_empty_first_batch_builds_all_tables(spark, tmp_table_dir):
 
 def test_default_watermark_takes_late_months():
     assert M.PipelineConfig().fact_watermark_col == "_loaded_at"
+
+
+def marts_of(spark, tables):
+    return [sorted(map(repr, spark.read.parquet(t).drop("revenue_month").select(*cols).collect()))
+            for t, cols in ((tables.daily, ["revenue_date", "total_trips", "total_fare", "tip_rate_pct"]),
+                            (tables.zone_perf, ["zone_month_key", "total_trips", "total_revenue", "revenue_rank"]))]
+
+
+def rebuilt(spark, tables, cfg):
+    fct = read_table(spark, tables.fct)
+    daily = M.daily_revenue(fct).select("revenue_date", "total_trips", "total_fare", "tip_rate_pct")
+    zp = M.zone_performance(fct, spark.read.parquet(tables.dim), cfg.high_volume_trips).select(
+        "zone_month_key", "total_trips", "total_revenue", "revenue_rank")
+    return [sorted(map(repr, df.collect())) for df in (daily, zp)]
+
+
+@pytest.mark.parametrize("broken", ["refresh_marts", "record_applied"])
+def test_marts_heal_after_a_lost_run(spark, tmp_table_dir, monkeypatch, broken):
+    """Die after the fact's write, or between the marts: the rerun equals a full
+    rebuild."""
+    tables, seed = M.Tables(tmp_table_dir), X.zone_seed(spark, SF001)
+    raw1, raw2 = batches(spark)
+    layers = ("staging", "intermediate", "marts")
+    M.run_pipeline(spark, raw1, seed, tables, CFG, layers)
+
+    def dies(*_):
+        raise RuntimeError("lost")
+    with monkeypatch.context() as m:
+        m.setattr(M, broken, dies)
+        with pytest.raises(RuntimeError):
+            M.run_pipeline(spark, raw2, seed, tables, CFG, layers)
+    stale = marts_of(spark, tables)
+    M.run_pipeline(spark, raw2, seed, tables, CFG, layers)
+    assert marts_of(spark, tables) == rebuilt(spark, tables, CFG)
+    if broken == "refresh_marts":
+        assert stale != rebuilt(spark, tables, CFG)
+
+
+def test_marts_heal_after_a_lost_stream_batch(spark, tmp_table_dir, monkeypatch):
+    from meterline.streaming.ingest import stream_trips
+    tables, seed = M.Tables(tmp_table_dir + "/tables"), X.zone_seed(spark, SF001)
+    glob = tmp_table_dir + "/landing/yellow_tripdata_*.parquet/*.parquet"
+
+    def run(stamp):
+        stream_trips(spark, glob, tmp_table_dir + "/raw", tmp_table_dir + "/checkpoint", stamp, seed, tables, CFG)
+
+    X.write_month_files(spark, SF001, tmp_table_dir + "/landing", F.col("_file_ym") < "1997-06")
+    run("2024-01-01 00:00:00")
+    X.write_month_files(spark, SF001, tmp_table_dir + "/landing", F.col("_file_ym") >= "1997-06")
+
+    def dies(*_):
+        raise RuntimeError("lost")
+    with monkeypatch.context() as m:
+        m.setattr(M, "refresh_marts", dies)
+        with pytest.raises(Exception, match="lost"):
+            run("2024-01-02 00:00:00")
+    run("2024-01-02 00:00:00")
+    full = M.fact_trips(M.enrich_trips(M.stage_trips(X.raw_trips(spark, SF001)), M.stage_zones(seed), CFG))
+    assert ids(read_table(spark, tables.fct)) == ids(full)
+    assert marts_of(spark, tables) == rebuilt(spark, tables, CFG)
+
+
+def test_a_half_written_first_mart_is_built_again(spark, tmp_table_dir, monkeypatch):
+    tables, seed = M.Tables(tmp_table_dir), X.zone_seed(spark, SF001)
+    raw1, _ = batches(spark)
+    write = M._write_mart
+
+    def half(mart, path, by, full):
+        write(mart.limit(3), path, by, full)
+        raise RuntimeError("lost")
+    with monkeypatch.context() as m:
+        m.setattr(M, "_write_mart", half)
+        with pytest.raises(RuntimeError):
+            M.run_pipeline(spark, raw1, seed, tables, CFG, ("intermediate", "marts"))
+    M.run_pipeline(spark, raw1, seed, tables, CFG, ("intermediate", "marts"))
+    assert marts_of(spark, tables) == rebuilt(spark, tables, CFG)

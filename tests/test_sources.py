@@ -13,7 +13,7 @@ from meterline.plans import models as M
 from meterline.plans.historical import process_historical
 from meterline.plans.runs import backfill, month_available
 from meterline.sources.files import (TRIP_FILE_SCHEMA, file_counts, file_name_of, ingest_files,
-                                     read_months, read_trip_files, read_zone_csv)
+                                     matching_paths, read_months, read_trip_files, read_zone_csv)
 from meterline.streaming.ingest import stream_ingest, stream_trips
 
 CFG = dataclasses.replace(M.FIXTURE_CONFIG, fact_watermark_col="_loaded_at")
@@ -90,8 +90,11 @@ def test_stream_replay_reaches_the_models(spark, tmp_table_dir):
     batch is lost to the models."""
     land, tables = tmp_table_dir + "/landing", M.Tables(tmp_table_dir + "/tables")
     seed = X.zone_seed(spark, SF001)
-    C._one_part_files(spark, SF001, land)
-    args = (spark, land + "/yellow_tripdata_*.parquet", tmp_table_dir + "/raw", tmp_table_dir + "/ckpt",
+    files = X.write_month_files(spark, SF001, land)
+    glob = land + "/yellow_tripdata_*.parquet/*.parquet"
+    per_batch = -(-len(matching_paths(spark, glob)) // 4)
+    assert len(files) >= 60
+    args = (spark, glob, tmp_table_dir + "/raw", tmp_table_dir + "/ckpt",
             "2024-01-01 00:00:00")
 
     def dies(landed, batch_id):
@@ -100,8 +103,8 @@ def test_stream_replay_reaches_the_models(spark, tmp_table_dir):
         M.run_pipeline(spark, landed.drop("_ingest_batch"), seed, tables, CFG, ("intermediate", "marts"))
 
     with pytest.raises(Exception):
-        stream_ingest(*args, 1, dies)
-    stream_trips(*args, seed, tables, CFG, 1)
+        stream_ingest(*args, per_batch, dies)
+    stream_trips(*args, seed, tables, CFG, per_batch)
     raw = spark.read.parquet(tmp_table_dir + "/raw")
     assert raw.select("_loaded_at").distinct().count() == raw.select("_ingest_batch").distinct().count() == 4
     full = M.fact_trips(M.enrich_trips(M.stage_trips(raw.drop("_ingest_batch")), M.stage_zones(seed), CFG))
@@ -209,3 +212,47 @@ def test_shared_folder_must_be_named_on_a_cluster(monkeypatch):
     fake = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda k, d: d))
     with pytest.raises(RuntimeError):
         shared_dir(fake)
+
+
+def test_rebalanced_writes_cut_heavy_months_and_join_small_ones(spark, tmp_table_dir):
+    """A month with most rows becomes several files, each small one a single one."""
+    from meterline.sources.files import rebalanced, write_partitioned
+    rows = spark.range(0, 300_000, 1, 8).select(
+        F.col("id"), F.sha2(F.col("id").cast("string"), 512).alias("x"),
+        F.when(F.col("id") % 3 > 0, F.lit(0)).otherwise(F.col("id") % 40).alias("m"))
+    how = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "4m", "spark.sql.shuffle.partitions": "200"}
+    before = {k: spark.conf.get(k) for k in how}
+    for k, v in how.items():
+        spark.conf.set(k, v)
+    try:
+        write_partitioned(rows, tmp_table_dir + "/t", ["m"])
+        assert "REBALANCE_PARTITIONS_BY_COL" in rebalanced(rows, ["m"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    files = {}
+    for f in spark.read.parquet(tmp_table_dir + "/t").inputFiles():
+        m = int(f.split("/m=")[1].split("/")[0])
+        files[m] = files.get(m, 0) + 1
+    # Only a month that shares the heavy one's hash partition may be cut with it.
+    assert files[0] > 2 and len(files) == 40 and sum(n > 1 for n in files.values()) <= 3
+    assert spark.read.parquet(tmp_table_dir + "/t").count() == 300_000
+
+
+def test_footer_catalogue_groups_files_and_reads_one_of_each(spark, tmp_table_dir, monkeypatch):
+    from pyspark.sql import DataFrameReader
+
+    from meterline.sources.files import file_columns, file_groups
+    paths = []
+    for i in range(6):
+        kind = "bigint" if i == 4 else "int"
+        paths.append(f"{tmp_table_dir}/f/yellow_tripdata_2023-0{i + 1}.parquet")
+        spark.range(3).select(F.col("id").cast(kind).alias("PULocationID"), F.lit("y").alias("flag")) \
+             .write.parquet(paths[-1])
+    opened, parquet = [], DataFrameReader.parquet
+    monkeypatch.setattr(DataFrameReader, "parquet", lambda self, *a, **k: (opened.append(a), parquet(self, *a, **k))[1])
+    groups = file_groups(spark, paths)
+    assert [len(same) for _, same in groups] == [5, 1] and len(opened) == 2
+    odd = {r.source_file for r in file_columns(spark, paths).collect() if r.column_type == "bigint"}
+    assert odd == {"yellow_tripdata_2023-05.parquet"}
+    assert file_groups(spark, []) == [] and read_trip_files(spark, []).count() == 0
