@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import string
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,6 +25,19 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Hand Python ``rows`` rows at a time, for what runs inside; the session's
+    own setting holds again afterwards."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    own = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, own)
+
+
 def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """``df`` computed once into the cluster's shared folder and read back, and
     its folder: the lineage is cut, and a task lost later re-reads the files."""

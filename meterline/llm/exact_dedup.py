@@ -6,15 +6,18 @@ group stays. The work is done on narrow rows (id, 128-bit hash):
 1. Count rows per (hash, id), then per hash: partial aggregation collapses the
    copies of a hot text on the map side.
 2. Bytes are compared inside every group of more than one row: each member's
-   text is joined with the text of the row that stays. Adaptive execution
-   splits that join's side when one hash holds much of the data.
+   text is joined with the text of the row that stays. A large group's members
+   are dealt by a salt, as many as its size asks for (``TOGETHER`` rows each),
+   and only the text that stays is repeated per salt.
 3. Hashes whose members differ (a collision) are grouped again by the text
    itself, so a collision can neither drop nor merge a row.
 
 Defined cases: a NULL text counts as empty. A NULL id is smaller than every id
 and stays only if its group has no other. Rows that repeat the id that stays
-and its text: one of them stays. An empty table gives an empty result. Other
-columns are never read.
+and its text: one of them stays, in ``drop_copies`` the one whose columns are the
+smallest as JSON. An empty table gives an empty result. Other columns, whatever
+their names, are not read by ``exact_groups`` and passed on by ``drop_copies``.
+Very long texts take part whole.
 """
 
 from __future__ import annotations
@@ -26,6 +29,9 @@ from pyspark.sql import functions as F
 
 from meterline.llm.common import ascii_lower, text_of, written
 
+#: Members of a group whose bytes are compared in one task.
+TOGETHER = 4096
+
 
 def content_hash(text: Column) -> Column:
     """128-bit hash of a text, as 16 bytes."""
@@ -58,17 +64,23 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     'largest' or 'smallest' id."""
     norm = ascii_lower(text_of(text_col))
     texts = docs.select(F.col(id_col).alias("id"), norm.alias("norm")) \
-                .withColumn("h", hash_of(F.col("norm")))
+                .withColumns({"h": hash_of(F.col("norm")), "part": F.spark_partition_id()})
     per_id = written(
         texts.select("id", "h", F.unhex(F.sha2(F.col("norm").cast("binary"), 256)).alias("sha"))
              .groupBy("h", "id").agg(F.count(F.lit(1)).alias("n"), F.max("sha").alias("sha")),
         "hashes")
     groups = _groups(per_id, ["h"], keep)
-    several = groups.filter("size > 1")
-    members = texts.join(several.select("h", "keep"), "h")
-    stays = (members.filter(F.col("id").eqNullSafe(F.col("keep")))
-                    .groupBy("h").agg(F.min("norm").alias("kept_text")))
-    clash = written(members.join(stays, "h").filter("norm != kept_text").select("h").distinct(),
+    salts = F.ceil(F.col("size") / TOGETHER).cast("int")
+    several = groups.filter("size > 1").select("h", "keep", salts.alias("salts"))
+    members = texts.join(several, "h")
+    # Dealt anew by hash: the join before is then free to be split where one
+    # hash holds much of the data, as it is for the salted join below.
+    stays = (members.filter(F.col("id").eqNullSafe(F.col("keep"))).select("h", "norm", "salts")
+                    .repartition("h").groupBy("h", "salts").agg(F.min("norm").alias("kept_text"))
+                    .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))))
+    salted = members.select("h", "norm", F.pmod(F.xxhash64("id", "part"), F.col("salts"))
+                            .cast("int").alias("salt"))
+    clash = written(salted.join(stays, ["h", "salt"]).filter("norm != kept_text").select("h").distinct(),
                     "clashes")
     if clash.isEmpty():
         return _result(_flagged(per_id, groups, ["h"]))
@@ -87,19 +99,24 @@ def _result(flagged: DataFrame) -> DataFrame:
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 keep: str = "largest") -> DataFrame:
     """The rows of ``docs`` that stay, all columns unchanged."""
-    flags = exact_groups(docs, id_col, text_col, keep).filter("kept") \
-        .select(F.col("id").alias("__id"), F.col("sha").alias("__sha"))
-    rows = docs.withColumn("__own", F.sha2(ascii_lower(text_of(text_col)).cast("binary"), 256))
-    rows = rows.join(flags, rows[id_col].eqNullSafe(F.col("__id"))
-                     & (F.col("__own") == F.col("__sha")), "left_semi")
-    return one_row_each(rows, id_col).select(*docs.columns)
-
-
-def one_row_each(rows: DataFrame, id_col: str, by: str = "__own") -> DataFrame:
-    """One of the rows that repeat an id and ``by``. Only ids that occur more
-    than once are compared."""
-    keyed = rows.withColumn("__key", F.coalesce(F.col(id_col).cast("string"), F.lit("")))
-    again = keyed.groupBy("__key", by).count().filter("count > 1").select("__key", by)
-    once = keyed.join(again, ["__key", by], "left_anti")
-    firsts = keyed.join(again, ["__key", by], "left_semi").dropDuplicates(["__key", by])
-    return once.unionByName(firsts)
+    flags = exact_groups(docs, id_col, text_col, keep).filter("kept").select("id", F.col("sha").alias("own"))
+    own = F.sha2(ascii_lower(text_of(text_col)).cast("binary"), 256)
+    return one_row_each(docs, id_col, own, flags)
+
+
+def one_row_each(docs: DataFrame, id_col: str, own: Column, stay: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id and ``own`` are among ``stay`` (id, own), one
+    of each: the smallest as JSON. All columns travel inside one struct, so they
+    may have any names. Only pairs that occur more than once are compared."""
+    rows = docs.select(F.col(id_col).alias("id"), own.alias("own"), F.struct("*").alias("row"))
+
+    def same(other: DataFrame) -> Column:
+        return rows["id"].eqNullSafe(other["id_"]) & (rows["own"] == other["own_"])
+    stay = stay.select(F.col("id").alias("id_"), F.col("own").alias("own_"))
+    rows = rows.join(stay, same(stay), "left_semi")
+    again = (rows.groupBy(F.col("id").alias("id_"), F.col("own").alias("own_"))
+                 .agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"))
+    once = rows.join(again, same(again), "left_anti").select("row")
+    firsts = (rows.join(again, same(again), "left_semi").groupBy("id", "own")
+                  .agg(F.min_by("row", F.to_json("row")).alias("row")).select("row"))
+    return once.unionByName(firsts).select("row.*")

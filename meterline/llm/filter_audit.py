@@ -69,9 +69,12 @@ def failed_sets(docs: DataFrame, filters: dict[str, Column | str], part: Column,
     if not copies:
         return rows.drop("sha")
     rows = written(rows, "audited")
-    first = rows.groupBy("sha").agg(F.min("id").alias("first"))
+    # Texts of more than one row only, stored: the join is then between two plain
+    # shuffles, which adaptive execution may split at a hot text.
+    first = written(rows.groupBy("sha").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+                        .filter("n > 1").drop("n"), "first")
     later = _bits({i: F.col("id") > F.col("first") for i in copies})
-    return rows.join(first, "sha").select("id", "part", (F.col("fails") + later).alias("fails"))
+    return rows.join(first, "sha", "left").select("id", "part", (F.col("fails") + later).alias("fails"))
 
 
 def counted(docs: DataFrame, labels: DataFrame, filters: dict[str, Column | str], part: Column,

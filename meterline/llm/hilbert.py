@@ -5,10 +5,11 @@ the Hilbert curve, rows are sorted by that place and the order is cut into runs
 of equal row counts (counts differ by one at most). Rows of one run are close
 in every dimension, so the min / max of its files prune on each of them.
 
-* Quantiles: one pass of ``percentile_approx`` over all rows gives each
-  dimension's bucket bounds (strings through the number of their first bytes,
-  which keeps their order). Only the bounds, 2**bits - 1 numbers per dimension,
-  reach the driver.
+* Quantiles: one pass of ``percentile_approx`` over all rows gives the bucket
+  bounds of numbers, dates and times. Strings are ranked whole: rows are counted
+  per distinct value, and a running count over the sorted values tells where each
+  bucket begins, however long a start the values share. Only the bounds,
+  2**bits - 1 values per dimension, reach the driver.
 * Curve: the curve is a finite automaton; its table (states x cells) is built
   from the Gray-code rule below and walked, bit plane by bit plane, with the
   SQL ``aggregate`` function.
@@ -18,20 +19,20 @@ in every dimension, so the min / max of its files prune on each of them.
 
 Defined cases: NULL in a dimension falls in the lowest bucket. Ties of the
 curve are ordered by the tie-breakers; rows equal in all of them are
-interchangeable. An empty table gives an empty result.
+interchangeable. An empty table gives an empty result. Very long values are
+compared whole. Columns named curve, shard or slot that the rows already have are
+returned with ``own_`` before their names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterline.llm.common import text_of, written
 
-#: Bytes of a string that order it (six fit a long).
-PREFIX_BYTES = 6
 
 
 def curve_table(dims: int) -> tuple[list[int], list[int], int]:
@@ -97,25 +98,51 @@ def curve_place(coords: Sequence[Column], bits: int) -> Column:
 
 
 def _number(df: DataFrame, col: str) -> Column:
-    """A column as an order-keeping number (double)."""
-    if dict(df.dtypes)[col] == "string":
-        head = F.rpad(F.hex(F.substring(F.col(col).cast("binary"), 1, PREFIX_BYTES)),
-                      2 * PREFIX_BYTES, "0")
-        return F.conv(head, 16, 10).cast("double")
+    """A number, date or time as an order-keeping number (double)."""
+    kind = dict(df.dtypes)[col]
+    if kind == "date":
+        return F.unix_date(col).cast("double")
+    if kind.startswith("timestamp"):
+        return F.unix_micros(F.col(col).cast("timestamp")).cast("double")
     return F.col(col).cast("double")
 
 
+def string_bounds(df: DataFrame, col: str, buckets: int) -> list[str]:
+    """The values at which the buckets 1, 2, ... of a string column begin: the
+    quantiles of all its rows that are not NULL."""
+    values = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    values = written(values.repartitionByRange("v").withColumn("part", F.spark_partition_id()), "values")
+    # One number per partition: what comes before it.
+    before, total = [], 0
+    for r in values.groupBy("part").agg(F.sum("n").alias("n")).orderBy("part").collect():
+        before.append((r["part"], total))
+        total += r["n"]
+    if not total:
+        return []
+    running = F.sum("n").over(Window.partitionBy("part").orderBy("v"))
+    ranked = (values.withColumn("upto", running)
+                    .join(df.sparkSession.createDataFrame(before, "part int, before long"), "part")
+                    .withColumn("upto", F.col("upto") + F.col("before")))
+    # The number of bucket borders at or below the place of a value's last row.
+    borders = F.floor((F.col("upto") - 1) * buckets / total) - F.floor((F.col("upto") - F.col("n") - 1) * buckets / total)
+    found = ranked.filter((borders > 0) & (F.col("upto") > F.col("n"))).select("v")   # at most buckets - 1
+    return sorted((r["v"] for r in found.collect()), key=str.encode)
+
+
 def quantised(df: DataFrame, dims: Sequence[str], bits: int) -> list[Column]:
     """Bucket number of each dimension, by quantiles over all rows."""
     cuts = [i / (1 << bits) for i in range(1, 1 << bits)]
+    numbers = [c for c in dims if dict(df.dtypes)[c] != "string"]
     row = df.agg(*[F.percentile_approx(_number(df, c), cuts, 1000).alias(f"b{i}")
-                   for i, c in enumerate(dims)]).first()
+                   for i, c in enumerate(numbers)]).first() if numbers else ()
     out = []
-    for i, c in enumerate(dims):
-        bounds = sorted(set(row[f"b{i}"] or []))
-        value = _number(df, c)
+    for c in dims:
+        if c in numbers:
+            value, bounds = _number(df, c), sorted(set(row[numbers.index(c)] or []))
+        else:
+            value, bounds = F.col(c), string_bounds(df, c, 1 << bits)
         # Buckets below the value: few bounds, compared inside code generation.
-        n = sum((F.when(value >= F.lit(float(b)), 1).otherwise(0) for b in bounds), F.lit(0))
+        n = sum((F.when(value >= F.lit(b), 1).otherwise(0) for b in bounds), F.lit(0))
         out.append(F.coalesce(n, F.lit(0)).cast("int"))
     return out
 
@@ -124,30 +151,33 @@ def hilbert_shards(df: DataFrame, dims: Sequence[str], shards: int,
                    ties: Sequence[str] = (), bits: int = 4) -> DataFrame:
     """``df`` with curve (place on the curve), shard (0 .. shards - 1, row
     counts at most one apart) and slot (gapless from 0 in the shard)."""
-    placed = df.withColumns({f"__q{i}": q for i, q in enumerate(quantised(df, dims, bits))})
-    placed = (placed.withColumn("curve", curve_place(
-                  [F.col(f"__q{i}") for i in range(len(dims))], bits))
-                    .drop(*[f"__q{i}" for i in range(len(dims))]))
-    by = ["curve", *ties]
-    ordered = written(placed.repartitionByRange(*by).sortWithinPartitions(*by)
-                            .withColumn("__at", F.monotonically_increasing_id()), "curve")
-    part = F.call_function("shiftright", F.col("__at"), F.lit(33)).cast("int")
-    ordered = ordered.withColumns({"__part": part, "__i": F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))})
+    own = set(df.columns)
+    places = quantised(df, dims, bits)
+    rows = df.select(F.struct("*").alias("row"), F.struct(*[F.col(c) for c in ties] or [F.lit(0)]).alias("ties"),
+                     *[q.alias(f"q{i}") for i, q in enumerate(places)])
+    placed = rows.select("row", "ties", curve_place([F.col(f"q{i}") for i in range(len(dims))], bits).alias("curve"))
+    ordered = written(placed.repartitionByRange("curve", "ties").sortWithinPartitions("curve", "ties")
+                            .withColumn("at", F.monotonically_increasing_id()), "curve")
+    part = F.call_function("shiftright", F.col("at"), F.lit(33)).cast("int")
+    ordered = ordered.withColumns({"part": part, "i": F.col("at").bitwiseAND(F.lit((1 << 33) - 1))})
     # One number per partition: the driver adds up the sizes before each.
-    sizes = ordered.groupBy("__part").agg(F.count(F.lit(1)).alias("n")).orderBy("__part").collect()
+    sizes = ordered.groupBy("part").agg(F.count(F.lit(1)).alias("n")).orderBy("part").collect()
     before, total = [], 0
     for r in sizes:
-        before.append((r["__part"], total))
+        before.append((r["part"], total))
         total += r["n"]
-    spark = df.sparkSession
-    offsets = spark.createDataFrame(before, "__part int, __before long")
-    shard = F.expr(f"cast(__rank * {shards} div {max(total, 1)} as int)")
+    offsets = df.sparkSession.createDataFrame(before, "part int, before long")
+    shard = F.expr(f"cast(place * {shards} div {max(total, 1)} as int)")
     first = F.expr(f"(shard * {max(total, 1)}L + {shards - 1}) div {shards}")
-    return (ordered.join(offsets, "__part")
-                   .withColumn("__rank", F.col("__before") + F.col("__i"))
-                   .withColumn("shard", shard)
-                   .withColumn("slot", F.col("__rank") - first)
-                   .drop("__part", "__i", "__at", "__before", "__rank"))
+    cut = (ordered.join(offsets, "part").withColumn("place", F.col("before") + F.col("i"))
+                  .withColumn("shard", shard).withColumn("slot", F.col("place") - first))
+
+    def free(name: str) -> str:
+        while name in own | {"curve", "shard", "slot"}:
+            name = f"own_{name}"
+        return name
+    return cut.select(*[F.col("row").getField(c).alias(free(c) if c in ("curve", "shard", "slot") else c)
+                        for c in df.columns], "curve", "shard", "slot")
 
 
 def document_metadata(docs: DataFrame) -> DataFrame:

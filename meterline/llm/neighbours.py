@@ -23,7 +23,8 @@ Defined cases: vectors that are NULL, empty, zero, or hold NULL or non-finite
 components take no part, nor do rows without an id. Vectors meet only vectors
 of their own length. Rows that repeat an id count once, with the smallest of
 their vectors. Ties go to the smaller id. With fewer than k candidates all are
-returned; an empty table gives an empty result.
+returned; an empty table gives an empty result. Only the two named columns are
+read; others may have any name.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterline.llm.common import written
+from meterline.llm.common import batch_rows, written
 
 #: Vectors of an index block and queries of a query block.
 BLOCK, QUERIES = 8192, 256
@@ -147,8 +148,12 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec_
            vector_col: str = "embedding", seed: int = 7) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k nearest of every row for
     which ``queries`` (a condition on the column ``id``) holds."""
-    spark = vectors.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")   # rows are blocks
+    with batch_rows(vectors.sparkSession, 8):   # rows are blocks
+        return written(_nearest(vectors, queries, k, id_col, vector_col, seed), "nearest")
+
+
+def _nearest(vectors: DataFrame, queries: Column, k: int, id_col: str, vector_col: str,
+             seed: int) -> DataFrame:
     rows, index, centres = build_index(vectors, id_col, vector_col, seed)
     asked = rows.filter(queries)
     per_dim = {r["dim"]: r["n"] for r in

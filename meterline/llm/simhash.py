@@ -25,7 +25,9 @@ Search, on distinct fingerprints only:
 Defined cases: NULL and empty texts have the fingerprint zero, linked like any
 other. NULL ids take part; a component's id is its smallest id that is not NULL
 (NULL if it has none). Repeated rows share a fingerprint. An empty table gives
-an empty result.
+an empty result. Very long texts are hashed whole. Other columns may have any
+names; of rows that repeat the id and text that stay, ``drop_near_copies`` keeps
+the smallest as JSON.
 """
 
 from __future__ import annotations
@@ -246,8 +248,5 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     unchanged; of rows that repeat that id, one."""
     _, root = _components(docs, id_col, text_col, shingle, seed, radius)
     stay = (root.groupBy("root").agg(F.min("first").alias("low"))
-                .select(F.col("low.doc_id").alias("__id"), F.col("low.hash").alias("__hash")))
-    rows = docs.withColumn("__own", F.xxhash64(text_of(text_col)))
-    rows = rows.join(stay, rows[id_col].eqNullSafe(F.col("__id"))
-                     & (F.col("__own") == F.col("__hash")), "left_semi")
-    return one_row_each(rows, id_col).select(*docs.columns)
+                .select(F.col("low.doc_id").alias("id"), F.col("low.hash").alias("own")))
+    return one_row_each(docs, id_col, F.xxhash64(text_of(text_col)), stay)

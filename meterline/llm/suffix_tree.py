@@ -26,7 +26,9 @@ The driver gets a few sums and no keys.
 
 Defined cases: NULL texts are empty (their end mark is their one token); NULL
 ids are training rows; repeated rows all count; without training rows every
-base probability is 1 / 1. An empty table gives an empty result.
+base probability is 1 / 1. An empty table gives an empty result. Very long texts
+are scored whole (a block ends after the text that fills it). Only the two named
+columns and those of the ``held`` condition are read; others may have any name.
 """
 
 from __future__ import annotations
@@ -44,7 +46,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import batch_of, map_rows, small_batches, stored, written
+from meterline.llm.common import (ARROW_ROWS, batch_of, batch_rows, map_rows, small_batches, stored,
+                                  written)
 from meterline.operators.incremental import delete_path
 
 BLOCK = 1_500_000
@@ -492,6 +495,11 @@ def score_documents(docs: DataFrame, held: Column, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score
     (log10 probabilities); documents for which ``held`` holds are not learnt."""
+    with batch_rows(docs.sparkSession, ARROW_ROWS):   # and its own counts for its blocks
+        return written(_scores(docs, held, id_col, text_col), "scores")
+
+
+def _scores(docs: DataFrame, held: Column, id_col: str, text_col: str) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     blocks, blocks_at = stored(blocks_of(docs, held, id_col, text_col), "blocks")

@@ -7,7 +7,9 @@ from meterline.session import scratch_path
 LONG = " ".join(f"word{i % 997}" for i in range(30_000)) + "."
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, "
           # Names that operators use inside.
-          "id long, score double, kept boolean, fp long, part int, size long, `rank` int, path string")
+          "id long, score double, kept boolean, fp long, part int, size long, `rank` int, path string, "
+          "`__own` string, `__id` long, `__key` string, `__hash` long, curve int, shard string, slot long, "
+          "row string, own string, id_ long, own_ string, h string, salt int")
 
 
 def rows() -> list[tuple]:
@@ -15,7 +17,8 @@ def rows() -> list[tuple]:
              (6, "alpha beta gamma."), (6, "alpha beta gamma."), (None, "no id here"), (7, "ÉTÉ à la plage"),
              (8, "été à la plage"), (9, "one two"), (9, "three four"), (10, "x" * 5000), (None, None)]
     return [(i, t, None if (i or 0) % 3 == 0 else "en", None if (i or 0) % 4 == 0 else f"src{i}",
-             None, i, 0.5, True, 1, 2, 3, 4, "p") for i, t in texts]
+             None, i, 0.5, True, 1, 2, 3, 4, "p", "o", 7, "k", 9, 5, "s", 6, "r", "w", 8, "x", "h", 1)
+            for i, t in texts]
 
 
 def awkward(spark):

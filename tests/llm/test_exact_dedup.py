@@ -50,6 +50,18 @@ def test_drop_copies_keeps_whole_rows(spark):
         map(repr, [i for i, _, _, k, _ in expected() if k]))
 
 
+def test_a_split_group_and_repeated_rows_that_differ_elsewhere(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "TOGETHER", 3)
+    many = spark.createDataFrame([(i % 40, "Same text", f"n{i}") for i in range(100)] + [(7, "other", "x")],
+                                 "doc_id long, text string, note string")
+    out = exact_dedup.exact_groups(many).collect()
+    assert {(r["keep"], r["size"]) for r in out} == {(39, 100), (7, 1)} and sum(r["kept"] for r in out) == 2
+    kept = [tuple(r) for r in exact_dedup.drop_copies(many.repartition(5)).collect()]
+    assert sorted(kept) == [(7, "other", "x"), (39, "Same text", "n39")]     # of n39 and n79
+    weak = exact_dedup.exact_groups(many, hash_of=lambda t: F.unhex(F.lit("00")))
+    assert got(weak) == got(exact_dedup.exact_groups(many))
+
+
 def test_empty_table(spark):
     assert exact_dedup.exact_groups(empty(spark)).count() == 0
     assert exact_dedup.drop_copies(empty(spark)).count() == 0

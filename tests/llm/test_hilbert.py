@@ -73,3 +73,35 @@ def test_rows_of_a_shard_are_close(spark):
         spans.setdefault(r["shard"], []).append((r["lang"], r["source"]))
     mean = sum(len(set(v)) / len(v) for v in spans.values()) / 8
     assert mean < 0.75
+
+
+def test_strings_with_a_long_common_start_dates_and_clashing_names(spark):
+    from pyspark.sql import functions as F
+    n = 640
+    df = spark.range(n).select(
+        "id", F.concat(F.lit("https://host.example/" + "a" * 300), F.format_string("%05d", F.col("id") % 400))
+        .alias("url"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 90).cast("int")).alias("day"),
+        F.timestamp_seconds(F.col("id") * 977).alias("at"), F.lit("mine").alias("shard"), F.lit(1).alias("curve"),
+        F.when(F.col("id") % 5 > 0, F.col("id").cast("string")).alias("hole"), F.lit(2).alias("own_shard"))
+    own = hilbert.quantised(df, ["url", "day", "at", "hole"], 4)
+    counts = [df.groupBy(q.alias("q")).count().collect() for q in own]
+    for rows_of in counts[:3]:     # 16 buckets, none with more than twice its share
+        assert len(rows_of) == 16 and max(r["count"] for r in rows_of) <= 2 * n / 16
+    out = hilbert.hilbert_shards(df, ["url", "day", "at"], 8, ties=["id"])
+    assert out.columns == ["id", "url", "day", "at", "own_own_shard", "own_curve", "hole", "own_shard",
+                           "curve", "shard", "slot"]
+    got = out.collect()
+    check(got, n)
+    assert {r["own_own_shard"] for r in got} == {"mine"}
+    # The places follow a plain ordering by (place, tie).
+    by = sorted(got, key=lambda r: (r["curve"], r["id"]))
+    assert [(r["shard"], r["slot"]) for r in by] == sorted((r["shard"], r["slot"]) for r in got)
+
+
+def test_string_bounds_are_the_quantiles(spark):
+    values = ["b"] * 50 + ["a"] * 3 + ["c"] * 30 + ["d\U0001F600"] * 9 + ["e" * 400] * 8 + [None] * 7
+    df = spark.createDataFrame([(v,) for v in values], "v string").repartition(3)
+    known = sorted((v for v in values if v is not None), key=str.encode)
+    want = {known[-(-k * len(known) // 8)] for k in range(1, 8)} - {"a"}
+    assert hilbert.string_bounds(df, "v", 8) == sorted(want, key=str.encode)
+    assert hilbert.string_bounds(df.filter("v is null"), "v", 8) == []

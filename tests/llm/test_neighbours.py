@@ -91,3 +91,14 @@ def test_blocks_do_not_change_the_result(spark, monkeypatch):
 def test_empty_table(spark):
     at = stored(spark, "novectors", embeddings=spark.createDataFrame([], SCHEMA))
     assert op2_neighbours(spark, at).count() == 0
+
+
+def test_operators_built_before_either_runs_keep_the_session_setting(spark):
+    from meterline.llm.queries import op3_quality, op5_suffix_tree
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(key, "777")
+    near, tree = op2_neighbours(spark, SF001), op5_suffix_tree(spark, SF001)
+    assert spark.conf.get(key) == "777"
+    quality = op3_quality(spark, SF001)
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").count()
+    assert near.count() == 25 * 20 and tree.count() == quality.count() == docs
