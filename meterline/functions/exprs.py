@@ -48,17 +48,24 @@ def minutes_between(start: ColumnOrName, end: ColumnOrName,
 
 # ---------------------------------------------------------------- rounding
 
+# ``floor`` of a double gives a long: from here on it would give the largest one.
+LONG_LIMIT = 2.0 ** 63
+
+
 def round_half_away(x: ColumnOrName, digits: int = 2) -> Column:
     """Round a double half away from zero: sign * floor(|x| * 10^d + 0.5) / 10^d.
 
     Written as plain double arithmetic so any SQL engine computing the same
-    formula on the same double gets the same bits.
+    formula on the same double gets the same bits. A double whose scaled value
+    is beyond a long has no digits left to round (nor have NaN and infinities):
+    it is returned as it is.
     """
     v = _c(x).cast("double")
     f = float(10 ** digits)
+    small = F.abs(v * F.lit(f)) < F.lit(LONG_LIMIT)
     pos = F.floor(v * F.lit(f) + F.lit(0.5)).cast("double") / F.lit(f)
     neg = -(F.floor(-v * F.lit(f) + F.lit(0.5)).cast("double") / F.lit(f))
-    return F.when(v >= 0, pos).otherwise(neg)
+    return F.when(small, F.when(v >= 0, pos).otherwise(neg)).otherwise(v)
 
 
 # Beyond this a double's sum is left to double arithmetic (decimal(38,10)
@@ -100,14 +107,17 @@ def canonical_text(c: ColumnOrName, dtype: T.DataType) -> Column:
 
     integers -> decimal digits; floats -> micro-units as an integer,
     ``floor(x * 1e6 + 0.5)`` (plain IEEE arithmetic, so every engine produces
-    the same digits, unlike double -> text or double -> decimal casts);
+    the same digits, unlike double -> text or double -> decimal casts), or the
+    double's shortest text where that is beyond a long, NaN or an infinity;
     timestamps -> 'yyyy-MM-dd HH:mm:ss.SSSSSS'; dates -> 'yyyy-MM-dd'.
     """
     col = _c(c)
     if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         return col.cast("string")
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
-        return F.floor(col.cast("double") * F.lit(1e6) + F.lit(0.5)).cast("string")
+        micros = col.cast("double") * F.lit(1e6) + F.lit(0.5)
+        return (F.when(F.abs(micros) < F.lit(LONG_LIMIT), F.floor(micros).cast("string"))
+                 .otherwise(col.cast("double").cast("string")))
     if isinstance(dtype, T.DecimalType):
         return col.cast("string")
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
@@ -194,3 +204,16 @@ def json_extract(c: ColumnOrName, path: str, dtype: str) -> Column:
     Malformed JSON or a value that does not cast gives NULL.
     """
     return F.get_json_object(_c(c), path).try_cast(dtype)
+
+
+def json_fields(df: DataFrame, col: str, fields: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """``df`` with one typed column per entry of ``fields`` (name -> (path, type))
+    from a JSON string column, whose text is parsed once per row into a VARIANT
+    however many fields are read. Paths may lead through objects (``$.a.b``) and
+    arrays (``$.a[0]``). Malformed JSON, a missing path or a value that does not
+    cast gives NULL.
+    """
+    parsed = df.select("*", F.try_parse_json(F.col(col)).alias("__variant"))
+    return parsed.select(*[parsed[c] for c in df.columns],
+                         *[F.try_variant_get(parsed["__variant"], path, dtype).alias(name)
+                           for name, (path, dtype) in fields.items()])

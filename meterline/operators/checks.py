@@ -110,12 +110,12 @@ def range_rule(col: str, lo, hi) -> Column:
 def check_counts(checks: Sequence) -> DataFrame:
     """(check, column_name, failures, status) for all checks, one job.
 
-    ``checks`` mixes ``Check`` (own failing-row plan) and ``RowChecks``
-    (many rules, one scan of their table).
+    ``checks`` mixes ``Check`` (own failing-row plan), ``RowChecks`` (many
+    rules, one scan of their table) and ``Counted`` (counts kept from earlier).
     """
     parts = []
     for c in checks:
-        if isinstance(c, RowChecks):
+        if isinstance(c, (RowChecks, Counted)):
             parts.append(c.counts())
         else:
             parts.append(c.failing.agg(F.count(F.lit(1)).alias("failures"))
@@ -128,6 +128,57 @@ def check_counts(checks: Sequence) -> DataFrame:
                           .otherwise(F.lit("pass")))
 
 
+def partition_counts(rows: DataFrame, part: str, rules: dict, unique: Sequence[str] = (),
+                     keys: Sequence[str] = ()) -> DataFrame:
+    """(part, check, column_name, key, failures) per value of ``part``, to be kept
+    and added up (``kept_counts``): the failing rows of each rule of ``RowChecks``,
+    the values of each ``unique`` (check label, column) that repeat, and the rows of
+    every value of each ``keys`` column, for a relationship tested when read.
+
+    Adding up is exact if a value of a unique column lies in one part only."""
+    items = list(rules.items())
+    agg = rows.groupBy(part).agg(*[F.count_if(F.coalesce(p, F.lit(False))).alias(f"c{i}")
+                                   for i, (_, p) in enumerate(items)])
+    none = F.lit(None).cast("string")
+    found = F.array(*[F.struct(F.lit(n).alias("check"), F.lit(c).alias("column_name"), none.alias("key"),
+                               F.col(f"c{i}").alias("failures")) for i, ((n, c), _) in enumerate(items)])
+    out = agg.select(part, F.explode(found).alias("r")).select(part, "r.*")
+    for label, col in unique:
+        again = (rows.filter(F.col(col).isNotNull()).groupBy(part, col).agg(F.count(F.lit(1)).alias("n"))
+                     .filter("n > 1").groupBy(part).agg(F.count(F.lit(1)).alias("failures")))
+        out = out.unionByName(again.select(part, F.lit("unique").alias("check"), F.lit(label).alias("column_name"),
+                                           none.alias("key"), "failures"))
+    for label, col in keys:
+        used = rows.filter(F.col(col).isNotNull()).groupBy(part, F.col(col).cast("string").alias("key")) \
+                   .agg(F.count(F.lit(1)).alias("failures"))
+        out = out.unionByName(used.select(part, F.lit("relationships").alias("check"),
+                                          F.lit(label).alias("column_name"), "key", "failures"))
+    return out
+
+
+def kept_counts(counts: DataFrame, names: Sequence[tuple[str, str]], parents: dict) -> DataFrame:
+    """(check, column_name, failures) of ``names`` from kept ``partition_counts``;
+    ``parents``: column label -> (parent frame, key column) of the relationships."""
+    rows = counts.filter(F.col("key").isNull())
+    for label, (parent, pk) in parents.items():
+        mine = counts.filter((F.col("column_name") == label) & F.col("key").isNotNull())
+        known = parent.select(F.col(pk).cast("string").alias("key"))
+        rows = rows.unionByName(mine.join(known, "key", "left_anti").select(*counts.columns))
+    zeros = rows.sparkSession.createDataFrame([(*n, 0) for n in names],
+                                              "check string, column_name string, failures bigint")
+    return (rows.select("check", "column_name", "failures").unionByName(zeros)
+                .groupBy("check", "column_name").agg(F.sum("failures").alias("failures")))
+
+
+@dataclass(frozen=True)
+class Counted:
+    """Checks whose failures are counted already: (check, column_name, failures)."""
+    frame: DataFrame
+
+    def counts(self) -> DataFrame:
+        return self.frame
+
+
 class QualityGateError(RuntimeError):
     pass
 

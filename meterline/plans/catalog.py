@@ -131,6 +131,19 @@ def q_json_extract(spark, d):
     return e.select("event_id", json_extract(F.col("props"), "$.k", "int").alias("k"))
 
 
+def q_json_fields(spark, d):
+    """Several fields of nested rows, parsed once; every seventh is cut off."""
+    from meterline.functions.exprs import json_fields
+    e = X.table(spark, d, "events")
+    text = F.concat(F.lit('{"a": '), F.col("props"), F.lit(', "b": ["x", '), F.col("event_id").cast("string"),
+                    F.lit(']}'))
+    rows = e.select("event_id", F.when(F.col("event_id") % 7 == 0, F.substring(text, 1, 9)).otherwise(text)
+                    .alias("row"))
+    return json_fields(rows, "row", {"k": ("$.a.k", "int"), "k_text": ("$.a.k", "string"),
+                                     "id": ("$.b[1]", "bigint"), "x": ("$.b[0]", "string"),
+                                     "no_number": ("$.b[0]", "int"), "missing": ("$.a.z", "double")}).drop("row")
+
+
 def q_label_codes(spark, d):
     from meterline.functions.exprs import label
     return raw(spark, d).select(
@@ -554,6 +567,36 @@ def q_stream_models(spark, d):
         *[c for c in M.ENRICHED_COLUMNS if c != "_loaded_at"])
 
 
+def q_idle_gaps_kept(spark, d):
+    """Q3 from the kept gap table: all months but two, one of them, then the other,
+    which lies before it."""
+    from meterline.session import scratch_path
+    tables, z = M.Tables(scratch_path(spark, "gaps")), zones(spark, d)
+    month = F.col("file_month")
+    second, late = (month == F.lit(m).cast("date") for m in (RUN_MONTH, LATE_MONTH))
+    for load, rows in ((LOAD_1, ~second & ~late), (LOAD_2, second), (LOAD_3, late)):
+        M.load_intermediate(spark, M.stage_trips(batch(spark, d, load, rows)), z, tables, _safe_cfg())
+        M.load_fact(spark, tables, _safe_cfg())
+        M.refresh_gaps(spark, tables)
+    return R.longest_gaps(M.kept_gaps(spark, tables), z, k=5)
+
+
+def q_check_counts_kept(spark, d):
+    """D1-D5 kept by month: the tests after a first run and after a later batch
+    that reloads one month and adds another."""
+    from meterline.operators import checks as C
+    from meterline.session import scratch_path
+    tables, z = M.Tables(scratch_path(spark, "kept-checks")), zones(spark, d, partial=True)
+    month = F.col("file_month")
+    late, again = (month == F.lit(m).cast("date") for m in (LATE_MONTH, RUN_MONTH))
+    for load, rows in ((LOAD_1, ~late), (LOAD_2, late | again)):
+        M.load_intermediate(spark, M.stage_trips(batch(spark, d, load, rows)), z, tables, _safe_cfg())
+        M.load_fact(spark, tables, _safe_cfg())
+        counts = M.fact_counts(spark, tables, M.dim_zones(z), _safe_cfg())
+        counts.write.format("noop").mode("overwrite").save()
+    return C.check_counts([C.Counted(counts)])
+
+
 class _Stop(Exception):
     """Thrown inside a micro-batch to stand for a lost driver."""
 
@@ -690,6 +733,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "duration_fractional": q_duration_fractional,
     "date_parts": q_date_parts,
     "json_extract": q_json_extract,
+    "json_fields": q_json_fields,
     "label_codes": q_label_codes,
     "clean_trips": q_clean_trips,
     "reject_reasons": q_reject_reasons,
@@ -746,6 +790,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_models": q_stream_models,
     "stream_replay": q_stream_replay,
     "marts_recovery": q_marts_recovery,
+    "idle_gaps_kept": q_idle_gaps_kept,
+    "check_counts_kept": q_check_counts_kept,
     "ingest_same_stamp": q_ingest_same_stamp,
     "ingest_mixed_widths": q_ingest_mixed_widths,
     "upsert_disk_overlap": q_upsert_disk_overlap,

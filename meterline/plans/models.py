@@ -22,6 +22,8 @@ from meterline.operators.incremental import (dedupe_latest, delete_path, high_wa
                                               partitions_with, read_table, record_applied,
                                               recover, stage, unapplied, upsert, values_in)
 from meterline.operators.joins import enrich
+from meterline.operators.windows import lag_gap
+from meterline.sources.storage import exists, read_record, write_record
 
 # Columns hashed into trip_id, in order (fixed value of the trip model).
 TRIP_KEY_COLUMNS = [
@@ -192,12 +194,19 @@ class Tables:
     def daily(self): return f"{self.base}/agg_daily_revenue"
     @property
     def zone_perf(self): return f"{self.base}/agg_zone_performance"
+    @property
+    def gaps(self): return f"{self.base}/agg_zone_gaps"
+    @property
+    def gap_edges(self): return f"{self.base}/agg_zone_gap_edges"
+    @property
+    def check_counts(self): return f"{self.base}/fct_check_counts"
 
 
 def run_pipeline(spark: SparkSession, raw: DataFrame, seed: DataFrame, tables: Tables,
                  cfg: PipelineConfig, layers=("staging", "intermediate", "marts", "checks"),
                  full_refresh: bool = False) -> DataFrame | None:
-    """M9: staging -> intermediate -> marts -> checks, each layer optional.
+    """M9: staging -> intermediate -> marts -> checks, each layer optional, and the
+    kept gap table as the further layer 'gaps'.
 
     The intermediate and fact tables are incremental (high-water-mark slice +
     delete+insert by trip_id, partitioned by pickup month, which trip_id
@@ -215,6 +224,8 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, seed: DataFrame, tables: T
         load_fact(spark, tables, cfg, full_refresh)
         dim_zones(zones).write.mode("overwrite").parquet(tables.dim)
         refresh_marts(spark, tables, cfg)
+    if "gaps" in layers:
+        refresh_gaps(spark, tables)
     if "checks" in layers:
         results = model_checks(spark, stg, zones, tables, cfg)
         C.gate(results)
@@ -292,7 +303,7 @@ def refresh_marts(spark: SparkSession, tables: Tables, cfg: PipelineConfig) -> N
     have left its old one); its revenue rank is within a month, so those months
     alone give the same rows as a full rebuild. A file month that no longer has
     any trip is removed: the write's ``observe`` reports the months it
-    produced, so this costs no extra job. A mart that holds no write yet (also
+    produced (``_write_mart``), so this costs no extra job. A mart that holds no write yet (also
     one whose first write died), or a fact written anew, is rebuilt in full.
     """
     fct = read_table(spark, tables.fct)
@@ -301,7 +312,7 @@ def refresh_marts(spark: SparkSession, tables: Tables, cfg: PipelineConfig) -> N
         rows = fct if parts is None else fct.filter(in_partitions(PARTITION_COL, "date", parts))
         daily = daily_revenue(rows).withColumn(
             DAILY_PARTITION_COL, F.trunc(F.col("revenue_date"), "month"))
-        _write_mart(daily, tables.daily, DAILY_PARTITION_COL, parts is None)
+        _write_mart(daily, tables.daily, DAILY_PARTITION_COL, parts)
         record_applied(spark, tables.daily, mark)
     mark, parts = unapplied(spark, tables.fct, tables.zone_perf)
     if parts is None or parts:
@@ -311,27 +322,76 @@ def refresh_marts(spark: SparkSession, tables: Tables, cfg: PipelineConfig) -> N
 
 def _refresh_zone_mart(spark: SparkSession, fct: DataFrame, tables: Tables, cfg: PipelineConfig,
                        parts: list | None) -> None:
-    from pyspark.sql import Observation
     months = None if parts is None else values_in(spark, tables.fct, parts)
     if months is not None:
         around = partitions_with(spark, tables.fct, months)
         fct = (fct.filter(in_partitions(PARTITION_COL, "date", around))
                   .filter(in_partitions("file_month", "date", months)))
-    seen = Observation("zone_months")
-    zp = zone_performance(fct, spark.read.parquet(tables.dim), cfg.high_volume_trips).observe(
-        seen, F.collect_set(F.col("file_month").cast("string")).alias("months"),
-        F.count_if(F.col("file_month").isNull()).alias("null_months"))
-    _write_mart(zp, tables.zone_perf, "file_month", parts is None)
-    if months is not None:
-        got = seen.get
-        produced = set(got["months"] or []) | ({None} if got["null_months"] else set())
-        for m in set(months) - produced:
-            delete_path(spark, f"{tables.zone_perf}/file_month={NULL_PARTITION if m is None else m}")
+    zp = zone_performance(fct, spark.read.parquet(tables.dim), cfg.high_volume_trips)
+    _write_mart(zp, tables.zone_perf, "file_month", months)
 
 
-def _write_mart(mart: DataFrame, path: str, by: str, full: bool) -> None:
-    (mart.write.mode("overwrite").option("partitionOverwriteMode", "static" if full else "dynamic")
+def _write_mart(mart: DataFrame, path: str, by: str, parts: list | None) -> None:
+    """Replace the partitions ``parts`` (as text; None: all) of a derived table;
+    one that ``mart`` no longer has rows for is removed."""
+    from pyspark.sql import Observation
+    seen = Observation("mart")
+    mart = mart.observe(seen, F.collect_set(F.col(by).cast("string")).alias("known"),
+                        F.count_if(F.col(by).isNull()).alias("none"))
+    (mart.write.mode("overwrite").option("partitionOverwriteMode", "static" if parts is None else "dynamic")
          .partitionBy(by).parquet(path))
+    if parts is not None:
+        made = set(seen.get["known"] or []) | ({None} if seen.get["none"] else set())
+        for p in set(parts) - made:
+            delete_path(mart.sparkSession, f"{path}/{by}={NULL_PARTITION if p is None else p}")
+
+
+def refresh_gaps(spark: SparkSession, tables: Tables) -> None:
+    """The kept gap table: gaps between consecutive pickups of a zone inside each
+    pickup month, and each (zone, month)'s first and last pickup as carried state.
+
+    Kept like the marts: only months that the fact's writes replaced are read and
+    sorted again. The gap across a month's start is not stored but follows from the
+    carried times (``kept_gaps``), so a late month corrects its successor's first
+    gap without touching that month."""
+    mark, parts = unapplied(spark, tables.fct, tables.gaps)
+    if parts is not None and not parts:
+        return
+    fct = read_table(spark, tables.fct)
+    if parts is not None:
+        fct = fct.filter(in_partitions(PARTITION_COL, "date", parts))
+    zone, ts = F.col("pickup_location_id"), F.col("pickup_datetime")
+    rows = fct.filter(zone.isNotNull() & ts.isNotNull()).select("pickup_location_id", "pickup_datetime", PARTITION_COL)
+    edges = rows.groupBy("pickup_location_id", PARTITION_COL).agg(
+        F.min(ts).alias("first_pickup"), F.max(ts).alias("last_pickup"))
+    _write_mart(edges, tables.gap_edges, PARTITION_COL, parts)
+    own = F.struct("pickup_location_id", PARTITION_COL).alias("zone_month")
+    gaps = lag_gap(rows.select(own, "pickup_datetime"), "zone_month", "pickup_datetime",
+                   prev_col="prev_pickup_datetime")
+    _write_mart(gaps.select(F.col("zone_month.pickup_location_id").alias("pickup_location_id"),
+                            "prev_pickup_datetime", "pickup_datetime", "gap_minutes",
+                            F.col(f"zone_month.{PARTITION_COL}").alias(PARTITION_COL)),
+                tables.gaps, PARTITION_COL, parts)
+    record_applied(spark, tables.gaps, mark)
+
+
+def kept_gaps(spark: SparkSession, tables: Tables) -> DataFrame:
+    """pickup_location_id, prev_pickup_datetime, pickup_datetime, gap_minutes of all
+    consecutive pickups of a zone, from the kept tables: no trip is read."""
+    columns = ["pickup_location_id", "prev_pickup_datetime", "pickup_datetime", "gap_minutes"]
+    edge = dict(read_table(spark, tables.fct).dtypes)
+    zone, time = edge["pickup_location_id"], edge["pickup_datetime"]
+    inside = spark.read.schema(f"pickup_location_id {zone}, prev_pickup_datetime {time}, pickup_datetime {time}, "
+                               f"gap_minutes bigint, {PARTITION_COL} date").parquet(tables.gaps)
+    edges = spark.read.schema(f"pickup_location_id {zone}, first_pickup {time}, last_pickup {time}, "
+                              f"{PARTITION_COL} date").parquet(tables.gap_edges)
+    # One row per zone and month with trips.
+    by_month = Window.partitionBy("pickup_location_id").orderBy(PARTITION_COL)
+    across = (edges.withColumn("prev_pickup_datetime", F.lag("last_pickup").over(by_month))
+                   .filter(F.col("prev_pickup_datetime").isNotNull())
+                   .withColumn("pickup_datetime", F.col("first_pickup"))
+                   .withColumn("gap_minutes", minutes_between("prev_pickup_datetime", "pickup_datetime")))
+    return inside.select(*columns).unionByName(across.select(*columns))
 
 
 def read_marts(spark: SparkSession, tables: Tables, fct: DataFrame,
@@ -347,10 +407,42 @@ def read_marts(spark: SparkSession, tables: Tables, fct: DataFrame,
 
 def model_checks(spark: SparkSession, stg: DataFrame, zones: DataFrame, tables: Tables,
                  cfg: PipelineConfig) -> DataFrame:
-    """The model tests: not_null, unique, relationships, range, total >= fare."""
+    """The model tests: not_null, unique, relationships, range, total >= fare.
+    The fact's failures are kept per pickup month and counted again only for the
+    months its writes replaced since (``fact_counts``)."""
     fct = read_table(spark, tables.fct)
+    dim, daily, zp = read_marts(spark, tables, fct, cfg)
     return C.check_counts(staging_checks(stg, zones, read_table(spark, tables.int_trips))
-                          + fact_checks(fct, *read_marts(spark, tables, fct, cfg), cfg))
+                          + [C.Counted(fact_counts(spark, tables, dim, cfg))]
+                          + mart_checks(dim, daily, zp))
+
+
+def fact_counts(spark: SparkSession, tables: Tables, dim: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    """(check, column_name, failures) of the fact's tests. A trip id fixes its
+    pickup month, so repeats are counted per month; zones are kept as counts per
+    month and zone and met with the dimension as it is now."""
+    rules = fact_rules(cfg)
+    mark, parts = unapplied(spark, tables.fct, tables.check_counts)
+    # The rules' limits are part of what is kept: others start it anew.
+    limits, at = [cfg.min_duration, cfg.max_duration], f"{tables.check_counts}/_applied/limits.json"
+    if not _kept_under(spark, at, limits):
+        parts = None
+    schema = f"check string, column_name string, `key` string, failures bigint, {PARTITION_COL} date"
+    if parts is None or parts:
+        fct = read_table(spark, tables.fct)
+        rows = fct if parts is None else fct.filter(in_partitions(PARTITION_COL, "date", parts))
+        _write_mart(C.partition_counts(rows, PARTITION_COL, rules, [("fct_trips.trip_id", "trip_id")],
+                                       [("fct_trips.pickup_location_id", "pickup_location_id")]),
+                    tables.check_counts, PARTITION_COL, parts)
+        write_record(spark, at, {"limits": limits})
+        record_applied(spark, tables.check_counts, mark)
+    names = [*rules, ("unique", "fct_trips.trip_id"), ("relationships", "fct_trips.pickup_location_id")]
+    return C.kept_counts(spark.read.schema(schema).parquet(tables.check_counts), names,
+                         {"fct_trips.pickup_location_id": (dim, "location_id")})
+
+
+def _kept_under(spark: SparkSession, at: str, limits: list) -> bool:
+    return exists(spark, at) and read_record(spark, at)["limits"] == limits
 
 
 def staging_checks(stg: DataFrame, zones: DataFrame, enriched: DataFrame) -> list:
@@ -368,24 +460,36 @@ def staging_checks(stg: DataFrame, zones: DataFrame, enriched: DataFrame) -> lis
     ]
 
 
+def fact_rules(cfg: PipelineConfig) -> dict:
+    """Row rules of the fact: (check, column) -> predicate true on a failing row."""
+    return {
+        ("not_null", "fct_trips.trip_id"): C.null_rule("trip_id"),
+        ("not_null", "fct_trips.pickup_location_id"): C.null_rule("pickup_location_id"),
+        ("value_within_range", "fct_trips.trip_duration_minutes"):
+            C.range_rule("trip_duration_minutes", cfg.min_duration, cfg.max_duration),
+        ("not_null", "fct_trips.fare_amount"): C.null_rule("fare_amount"),
+        ("expression_holds", "fct_trips.total_amount>=fare_amount"):
+            F.col("total_amount") < F.col("fare_amount"),
+    }
+
+
 def fact_checks(fct: DataFrame, dim: DataFrame, daily: DataFrame, zp: DataFrame,
                 cfg: PipelineConfig) -> list:
-    """The tests of the fact, the dimension and the marts. Row-level rules of a
-    table share one scan (RowChecks); uniqueness is a grouped count; the
+    """The tests of the fact, the dimension and the marts over all rows. Row-level
+    rules of a table share one scan (RowChecks); uniqueness is a grouped count; the
     relationship is an anti-join against the dimension's keys."""
     return [
-        C.RowChecks(fct, {
-            ("not_null", "fct_trips.trip_id"): C.null_rule("trip_id"),
-            ("not_null", "fct_trips.pickup_location_id"): C.null_rule("pickup_location_id"),
-            ("value_within_range", "fct_trips.trip_duration_minutes"):
-                C.range_rule("trip_duration_minutes", cfg.min_duration, cfg.max_duration),
-            ("not_null", "fct_trips.fare_amount"): C.null_rule("fare_amount"),
-            ("expression_holds", "fct_trips.total_amount>=fare_amount"):
-                F.col("total_amount") < F.col("fare_amount"),
-        }),
+        C.RowChecks(fct, fact_rules(cfg)),
         C.Check("unique", "fct_trips.trip_id", C.unique(fct, "trip_id")),
         C.Check("relationships", "fct_trips.pickup_location_id",
                 C.relationships(fct, "pickup_location_id", dim, "location_id")),
+        *mart_checks(dim, daily, zp),
+    ]
+
+
+def mart_checks(dim: DataFrame, daily: DataFrame, zp: DataFrame) -> list:
+    """The tests of the dimension and the marts."""
+    return [
         C.RowChecks(dim, {("not_null", "dim_zones.location_id"): C.null_rule("location_id")}),
         C.Check("unique", "dim_zones.location_id", C.unique(dim, "location_id")),
         C.RowChecks(daily, {("not_null", "agg_daily_revenue.revenue_date"):

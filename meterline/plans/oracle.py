@@ -721,6 +721,17 @@ SELECT 'daily' AS mart, CAST(revenue_date AS VARCHAR) AS grain, total_trips AS t
 FROM ({ORACLE['daily_revenue']})
 UNION ALL
 SELECT 'zone_month', zone_month_key, total_trips, total_revenue FROM ({ORACLE['zone_month_performance']})""",
+    "idle_gaps_kept": ORACLE["idle_gaps_fact"],
+    "check_counts_kept": "SELECT * FROM (" + checks_sql() + ") WHERE column_name LIKE 'fct_trips.%'",
+    "json_fields": """
+WITH t AS (SELECT event_id, '{"a": ' || props || ', "b": ["x", ' || event_id || ']}' AS whole FROM events),
+cut AS (SELECT event_id, CASE WHEN event_id % 7 = 0 THEN substring(whole, 1, 9) ELSE whole END AS part FROM t),
+r AS (SELECT event_id, CASE WHEN json_valid(part) THEN part END AS j FROM cut)
+SELECT event_id, TRY_CAST(json_extract_string(j, '$.a.k') AS INTEGER) AS k,
+       json_extract_string(j, '$.a.k') AS k_text, TRY_CAST(json_extract_string(j, '$.b[1]') AS BIGINT) AS id,
+       json_extract_string(j, '$.b[0]') AS x, TRY_CAST(json_extract_string(j, '$.b[0]') AS INTEGER) AS no_number,
+       TRY_CAST(json_extract_string(j, '$.a.z') AS DOUBLE) AS missing
+FROM r""",
     "ingest_same_stamp": f"SELECT * REPLACE ({LOAD_1} AS _loaded_at) FROM ({INGESTED})",
     "ingest_mixed_widths": w(RAW) + f" SELECT * EXCLUDE (l_orderkey, l_linenumber) "
                                     f"REPLACE ({LOAD_1} AS _loaded_at) FROM raw",

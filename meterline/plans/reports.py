@@ -87,8 +87,17 @@ def idle_gaps(fct: DataFrame, zones: DataFrame, k: int = 5, split: str = "auto",
     """
     gaps = lag_gap(fct, key, ts, prev_col="prev_pickup_datetime",
                    gap_col="gap_minutes", split=split)
+    return longest_gaps(gaps, zones, k, key, ts, split="__bucket")
+
+
+def longest_gaps(gaps: DataFrame, zones: DataFrame, k: int = 5, key: str = "pickup_location_id",
+                 ts: str = "pickup_datetime", split: str | None = None) -> DataFrame:
+    """Q3 from gaps, such as the kept ones (``models.kept_gaps``), whose zone is cut
+    by the pickup's month for the first, local top-k."""
+    if split is None:
+        gaps, split = gaps.withColumn("__bucket", F.date_trunc("month", F.col(ts))), "__bucket"
     top = top_k(gaps, key, F.col("gap_minutes").desc_nulls_first(), k,
-                rank_col="gap_rank", split="__bucket")
+                rank_col="gap_rank", split=split)
     named = lookup(top, zones, key, "location_id", {"zone_name": "zone_name"})
     return (named.select(key, "zone_name", "prev_pickup_datetime", ts, "gap_minutes",
                          "gap_rank")

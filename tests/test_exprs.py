@@ -114,3 +114,29 @@ def test_nan_and_infinity_carry_through_sums_and_means(spark):
     assert all(v != v for v in got["b"]) and got["z"] == (None, None, None)
     assert got["f"][0] == 0.3 and got["f"][1] == 0.15
     assert got["big"][0] == 1e30
+
+
+def test_large_doubles_round_to_themselves_and_keep_apart_in_keys(spark):
+    import math
+    from meterline.functions.exprs import round_half_away, surrogate_key
+    values = [1e13, 2e13, 1e17, -1e17, 1e300, float("nan"), float("inf"), -float("inf"), 0.0, None, 1.005, 2.5, 4e12]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = [r[0] for r in df.select(round_half_away("x", 2)).collect()]
+    for v, g in zip(values[:8], got):
+        assert g == v or (math.isnan(v) and math.isnan(g))
+    assert got[8:] == [0.0, None, 1.0, 2.5, 4e12]     # 1.005 is just below 1.005
+    keys = [r[0] for r in df.select(surrogate_key(df.schema, ["x"])).collect()]
+    assert len(set(keys)) == len(values)
+    import hashlib
+    assert keys[8] == hashlib.md5(b"0").hexdigest() and keys[12] == hashlib.md5(b"4000000000000000000").hexdigest()
+
+
+def test_json_fields_parse_once(spark):
+    from meterline.functions.exprs import json_fields
+    rows = ['{"a": {"b": [1, {"c": "x"}]}, "n": 2.5}', '{"a": ', None, "[1]", '{"n": "text"}']
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], "id int, j string")
+    out = json_fields(df, "j", {"c": ("$.a.b[1].c", "string"), "first": ("$.a.b[0]", "int"), "n": ("$.n", "double")})
+    assert [tuple(r)[2:] for r in out.orderBy("id").collect()] == [
+        ("x", 1, 2.5), (None, None, None), (None, None, None), (None, None, None), (None, None, None)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parse_json") + plan.count("parsejson") <= 1
