@@ -69,7 +69,9 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         texts.select("id", "h", F.unhex(F.sha2(F.col("norm").cast("binary"), 256)).alias("sha"))
              .groupBy("h", "id").agg(F.count(F.lit(1)).alias("n"), F.max("sha").alias("sha")),
         "hashes")
-    groups = _groups(per_id, ["h"], keep)
+    # Stored: the joins below are then between plain shuffles, which adaptive
+    # execution may split at a hot hash.
+    groups = written(_groups(per_id, ["h"], keep), "groups")
     salts = F.ceil(F.col("size") / TOGETHER).cast("int")
     several = groups.filter("size > 1").select("h", "keep", salts.alias("salts"))
     members = texts.join(several, "h")
