@@ -79,13 +79,15 @@ def exact_sum(x: ColumnOrName) -> Column:
     Double addition is not associative, so a plain ``sum`` depends on the
     partitioning. Summing in decimal(38,10) is exact and gives the same value
     however the rows are split across tasks; the result is returned as double.
-    With a NaN, an infinity or a value beyond ``EXACT_LIMIT`` in the group the
-    sum is the plain double one, as ``sum`` gives it (NaN, infinity).
+    NaN, infinities and values beyond ``EXACT_LIMIT`` are summed apart as doubles
+    and added, so NaN and infinity carry through as in ``sum``; a group without
+    any has nothing to add.
     """
     v = _c(x).cast("double")
     fits = F.coalesce(F.abs(v) < F.lit(EXACT_LIMIT), F.lit(True)) & ~F.coalesce(F.isnan(v), F.lit(False))
     exact = F.sum(F.when(fits, v).cast(T.DecimalType(38, 10))).cast("double")
-    return F.when(F.count_if(~fits) > 0, F.sum(v)).otherwise(exact)
+    rest = F.sum(F.when(~fits, v))
+    return F.when(rest.isNull(), exact).otherwise(rest + F.coalesce(exact, F.lit(0.0)))
 
 
 def exact_avg(x: ColumnOrName) -> Column:
