@@ -26,18 +26,22 @@ def small_batches(spark: SparkSession) -> None:
 
 
 @contextmanager
-def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Hand Python ``rows`` rows at a time, for what runs inside; the session's
-    own setting holds again afterwards."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """``key`` set to ``value`` for what runs inside; the session's own holds
+    again afterwards."""
     own = spark.conf.get(key)
-    spark.conf.set(key, str(rows))
+    spark.conf.set(key, value)
     try:
         yield
     finally:
         spark.conf.set(key, own)
 
 
+def batch_rows(spark: SparkSession, rows: int):
+    """Hand Python ``rows`` rows at a time, for what runs inside."""
+    return setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def stored(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """``df`` computed once into the cluster's shared folder and read back, and
     its folder: the lineage is cut, and a task lost later re-reads the files."""
