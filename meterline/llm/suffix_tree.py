@@ -46,8 +46,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import (ARROW_ROWS, batch_of, batch_rows, map_rows, setting,
-                                  small_batches, stored, written)
+from meterline.llm.common import (ARROW_ROWS, batch_of, batch_rows, map_rows, small_batches,
+                                  stored, written)
 from meterline.operators.incremental import delete_path
 
 BLOCK = 1_500_000
@@ -63,7 +63,6 @@ PRIOR = (0.0, 60.0, 20.0)
 #: Gain in nats that a context must show to be kept.
 TEST = 8.0
 SEED = 17
-DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 END = np.uint64(xxhash.xxh64_intdigest(b"", SEED))
 RARE = np.uint64(xxhash.xxh64_intdigest(b" ", SEED))
 
@@ -496,9 +495,7 @@ def score_documents(docs: DataFrame, held: Column, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score
     (log10 probabilities); documents for which ``held`` holds are not learnt."""
-    spark = docs.sparkSession
-    # Each step is written and read back: what it shuffled goes when it ends.
-    with batch_rows(spark, ARROW_ROWS), setting(spark, DROP_SHUFFLES, "true"):
+    with batch_rows(docs.sparkSession, ARROW_ROWS):   # and its own counts for its blocks
         return written(_scores(docs, held, id_col, text_col), "scores")
 
 

@@ -76,4 +76,4 @@ def test_the_entry_registers_every_operator_and_the_pipeline():
     import __spark_entry__ as E
     names = set(E.queries())
     assert "pipeline" in names
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14))
