@@ -23,6 +23,7 @@ from meterline.operators.incremental import (dedupe_latest, delete_path, high_wa
                                               recover, stage, unapplied, upsert, values_in)
 from meterline.operators.joins import enrich
 from meterline.operators.windows import lag_gap
+from meterline.sources.files import rebalanced
 from meterline.sources.storage import exists, read_record, write_record
 
 # Columns hashed into trip_id, in order (fixed value of the trip model).
@@ -336,8 +337,9 @@ def _write_mart(mart: DataFrame, path: str, by: str, parts: list | None) -> None
     one that ``mart`` no longer has rows for is removed."""
     from pyspark.sql import Observation
     seen = Observation("mart")
-    mart = mart.observe(seen, F.collect_set(F.col(by).cast("string")).alias("known"),
-                        F.count_if(F.col(by).isNull()).alias("none"))
+    mart = rebalanced(mart, [by]).observe(
+        seen, F.collect_set(F.col(by).cast("string")).alias("known"),
+        F.count_if(F.col(by).isNull()).alias("none"))
     (mart.write.mode("overwrite").option("partitionOverwriteMode", "static" if parts is None else "dynamic")
          .partitionBy(by).parquet(path))
     if parts is not None:
