@@ -83,10 +83,24 @@ def exact_sum(x: ColumnOrName) -> Column:
     and added, so NaN and infinity carry through as in ``sum``; a group without
     any has nothing to add.
     """
+    return _joined(*exact_sum_parts(x))
+
+
+def exact_sum_parts(x: ColumnOrName) -> tuple[Column, Column]:
+    """The two aggregates of ``exact_sum``, to be kept and merged (``merged_sum``):
+    the decimal sum, and the double sum of the values that do not fit it."""
     v = _c(x).cast("double")
     fits = F.coalesce(F.abs(v) < F.lit(EXACT_LIMIT), F.lit(True)) & ~F.coalesce(F.isnan(v), F.lit(False))
-    exact = F.sum(F.when(fits, v).cast(T.DecimalType(38, 10))).cast("double")
-    rest = F.sum(F.when(~fits, v))
+    return F.sum(F.when(fits, v).cast(T.DecimalType(38, 10))), F.sum(F.when(~fits, v))
+
+
+def merged_sum(total: ColumnOrName, rest: ColumnOrName) -> Column:
+    """``exact_sum`` of all rows from kept ``exact_sum_parts``."""
+    return _joined(F.sum(_c(total)), F.sum(_c(rest)))
+
+
+def _joined(total: Column, rest: Column) -> Column:
+    exact = total.cast("double")
     return F.when(rest.isNull(), exact).otherwise(rest + F.coalesce(exact, F.lit(0.0)))
 
 

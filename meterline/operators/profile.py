@@ -161,10 +161,31 @@ def _exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
                     ranks[(c, r)] = _Rank(c, r, n, (i, j))
             if len(sk) == 2 * len(probs):
                 brackets[((c, None, None), (i, j))] = (sk[2 * j], sk[2 * j + 1])
+    found = values_at_ranks(df, list(ranks.values()), vals, accuracy, max_rows, brackets)
+    return spark.createDataFrame([(c, p, interpolated(found, c, lo, hi, d)) for c, p, lo, hi, d in plan],
+                                 "column_name string, prob double, value double")
+
+
+def interpolated(found: dict, col: str, lo: int | None, hi: int | None, d: float | None) -> float | None:
+    """Value a share ``d`` of the way between the values at two ranks."""
+    if lo is None:
+        return None
+    x_lo, x_hi = found[(col, lo)], found[(col, hi)]
+    return x_lo if x_lo == x_hi else x_lo + (x_hi - x_lo) * d
+
+
+def values_at_ranks(df: DataFrame, ranks: list[_Rank], vals: dict[str, Column], accuracy: int,
+                    max_rows: int, brackets: dict[tuple, tuple]) -> dict[tuple, float]:
+    """(column, rank) -> value: intervals are narrowed until they are small (see
+    ``quantiles``), then ranked. ``brackets`` may hold first sketch brackets."""
+    eps = 3.0 / accuracy
+
+    def around(lo: float, hi: float) -> Column:
+        return F.array(F.lit(max(0.0, lo - eps)), F.lit(min(1.0, hi + eps)))
 
     while True:
         groups: dict[tuple, list[_Rank]] = {}
-        for t in ranks.values():
+        for t in ranks:
             if t.value is None and t.size > max_rows and not t.stuck:
                 groups.setdefault((t.interval(), t.q), []).append(t)
         if not groups:
@@ -210,16 +231,9 @@ def _exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
                     t.below, t.size = t.below + lt + ea, inside - ea - eb
                 t.stuck = t.size >= size  # no progress (not expected): rank it as is
 
-    found = {(t.col, t.rank): t.value for t in ranks.values() if t.value is not None}
-    found.update(_resolve(df, [t for t in ranks.values() if t.value is None], vals))
-    out = []
-    for c, p, lo, hi, d in plan:
-        if lo is None:
-            out.append((c, p, None))
-            continue
-        x_lo, x_hi = found[(c, lo)], found[(c, hi)]
-        out.append((c, p, x_lo if x_lo == x_hi else x_lo + (x_hi - x_lo) * d))
-    return spark.createDataFrame(out, "column_name string, prob double, value double")
+    found = {(t.col, t.rank): t.value for t in ranks if t.value is not None}
+    found.update(_resolve(df, [t for t in ranks if t.value is None], vals))
+    return found
 
 
 def _resolve(df: DataFrame, ranks: list, vals: dict) -> dict:

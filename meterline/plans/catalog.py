@@ -705,6 +705,22 @@ def q_schema_rows(spark, d):
     return P.file_schema(file_columns(spark, paths))
 
 
+def q_profile_kept(spark, d):
+    """E4-E7 kept by file: first the early months but one, then all files; the
+    second run reads only the files that are new to it."""
+    from meterline.operators import kept_profile as K
+    from meterline.session import scratch_path
+    from meterline.sources.files import matching_paths
+    base = scratch_path(spark, "kept-profile")
+    landing, kept = f"{base}/landing", K.Kept(f"{base}/profile", P.KEPT_SPEC)
+    month, run_month = F.col("_file_ym"), F.lit(RUN_MONTH[:7])
+    X.write_month_files(spark, d, landing, (month < INGEST_CUTOFF) & (month != run_month))
+    K.refresh(spark, kept, matching_paths(spark, f"{landing}/yellow_tripdata_*.parquet"))
+    X.write_month_files(spark, d, landing, (month >= INGEST_CUTOFF) | (month == run_month), wide=True)
+    K.refresh(spark, kept, matching_paths(spark, f"{landing}/yellow_tripdata_*.parquet"))
+    return P.kept_profile_rows(spark, kept)
+
+
 # Fixed parameters of the registered queries.
 STREAM_SPLIT = "1997-06"
 INGEST_CUTOFF = "1998-01"
@@ -798,5 +814,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "full_refresh": q_full_refresh,
     "schema_sync_disk": q_schema_sync_disk,
     "schema_rows": q_schema_rows,
+    "profile_kept": q_profile_kept,
     "gate_findings": q_gate_findings,
 }

@@ -749,6 +749,14 @@ months AS (SELECT DISTINCT source_file, strftime(file_month, '%Y-%m') AS ym FROM
 SELECT column_name, CASE WHEN ym < '1998-01' THEN narrow ELSE wide END AS column_type,
        count(*) AS files, min(source_file) AS first_file, max(source_file) AS last_file
 FROM months, t GROUP BY 1, 2""",
+    "profile_kept": f"""
+SELECT 'nulls' AS part, column_name, null_pct AS place, CAST(null_count AS DOUBLE) AS value
+FROM ({ORACLE['null_profile']})
+UNION ALL SELECT 'avg_value', column_name, NULL, avg_value FROM ({ORACLE['numeric_summary']})
+UNION ALL SELECT 'min_value', column_name, NULL, min_value FROM ({ORACLE['numeric_summary']})
+UNION ALL SELECT 'max_value', column_name, NULL, max_value FROM ({ORACLE['numeric_summary']})
+UNION ALL SELECT 'quantile', column_name, prob, value FROM ({ORACLE['quantiles']})
+UNION ALL SELECT 'histogram', 'trip_distance', bin_lo, CAST(trips AS DOUBLE) FROM ({ORACLE['histogram']})""",
     "gate_findings": 'SELECT "check", column_name, failures FROM (' + checks_sql()
                      + ") WHERE status = 'fail'",
 })

@@ -6,14 +6,16 @@ as VendorID / RatecodeID / store_and_fwd_flag) and the zone lookup.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.functions.exprs import (day_name, exact_avg, label, minutes_between,
                                        round_half_away, share_flag)
+from meterline.operators import kept_profile as K
 from meterline.operators import profile as P
 from meterline.operators.joins import lookup
 from meterline.operators.windows import share_of_total
+from meterline.sources.files import TRIP_FILE_SCHEMA
 
 # Dictionary labels of the profile (fixed values).
 PAYMENT_MIX_LABELS = {0: "(0) undocumented", 1: "Credit card", 2: "Cash", 3: "No charge",
@@ -156,3 +158,30 @@ def file_schema(columns: DataFrame) -> DataFrame:
     return (columns.groupBy("column_name", "column_type")
                    .agg(F.count(F.lit(1)).alias("files"), F.min("source_file").alias("first_file"),
                         F.max("source_file").alias("last_file")))
+
+
+# E4-E7 as kept by file: the fare rule of E6 is a population of its own.
+KEPT_SPEC = K.Spec(
+    columns=tuple(TRIP_FILE_SCHEMA.names),
+    numeric=("trip_distance", "fare_amount", "total_amount", "passenger_count"),
+    parts={"all": (None, ("trip_distance",)),
+           "paid": ("fare_amount > 0", ("trip_distance", "fare_amount", "total_amount"))})
+
+
+def kept_profile_rows(spark: SparkSession, kept: K.Kept) -> DataFrame:
+    """E4-E7 of all files in the kept profile as (part, column_name, place, value):
+    NULL counts at their percent, means and extremes, quantiles at their share,
+    bins at their lower edge."""
+    def rows(df, part, place, value):
+        return df.select(F.lit(part).alias("part"), "column_name", F.lit(place).cast("double").alias("place")
+                         if place is None else F.col(place).alias("place"),
+                         F.col(value).cast("double").alias("value"))
+
+    summary = K.numeric_summary(spark, kept)
+    bins = K.histogram(spark, kept, "all", "trip_distance", 0.0, 20.0, 40) \
+        .withColumn("column_name", F.lit("trip_distance"))
+    out = rows(K.null_profile(spark, kept), "nulls", "null_pct", "null_count")
+    for name in ("avg_value", "min_value", "max_value"):
+        out = out.unionByName(rows(summary, name, None, name))
+    return (out.unionByName(rows(K.quantiles(spark, kept, "paid", [0.5, 0.9, 0.99]), "quantile", "prob", "value"))
+               .unionByName(rows(bins, "histogram", "bin_lo", "trips")))

@@ -104,6 +104,19 @@ def _footer_files(spark: SparkSession, paths: Sequence[str]):
         yield status
 
 
+def file_stamps(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
+    """Path -> what a listing says of the file, or of the parts of a folder: number,
+    bytes and latest change. A rewritten file has another stamp."""
+    stamps = {}
+    for path in paths:
+        fs, at = located(spark, path)
+        parts = [st for st in fs.listStatus(at) if st.getPath().getName()[0] not in "_."]
+        stamps[path] = "-".join(str(v) for v in (
+            len(parts), sum(st.getLen() for st in parts),
+            max((st.getModificationTime() for st in parts), default=0)))
+    return stamps
+
+
 def file_groups(spark: SparkSession, paths: Sequence[str]) -> list[tuple[T.StructType, list[str]]]:
     """The files grouped by what their footers declare: (schema, paths).
 
