@@ -19,12 +19,13 @@ their path (a range shuffle), a node belongs to the first conversation that
 passes through it, and (that conversation, depth) is the depth-first order.
 Token offsets are running sums within sorted partitions plus the totals of the
 partitions before. Turns stream through their tasks in order, so a very long
-conversation is never held whole (its path key is, 16 bytes a turn).
+conversation is never held whole. Its path holds only the nodes at which other
+conversations part from it, 16 bytes each, not its turns.
 
 Defined cases: NULL texts and roles are empty. Turns go by (turn, role, text),
-NULL turns first; repeated rows are turns of their own. Rows without a conv_id
-form one conversation. An empty table gives empty results. Other columns are
-not read.
+NULL turns first; repeated rows are turns of their own; very long texts are one
+turn like any other. Rows without a conv_id form one conversation. An empty
+table gives empty results. Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -77,46 +78,50 @@ def tokenizer(path: str):
     return t
 
 
-TURNS = "conv_id long, depth int, node binary, root binary, role string, text string, path binary"
+TURNS = "conv_id long, depth int, node binary, parent binary, root binary, role string, text string"
 
 
 def _turns(conversations: DataFrame) -> DataFrame:
-    """Every turn with its node: the hash of all turns up to it. The last turn
-    of a conversation carries the path."""
+    """Every turn with its node, the hash of all turns up to it, and the node before."""
     rows = (conversations.select("conv_id", "turn", text_of("role").alias("role"),
                                  text_of("text").alias("text"))
                          .repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text"))
 
     def run(batches: Iterator[list[list]]) -> Iterator[pa.RecordBatch]:
-        held = None      # the row before: it may be its conversation's last
-        key, node, root, depth, path = object(), b"", b"", 0, []
+        key, node, root, depth = object(), b"", b"", 0
         for convs, _, roles, texts in batches:
-            out = []
+            depths, nodes, parents, roots = [], [], [], []
             for conv, role, text in zip(convs, roles, texts):
-                if conv != key or held is None:
-                    if held is not None:
-                        out.append((*held, b"".join(path)))
-                    key, node, depth, path = conv, b"", 0, []
-                elif held is not None:
-                    out.append((*held, None))
+                if conv != key:
+                    key, node, depth = conv, b"", 0
                 a = role.encode()
+                parents.append(node)
                 node = hashlib.blake2b(node + len(a).to_bytes(8, "little") + a + text.encode(),
                                        digest_size=16).digest()
                 root = node if depth == 0 else root
-                path.append(node)
-                held = (conv, depth, node, root, role, text)
+                depths.append(depth)
+                nodes.append(node)
+                roots.append(root)
                 depth += 1
-            yield _turn_batch(out)
-        if held is not None:
-            yield _turn_batch([(*held, b"".join(path))])
+            yield batch_of(conv_id=(convs, pa.int64()), depth=(depths, pa.int32()), node=(nodes, pa.binary()),
+                           parent=(parents, pa.binary()), root=(roots, pa.binary()),
+                           role=(roles, pa.string()), text=(texts, pa.string()))
     return map_rows(rows, run, TURNS)
 
 
-def _turn_batch(rows: list[tuple]) -> pa.RecordBatch:
-    cols = list(zip(*rows)) or [()] * 7
-    types = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.string(), pa.string(), pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
-                                      names=[c.split()[0] for c in TURNS.split(", ")])
+def _paths(turns: DataFrame) -> DataFrame:
+    """conv_id, path of every conversation: its root and then, of its nodes, only
+    those with siblings. Conversations that share a prefix share the path up to
+    it, and part at the first node that differs, so the order of paths keeps every
+    subtree together."""
+    steps = turns.select("conv_id", "depth", "node", "parent")
+    forks = (steps.filter("depth > 0").groupBy("parent")
+                  .agg(F.min("node").alias("least"), F.max("node").alias("most"))
+                  .filter("least <> most").select("parent"))
+    taken = (steps.filter("depth > 0").join(forks, "parent").select("conv_id", "depth", "node")
+                  .unionByName(steps.filter("depth = 0").select("conv_id", "depth", "node")))
+    return taken.groupBy("conv_id").agg(F.transform(
+        F.array_sort(F.collect_list(F.struct("depth", "node"))), lambda x: x["node"]).alias("path"))
 
 
 @dataclass
@@ -191,7 +196,7 @@ def prefix_forest(conversations: DataFrame, tokenizer_path: str) -> Forest:
     """Format, merge and tokenise all conversations."""
     turns = written(_turns(conversations), "turns")
     # Conversations in the order of their paths: the id rises with the order.
-    leaves = written(turns.filter("path is not null").select("conv_id", "path")
+    leaves = written(_paths(turns)
                           .repartitionByRange("path", "conv_id").sortWithinPartitions("path", "conv_id")
                           .select("conv_id", F.monotonically_increasing_id().alias("of")), "leaves")
     leaves = leaves.withColumnRenamed("conv_id", "c")

@@ -15,7 +15,11 @@ of labelled rows (``TRAIN_ROWS``); every document is scored, whole.
 
 Inputs of a score are the text alone. Defined cases: NULL and empty texts are
 one empty line; a text without line feeds is one line; without labelled rows of
-both kinds every score is the share of good labels (1 without any).
+both kinds every score is the share of good labels (1 without any). Every row gets a
+row of its own, repeated rows too, and equal texts equal scores (ties); a very
+long text is scored whole, holding its lines' features; an empty table gives an
+empty result. Other columns are not read (``keep_good`` hands them on), whatever
+their names.
 """
 
 from __future__ import annotations

@@ -22,7 +22,10 @@ that made a document toxic.
 Inputs of a score are the text alone. Defined cases: NULL and empty texts have
 no sentences and get the score of a bag with nothing toxic in it; without
 labelled rows of both kinds every score is the share of toxic labels (0 without
-any).
+any). Every row gets a row of its own, repeated rows too, and equal texts equal
+scores (ties); a very long text is scored whole; an empty table gives an empty
+result. Other columns are not read (``keep_clean`` hands them on), whatever their
+names.
 """
 
 from __future__ import annotations

@@ -21,6 +21,9 @@ def odd_rows():
              (101, 0, "user", ""), (101, 0, "user", ""), (101, 0, "assistant", "a\\b [/INST] </s>"),
              (None, 0, "user", "nobody"), (None, 1, "assistant", "[INST]"), (102, 0, "x" * 50, "y" * 40_000)]
     rows += [(103, t, "assistant", f"t{t}") for t in range(400)]
+    # One that ends inside the long one, one that is equal to it, two that part from it.
+    rows += [(104, t, "assistant", f"t{t}") for t in range(150)] + [(105, t, "assistant", f"t{t}") for t in range(400)]
+    rows += [(c, t, "assistant", f"t{t}" if t < 90 else f"{c} t{t}") for c in (106, 107) for t in range(95)]
     random.Random(1).shuffle(rows)
     return [(*r, "n", "p", 1) for r in rows]
 
@@ -103,6 +106,14 @@ def test_trees_emit_shared_tokens_once_depth_first(spark):
         assert spans[-1][0] + spans[-1][1] - spans[0][0] == sum(k for _, k in spans)
 
 
+def test_a_path_holds_forks_not_turns(spark):
+    """A third of all rows in one conversation: its path is as long as the forks on it."""
+    turns = chat._turns(spark.createDataFrame(odd_rows(), SCHEMA))
+    paths = {r["conv_id"]: r["path"] for r in chat._paths(turns).collect()}
+    assert {c: len(paths[c]) for c in (102, 103, 104, 105, 106, 107)} == {102: 1, 103: 2, 104: 2, 105: 2, 106: 2, 107: 2}
+    assert paths[103] == paths[104] == paths[105] != paths[106] != paths[107]
+
+
 def test_tokens_decode_to_the_template():
     t = Tokenizer.from_file(BYTE)
     t.encode_special_tokens = True

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from meterline.llm import quality, toxicity
 from meterline.llm.labels import labelled_sample
 from meterline.llm.queries import op3_quality, op10_toxicity
-from tests.conftest import SF01
+from tests.conftest import SF001, SF01
 from tests.llm.helpers import LONG, awkward, empty, rows, stored
 
 LABELS = "doc_id long, quality int, toxic int"
@@ -131,6 +131,62 @@ def test_length_alone_is_not_toxic():
     assert model.score(" ".join(clean * 200) + " You scum fool.") > 0.5
 
 
+def plain_quality(f, text):
+    """The field's score by its definition: own and neighbours' features line by
+    line, marginals from products of 2 x 2 matrices, the length-weighted mean."""
+    own, lengths = quality.line_features(text)
+    rows = quality.chain_features(own).astype(float)
+    emit = [np.diag([1.0, math.exp(float(r @ f.weights))]) for r in rows]
+    step = np.exp(f.moves)
+    left, right = [np.ones(2)], [np.ones(2)]
+    for e in emit[:-1]:
+        v = left[-1] @ e @ step
+        left.append(v / v.sum())
+    for e in emit[:0:-1]:
+        v = step @ e @ right[-1]
+        right.append(v / v.sum())
+    total = good = 0.0
+    for a, e, b, n in zip(left, emit, reversed(right), lengths):
+        bad_good = a * np.diag(e) * b
+        good += (n + 1) * bad_good[1] / bad_good.sum()
+        total += n + 1
+    return 1 / (1 + math.exp(-(f.slope * good / total + f.offset)))
+
+
+def test_quality_rows_equal_the_definition(spark, monkeypatch):
+    fields = []
+    train = quality.train
+    monkeypatch.setattr(quality, "train", lambda *a: fields.append(train(*a)) or fields[-1])
+    got = op3_quality(spark, SF001).collect()
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()}
+    assert sorted(r["doc_id"] for r in got) == sorted(texts)
+    for r in got:
+        assert r["score"] == pytest.approx(plain_quality(fields[0], texts[r["doc_id"]]), abs=1e-4)
+
+
+def plain_toxicity(m, text):
+    """Noisy-or over the raised sentences and one at the offset, by its definition."""
+    def p(z):
+        return 1 / (1 + math.exp(-z))
+    raised = []
+    for words in (w for s in toxicity.SENTENCE.findall((text or "").lower()) for w in toxicity.instances(s)):
+        z = m.offset + sum(m.weights.get(x, 0.0) for x in {x for w in words for x in toxicity.features(w)})
+        raised += [z] if z > m.offset else []
+    clean = math.prod(1 - p(z) for z in [m.offset, *raised])
+    return p(m.slope * math.log((1 - clean) / clean) + m.shift)
+
+
+def test_toxicity_rows_equal_the_definition(spark, monkeypatch):
+    models = []
+    train = toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda *a: models.append(train(*a)) or models[-1])
+    got = op10_toxicity(spark, SF001).collect()
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()}
+    assert sorted(r["doc_id"] for r in got) == sorted(texts)
+    for r in got:
+        assert r["score"] == pytest.approx(plain_toxicity(models[0], texts[r["doc_id"]]), abs=1e-6)
+
+
 def test_an_id_on_many_rows_is_one_row_of_the_sample(spark):
     docs = spark.range(300).select(F.when(F.col("id") < 200, 1).otherwise(F.col("id")).alias("doc_id"),
                                    F.concat(F.lit("text "), F.col("id")).alias("text"))
