@@ -115,9 +115,10 @@ def _paths(turns: DataFrame) -> DataFrame:
     it, and part at the first node that differs, so the order of paths keeps every
     subtree together."""
     steps = turns.select("conv_id", "depth", "node", "parent")
-    forks = (steps.filter("depth > 0").groupBy("parent")
-                  .agg(F.min("node").alias("least"), F.max("node").alias("most"))
-                  .filter("least <> most").select("parent"))
+    # Stored, so that the join at a turn that very many conversations share can be split.
+    forks = written(steps.filter("depth > 0").groupBy("parent")
+                         .agg(F.min("node").alias("least"), F.max("node").alias("most"))
+                         .filter("least <> most").select("parent"), "forks")
     taken = (steps.filter("depth > 0").join(forks, "parent").select("conv_id", "depth", "node")
                   .unionByName(steps.filter("depth = 0").select("conv_id", "depth", "node")))
     return taken.groupBy("conv_id").agg(F.transform(
