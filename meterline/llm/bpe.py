@@ -16,7 +16,10 @@ worker's memory does not follow its input.
 
 Decoding looks up each id's bytes, concatenates them and reads the result as
 UTF-8. Defined cases: NULL text counts as empty; an empty text has no ids; the
-strings of added tokens (such as ``<|endoftext|>``) encode to their ids.
+strings of added tokens (such as ``<|endoftext|>``) encode to their ids. Every row,
+repeated ones too, gives one row; an empty table gives an empty result; a very
+long text is encoded whole, in its worker's memory. Only the id and the text are
+read; other columns may have any name.
 """
 
 from __future__ import annotations

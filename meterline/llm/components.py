@@ -5,6 +5,10 @@ smallest node around it. Minima are partial aggregates and the joins are on the
 node, so a node with very many neighbours is split like any skewed join key.
 Each round is written to the shared folder, which cuts the lineage; only a
 count and a checksum of the edges reach the driver.
+
+Defined cases: an edge with a NULL end is none; repeated edges count once; nodes
+without an edge, and the smallest of each component, are not in the result; no
+edges give an empty result.
 """
 
 from __future__ import annotations

@@ -17,12 +17,13 @@ its class divided by j.
   No task sees all pieces of a class.
 * Each class leaves at most one bin short of j pieces. The pieces of those
   bins number fewer than the sum of (j - 1) over the classes, a constant of
-  the capacity (under 20,000 for 4096) whatever the input, and are packed
+  the capacity (21,297 for 4096) whatever the input, and are packed
   best-fit, longest first.
 
 Defined cases: NULL text counts as empty and is the end id alone. Rows that
 repeat a doc_id are packed like any other row. An empty table gives an empty
-result.
+result. A very long text is cut into as many pieces as it needs. Only the id and
+the text are read; other columns may have any name.
 """
 
 from __future__ import annotations
