@@ -24,6 +24,11 @@ key that fills the corpus is one entry per block, and each bucket holds about
 a block asks the buckets for its own contexts. Words and keys are 64-bit hashes.
 The driver gets a few sums and no keys.
 
+The disk holds little beyond one table of blocks at a time. Blocks are kept in
+``TURNS`` folders and buckets summed in as many ranges; a step goes through them
+one after the other, and the shuffle files of a turn or range, the rows that a
+turn has used and the totals it was sent are removed before the next.
+
 Defined cases: NULL texts are empty (their end mark is their one token); NULL
 ids are training rows; repeated rows all count; without training rows every
 base probability is 1 / 1. An empty table gives an empty result. Very long texts
@@ -43,12 +48,13 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.llm.common import (ARROW_ROWS, batch_of, batch_rows, map_rows, small_batches,
-                                  stored, written)
+from meterline.llm.common import (ARROW_ROWS, batch_of, batch_rows, map_rows, setting,
+                                  small_batches, written)
 from meterline.operators.incremental import delete_path
+from meterline.session import scratch_path
 
 BLOCK = 1_500_000
 ENTRIES = 400_000
@@ -63,6 +69,12 @@ PRIOR = (0.0, 60.0, 20.0)
 #: Gain in nats that a context must show to be kept.
 TEST = 8.0
 SEED = 17
+#: Folders that blocks are dealt to, and ranges of buckets summed one by one.
+TURNS = 8
+#: A query's shuffle files go when it ends (its table is written by then).
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Packed blocks are heavy work in few bytes: shuffled rows a task takes at once.
+TASK_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "8m"
 END = np.uint64(xxhash.xxh64_intdigest(b"", SEED))
 RARE = np.uint64(xxhash.xxh64_intdigest(b" ", SEED))
 
@@ -142,6 +154,34 @@ def blocks_of(docs: DataFrame, held: Column, id_col: str, text_col: str) -> Data
     return map_rows(docs.select(id_col, text_col, held.alias("held")), run, BLOCKS)
 
 
+# --- turns --------------------------------------------------------------------
+
+def turn_of(block: Column) -> Column:
+    """A task's blocks go round the turns, each task's from another start."""
+    return (F.when(block < 0, -1)
+             .otherwise(F.pmod(block + F.shiftright(block, 24), F.lit(TURNS))).cast("int"))
+
+
+def by_turn(df: DataFrame, path: str) -> None:
+    """Write rows of blocks to a folder per turn."""
+    (df.withColumn("turn", turn_of(F.col("block")))
+       .write.partitionBy("turn").parquet(path))
+
+
+def of_turns(spark: SparkSession, path: str, schema: str, more: str = "") -> DataFrame:
+    """The rows under ``path`` that are still there, with their ``turn``."""
+    return spark.read.schema(f"{schema}, turn int{more}").parquet(path)
+
+
+def in_turn(df: DataFrame, turn: int) -> DataFrame:
+    return df.filter(F.col("turn") == turn)
+
+
+def bounds(buckets: int) -> np.ndarray:
+    """The least key of each bucket."""
+    return np.array([-(-(i << 32) // buckets) << 32 for i in range(buckets)], "<u8")
+
+
 # --- totals of keys over all blocks -----------------------------------------
 
 Summary = Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, ...]]
@@ -155,13 +195,14 @@ def bucket_of(key: Column, buckets: int) -> Column:
 
 
 def dealt(block: int, keys: np.ndarray, counts: np.ndarray | None, ctx: np.ndarray | None,
-          lp: np.ndarray | None, buckets: int) -> pa.RecordBatch:
-    """A block's entries, keys ascending, one row per bucket (``bucket_of``):
-    buckets are equal ranges of the keys, so a block's totals come back in the
-    order of its keys."""
-    edges = np.array([-(-(i << 32) // buckets) << 32 for i in range(buckets)], "<u8")
-    starts = np.append(np.searchsorted(keys, edges), len(keys))
+          lp: np.ndarray | None, buckets: int, span: tuple[int, int] | None = None) -> pa.RecordBatch:
+    """A block's entries, keys ascending, one row per bucket (``bucket_of``) of
+    ``span`` (first, end): buckets are equal ranges of the keys, so a block's
+    totals come back in the order of its keys."""
+    starts = np.append(np.searchsorted(keys, bounds(buckets)), len(keys))
     used = np.flatnonzero(np.diff(starts))
+    if span:
+        used = used[(used >= span[0]) & (used < span[1])]
     out: list[list] = [[] for _ in range(5)]
     for p in used:
         at = slice(starts[p], starts[p + 1])
@@ -179,11 +220,15 @@ def dealt(block: int, keys: np.ndarray, counts: np.ndarray | None, ctx: np.ndarr
                     contexts=(out[2], pa.binary()), context=(out[3], pa.binary()), lp=(out[4], pa.binary()))
 
 
-def totals(entries: DataFrame, name: str, summary: Summary,
-           often: int = 0) -> tuple[DataFrame, DataFrame]:
-    """(block, parts: by bucket the totals of the block's keys, and the keys
-    whose total reaches ``often``; and the rows of ``summary``: key, a, b).
-    ``entries``: rows of ``dealt``."""
+SUMS = "block long, bucket int, part binary, often binary, keys binary, a binary, b binary"
+Span = tuple[int, int]
+
+
+def totals(spark: SparkSession, entries: Callable[[Span], DataFrame], buckets: int, ranges: int,
+           name: str, summary: Summary, often: int = 0) -> tuple[DataFrame, DataFrame, str]:
+    """The totals of the blocks' keys by block and bucket, and the keys whose
+    total reaches ``often``; the rows of ``summary``: key, a, b; and the folder
+    of both. ``entries``: rows of ``dealt`` for a span of buckets."""
     def add(rows: pd.DataFrame) -> pd.DataFrame:
         keys = [unpack_keys(b) for b in rows["keys"]]
         distinct, first, at = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
@@ -207,20 +252,27 @@ def totals(entries: DataFrame, name: str, summary: Summary,
                              "a": [pack(a.astype("<f8"))], "b": [pack(b.astype("<f8"))]})
         return pd.concat([out, more], ignore_index=True)
 
-    small_batches(entries.sparkSession)
-    summed = written(entries.groupBy("bucket").applyInPandas(
-        add, "block long, bucket int, part binary, often binary, keys binary, a binary, b binary"), name)
-    parts = (summed.filter("block >= 0").groupBy("block")
-                   .agg(F.sort_array(F.collect_list(F.struct("bucket", "part", "often"))).alias("parts")))
+    small_batches(spark)
+    path = scratch_path(spark, f"llm-{name}")
+    for i in range(ranges):
+        span = (buckets * i // ranges, buckets * (i + 1) // ranges)
+        by_turn(entries(span).groupBy("bucket").applyInPandas(add, SUMS), f"{path}/span={i}")
+    summed = of_turns(spark, path, SUMS, ", span int")
 
     def spread(batches: Iterator[list[list]]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             for key, a, b in zip(*rows):
                 yield batch_of(key=(unpack(key, "<u8").view("<i8"), pa.int64()),
                                a=(unpack(a, "<f8"), pa.float64()), b=(unpack(b, "<f8"), pa.float64()))
-    rest = map_rows(summed.filter("block < 0").select("keys", "a", "b"), spread,
+    rest = map_rows(in_turn(summed, -1).select("keys", "a", "b"), spread,
                     "key long, a double, b double")
-    return parts, rest
+    return summed, rest, path
+
+
+def parts_of(summed: DataFrame, turn: int) -> DataFrame:
+    """(block, parts: its totals by bucket) of a turn's blocks."""
+    return (in_turn(summed, turn).groupBy("block")
+            .agg(F.sort_array(F.collect_list(F.struct("bucket", "part", "often"))).alias("parts")))
 
 
 def collected(parts: list[dict] | None) -> np.ndarray:
@@ -228,11 +280,11 @@ def collected(parts: list[dict] | None) -> np.ndarray:
     return np.concatenate([unpack(p["part"], "<u8") for p in parts or []] or [np.empty(0)]).astype(float)
 
 
-def word_entries(blocks: DataFrame, buckets: int) -> DataFrame:
+def word_entries(blocks: DataFrame, buckets: int, span: Span) -> DataFrame:
     def run(batches: Iterator[list[list]]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             for block, keys, counts in zip(*rows):
-                yield dealt(block, unpack_keys(keys), unpack(counts, "<u4"), None, None, buckets)
+                yield dealt(block, unpack_keys(keys), unpack(counts, "<u4"), None, None, buckets, span)
     return map_rows(blocks.select("block", "keys", "counts"), run, DEALT)
 
 
@@ -334,10 +386,12 @@ def symbol_round(blocks: DataFrame, words: DataFrame, n: int, v: int, rare_mass:
 
 
 class Pairs:
-    """A block's distinct (context, symbol) pairs, keys ascending."""
+    """A block's distinct (context, symbol) pairs, keys ascending: all, or those
+    whose keys are from the first to below the second of ``within`` (None: no
+    end)."""
 
     def __init__(self, lens: bytes, symbols: bytes, s_keys: bytes, s_lp: bytes, s_n: bytes,
-                 min_context: int):
+                 min_context: int, within: tuple[np.uint64, np.uint64 | None] | None = None):
         self.lens = unpack(lens, "<u4").astype("i8")
         self.symbols = unpack(symbols, "<u4").astype("i8")
         self.s_keys, self.s_lp = unpack(s_keys, "<u8"), unpack(s_lp, "<f8")
@@ -349,6 +403,11 @@ class Pairs:
         self.before[1:] = self.symbols[:-1]
         self.before[self.starts] = 0
         use = self.context[self.before]
+        if within:
+            of_token = mix(self.s_keys[self.before], self.s_keys[self.symbols])
+            use &= of_token >= within[0]
+            if within[1] is not None:
+                use &= of_token < within[1]
         size = len(self.s_keys)
         codes, at = np.unique(self.before[use] * size + self.symbols[use], return_inverse=True)
         u, x = codes // size, codes % size
@@ -364,14 +423,17 @@ class Pairs:
 SYMBOLS = ("lens", "symbols", "symbol_keys", "symbol_lp", "symbol_n")
 
 
-def pair_entries(pairs: DataFrame, min_context: int, buckets: int) -> DataFrame:
+def pair_entries(pairs: DataFrame, min_context: int, buckets: int, span: Span) -> DataFrame:
+    edges = bounds(buckets)
+    within = edges[span[0]], edges[span[1]] if span[1] < buckets else None
+
     def run(batches: Iterator[list[list]]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             for block, held, *packed in zip(*rows):
-                p = Pairs(*packed, min_context)
+                p = Pairs(*packed, min_context, within)
                 train = ~np.repeat(unpack(held, "u1").astype(bool), p.lens)
                 counts = np.bincount(p.pair[(p.pair >= 0) & train], minlength=len(p.keys))
-                yield dealt(block, p.keys, counts, p.s_keys[p.u], p.s_lp[p.x], buckets)
+                yield dealt(block, p.keys, counts, p.s_keys[p.u], p.s_lp[p.x], buckets, span)
     return map_rows(pairs.select("block", "held", *SYMBOLS), run, DEALT)
 
 
@@ -443,12 +505,12 @@ def triple_round(pairs: DataFrame, sums: DataFrame, kept: DataFrame, min_context
                     run, TRIPLES)
 
 
-def triple_entries(triples: DataFrame, buckets: int) -> DataFrame:
+def triple_entries(triples: DataFrame, buckets: int, span: Span) -> DataFrame:
     def run(batches: Iterator[list[list]]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             for block, keys, counts, contexts, ctx, lp in zip(*rows):
                 yield dealt(block, unpack_keys(keys), unpack(counts, "<u4"),
-                            unpack_keys(contexts)[unpack(ctx, "<u4")], unpack(lp, "<f4"), buckets)
+                            unpack_keys(contexts)[unpack(ctx, "<u4")], unpack(lp, "<f4"), buckets, span)
     return map_rows(triples.select("block", "keys", "counts", "contexts", "ctx", "lp"), run, DEALT)
 
 
@@ -461,6 +523,10 @@ def asked_pairs(triples: DataFrame, buckets: int) -> DataFrame:
     return map_rows(triples.select("block", "contexts"), run, DEALT)
 
 
+SCORES = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+          "base_score double, score double")
+
+
 def score_round(triples: DataFrame, sums: DataFrame, kept: DataFrame, n: int) -> DataFrame:
     """The documents' scores. ``kept``: flags of ``asked_pairs``."""
     def run(batches: Iterator[list[list]]) -> Iterator[pa.RecordBatch]:
@@ -481,9 +547,7 @@ def score_round(triples: DataFrame, sums: DataFrame, kept: DataFrame, n: int) ->
 
     met = triples.join(sums, "block", "left").join(kept, "block", "left")
     return map_rows(met.select("doc_ids", "lens", "held", "n_known", "base", "score", "tokens", "per_doc",
-                               "total", "ctx", "lp", "parts", "flags"), run,
-                    "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
-                    "base_score double, score double")
+                               "total", "ctx", "lp", "parts", "flags"), run, SCORES)
 
 
 def _whole_blocks(spark) -> None:
@@ -495,39 +559,71 @@ def score_documents(docs: DataFrame, held: Column, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score
     (log10 probabilities); documents for which ``held`` holds are not learnt."""
-    with batch_rows(docs.sparkSession, ARROW_ROWS):   # and its own counts for its blocks
-        return written(_scores(docs, held, id_col, text_col), "scores")
+    spark = docs.sparkSession
+    with batch_rows(spark, ARROW_ROWS), setting(spark, DROP_SHUFFLES, "true"), setting(spark, *TASK_BYTES):
+        return _scores(docs, held, id_col, text_col)   # written, each step by its own counts of rows
 
 
 def _scores(docs: DataFrame, held: Column, id_col: str, text_col: str) -> DataFrame:
     spark = docs.sparkSession
-    small_batches(spark)
-    blocks, blocks_at = stored(blocks_of(docs, held, id_col, text_col), "blocks")
-    size = blocks.agg(F.sum("n_train").alias("n"), F.sum("n_keys").alias("k"),
-                      F.sum("n_tokens").alias("t")).first()
-    n, n_keys, n_tokens = size["n"] or 0, size["k"] or 0, size["t"] or 0
-    min_context, min_symbol = MIN_CONTEXT, MIN_SYMBOL
+    blocks_at, pairs_at, triples_at, scores_at = (
+        scratch_path(spark, f"llm-{name}") for name in ("blocks", "pairs", "triples", "scores"))
+    by_turn(blocks_of(docs, held, id_col, text_col), blocks_at)
+    blocks = of_turns(spark, blocks_at, BLOCKS)
+    size = blocks.agg(F.sum("n_train").alias("n"), F.sum("n_keys").alias("k"), F.sum("n_tokens").alias("t"),
+                      F.collect_set("turn").alias("turns")).first()
+    n, turns = size["n"] or 0, sorted(size["turns"])
+    if not turns:
+        return spark.createDataFrame([], SCORES)
+
+    def used(turn: int, *folders: str) -> None:
+        for folder in folders:
+            delete_path(spark, f"{folder}/turn={turn}")
+
+    def used_sums(turn: int, folder: str) -> None:
+        used(turn, *(f"{folder}/span={i}" for i in range(len(turns))))
 
     def vocabulary(keys: np.ndarray, c: np.ndarray, *_) -> tuple[np.ndarray, ...]:
-        rare = (c > 0) & (c < min_symbol) & (keys != END)
+        rare = (c > 0) & (c < MIN_SYMBOL) & (keys != END)
         return np.zeros(1, "u8"), np.array([(c > 0).sum()], float), np.array([(c[rare] + 1).sum()])
 
     _whole_blocks(spark)
-    words, known = totals(word_entries(blocks, n_keys // ENTRIES + 8), "words", vocabulary, min_symbol)
+    buckets = size["k"] // ENTRIES + 8
+    sums, known, sums_at = totals(spark, lambda span: word_entries(blocks, buckets, span), buckets,
+                                  len(turns), "words", vocabulary, MIN_SYMBOL)
     v = known.agg(F.sum("a").alias("v"), F.sum("b").alias("rare")).first()
     _whole_blocks(spark)
-    pairs, pairs_at = stored(symbol_round(blocks, words, n, int(v["v"] or 0), (v["rare"] or 0.0) + 1.0,
-                                 min_symbol), "pairs")
-    delete_path(spark, blocks_at)   # what was made of it is written
+    for t in turns:
+        symbols = symbol_round(in_turn(blocks, t), parts_of(sums, t), n, int(v["v"] or 0),
+                               (v["rare"] or 0.0) + 1.0, MIN_SYMBOL)
+        symbols.write.parquet(f"{pairs_at}/turn={t}")
+        used(t, blocks_at)
+        used_sums(t, sums_at)
+
+    pairs = of_turns(spark, pairs_at, PAIRS)
     # A block's distinct pairs are about half of its tokens.
-    buckets = n_tokens // (2 * ENTRIES) + 8
-    sums, gains = totals(pair_entries(pairs, min_context, buckets), "pair-totals", leave_one_out(PRIOR[1]))
-    kept = kept_flags(asked_words(pairs, min_context, buckets), kept_contexts(gains, PRIOR[1]), buckets)
+    of_pairs = size["t"] // (2 * ENTRIES) + 8
+    sums, gains, sums_at = totals(spark, lambda span: pair_entries(pairs, MIN_CONTEXT, of_pairs, span), of_pairs,
+                                  len(turns), "pair-totals", leave_one_out(PRIOR[1]))
+    kept = written(kept_contexts(gains, PRIOR[1]), "kept-words")
     _whole_blocks(spark)
-    triples = written(triple_round(pairs, sums, kept, min_context), "triples")
-    delete_path(spark, pairs_at)
-    buckets = (triples.agg(F.sum("n_triples").alias("n")).first()["n"] or 0) // ENTRIES + 8
-    sums, gains = totals(triple_entries(triples, buckets), "triple-totals", leave_one_out(PRIOR[2]))
-    longer = kept_flags(asked_pairs(triples, buckets), kept_contexts(gains, PRIOR[2]), buckets)
+    for t in turns:
+        mine = in_turn(pairs, t)
+        flags = kept_flags(asked_words(mine, MIN_CONTEXT, of_pairs), kept, of_pairs)
+        triple_round(mine, parts_of(sums, t), flags, MIN_CONTEXT).write.parquet(f"{triples_at}/turn={t}")
+        used(t, pairs_at)
+        used_sums(t, sums_at)
+
+    triples = of_turns(spark, triples_at, TRIPLES)
+    of_triples = (triples.agg(F.sum("n_triples").alias("n")).first()["n"] or 0) // ENTRIES + 8
+    sums, gains, sums_at = totals(spark, lambda span: triple_entries(triples, of_triples, span), of_triples,
+                                  len(turns), "triple-totals", leave_one_out(PRIOR[2]))
+    longer = written(kept_contexts(gains, PRIOR[2]), "kept-pairs")
     _whole_blocks(spark)
-    return score_round(triples, sums, longer, n)
+    for t in turns:
+        mine = in_turn(triples, t)
+        flags = kept_flags(asked_pairs(mine, of_triples), longer, of_triples)
+        score_round(mine, parts_of(sums, t), flags, n).write.parquet(f"{scores_at}/turn={t}")
+        used(t, triples_at)
+        used_sums(t, sums_at)
+    return of_turns(spark, scores_at, SCORES).drop("turn")
