@@ -52,7 +52,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.llm.common import (ARROW_ROWS, batch_of, batch_rows, map_rows, setting,
-                                  small_batches, written)
+                                  small_batches)
 from meterline.operators.incremental import delete_path
 from meterline.session import scratch_path
 
@@ -320,6 +320,9 @@ def among(keys: np.ndarray, sorted_set: np.ndarray) -> np.ndarray:
     return sorted_set[at] == keys
 
 
+FLAGS = "block long, flags array<struct<bucket: int, flags: binary>>"
+
+
 def kept_flags(asked: DataFrame, kept: DataFrame, buckets: int) -> DataFrame:
     """(block, flags: by bucket whether each key that the block asks for is
     among the kept contexts). ``asked``: rows of ``dealt``, keys alone."""
@@ -583,6 +586,12 @@ def _scores(docs: DataFrame, held: Column, id_col: str, text_col: str) -> DataFr
     def used_sums(turn: int, folder: str) -> None:
         used(turn, *(f"{folder}/span={i}" for i in range(len(turns))))
 
+    def answers(asked: DataFrame, kept: DataFrame, buckets: int) -> DataFrame:
+        """``kept_flags`` of all blocks, written: bits, so not taken in turns."""
+        path = scratch_path(spark, "llm-flags")
+        by_turn(kept_flags(asked, kept, buckets), path)
+        return of_turns(spark, path, FLAGS)
+
     def vocabulary(keys: np.ndarray, c: np.ndarray, *_) -> tuple[np.ndarray, ...]:
         rare = (c > 0) & (c < MIN_SYMBOL) & (keys != END)
         return np.zeros(1, "u8"), np.array([(c > 0).sum()], float), np.array([(c[rare] + 1).sum()])
@@ -605,12 +614,11 @@ def _scores(docs: DataFrame, held: Column, id_col: str, text_col: str) -> DataFr
     of_pairs = size["t"] // (2 * ENTRIES) + 8
     sums, gains, sums_at = totals(spark, lambda span: pair_entries(pairs, MIN_CONTEXT, of_pairs, span), of_pairs,
                                   len(turns), "pair-totals", leave_one_out(PRIOR[1]))
-    kept = written(kept_contexts(gains, PRIOR[1]), "kept-words")
+    flags = answers(asked_words(pairs, MIN_CONTEXT, of_pairs), kept_contexts(gains, PRIOR[1]), of_pairs)
     _whole_blocks(spark)
     for t in turns:
         mine = in_turn(pairs, t)
-        flags = kept_flags(asked_words(mine, MIN_CONTEXT, of_pairs), kept, of_pairs)
-        triple_round(mine, parts_of(sums, t), flags, MIN_CONTEXT).write.parquet(f"{triples_at}/turn={t}")
+        triple_round(mine, parts_of(sums, t), in_turn(flags, t), MIN_CONTEXT).write.parquet(f"{triples_at}/turn={t}")
         used(t, pairs_at)
         used_sums(t, sums_at)
 
@@ -618,12 +626,11 @@ def _scores(docs: DataFrame, held: Column, id_col: str, text_col: str) -> DataFr
     of_triples = (triples.agg(F.sum("n_triples").alias("n")).first()["n"] or 0) // ENTRIES + 8
     sums, gains, sums_at = totals(spark, lambda span: triple_entries(triples, of_triples, span), of_triples,
                                   len(turns), "triple-totals", leave_one_out(PRIOR[2]))
-    longer = written(kept_contexts(gains, PRIOR[2]), "kept-pairs")
+    flags = answers(asked_pairs(triples, of_triples), kept_contexts(gains, PRIOR[2]), of_triples)
     _whole_blocks(spark)
     for t in turns:
         mine = in_turn(triples, t)
-        flags = kept_flags(asked_pairs(mine, of_triples), longer, of_triples)
-        score_round(mine, parts_of(sums, t), flags, n).write.parquet(f"{scores_at}/turn={t}")
+        score_round(mine, parts_of(sums, t), in_turn(flags, t), n).write.parquet(f"{scores_at}/turn={t}")
         used(t, triples_at)
         used_sums(t, sums_at)
     return of_turns(spark, scores_at, SCORES).drop("turn")
