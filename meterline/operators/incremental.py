@@ -25,7 +25,7 @@ import uuid
 from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -208,17 +208,41 @@ def dedupe_latest(df: DataFrame, key: Sequence[str] | str,
                         for c in df.columns]))
 
 
+# Pieces that a partition's rows are dealt in by key when a merge is written.
+PIECES = 16
+
+
 def upsert_frame(target: DataFrame | None, batch: DataFrame,
-                 key: Sequence[str] | str) -> DataFrame:
+                 key: Sequence[str] | str, by: Sequence[str] = ()) -> DataFrame:
     """Delete+insert by key (I2/I3) as a DataFrame: target rows whose key
-    appears in the batch are replaced by all of the batch's rows."""
+    appears in the batch are replaced by all of the batch's rows. A key with a
+    NULL equals none.
+
+    Both inputs are computed once and meet in one shuffle by key. ``by`` names
+    columns that the key determines (a table's partitions): the rows are then
+    dealt by them and by ``PIECES`` pieces of the keys, so that they can be
+    written without another shuffle.
+    """
     key = [key] if isinstance(key, str) else list(key)
     if target is None:
         return batch
     target, batch = sync_columns(target, batch)
-    keys = batch.select(*key).distinct()
-    kept = target.join(keys, key, "left_anti")
-    return kept.unionByName(batch)
+    both = (target.withColumn("__new", F.lit(False))
+                  .unionByName(batch.withColumn("__new", F.lit(True))))
+    no_key = F.lit(False)
+    for c in key:
+        no_key = no_key | F.col(c).isNull()
+    # Rows without a key are dealt by their other columns.
+    plain = [f.name for f in batch.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    both = both.withColumn("__apart", F.when(no_key, F.xxhash64(*plain)))
+    group = [*key, "__apart"]
+    if by:
+        both = both.withColumn("__piece", F.pmod(F.xxhash64(*group), F.lit(PIECES)))
+        both = both.repartition(*by, "__piece")
+        group = [*by, "__piece", *group]
+    both = both.withColumn("__replaced", F.max("__new").over(Window.partitionBy(*group)))
+    return (both.filter(F.col("__new") | ~F.col("__replaced") | F.col("__apart").isNotNull())
+                .select(*batch.columns))
 
 
 def _schema_of(record: dict) -> T.StructType:
@@ -307,13 +331,14 @@ def _touched(types: dict[str, str], cols: Sequence[str], parts: Sequence[tuple])
 def upsert(spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str] | str,
            partition_cols: Sequence[str], full_refresh: bool = False,
            parts: Sequence[tuple] | None = None,
-           watermark_cols: Sequence[str] = (), map_col: str | None = None) -> None:
+           watermark_cols: Sequence[str] = (), map_col: str | None = None,
+           clustered: bool = False) -> None:
     """Delete+insert ``batch`` into the partitioned Parquet table at ``path``.
 
     Precondition: the key determines the partition (rows sharing a key share
     partition values), so only the partitions the batch touches change. Those
     partitions are read (pruned by a literal list of the batch's partition
-    values), the batch keys are anti-joined out and the batch is appended.
+    values) and merged with the batch in one shuffle (``upsert_frame``).
 
     Crash safety: the merged partitions are written once, whole, beside the
     table (``_pending``), with the write's record as their commit; then their
@@ -326,8 +351,11 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str]
     and a rerun starts anew. ``parts`` may pass the batch's distinct partition
     values when the caller already has them.
 
-    Files follow partitions (``rebalanced``): adaptive execution cuts a heavy
-    partition into several and writes a small one as one.
+    Files follow partitions. A first write is dealt by them (``rebalanced``):
+    adaptive execution cuts a heavy partition into several files and writes a
+    small one as one; not so with ``clustered``, for rows that already lie
+    together by partition (the scan of a table partitioned alike). A merge is
+    written as its shuffle dealt it, a partition in up to ``PIECES`` files.
 
     Columns follow the batch (I5): the table's declared schema becomes the
     batch's. Added and dropped columns need no rewrite (see ``read_table``), nor
@@ -355,11 +383,11 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str]
             partition_cols[0]).cast("string").alias("part"))).alias("__map"))
     seen = Observation("upsert_marks") if watched else None
 
-    def written(df: DataFrame, to: str) -> None:
-        df = rebalanced(df, partition_cols)   # observed above the shuffle: an empty one leaves the plan
+    def written(df: DataFrame, to: str, dealt: bool) -> None:
+        df = df if dealt else rebalanced(df, partition_cols)   # observed above the shuffle: an empty one leaves the plan
         df = df.observe(seen, *watched) if seen else df
         (df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-           .partitionBy(*partition_cols).parquet(to))
+           .option("compression", "zstd").partitionBy(*partition_cols).parquet(to))
 
     def record(df: DataFrame, to: str, before: dict | None, replaced: list | None) -> None:
         _record(spark, f"{to}/{MARKS_DIR}", df.schema, before, {c: seen.get[c] for c in cols}, replaced,
@@ -369,7 +397,7 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str]
     recover(spark, path)
     last = None if full_refresh else _last_write(spark, path)
     if last is None:
-        written(batch, path)
+        written(batch, path, clustered)
         record(batch, root, None, None)
         return
     # Distinct partition values of the batch: one row per touched partition.
@@ -381,9 +409,9 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str]
     types = dict(target.dtypes)
     rewrite = any(types.get(c, t) != t and t not in _WIDER.get(types[c], ()) for c, t in batch.dtypes)
     old = target if rewrite else target.filter(_touched(types, partition_cols, parts))
-    merged = upsert_frame(old, batch, key)
+    merged = upsert_frame(old, batch, key, partition_cols)
     at = f"{root}/{PENDING_DIR}"
-    written(merged, f"{at}/rows")
+    written(merged, f"{at}/rows", True)
     record(merged, at, last, None if rewrite else [v[0] for v in parts])
     _finish_pending(spark, path)
 
@@ -424,7 +452,7 @@ def stage(spark: SparkSession, df: DataFrame, name: str,
     path = scratch_path(spark, name)
     seen = Observation("staged") if distinct_of else None
     out = df.observe(seen, F.collect_set(F.struct(*distinct_of)).alias("v")) if seen else df
-    out.write.mode("overwrite").parquet(path)
+    out.write.mode("overwrite").option("compression", "zstd").parquet(path)
     values = [tuple(r) for r in seen.get["v"]] if seen else []
     return spark.read.schema(df.schema).parquet(path), path, values
 

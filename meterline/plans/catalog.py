@@ -328,8 +328,8 @@ def q_tipping_by_type(spark, d):
 
 # ------------------------------------------------------------------ incremental
 
-def batch(spark, d, loaded_at, cond):
-    return X.raw_trips(spark, d, loaded_at).filter(cond)
+def batch(spark, d, loaded_at, cond, rows=None):
+    return X.raw_trips(spark, d, loaded_at, rows).filter(cond)
 
 
 def q_dedupe_latest(spark, d):
@@ -651,19 +651,21 @@ def q_marts_recovery(spark, d):
 
 
 def _upserted(spark, d, name, *batches, **how):
-    """Batches of staged trips through the on-disk upsert, by trip and month."""
+    """Batches of staged trips, lying by month, through the on-disk upsert, by trip
+    and month."""
     from meterline.operators.incremental import read_table, upsert
     from meterline.session import scratch_path
     path = scratch_path(spark, name)
     for i, b in enumerate(batches):
         upsert(spark, path, M.with_pickup_month(b), "trip_id", [M.PARTITION_COL],
-               watermark_cols=M.WATERMARK_COLS, full_refresh=how.get("refresh") == i)
+               watermark_cols=M.WATERMARK_COLS, full_refresh=how.get("refresh") == i, clustered=True)
     return read_table(spark, path).drop(M.PARTITION_COL)
 
 
 def _overlap(spark, d):
-    first = M.stage_trips(batch(spark, d, LOAD_1, F.col("l_linenumber") <= 4))
-    second = M.stage_trips(batch(spark, d, LOAD_2, F.col("l_linenumber") >= 3).withColumn(
+    rows = X.staged_rows(spark, d, by_month=True)
+    first = M.stage_trips(batch(spark, d, LOAD_1, F.col("l_linenumber") <= 4, rows))
+    second = M.stage_trips(batch(spark, d, LOAD_2, F.col("l_linenumber") >= 3, rows).withColumn(
         "tip_amount", F.col("tip_amount") * F.lit(2.0)))
     return first, second
 

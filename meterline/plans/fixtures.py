@@ -14,7 +14,9 @@ dimension is nation x region. The mapping is fixed (see FIXTURES.md):
     file_month, source_file month of o_orderdate
 
 The joins are left to Catalyst + AQE: at scale customer, part and orders are
-not small, so nothing here is forced to broadcast.
+not small, so nothing here is forced to broadcast. Customers meet the orders, not
+the much longer lineitem. A query that takes several batches of these rows joins
+them once (``staged_rows``) and passes them on as ``rows``.
 """
 
 from __future__ import annotations
@@ -23,7 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.functions.exprs import json_extract
-from meterline.sources.files import TRIP_FILE_SCHEMA, land_columns
+from meterline.session import scratch_path
+from meterline.sources.files import TRIP_FILE_SCHEMA, land_columns, write_partitioned
 
 # Fixed load time of the base view (a batch literal, deterministic on retry).
 BASE_LOADED_AT = "2024-01-01 00:00:00"
@@ -40,17 +43,38 @@ def trip_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trip_file_rows(spark, sf_dir).select(*TRIP_SOURCE_COLUMNS)
 
 
-def trip_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows shaped like a monthly trip file (all 19 columns) plus the month the row's file belongs to (``_file_ym``, 'YYYY-MM')."""
+def source_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The driver's columns that make up a trip, one row per line item, and the
+    month the row's file belongs to (``_file_ym``, 'YYYY-MM')."""
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer")
     s = table(spark, sf_dir, "supplier")
     p = table(spark, sf_dir, "part")
-    j = (li.join(o, li.l_orderkey == o.o_orderkey)
-           .join(c, o.o_custkey == c.c_custkey)
-           .join(s, li.l_suppkey == s.s_suppkey)
-           .join(p, li.l_partkey == p.p_partkey))
+    j = (li.join(s, li.l_suppkey == s.s_suppkey)
+           .join(p, li.l_partkey == p.p_partkey)
+           .join(o.join(c, o.o_custkey == c.c_custkey), li.l_orderkey == o.o_orderkey))
+    return j.select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
+                    "l_tax", "l_linestatus", "l_shipdate", "o_orderdate", "c_nationkey", "s_nationkey", "p_size",
+                    F.date_format(F.col("o_orderdate"), "yyyy-MM").alias("_file_ym"))
+
+
+def staged_rows(spark: SparkSession, sf_dir: str, by_month: bool = False) -> DataFrame:
+    """``source_rows`` joined once into the shared folder, for queries that take
+    several batches of them; with ``by_month`` stored by their file month."""
+    from meterline.operators.incremental import stage
+    rows = source_rows(spark, sf_dir)
+    if not by_month:
+        return stage(spark, rows, "trip-rows")[0]
+    path = scratch_path(spark, "trip-rows")
+    write_partitioned(rows, path, ["_file_ym"])
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def trip_file_rows(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
+    """Rows shaped like a monthly trip file (all 19 columns) plus ``_file_ym``;
+    ``rows`` are the source rows if they are staged."""
+    j = source_rows(spark, sf_dir) if rows is None else rows
     price = F.col("l_extendedprice")
     return j.select(
         (F.lit(1) + F.col("l_suppkey") % 2).cast("int").alias("VendorID"),
@@ -76,20 +100,19 @@ def trip_file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_quantity") != 7, F.lit(2.5)).alias("congestion_surcharge"),
         F.when(F.col("l_quantity") != 7, F.when(F.col("l_linenumber") == 1, F.lit(1.25))
                .otherwise(F.lit(0.0))).alias("airport_fee"),
-        F.date_format(F.col("o_orderdate"), "yyyy-MM").alias("_file_ym"),
-        F.col("l_orderkey"), F.col("l_linenumber"),
+        F.col("_file_ym"), F.col("l_orderkey"), F.col("l_linenumber"),
     )
 
 
 def raw_trips(spark: SparkSession, sf_dir: str,
-              loaded_at: str = BASE_LOADED_AT) -> DataFrame:
+              loaded_at: str = BASE_LOADED_AT, rows: DataFrame | None = None) -> DataFrame:
     """The landed raw table (S1-S6 applied to the file rows in place).
 
     Typed like the raw table: counts and ids are int (rounded), money double,
     plus source_file, file_month and one _loaded_at literal per batch.
     Keeps l_orderkey / l_linenumber for batch splitting and dedupe fixtures.
     """
-    rows = trip_file_rows(spark, sf_dir)
+    rows = trip_file_rows(spark, sf_dir, rows)
     source_file = F.concat(F.lit("yellow_tripdata_"), F.col("_file_ym"), F.lit(".parquet"))
     return land_columns(rows.withColumn("source_file", source_file), loaded_at,
                         keep=["l_orderkey", "l_linenumber"])
@@ -141,14 +164,14 @@ def widened(rows: DataFrame) -> DataFrame:
 
 
 def write_month_files(spark: SparkSession, sf_dir: str, base_dir: str,
-                      where=None, wide: bool = False) -> list[str]:
+                      where=None, wide: bool = False, rows: DataFrame | None = None) -> list[str]:
     """Write the trip-file rows as monthly files ``yellow_tripdata_YYYY-MM.parquet``
     under ``base_dir`` (each a Parquet folder); returns the written paths.
 
     One partitioned write (no per-month jobs), then each ``_file_ym=...``
     folder is renamed to the monthly file name: a metadata operation.
     """
-    rows = trip_file_rows(spark, sf_dir)
+    rows = trip_file_rows(spark, sf_dir, rows)
     if where is not None:
         rows = rows.filter(where)
     if wide:
