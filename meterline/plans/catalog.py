@@ -572,10 +572,10 @@ def q_idle_gaps_kept(spark, d):
     which lies before it."""
     from meterline.session import scratch_path
     tables, z = M.Tables(scratch_path(spark, "gaps")), zones(spark, d)
-    month = F.col("file_month")
+    rows, month = X.staged_rows(spark, d), F.col("file_month")
     second, late = (month == F.lit(m).cast("date") for m in (RUN_MONTH, LATE_MONTH))
-    for load, rows in ((LOAD_1, ~second & ~late), (LOAD_2, second), (LOAD_3, late)):
-        M.load_intermediate(spark, M.stage_trips(batch(spark, d, load, rows)), z, tables, _safe_cfg())
+    for load, cond in ((LOAD_1, ~second & ~late), (LOAD_2, second), (LOAD_3, late)):
+        M.load_intermediate(spark, M.stage_trips(batch(spark, d, load, cond, rows)), z, tables, _safe_cfg())
         M.load_fact(spark, tables, _safe_cfg())
         M.refresh_gaps(spark, tables)
     return R.longest_gaps(M.kept_gaps(spark, tables), z, k=5)
