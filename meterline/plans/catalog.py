@@ -633,15 +633,15 @@ def q_marts_recovery(spark, d):
     and a later run with another batch."""
     from meterline.session import scratch_path
     tables, seed = M.Tables(scratch_path(spark, "recovery")), X.zone_seed(spark, d)
-    month = F.col("file_month")
+    rows, month = X.staged_rows(spark, d), F.col("file_month")
     lost = month == F.lit(RUN_MONTH).cast("date")
     last = month == F.lit(LATE_MONTH).cast("date")
     layers = ("staging", "intermediate", "marts")
-    M.run_pipeline(spark, batch(spark, d, LOAD_1, ~lost & ~last), seed, tables, _safe_cfg(), layers)
-    M.load_intermediate(spark, M.stage_trips(batch(spark, d, LOAD_2, lost)), zones(spark, d), tables,
+    M.run_pipeline(spark, batch(spark, d, LOAD_1, ~lost & ~last, rows), seed, tables, _safe_cfg(), layers)
+    M.load_intermediate(spark, M.stage_trips(batch(spark, d, LOAD_2, lost, rows)), zones(spark, d), tables,
                         _safe_cfg())
     M.load_fact(spark, tables, _safe_cfg())          # the driver is lost here
-    M.run_pipeline(spark, batch(spark, d, LOAD_3, last), seed, tables, _safe_cfg(), layers)
+    M.run_pipeline(spark, batch(spark, d, LOAD_3, last, rows), seed, tables, _safe_cfg(), layers)
     daily_mart = spark.read.parquet(tables.daily).select(
         F.lit("daily").alias("mart"), F.col("revenue_date").cast("string").alias("grain"),
         F.col("total_trips").alias("trips"), F.col("total_fare").alias("amount"))
