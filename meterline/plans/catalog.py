@@ -359,14 +359,14 @@ def q_upsert_two_batches(spark, d):
 
 
 def _late_month(spark, d, watermark_col):
-    from meterline.operators.incremental import new_rows, upsert_frame
-    z = zones(spark, d)
+    from meterline.operators.incremental import new_rows, stage, upsert_frame
+    z, rows = zones(spark, d), X.staged_rows(spark, d)
     late = F.lit(LATE_MONTH).cast("date")
-    first = M.enrich_trips(M.stage_trips(batch(spark, d, LOAD_1, F.col("file_month") > late)),
+    first = M.enrich_trips(M.stage_trips(batch(spark, d, LOAD_1, F.col("file_month") > late, rows)),
                            z, CFG)
-    second = M.enrich_trips(M.stage_trips(batch(spark, d, LOAD_2, F.col("file_month") == late)),
+    second = M.enrich_trips(M.stage_trips(batch(spark, d, LOAD_2, F.col("file_month") == late, rows)),
                             z, CFG)
-    fct1 = M.fact_trips(first)
+    fct1, _, _ = stage(spark, M.fact_trips(first), "late-fact")
     slice2 = new_rows(second, fct1, watermark_col)
     return upsert_frame(fct1, M.fact_trips(slice2), "trip_id")
 
