@@ -685,12 +685,12 @@ def q_full_refresh(spark, d):
 def q_schema_sync_disk(spark, d):
     """I5 on disk, three batches by month: the second adds a column, the third
     drops one; months that a batch does not touch are read back too."""
-    month = F.col("file_month")
-    first = M.stage_trips(batch(spark, d, LOAD_1, F.lit(True))).withColumn("vendor_note", F.lit("v1"))
-    second = (M.stage_trips(batch(spark, d, LOAD_2, month == F.lit(RUN_MONTH).cast("date")))
+    rows, month = X.staged_rows(spark, d, by_month=True), F.col("file_month")
+    first = M.stage_trips(batch(spark, d, LOAD_1, F.lit(True), rows)).withColumn("vendor_note", F.lit("v1"))
+    second = (M.stage_trips(batch(spark, d, LOAD_2, month == F.lit(RUN_MONTH).cast("date"), rows))
               .withColumn("vendor_note", F.lit("v2")).withColumn("extra", F.lit(7)))
     third = (M.stage_trips(batch(spark, d, LOAD_3, (month == F.lit(RUN_MONTH).cast("date"))
-                                 & (F.col("l_linenumber") == 1)))
+                                 & (F.col("l_linenumber") == 1), rows))
              .withColumn("extra", F.lit(8)))
     return _upserted(spark, d, "sync", first, second, third)
 
