@@ -557,10 +557,10 @@ def q_stream_models(spark, d):
     base = scratch_path(spark, "stream-models")
     glob = f"{base}/landing/yellow_tripdata_*.parquet/*.parquet"
     tables = M.Tables(f"{base}/tables")
-    seed = X.zone_seed(spark, d)
+    seed, rows = X.zone_seed(spark, d), X.staged_rows(spark, d)
     for load, cond in [(LOAD_1, F.col("_file_ym") >= STREAM_SPLIT),
                        (LOAD_2, F.col("_file_ym") < STREAM_SPLIT)]:
-        X.write_month_files(spark, d, f"{base}/landing", cond)
+        X.write_month_files(spark, d, f"{base}/landing", cond, rows=rows)
         stream_trips(spark, glob, f"{base}/raw", f"{base}/checkpoint", load, seed, tables,
                      _safe_cfg())
     return spark.read.parquet(tables.fct).select(
