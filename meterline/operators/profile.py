@@ -85,7 +85,7 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     * finally the distinct values of each small interval are counted,
       shuffled by interval and ranked by a running sum.
     The first pass also counts each column, so data below the bound costs two
-    passes in all.
+    passes in all. All passes read the staged columns, not ``df``'s own plan.
     """
     probs = [float(p) for p in probs]
     if accuracy:
@@ -132,9 +132,13 @@ class _Rank:
 def _exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
                      accuracy: int, max_rows: int) -> DataFrame:
     import math
+    from meterline.operators.incremental import stage
     spark = df.sparkSession
     eps = 3.0 / accuracy
-    vals = {c: F.col(c).cast("double") for c in cols}
+    # Several passes read these columns: the input's own plan runs once.
+    df, _, _ = stage(spark, df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)]),
+                     "quantiles")
+    vals = {c: F.col(f"v{i}") for i, c in enumerate(cols)}
 
     def around(lo: float, hi: float) -> Column:
         return F.array(F.lit(max(0.0, lo - eps)), F.lit(min(1.0, hi + eps)))
