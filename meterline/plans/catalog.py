@@ -587,10 +587,10 @@ def q_check_counts_kept(spark, d):
     from meterline.operators import checks as C
     from meterline.session import scratch_path
     tables, z = M.Tables(scratch_path(spark, "kept-checks")), zones(spark, d, partial=True)
-    month = F.col("file_month")
+    rows, month = X.staged_rows(spark, d), F.col("file_month")
     late, again = (month == F.lit(m).cast("date") for m in (LATE_MONTH, RUN_MONTH))
-    for load, rows in ((LOAD_1, ~late), (LOAD_2, late | again)):
-        M.load_intermediate(spark, M.stage_trips(batch(spark, d, load, rows)), z, tables, _safe_cfg())
+    for load, cond in ((LOAD_1, ~late), (LOAD_2, late | again)):
+        M.load_intermediate(spark, M.stage_trips(batch(spark, d, load, cond, rows)), z, tables, _safe_cfg())
         M.load_fact(spark, tables, _safe_cfg())
         counts = M.fact_counts(spark, tables, M.dim_zones(z), _safe_cfg())
         counts.write.format("noop").mode("overwrite").save()
