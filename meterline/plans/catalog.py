@@ -528,12 +528,12 @@ def q_layered_run(spark, d):
     """M9 on disk: all months but one, then the late month; the zone mart."""
     from meterline.session import scratch_path
     tables = M.Tables(scratch_path(spark, "layered"))
-    seed = X.zone_seed(spark, d)
+    seed, rows = X.zone_seed(spark, d), X.staged_rows(spark, d)
     late = F.lit(LATE_MONTH).cast("date")
     layers = ("staging", "intermediate", "marts")
-    M.run_pipeline(spark, batch(spark, d, LOAD_1, F.col("file_month") != late), seed, tables,
+    M.run_pipeline(spark, batch(spark, d, LOAD_1, F.col("file_month") != late, rows), seed, tables,
                    _safe_cfg(), layers)
-    M.run_pipeline(spark, batch(spark, d, LOAD_2, F.col("file_month") == late), seed, tables,
+    M.run_pipeline(spark, batch(spark, d, LOAD_2, F.col("file_month") == late, rows), seed, tables,
                    _safe_cfg(), layers)
     return spark.read.parquet(tables.zone_perf)
 
