@@ -700,10 +700,10 @@ def q_schema_rows(spark, d):
     numbers, by the files' footers."""
     from meterline.session import scratch_path
     from meterline.sources.files import file_columns
-    base = scratch_path(spark, "schema")
+    base, rows = scratch_path(spark, "schema"), X.staged_rows(spark, d)
     early = F.col("_file_ym") < INGEST_CUTOFF
-    paths = (X.write_month_files(spark, d, f"{base}/landing", early)
-             + X.write_month_files(spark, d, f"{base}/landing", ~early, wide=True))
+    paths = (X.write_month_files(spark, d, f"{base}/landing", early, rows=rows)
+             + X.write_month_files(spark, d, f"{base}/landing", ~early, wide=True, rows=rows))
     return P.file_schema(file_columns(spark, paths))
 
 
