@@ -23,12 +23,14 @@ import datetime as _dt
 import json
 import uuid
 from collections.abc import Sequence
+from contextlib import nullcontext
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from meterline.session import scan_pieces
 from meterline.sources.files import rebalanced
 from meterline.sources.storage import (delete_path, names_in, read_record, record_names,
                                        write_record)
@@ -210,6 +212,9 @@ def dedupe_latest(df: DataFrame, key: Sequence[str] | str,
 
 # Pieces that a partition's rows are dealt in by key when a merge is written.
 PIECES = 16
+# What a task reads of a table whose rows are written on as they lie: the write
+# sorts a task's rows by partition, so these have to fit a task's memory.
+CLUSTERED_PIECE = "32m"
 
 
 def upsert_frame(target: DataFrame | None, batch: DataFrame,
@@ -354,7 +359,8 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str]
     Files follow partitions. A first write is dealt by them (``rebalanced``):
     adaptive execution cuts a heavy partition into several files and writes a
     small one as one; not so with ``clustered``, for rows that already lie
-    together by partition (the scan of a table partitioned alike). A merge is
+    together by partition (the scan of a table partitioned alike): they are read
+    in small pieces, so that a task sorts them in memory. A merge is
     written as its shuffle dealt it, a partition in up to ``PIECES`` files.
 
     Columns follow the batch (I5): the table's declared schema becomes the
@@ -386,8 +392,9 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str]
     def written(df: DataFrame, to: str, dealt: bool) -> None:
         df = df if dealt else rebalanced(df, partition_cols)   # observed above the shuffle: an empty one leaves the plan
         df = df.observe(seen, *watched) if seen else df
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-           .option("compression", "zstd").partitionBy(*partition_cols).parquet(to))
+        with scan_pieces(spark, CLUSTERED_PIECE) if clustered and to == path else nullcontext():
+            (df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+               .option("compression", "zstd").partitionBy(*partition_cols).parquet(to))
 
     def record(df: DataFrame, to: str, before: dict | None, replaced: list | None) -> None:
         _record(spark, f"{to}/{MARKS_DIR}", df.schema, before, {c: seen.get[c] for c in cols}, replaced,

@@ -67,7 +67,7 @@ def staged_rows(spark: SparkSession, sf_dir: str, by_month: bool = False) -> Dat
     if not by_month:
         return stage(spark, rows, "trip-rows")[0]
     path = scratch_path(spark, "trip-rows")
-    write_partitioned(rows, path, ["_file_ym"])
+    write_partitioned(rows, path, ["_file_ym"], compression="zstd")
     return spark.read.schema(rows.schema).parquet(path)
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -77,3 +78,18 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path inside the shared folder."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def scan_pieces(spark: SparkSession, size: str):
+    """Files that are read inside go to a task in pieces of at most ``size``; a
+    smaller setting of the session stays."""
+    key = "spark.sql.files.maxPartitionBytes"
+    in_bytes = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    before = spark.conf.get(key)
+    if in_bytes(size) < in_bytes(before):
+        spark.conf.set(key, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

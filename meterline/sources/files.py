@@ -292,8 +292,9 @@ def rebalanced(df: DataFrame, by: Sequence[str]) -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str],
-                      dynamic: bool = False, rebalance: bool = True) -> None:
-    """Partitioned Parquet overwrite.
+                      dynamic: bool = False, rebalance: bool = True,
+                      compression: str | None = None) -> None:
+    """Partitioned Parquet overwrite (S12), by default in the session's compression.
 
     Rows are rebalanced by the partition columns first: a month holding a third
     of all rows is written by many tasks, months of a few rows are one file each.
@@ -307,4 +308,4 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str],
     (df.write.mode("overwrite")
        .option("partitionOverwriteMode", mode)
        .partitionBy(*by)
-       .parquet(path))
+       .parquet(path, compression=compression))
