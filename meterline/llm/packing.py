@@ -31,6 +31,7 @@ from __future__ import annotations
 import bisect
 import functools
 import os
+import string
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -46,7 +47,7 @@ from meterline.llm.bpe import byte_letters
 from meterline.llm.common import batch_of, map_rows, written
 
 #: Words a worker remembers before it starts its table anew.
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 
 
 class WordIds(dict):
@@ -54,8 +55,10 @@ class WordIds(dict):
     space: each space-delimited word is encoded by the library once.
 
     A Latin word is handed to the library's merges directly, lower-cased, and
-    apart from a closing comma or full stop: the word pattern always breaks
-    between a letter and a mark. All other words take the library's whole way.
+    apart from the ASCII marks that close it: the word pattern always breaks
+    between a letter and a mark, and keeps marks that no letter follows in one
+    piece. All other words take the library's whole way. ``plain`` has the
+    lower-case forms that have not been met as words themselves.
     """
 
     def __init__(self, path: str):
@@ -65,24 +68,27 @@ class WordIds(dict):
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        self.merges = self.library.model
         self.letter_of = dict(enumerate(byte_letters()))
         self.plain: dict[str, bytes] = {}
 
-    def _latin(self, word: str) -> bytes:
-        key = word.lower()
-        ids = self.plain.get(key)
-        if ids is None:
-            letters = key if key.isascii() else key.encode().decode("latin-1").translate(self.letter_of)
-            ids = np.array([t.id for t in self.library.model.tokenize(letters)], "<u4").tobytes()
-            if len(self.plain) >= REMEMBERED:
-                self.plain.clear()
-            self.plain[key] = ids
-        return ids
+    def _latin(self, key: str) -> bytes:
+        letters = key if key.isascii() else key.encode().decode("latin-1").translate(self.letter_of)
+        return np.array([t.id for t in self.merges.tokenize(letters)], "<u4").tobytes()
 
     def __missing__(self, word: str) -> bytes:
-        bare = word[:-1] if word[-1:] in (",", ".") else word
-        if bare.isalpha() and max(bare) < "\u0250" and "\u0130" not in bare:
-            ids = self._latin(bare) + (self[word[-1]] if bare is not word else b"")
+        bare = word.rstrip(string.punctuation)
+        if bare.isalpha() and (bare.isascii() or (max(bare) < "\u0250" and "\u0130" not in bare)):
+            key = bare.lower()
+            ids = self.get(key) or self.plain.get(key)
+            if ids is None:
+                ids = self._latin(key)
+                if key != word and len(key) < 64:
+                    if len(self.plain) >= REMEMBERED:
+                        self.plain.clear()
+                    self.plain[key] = ids
+            if bare != word:
+                ids += self[word[len(bare):]]
         else:
             ids = np.array(self.library.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
         if len(word) < 64:

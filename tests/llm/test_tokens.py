@@ -61,6 +61,22 @@ def test_remembered_words_are_bounded(monkeypatch):
     assert len(mine) <= 10 and len(mine.plain) <= 10 and len(other.chunks) <= 10
 
 
+def test_closing_marks_are_encoded_once_for_all_words():
+    mine, library, asked = packing.WordIds(WORD), Tokenizer.from_file(WORD), []
+
+    class Counted:
+        model = mine.library.model
+
+        def encode(self, text, **kw):
+            asked.append(text)
+            return library.encode(text, **kw)
+
+    mine.library = Counted()
+    t = "thereon$$$ Whereat$$$ whereat!? Thereon Étude.'\" x's"
+    assert ids(mine(t)) == library.encode(t, add_special_tokens=False).ids
+    assert asked == ["$$$", "!?", ".'\"", "x's"]
+
+
 @pytest.mark.parametrize("where", [None, "odd"])
 def test_round_trip_query(spark, where):
     at = SF001 if where is None else stored(spark, "bpe", documents=awkward(spark))
