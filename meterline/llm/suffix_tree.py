@@ -25,7 +25,7 @@ a block asks the buckets for its own contexts. Words and keys are 64-bit hashes.
 The driver gets a few sums and no keys.
 
 The disk holds little beyond one table of blocks at a time. Blocks are kept in
-``TURNS`` folders and buckets summed in as many ranges; a step goes through them
+``TURNS`` folders and buckets summed in ``RANGES``; a step goes through them
 one after the other, and the shuffle files of a turn or range, the rows that a
 turn has used and the totals it was sent are removed before the next.
 
@@ -39,12 +39,12 @@ columns and those of the ``held`` condition are read; others may have any name.
 from __future__ import annotations
 
 import math
-from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -69,8 +69,11 @@ PRIOR = (0.0, 60.0, 20.0)
 #: Gain in nats that a context must show to be kept.
 TEST = 8.0
 SEED = 17
-#: Folders that blocks are dealt to, and ranges of buckets summed one by one.
+#: Folders that blocks are dealt to.
 TURNS = 8
+#: Ranges of buckets summed one by one, for words, pairs and triples: each range
+#: reads the blocks again, and fewer ranges leave more shuffled at once.
+RANGES = {"words": 2, "pairs": 6, "triples": 8}
 #: A query's shuffle files go when it ends (its table is written by then).
 DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Packed blocks are heavy work in few bytes: shuffled rows a task takes at once.
@@ -100,12 +103,35 @@ def unpack_keys(b: bytes) -> np.ndarray:
     return np.cumsum(unpack(b, "<u8"), dtype="u8")
 
 
+def halves(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What keys add to a mixed key as its first and as its second part."""
+    return (keys * np.uint64(0x9E3779B97F4A7C15),
+            (keys ^ (keys >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9))
+
+
+def stirred(x: np.ndarray) -> np.ndarray:
+    """A key of the sum of two halves, in the place of the sum."""
+    x ^= x >> np.uint64(30)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(29)
+    return x
+
+
 def mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """One 64-bit key of two (not symmetric)."""
-    with np.errstate(over="ignore"):
-        x = a * np.uint64(0x9E3779B97F4A7C15) + (b ^ (b >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(29))
+    return stirred(halves(a)[0] + halves(b)[1])
+
+
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys ascending, where one of each is, and each key's place
+    among them (``np.unique`` sorts stably for this, several times slower)."""
+    order = np.argsort(keys)
+    ascending = keys[order]
+    new = np.ones(len(keys), bool)
+    np.not_equal(ascending[1:], ascending[:-1], out=new[1:])
+    at = np.empty(len(keys), "i8")
+    at[order] = np.cumsum(new) - 1
+    return ascending[new], order[new], at
 
 
 # --- blocks ---------------------------------------------------------------
@@ -114,43 +140,61 @@ BLOCKS = ("block long, doc_ids array<long>, lens binary, held binary, ids binary
           "counts binary, end_at long, n_keys long, n_tokens long, n_train long")
 
 
-def _block_row(number: int, doc_ids: list, lens: list[int], held: list[bool], ids: array,
-               words: dict[bytes, int]) -> pa.RecordBatch:
-    """A block: its words' keys ascending, its tokens as places among them."""
-    local = np.frombuffer(ids, "<u4")
+def _block_row(number: int, doc_ids: list, lens: np.ndarray, held: list[bool],
+               tokens: list[pa.Array]) -> pa.RecordBatch:
+    """A block: its words' keys ascending, its tokens as places among them. The
+    empty token is the end mark."""
+    coded = pa.concat_arrays([pa.array([""], pa.large_string()), *tokens]).dictionary_encode()
+    local = coded.indices.to_numpy()[1:]
+    ends, text = (np.frombuffer(b, t) if b else np.zeros(0, t) for b, t in
+                  zip(coded.dictionary.buffers()[1:], ("<i8", "u1")))
+    text, ends = text.tobytes(), ends[coded.dictionary.offset:][:len(coded.dictionary) + 1].tolist()
+    keys = np.array([xxhash.xxh64_intdigest(text[i:j], SEED) for i, j in zip(ends, ends[1:])], "<u8")
     train = np.repeat(~np.array(held, bool), lens)
-    keys = np.array([xxhash.xxh64_intdigest(w, SEED) for w in words], "<u8")
     order = np.argsort(keys)
     place = np.empty(len(order), "<u4")
     place[order] = np.arange(len(order))
-    counts = np.bincount(local[train], minlength=len(words))[order].astype("<u4")
+    counts = np.bincount(local[train], minlength=len(keys))[order].astype("<u4")
     return batch_of(block=([number], pa.int64()), doc_ids=([doc_ids], pa.list_(pa.int64())),
-                    lens=([pack(np.array(lens, "<u4"))], pa.binary()),
+                    lens=([pack(lens.astype("<u4"))], pa.binary()),
                     held=([pack(np.array(held, "u1"))], pa.binary()),
                     ids=([pack(place[local])], pa.binary()), keys=([pack_keys(keys[order])], pa.binary()),
                     counts=([pack(counts)], pa.binary()), end_at=([int(place[0])], pa.int64()),
-                    n_keys=([len(words)], pa.int64()), n_tokens=([len(local)], pa.int64()),
+                    n_keys=([len(keys)], pa.int64()), n_tokens=([len(local)], pa.int64()),
                     n_train=([int(train.sum())], pa.int64()))
 
 
+def tokens_of(texts: list[str | None]) -> tuple[pa.Array, np.ndarray]:
+    """The tokens of texts one after the other, and each text's number of them.
+    A blank after a text's last word makes the end mark, as an empty text does."""
+    bare = ((text or "").encode().lower().strip() for text in texts)   # A-Z and ASCII blanks only
+    ended = pa.array([b + b" " if b else b for b in bare], pa.large_binary())
+    split = pc.ascii_split_whitespace(ended.cast(pa.large_string()))
+    return split.flatten(), pc.list_value_length(split).to_numpy()
+
+
 def blocks_of(docs: DataFrame, held: Column, id_col: str, text_col: str) -> DataFrame:
     def run(batches: Iterator[list[list]]) -> Iterator[pa.RecordBatch]:
-        part, made = TaskContext.get().partitionId(), 0
-        doc_ids, lens, out, ids, words = [], [], [], array("I"), {b"": 0}
+        part, made, size = TaskContext.get().partitionId(), 0, 0
+        doc_ids, lens, out, words = [], [], [], []
         for keys, texts, held_out in batches:
-            for key, text, h in zip(keys, texts, held_out):
-                tokens = (text or "").encode().lower().split()   # A-Z and ASCII blanks only
-                ids.extend([words.setdefault(w, len(words)) for w in tokens])
-                ids.append(0)
-                doc_ids.append(key)
-                lens.append(len(tokens) + 1)
-                out.append(bool(h))
-                if len(ids) >= BLOCK:
-                    yield _block_row((part << 24) + made, doc_ids, lens, out, ids, words)
-                    made += 1
-                    doc_ids, lens, out, ids, words = [], [], [], array("I"), {b"": 0}
+            tokens, counts = tokens_of(texts)
+            ends, at = np.concatenate([[0], np.cumsum(counts)]), 0
+            while at < len(keys):
+                # Up to the text that fills the block, or all that are left.
+                to = min(int(np.searchsorted(ends, ends[at] + BLOCK - size)), len(keys))
+                doc_ids += keys[at:to]
+                lens.append(counts[at:to])
+                out += map(bool, held_out[at:to])
+                words.append(tokens[ends[at]:ends[to]])
+                size += int(ends[to] - ends[at])
+                at = to
+                if size >= BLOCK:
+                    yield _block_row((part << 24) + made, doc_ids, np.concatenate(lens), out, words)
+                    made, size = made + 1, 0
+                    doc_ids, lens, out, words = [], [], [], []
         if doc_ids:
-            yield _block_row((part << 24) + made, doc_ids, lens, out, ids, words)
+            yield _block_row((part << 24) + made, doc_ids, np.concatenate(lens), out, words)
     return map_rows(docs.select(id_col, text_col, held.alias("held")), run, BLOCKS)
 
 
@@ -210,7 +254,7 @@ def dealt(block: int, keys: np.ndarray, counts: np.ndarray | None, ctx: np.ndarr
         if counts is not None:
             out[1].append(pack(counts[at].astype("<u4")))
         if ctx is not None:
-            own, place = np.unique(ctx[at], return_inverse=True)
+            own, _, place = distinct(ctx[at])
             out[2].append(pack_keys(own))
             out[3].append(pack(place.astype("<u4")))
             out[4].append(pack(lp[at].astype("<f4")))
@@ -224,14 +268,14 @@ SUMS = "block long, bucket int, part binary, often binary, keys binary, a binary
 Span = tuple[int, int]
 
 
-def totals(spark: SparkSession, entries: Callable[[Span], DataFrame], buckets: int, ranges: int,
+def totals(spark: SparkSession, entries: Callable[[Span], DataFrame], buckets: int,
            name: str, summary: Summary, often: int = 0) -> tuple[DataFrame, DataFrame, str]:
     """The totals of the blocks' keys by block and bucket, and the keys whose
     total reaches ``often``; the rows of ``summary``: key, a, b; and the folder
     of both. ``entries``: rows of ``dealt`` for a span of buckets."""
     def add(rows: pd.DataFrame) -> pd.DataFrame:
         keys = [unpack_keys(b) for b in rows["keys"]]
-        distinct, first, at = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+        met, first, at = distinct(np.concatenate(keys))
         total = np.bincount(at, np.concatenate([unpack(b, "<u4") for b in rows["counts"]]))
         cuts = np.cumsum([len(k) for k in keys])[:-1]
         split = np.split(total[at], cuts)
@@ -240,7 +284,7 @@ def totals(spark: SparkSession, entries: Callable[[Span], DataFrame], buckets: i
             ctx = np.concatenate([unpack_keys(a)[unpack(b, "<u4")] for a, b in
                                   zip(rows["contexts"], rows["context"])])[first]
             lp = np.concatenate([unpack(b, "<f4") for b in rows["lp"]])[first].astype(float)
-        key, a, b = summary(distinct, total, ctx, lp)
+        key, a, b = summary(met, total, ctx, lp)
         blank = [None] * len(split)
         out = pd.DataFrame({"block": rows["block"], "bucket": rows["bucket"],
                             "part": [pack(t.astype("<u8")) for t in split],
@@ -253,7 +297,7 @@ def totals(spark: SparkSession, entries: Callable[[Span], DataFrame], buckets: i
         return pd.concat([out, more], ignore_index=True)
 
     small_batches(spark)
-    path = scratch_path(spark, f"llm-{name}")
+    path, ranges = scratch_path(spark, f"llm-{name}-totals"), RANGES[name]
     for i in range(ranges):
         span = (buckets * i // ranges, buckets * (i + 1) // ranges)
         by_turn(entries(span).groupBy("bucket").applyInPandas(add, SUMS), f"{path}/span={i}")
@@ -300,7 +344,7 @@ def leave_one_out(prior: float) -> Summary:
     def summary(_: np.ndarray, n: np.ndarray, ctx: np.ndarray, lp: np.ndarray) -> tuple[np.ndarray, ...]:
         seen = n > 0
         n, lp = n[seen], lp[seen]
-        keys, at = np.unique(ctx[seen], return_inverse=True)
+        keys, _, at = distinct(ctx[seen])
         gain = n * np.log((n - 1) * np.exp(-lp) + prior)
         return keys, np.bincount(at, gain, len(keys)), np.bincount(at, n, len(keys))
     return summary
@@ -396,7 +440,7 @@ class Pairs:
     def __init__(self, lens: bytes, symbols: bytes, s_keys: bytes, s_lp: bytes, s_n: bytes,
                  min_context: int, within: tuple[np.uint64, np.uint64 | None] | None = None):
         self.lens = unpack(lens, "<u4").astype("i8")
-        self.symbols = unpack(symbols, "<u4").astype("i8")
+        self.symbols = unpack(symbols, "<u4")
         self.s_keys, self.s_lp = unpack(s_keys, "<u8"), unpack(s_lp, "<f8")
         self.s_n = unpack(s_n, "<u8").astype(float)
         self.context = self.s_n >= min_context
@@ -405,22 +449,20 @@ class Pairs:
         self.before = np.empty_like(self.symbols)
         self.before[1:] = self.symbols[:-1]
         self.before[self.starts] = 0
-        use = self.context[self.before]
+        first, second = halves(self.s_keys)
+        of_token = second.take(self.symbols)
+        of_token += first.take(self.before)
+        stirred(of_token)
+        use = self.context.take(self.before)
         if within:
-            of_token = mix(self.s_keys[self.before], self.s_keys[self.symbols])
             use &= of_token >= within[0]
             if within[1] is not None:
                 use &= of_token < within[1]
-        size = len(self.s_keys)
-        codes, at = np.unique(self.before[use] * size + self.symbols[use], return_inverse=True)
-        u, x = codes // size, codes % size
-        keys = mix(self.s_keys[u], self.s_keys[x])
-        order = np.argsort(keys)
-        place = np.empty(len(order), "i8")
-        place[order] = np.arange(len(order))
-        self.keys, self.u, self.x = keys[order], u[order], x[order]
+        used = np.flatnonzero(use)
+        self.keys, of_pair, place = distinct(of_token[used])
+        self.u, self.x = self.before[used[of_pair]], self.symbols[used[of_pair]]
         self.pair = np.full(len(self.symbols), -1)   # the pair of each token
-        self.pair[use] = place[at]
+        self.pair[used] = place
 
 
 SYMBOLS = ("lens", "symbols", "symbol_keys", "symbol_lp", "symbol_n")
@@ -451,20 +493,23 @@ def asked_words(pairs: DataFrame, min_context: int, buckets: int) -> DataFrame:
 
 
 TRIPLES = ("block long, doc_ids array<long>, lens binary, held binary, n_known binary, base binary, "
-           "score binary, tokens binary, per_doc binary, total binary, keys binary, counts binary, "
-           "contexts binary, ctx binary, lp binary, n_triples long")
+           "score binary, tokens binary, per_doc binary, total binary, contexts binary, n_triples long")
+#: A block's triples, a column for each range of them.
+SLICES = [f"slice{i}" for i in range(RANGES["triples"])]
+SLICE = ("keys", "counts", "ctx", "lp")
+TRIPLES += "".join(f", {s} struct<{': binary, '.join(SLICE)}: binary>" for s in SLICES)
 
 
 def triple_round(pairs: DataFrame, sums: DataFrame, kept: DataFrame, min_context: int) -> DataFrame:
     """Scores by contexts of up to one word, without the tokens that a longer
-    context precedes; those tokens, their distinct triples, keys ascending, and
-    the triples' distinct contexts. ``kept``: flags of ``asked_words``."""
+    context precedes; those tokens, their distinct triples, keys ascending and
+    cut at the ranges' bounds, and the triples' distinct contexts. ``kept``: flags of ``asked_words``."""
     def run(batches: Iterator[list[list]]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             for block, doc_ids, held_b, known_b, base_b, rest, parts, flags, *packed in zip(*rows):
                 p, total = Pairs(*packed, min_context), collected(parts)
-                held, size, n_docs = unpack(held_b, "u1").astype(bool), len(p.s_keys), len(p.lens)
-                state, often = np.zeros(size, bool), np.flatnonzero(p.context)
+                held, n_docs = unpack(held_b, "u1").astype(bool), len(p.lens)
+                state, often = np.zeros(len(p.s_keys), bool), np.flatnonzero(p.context)
                 state[often[np.argsort(p.s_keys[often])]] = flagged(flags)
                 # Log-probability of each pair's symbol after its context.
                 lp = np.where(state[p.u], log_state(total, p.s_n[p.u], PRIOR[1], p.s_lp[p.x]), p.s_lp[p.x])
@@ -479,19 +524,17 @@ def triple_round(pairs: DataFrame, sums: DataFrame, kept: DataFrame, min_context
                 earlier[p.starts] = -1
                 long = (earlier >= 0) & paired & (p.before != 1)
                 long[long] = total[earlier[long]] >= min_context
-                triples, at = np.unique(earlier[long] * size + p.symbols[long], return_inverse=True)
                 # A pair's key is that of the context it makes, and pairs ascend by it.
-                ctx, y = triples // size, triples % size
-                keys = mix(p.keys[ctx], p.s_keys[y])
-                order = np.argsort(keys)
-                place = np.empty(len(order), "i8")
-                place[order] = np.arange(len(order))
-                tokens = place[at]
-                used, c_at = np.unique(ctx[order], return_inverse=True)
-                parent = np.empty(len(order))
-                parent[tokens] = by_token[long]
-                counts = np.bincount(tokens[~held[doc[long]]], minlength=len(order))
+                pair = earlier[long]
+                keys, of_triple, tokens = distinct(mix(p.keys[pair], p.s_keys[p.symbols[long]]))
+                used, _, c_at = distinct(pair[of_triple])
+                parent = by_token[long][of_triple]
+                counts = np.bincount(tokens[~held[doc[long]]], minlength=len(keys))
                 score = np.bincount(doc[~long], by_token[~long], n_docs) + unpack(rest, "<f8")
+                edges = np.append(np.searchsorted(keys, bounds(len(SLICES))), len(keys))
+                cut = [[{"keys": pack_keys(keys[a:b]), "counts": pack(counts[a:b].astype("<u4")),
+                         "ctx": pack(c_at[a:b].astype("<u4")), "lp": pack(parent[a:b].astype("<f4"))}]
+                       for a, b in zip(edges, edges[1:])]
                 yield batch_of(
                     block=([block], pa.int64()), doc_ids=([doc_ids], pa.list_(pa.int64())),
                     lens=([packed[0]], pa.binary()), held=([held_b], pa.binary()), n_known=([known_b], pa.binary()),
@@ -499,9 +542,8 @@ def triple_round(pairs: DataFrame, sums: DataFrame, kept: DataFrame, min_context
                     tokens=([pack(tokens.astype("<u4"))], pa.binary()),
                     per_doc=([pack(np.bincount(doc[long], minlength=n_docs).astype("<u4"))], pa.binary()),
                     total=([pack(total[used].astype("<u8"))], pa.binary()),
-                    keys=([pack_keys(keys[order])], pa.binary()), counts=([pack(counts.astype("<u4"))], pa.binary()),
-                    contexts=([pack_keys(p.keys[used])], pa.binary()), ctx=([pack(c_at.astype("<u4"))], pa.binary()),
-                    lp=([pack(parent.astype("<f4"))], pa.binary()), n_triples=([len(order)], pa.int64()))
+                    contexts=([pack_keys(p.keys[used])], pa.binary()), n_triples=([len(keys)], pa.int64()),
+                    **{s: (c, pa.struct([(f, pa.binary()) for f in SLICE])) for s, c in zip(SLICES, cut)})
 
     met = pairs.join(sums, "block", "left").join(kept, "block", "left")
     return map_rows(met.select("block", "doc_ids", "held", "n_known", "base", "rest", "parts", "flags", *SYMBOLS),
@@ -509,12 +551,14 @@ def triple_round(pairs: DataFrame, sums: DataFrame, kept: DataFrame, min_context
 
 
 def triple_entries(triples: DataFrame, buckets: int, span: Span) -> DataFrame:
+    """``buckets`` is a multiple of the ranges, so a span is a slice."""
     def run(batches: Iterator[list[list]]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            for block, keys, counts, contexts, ctx, lp in zip(*rows):
+            for block, contexts, keys, counts, ctx, lp in zip(*rows):
                 yield dealt(block, unpack_keys(keys), unpack(counts, "<u4"),
-                            unpack_keys(contexts)[unpack(ctx, "<u4")], unpack(lp, "<f4"), buckets, span)
-    return map_rows(triples.select("block", "keys", "counts", "contexts", "ctx", "lp"), run, DEALT)
+                            unpack_keys(contexts)[unpack(ctx, "<u4")], unpack(lp, "<f4"), buckets)
+    mine = SLICES[span[0] * len(SLICES) // buckets]
+    return map_rows(triples.select("block", "contexts", *(f"{mine}.{f}" for f in SLICE)), run, DEALT)
 
 
 def asked_pairs(triples: DataFrame, buckets: int) -> DataFrame:
@@ -534,8 +578,9 @@ def score_round(triples: DataFrame, sums: DataFrame, kept: DataFrame, n: int) ->
     """The documents' scores. ``kept``: flags of ``asked_pairs``."""
     def run(batches: Iterator[list[list]]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            for doc_ids, lens, held, known, base, score, tokens, per_doc, total, ctx, lp, parts, flags in zip(*rows):
-                lp, ctx = unpack(lp, "<f4").astype(float), unpack(ctx, "<u4")
+            for doc_ids, lens, held, known, base, score, tokens, per_doc, total, parts, flags, *cut in zip(*rows):
+                lp = np.concatenate([unpack(c["lp"], "<f4") for c in cut]).astype(float)
+                ctx = np.concatenate([unpack(c["ctx"], "<u4") for c in cut])
                 lp = np.where(flagged(flags)[ctx],
                               log_state(collected(parts), unpack(total, "<u8")[ctx], PRIOR[2], lp), lp)
                 per_doc = unpack(per_doc, "<u4").astype("i8")
@@ -550,7 +595,7 @@ def score_round(triples: DataFrame, sums: DataFrame, kept: DataFrame, n: int) ->
 
     met = triples.join(sums, "block", "left").join(kept, "block", "left")
     return map_rows(met.select("doc_ids", "lens", "held", "n_known", "base", "score", "tokens", "per_doc",
-                               "total", "ctx", "lp", "parts", "flags"), run, SCORES)
+                               "total", "parts", "flags", *SLICES), run, SCORES)
 
 
 def _whole_blocks(spark) -> None:
@@ -583,8 +628,8 @@ def _scores(docs: DataFrame, held: Column, id_col: str, text_col: str) -> DataFr
         for folder in folders:
             delete_path(spark, f"{folder}/turn={turn}")
 
-    def used_sums(turn: int, folder: str) -> None:
-        used(turn, *(f"{folder}/span={i}" for i in range(len(turns))))
+    def used_sums(turn: int, folder: str, name: str) -> None:
+        used(turn, *(f"{folder}/span={i}" for i in range(RANGES[name])))
 
     def answers(asked: DataFrame, kept: DataFrame, buckets: int) -> DataFrame:
         """``kept_flags`` of all blocks, written: bits, so not taken in turns."""
@@ -599,7 +644,7 @@ def _scores(docs: DataFrame, held: Column, id_col: str, text_col: str) -> DataFr
     _whole_blocks(spark)
     buckets = size["k"] // ENTRIES + 8
     sums, known, sums_at = totals(spark, lambda span: word_entries(blocks, buckets, span), buckets,
-                                  len(turns), "words", vocabulary, MIN_SYMBOL)
+                                  "words", vocabulary, MIN_SYMBOL)
     v = known.agg(F.sum("a").alias("v"), F.sum("b").alias("rare")).first()
     _whole_blocks(spark)
     for t in turns:
@@ -607,30 +652,31 @@ def _scores(docs: DataFrame, held: Column, id_col: str, text_col: str) -> DataFr
                                (v["rare"] or 0.0) + 1.0, MIN_SYMBOL)
         symbols.write.parquet(f"{pairs_at}/turn={t}")
         used(t, blocks_at)
-        used_sums(t, sums_at)
+        used_sums(t, sums_at, "words")
 
     pairs = of_turns(spark, pairs_at, PAIRS)
     # A block's distinct pairs are about half of its tokens.
     of_pairs = size["t"] // (2 * ENTRIES) + 8
     sums, gains, sums_at = totals(spark, lambda span: pair_entries(pairs, MIN_CONTEXT, of_pairs, span), of_pairs,
-                                  len(turns), "pair-totals", leave_one_out(PRIOR[1]))
+                                  "pairs", leave_one_out(PRIOR[1]))
     flags = answers(asked_words(pairs, MIN_CONTEXT, of_pairs), kept_contexts(gains, PRIOR[1]), of_pairs)
     _whole_blocks(spark)
     for t in turns:
         mine = in_turn(pairs, t)
         triple_round(mine, parts_of(sums, t), in_turn(flags, t), MIN_CONTEXT).write.parquet(f"{triples_at}/turn={t}")
         used(t, pairs_at)
-        used_sums(t, sums_at)
+        used_sums(t, sums_at, "pairs")
 
     triples = of_turns(spark, triples_at, TRIPLES)
     of_triples = (triples.agg(F.sum("n_triples").alias("n")).first()["n"] or 0) // ENTRIES + 8
+    of_triples = -(-of_triples // len(SLICES)) * len(SLICES)
     sums, gains, sums_at = totals(spark, lambda span: triple_entries(triples, of_triples, span), of_triples,
-                                  len(turns), "triple-totals", leave_one_out(PRIOR[2]))
+                                  "triples", leave_one_out(PRIOR[2]))
     flags = answers(asked_pairs(triples, of_triples), kept_contexts(gains, PRIOR[2]), of_triples)
     _whole_blocks(spark)
     for t in turns:
         mine = in_turn(triples, t)
         score_round(mine, parts_of(sums, t), in_turn(flags, t), n).write.parquet(f"{scores_at}/turn={t}")
         used(t, triples_at)
-        used_sums(t, sums_at)
+        used_sums(t, sums_at, "triples")
     return of_turns(spark, scores_at, SCORES).drop("turn")

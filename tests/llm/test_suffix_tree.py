@@ -156,3 +156,25 @@ def test_a_keys_bucket_is_the_range_it_is_dealt_to(spark):
         rows = spark.createDataFrame([(k,) for k in want], "key long")
         got = rows.select("key", st.bucket_of(F.col("key"), buckets).alias("b")).collect()
         assert {r["key"]: r["b"] for r in got} == want
+
+
+def test_tokens_of_texts_are_the_definitions():
+    texts = [bytes(range(1, 128)).decode(), "", "  ", " a ", "\x0bA\x0c\x1c b\x1f\r\n", "\u00c9\x85x\xa0y\u3000Z",
+             None, "a  b\t\tc", "\x00 \x00a"]
+    got, counts = st.tokens_of(texts)
+    want = [tokens(t) for t in texts]
+    assert [w.encode() for w in got.to_pylist()] == [w for ws in want for w in ws]
+    assert counts.tolist() == [len(ws) for ws in want]
+
+
+def test_blocks_end_after_the_text_that_fills_them(spark, monkeypatch):
+    monkeypatch.setattr(st, "BLOCK", 10)
+    docs = spark.range(0, 9, 1, 1).select(F.col("id").alias("doc_id"), F.expr("repeat('w ', cast(id as int))").alias("text"))
+    out = st.blocks_of(docs, F.lit(False), "doc_id", "text").collect()
+    assert sorted((r["doc_ids"], r["n_tokens"]) for r in out) == [
+        ([0, 1, 2, 3], 10), ([4, 5], 11), ([6, 7], 15), ([8], 9)]
+
+
+def test_a_range_of_triples_is_a_slice_of_the_blocks():
+    for k in (1, 3, 1001):
+        assert st.bounds(k * len(st.SLICES))[::k].tolist() == st.bounds(len(st.SLICES)).tolist()
