@@ -593,7 +593,9 @@ def score_round(triples: DataFrame, sums: DataFrame, kept: DataFrame, n: int) ->
                                base_score=(unpack(base, "<f8") / math.log(10), pa.float64()),
                                score=((unpack(score, "<f8") + more) / math.log(10), pa.float64()))
 
-    met = triples.join(sums, "block", "left").join(kept, "block", "left")
+    # The triples' keys and counts are not handed through the joins.
+    scored = triples.withColumns({s: F.struct(f"{s}.ctx", f"{s}.lp") for s in SLICES})
+    met = scored.join(sums, "block", "left").join(kept, "block", "left")
     return map_rows(met.select("doc_ids", "lens", "held", "n_known", "base", "score", "tokens", "per_doc",
                                "total", "parts", "flags", *SLICES), run, SCORES)
 
