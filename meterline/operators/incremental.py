@@ -12,6 +12,8 @@
 * ``upsert_frame``     delete+insert by key as a lazy DataFrame.
 * ``upsert``           the same against a partitioned Parquet table, rewriting
   only the partitions the batch touches; crash-safe, with a declared schema.
+* ``replaced_rows``    where a stored table's rows lie whose key a batch brings
+  again: a bit per row, from a shuffle of the keys alone.
 * ``read_table``       such a table, by its declared schema; never writes.
 * ``unapplied``        what a table derived from it has not taken over yet.
 * ``sync_columns``     align a target to a batch's columns (add / drop).
@@ -23,14 +25,14 @@ import datetime as _dt
 import json
 import uuid
 from collections.abc import Sequence
-from contextlib import nullcontext
+from contextlib import ExitStack
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterline.session import scan_pieces
+from meterline.session import dropped_shuffles, open_files, scan_pieces, shuffle_pieces
 from meterline.sources.files import rebalanced
 from meterline.sources.storage import (delete_path, names_in, read_record, record_names,
                                        write_record)
@@ -212,9 +214,19 @@ def dedupe_latest(df: DataFrame, key: Sequence[str] | str,
 
 # Pieces that a partition's rows are dealt in by key when a merge is written.
 PIECES = 16
-# What a task reads of a table whose rows are written on as they lie: the write
-# sorts a task's rows by partition, so these have to fit a task's memory.
+# What a task reads of a table whose rows are written on as they lie.
 CLUSTERED_PIECE = "32m"
+# Partitions whose files such a task keeps open; it sorts the rows of any beyond.
+OPEN_FILES = 32
+# Shuffled bytes of keys that a task sorts, some 20 a row: a full piece would be
+# millions of rows.
+KEYS_PIECE = "32m"
+# Rows of a bitmap (2 ** 15, what ``bitmap_construct_agg`` holds), and rows whose
+# bits are broadcast at once (64 MB) if they lie in more than one partition.
+BITMAP_SHIFT = 15
+BITS = 2 ** 29
+# A partition of more files than this, of so few rows each, is dealt anew by a merge.
+MANY_FILES, FEW_ROWS = 4 * PIECES, 100_000
 
 
 def upsert_frame(target: DataFrame | None, batch: DataFrame,
@@ -250,6 +262,78 @@ def upsert_frame(target: DataFrame | None, batch: DataFrame,
                 .select(*batch.columns))
 
 
+def _packed(df: DataFrame, c: str) -> Column:
+    """A key column in fewer bytes, one to one: a text of lower-case hex digits as
+    the bytes they stand for, any other as its own; the last byte says which."""
+    if df.schema[c].dataType != T.StringType():
+        return F.col(c)
+    hexed = F.unhex(c)
+    return F.when(F.lower(F.hex(hexed)) == F.col(c), F.concat(hexed, F.lit(b"\x01"))).otherwise(
+        F.concat(F.col(c).cast("binary"), F.lit(b"\x00"))).alias(c)
+
+
+def _place() -> dict[str, Column]:
+    """Where a row of a stored table lies in its partition; ``_turns`` makes sure that
+    no two files of one have a hash in common."""
+    return {"__file": F.xxhash64("_metadata.file_name"), "__row": F.col("_metadata.row_index")}
+
+
+def replaced_rows(old: DataFrame, batch: DataFrame, key: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """The rows of the stored table ``old`` whose key is in ``batch``, by their
+    places: per partition ``by``, file (``__file``, a hash of its name) and
+    2 ** ``BITMAP_SHIFT`` rows of it (``__at``) a bitmap (``__bits``) with a bit per
+    row, the lowest first.
+
+    Only keys and places are shuffled, by partition and ``PIECES`` pieces of the
+    keys. The bitmaps take a bit per row of ``old``. A key with a NULL equals none.
+    """
+    keys = [F.col(c).cast(batch.schema[c].dataType).alias(c) for c in [*by, *key]]
+    none = F.lit(None).cast("bigint")
+    both = old.withColumns(_place()).select(*keys, "__file", "__row").unionByName(
+        batch.select(*by, *key, none.alias("__file"), none.alias("__row")))
+    both = both.dropna(subset=list(key))
+    both = both.select(*by, *[_packed(both, c) for c in key], "__file", "__row")
+    both = both.withColumn("__piece", F.pmod(F.xxhash64(*key), F.lit(PIECES))).repartition(*by, "__piece")
+    # The key first: its leading bytes decide nearly every comparison of the sort.
+    new = F.max(F.col("__file").isNull()).over(Window.partitionBy(*key, *by, "__piece"))
+    hit = both.withColumn("__new", new).filter(F.col("__new") & F.col("__file").isNotNull())
+    return (hit.groupBy("__file", F.shiftright("__row", BITMAP_SHIFT).alias("__at"), *by)
+               .agg(F.bitmap_construct_agg(F.col("__row") % (1 << BITMAP_SHIFT)).alias("__bits")))
+
+
+def _without(old: DataFrame, replaced: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``old`` as it lies, less the rows at the places of ``replaced_rows``."""
+    rows = old.withColumns(_place())
+    r = replaced.select(*[F.col(c).alias(f"__{i}") for i, c in enumerate(by)], F.col("__file").alias("__in"),
+                        "__at", "__bits")
+    byte = F.expr(f"substring(__bits, cast((__row % {1 << BITMAP_SHIFT}) div 8 + 1 as int), 1)")
+    bit = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (F.col("__row") % 8).cast("int"))
+    same = (F.col("__file") == F.col("__in")) & (F.shiftright("__row", BITMAP_SHIFT) == F.col("__at")) & (bit == 1)
+    for i, c in enumerate(by):
+        same = same & F.col(c).cast(replaced.schema[c].dataType).eqNullSafe(F.col(f"__{i}"))
+    return rows.join(F.broadcast(r), same, "left_anti").select(*old.columns)
+
+
+def _turns(old: DataFrame, by: Sequence[str]) -> list[list[tuple]] | None:
+    """The partitions of the stored ``old`` in groups of at most ``BITS`` rows, or of
+    one partition; None if one lies in so many small files that it is to be dealt
+    anew, or two of its files cannot be told apart. The files' footers tell."""
+    files = (old.groupBy(*by, F.col("_metadata.file_name").alias("__name")).agg(F.count(F.lit(1)).alias("__n"))
+                .withColumn("__file", F.xxhash64("__name")))
+    sizes = files.groupBy(*by).agg(F.sum("__n").alias("__n"), F.count(F.lit(1)).alias("__files"),
+                                   F.count_distinct("__file").alias("__told")).collect()
+    if any(r["__files"] > MANY_FILES and r["__n"] < r["__files"] * FEW_ROWS or r["__told"] < r["__files"]
+           for r in sizes):
+        return None
+    turns, n = [], 0
+    for r in sizes:
+        n += r["__n"]
+        if not turns or n > BITS:
+            turns, n = [*turns, []], r["__n"]
+        turns[-1].append(tuple(r)[:len(by)])
+    return turns
+
+
 def _schema_of(record: dict) -> T.StructType:
     return T.StructType.fromJson(json.loads(record["declared"]))
 
@@ -343,7 +427,9 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str]
     Precondition: the key determines the partition (rows sharing a key share
     partition values), so only the partitions the batch touches change. Those
     partitions are read (pruned by a literal list of the batch's partition
-    values) and merged with the batch in one shuffle (``upsert_frame``).
+    values) and merged with the batch in one shuffle (``upsert_frame``). If both lie
+    by partition (``clustered``), only their keys are shuffled (``replaced_rows``):
+    the batch's rows, then the rows they do not replace are written as they lie.
 
     Crash safety: the merged partitions are written once, whole, beside the
     table (``_pending``), with the write's record as their commit; then their
@@ -360,8 +446,10 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str]
     adaptive execution cuts a heavy partition into several files and writes a
     small one as one; not so with ``clustered``, for rows that already lie
     together by partition (the scan of a table partitioned alike): they are read
-    in small pieces, so that a task sorts them in memory. A merge is
-    written as its shuffle dealt it, a partition in up to ``PIECES`` files.
+    in small pieces, and a task keeps several partitions' files open instead of
+    sorting. A merge is written as its shuffle dealt it, a partition in up to
+    ``PIECES`` files; so is one with ``clustered`` that finds a partition in more
+    than ``MANY_FILES`` small files, else it adds to them as the batch lies.
 
     Columns follow the batch (I5): the table's declared schema becomes the
     batch's. Added and dropped columns need no rewrite (see ``read_table``), nor
@@ -387,24 +475,41 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str]
     if map_col:
         watched.append(F.collect_set(F.struct(F.col(map_col).cast("string").alias("v"), F.col(
             partition_cols[0]).cast("string").alias("part"))).alias("__map"))
-    seen = Observation("upsert_marks") if watched else None
-
-    def written(df: DataFrame, to: str, dealt: bool) -> None:
-        df = df if dealt else rebalanced(df, partition_cols)   # observed above the shuffle: an empty one leaves the plan
-        df = df.observe(seen, *watched) if seen else df
-        with scan_pieces(spark, CLUSTERED_PIECE) if clustered and to == path else nullcontext():
-            (df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-               .option("compression", "zstd").partitionBy(*partition_cols).parquet(to))
+    seen = []
+
+    def writer(df: DataFrame, mode: str = "overwrite"):
+        if watched:
+            seen.append(Observation(f"upsert_marks_{len(seen)}"))
+            df = df.observe(seen[-1], *watched)
+        return (df.write.mode(mode).option("partitionOverwriteMode", "static")
+                  .option("compression", "zstd").partitionBy(*partition_cols))
+
+    def lie(old: DataFrame, to: str, turns: list[list[tuple]]) -> None:
+        """The batch's rows, then those of ``old`` that it does not replace, as they lie."""
+        writer(batch).format("parquet").save(to)
+        fresh = spark.read.schema(batch.schema).parquet(to)
+        for turn in turns:
+            here, by = old.filter(_touched(types, partition_cols, turn)), partition_cols
+            new = fresh.filter(_touched(dict(batch.dtypes), by, turn))
+            kept = _without(here, replaced_rows(here, new, key, by), by)
+            writer(sync_columns(kept, batch)[0], "append").parquet(to)
 
     def record(df: DataFrame, to: str, before: dict | None, replaced: list | None) -> None:
-        _record(spark, f"{to}/{MARKS_DIR}", df.schema, before, {c: seen.get[c] for c in cols}, replaced,
-                [tuple(r) for r in seen.get["__map"]] if map_col else [])
+        marks = {c: max((o.get[c] for o in seen if o.get[c] is not None), default=None) for c in cols}
+        _record(spark, f"{to}/{MARKS_DIR}", df.schema, before, marks, replaced,
+                [tuple(r) for o in seen for r in o.get["__map"]] if map_col else [])
 
     key = [key] if isinstance(key, str) else list(key)
     recover(spark, path)
     last = None if full_refresh else _last_write(spark, path)
     if last is None:
-        written(batch, path, clustered)
+        # Observed above the shuffle: an empty one leaves the plan.
+        first = batch if clustered else rebalanced(batch, partition_cols)
+        with dropped_shuffles(spark), ExitStack() as lying:
+            if clustered:
+                lying.enter_context(open_files(spark, OPEN_FILES))
+                lying.enter_context(scan_pieces(spark, CLUSTERED_PIECE))
+            writer(first).parquet(path)
         record(batch, root, None, None)
         return
     # Distinct partition values of the batch: one row per touched partition.
@@ -416,10 +521,15 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str]
     types = dict(target.dtypes)
     rewrite = any(types.get(c, t) != t and t not in _WIDER.get(types[c], ()) for c, t in batch.dtypes)
     old = target if rewrite else target.filter(_touched(types, partition_cols, parts))
-    merged = upsert_frame(old, batch, key, partition_cols)
     at = f"{root}/{PENDING_DIR}"
-    written(merged, f"{at}/rows", True)
-    record(merged, at, last, None if rewrite else [v[0] for v in parts])
+    turns = _turns(old, partition_cols) if clustered else None
+    with dropped_shuffles(spark):
+        if turns is None:
+            writer(upsert_frame(old, batch, key, partition_cols)).parquet(f"{at}/rows")
+        else:
+            with open_files(spark, OPEN_FILES), shuffle_pieces(spark, KEYS_PIECE):
+                lie(old, f"{at}/rows", turns)
+    record(batch, at, last, None if rewrite else [v[0] for v in parts])
     _finish_pending(spark, path)
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.functions.exprs import json_extract
-from meterline.session import scratch_path
+from meterline.session import dropped_shuffles, open_files, scratch_path
 from meterline.sources.files import TRIP_FILE_SCHEMA, land_columns, write_partitioned
 
 # Fixed load time of the base view (a batch literal, deterministic on retry).
@@ -62,12 +62,13 @@ def source_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def staged_rows(spark: SparkSession, sf_dir: str, by_month: bool = False) -> DataFrame:
     """``source_rows`` joined once into the shared folder, for queries that take
     several batches of them; with ``by_month`` stored by their file month."""
-    from meterline.operators.incremental import stage
+    from meterline.operators.incremental import OPEN_FILES, stage
     rows = source_rows(spark, sf_dir)
     if not by_month:
         return stage(spark, rows, "trip-rows")[0]
     path = scratch_path(spark, "trip-rows")
-    write_partitioned(rows, path, ["_file_ym"], compression="zstd")
+    with dropped_shuffles(spark), open_files(spark, OPEN_FILES):
+        write_partitioned(rows, path, ["_file_ym"], compression="zstd")
     return spark.read.schema(rows.schema).parquet(path)
 
 

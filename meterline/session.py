@@ -81,15 +81,41 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 @contextmanager
-def scan_pieces(spark: SparkSession, size: str):
-    """Files that are read inside go to a task in pieces of at most ``size``; a
-    smaller setting of the session stays."""
-    key = "spark.sql.files.maxPartitionBytes"
-    in_bytes = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+def setting(spark: SparkSession, key: str, value: str):
+    """``key`` set to ``value`` for what runs inside; the session's own holds
+    again afterwards."""
     before = spark.conf.get(key)
-    if in_bytes(size) < in_bytes(before):
-        spark.conf.set(key, size)
+    spark.conf.set(key, value)
     try:
         yield
     finally:
         spark.conf.set(key, before)
+
+
+def at_most(spark: SparkSession, key: str, size: str):
+    """``setting`` of a size in bytes; a smaller one of the session stays."""
+    in_bytes = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    before = spark.conf.get(key)
+    return setting(spark, key, size if in_bytes(size) < in_bytes(before) else before)
+
+
+def scan_pieces(spark: SparkSession, size: str):
+    """Files that are read inside go to a task in pieces of at most ``size``."""
+    return at_most(spark, "spark.sql.files.maxPartitionBytes", size)
+
+
+def shuffle_pieces(spark: SparkSession, size: str):
+    """Small shuffle partitions inside are put together up to ``size`` only."""
+    return at_most(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
+
+
+def dropped_shuffles(spark: SparkSession):
+    """The shuffle files of a query that runs inside go when it ends, not when the
+    driver happens to collect its garbage."""
+    return setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
+def open_files(spark: SparkSession, most: int):
+    """A task of a partitioned write inside keeps up to ``most`` partitions' files
+    open; it sorts (and spills) only the rows of partitions beyond them."""
+    return setting(spark, "spark.sql.maxConcurrentOutputFileWriters", str(most))
